@@ -3,13 +3,16 @@
 ``Window.partitionBy(key).orderBy(...)`` sends every row of a key to one task; if
 one key holds a third of the data, that task holds a third of the data.  Here the
 rows are range-partitioned on (key, order) instead — the sampled range bounds split
-a hot key across many partitions — and each partition numbers its own rows; a small
-table of per-(partition, key) counts, at most #keys + #partitions rows, carries the
-offsets from the earlier partitions of the same key.
+a hot key across many partitions — and each partition numbers its own rows.
 
-The plan has two full exchanges (range, then hash on (partition, key)), both
-balanced whatever the key distribution, plus small aggregates.  Both branches read
-the same range exchange (Spark reuses it), so the partition id is consistent.
+The range-partitioned rows are checkpointed to the shared checkpoint folder: that
+pins every row's partition id (two separate range exchanges would sample different
+bounds), and cuts the lineage so a lost executor does not recompute the sort.
+
+Offsets from earlier partitions: inside partition p only the *first* key can have
+rows in earlier partitions (all rows of earlier partitions sort before all rows of
+p).  So the table of non-zero offsets has at most one row per partition — a proven
+bound — and is broadcast; the numbered rows are never shuffled for it.
 """
 
 from __future__ import annotations
@@ -20,13 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-
-def _null_safe_on(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Column:
-    cond = None
-    for c in cols:
-        term = left[c].eqNullSafe(right[c])
-        cond = term if cond is None else cond & term
-    return cond
+from threatlens.session import ensure_checkpoint_dir
 
 
 def with_sequence(
@@ -50,8 +47,11 @@ def with_sequence(
     base = df
     for name, expr in running.items():
         base = base.withColumn(f"_v_{name}", expr)
-    ranged = base.repartitionByRange(n, *[F.col(c) for c in keys + order]).withColumn(
-        "_pid", F.spark_partition_id()
+    ensure_checkpoint_dir(spark)
+    ranged = (
+        base.repartitionByRange(n, *[F.col(c) for c in keys + order])
+        .withColumn("_pid", F.spark_partition_id())
+        .checkpoint(eager=True)
     )
     w_local = Window.partitionBy("_pid", *keys).orderBy(*order)
     upto = w_local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -59,7 +59,7 @@ def with_sequence(
     for name in running:
         local = local.withColumn(f"_l_{name}", F.sum(f"_v_{name}").over(upto))
 
-    per_part = local.groupBy("_pid", *keys).agg(
+    per_part = ranged.groupBy("_pid", *keys).agg(
         F.count(F.lit(1)).alias("_pcnt"),
         *[F.sum(f"_v_{name}").alias(f"_p_{name}") for name in running],
     )
@@ -67,19 +67,18 @@ def with_sequence(
     offsets = per_part.select(
         F.col("_pid").alias("_opid"),
         *[F.col(k).alias(f"_ok_{k}") for k in keys],
-        F.coalesce(F.sum("_pcnt").over(before), F.lit(0)).alias("_ocnt"),
-        *[
-            F.coalesce(F.sum(f"_p_{name}").over(before), F.lit(0)).alias(f"_o_{name}")
-            for name in running
-        ],
-    )
+        F.sum("_pcnt").over(before).alias("_ocnt"),
+        *[F.sum(f"_p_{name}").over(before).alias(f"_o_{name}") for name in running],
+    ).filter(F.col("_ocnt").isNotNull())  # at most one row per partition
     cond = F.col("_pid") == F.col("_opid")
     for k in keys:
         cond = cond & F.col(k).eqNullSafe(F.col(f"_ok_{k}"))
-    joined = local.join(offsets, cond, "inner")
-    out = joined.withColumn("seq", (F.col("_ocnt") + F.col("_lseq")).cast("long"))
+    joined = local.join(F.broadcast(offsets), cond, "left")
+    out = joined.withColumn(
+        "seq", (F.coalesce(F.col("_ocnt"), F.lit(0)) + F.col("_lseq")).cast("long")
+    )
     for name in running:
-        out = out.withColumn(name, F.col(f"_o_{name}") + F.col(f"_l_{name}"))
+        out = out.withColumn(name, F.coalesce(F.col(f"_o_{name}"), F.lit(0)) + F.col(f"_l_{name}"))
     return out.select(*df.columns, "seq", *running.keys())
 
 

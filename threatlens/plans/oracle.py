@@ -260,4 +260,114 @@ ORACLE: dict[str, str] = {
         "strftime(last_attempt, '%Y-%m-%d %H:%M:%S') AS last_attempt, "
         "time_span_seconds, attempts_per_minute, risk_score FROM failed_logins"
     ),
+    "connection_gaps": _q(
+        f"""SELECT traffic_id, tie_key, source_ip, "timestamp", prev_timestamp,
+                  CASE WHEN prev_timestamp IS NOT NULL
+                       THEN {unix('"timestamp"')} - {unix("prev_timestamp")} END AS time_diff_seconds
+           FROM traffic_lag"""
+    ),
+    "brute_force_bursts": _q(
+        f"""SELECT username, min("timestamp") AS burst_start, max("timestamp") AS burst_end,
+                  {unix('max("timestamp")')} - {unix('min("timestamp")')} AS duration_seconds,
+                  count(*) AS attempts
+           FROM bf_sessions GROUP BY username, burst HAVING count(*) >= 3""",
+        f"""
+bf_fail AS (
+  SELECT username, "timestamp", {unix('"timestamp"')} AS sec
+  FROM login_attempts WHERE NOT success AND "timestamp" IS NOT NULL),
+bf_lag AS (
+  SELECT *, LAG(sec) OVER (PARTITION BY username ORDER BY sec, "timestamp") AS prev_sec FROM bf_fail),
+bf_sessions AS (
+  SELECT *, SUM(CASE WHEN prev_sec IS NULL OR sec - prev_sec > 86400 THEN 1 ELSE 0 END)
+              OVER (PARTITION BY username ORDER BY sec, "timestamp" ROWS UNBOUNDED PRECEDING) AS burst
+  FROM bf_lag)""",
+    ),
+    "port_scans": _q(
+        f"""SELECT source_ip, make_timestamp(ws * 1000000) AS window_start,
+                  make_timestamp((ws + 2592000) * 1000000) AS window_end,
+                  count(DISTINCT port) AS distinct_ports, count(*) AS connections,
+                  min("timestamp") AS first_seen, max("timestamp") AS last_seen
+           FROM (SELECT *, {unix('"timestamp"')} - (({unix('"timestamp"')} % 2592000) + 2592000) % 2592000 AS ws
+                 FROM network_traffic WHERE "timestamp" IS NOT NULL)
+           GROUP BY source_ip, ws HAVING count(DISTINCT port) >= 5"""
+    ),
+    "incident_timelines": _q(
+        f"""SELECT incident_id, count(*) AS steps, min("timestamp") AS first_seen,
+                  max("timestamp") AS last_seen,
+                  count(*) FILTER (WHERE is_resolved = false) AS unresolved_steps,
+                  max(CASE WHEN rn_first = 1 THEN alert_type END) AS first_alert_type,
+                  max(CASE WHEN rn_last = 1 THEN alert_type END) AS last_alert_type,
+                  count(DISTINCT alert_type) AS distinct_alert_types,
+                  {unix('max("timestamp")')} - {unix('min("timestamp")')} AS duration_seconds
+           FROM (SELECT *,
+                   ROW_NUMBER() OVER (PARTITION BY incident_id ORDER BY "timestamp" ASC NULLS FIRST, alert_id) AS rn_first,
+                   ROW_NUMBER() OVER (PARTITION BY incident_id ORDER BY "timestamp" DESC NULLS LAST, alert_id DESC) AS rn_last
+                 FROM security_alerts WHERE incident_id IS NOT NULL)
+           GROUP BY incident_id HAVING count(*) >= 4"""
+    ),
+    "incident_steps": _q(
+        """SELECT incident_id, alert_id, "timestamp", alert_type, severity, is_resolved,
+                  ROW_NUMBER() OVER (PARTITION BY incident_id ORDER BY "timestamp" ASC NULLS FIRST, alert_id)
+                    AS step
+           FROM security_alerts WHERE incident_id IS NOT NULL"""
+    ),
+    "failures_by_zone": _q(
+        """SELECT zone, location, count(*) AS attempts, count(*) FILTER (WHERE NOT success) AS failures,
+                  count(*) FILTER (WHERE NOT success) / count(*) AS failure_rate
+           FROM (SELECT *, CASE WHEN ip_address LIKE '192.168.1.%' OR ip_address LIKE '10.0.0.%'
+                                  OR ip_address LIKE '172.16.0.%' THEN 'internal'
+                                WHEN ip_address LIKE '203.0.113.%' OR ip_address LIKE '198.51.100.%'
+                                  THEN 'external' ELSE 'unknown' END AS zone
+                 FROM login_attempts)
+           GROUP BY zone, location"""
+    ),
+    "success_after_failures": _q(
+        """SELECT attempt_id, username, "timestamp", ip_address, location, recent_failures
+           FROM (SELECT *, CAST(COALESCE(SUM(CASE WHEN success = false THEN 1 ELSE 0 END) OVER (
+                          PARTITION BY username ORDER BY "timestamp" ASC NULLS FIRST, attempt_id ASC
+                          ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS recent_failures
+                 FROM login_attempts)
+           WHERE success AND recent_failures >= 2"""
+    ),
+    "contract_violations": _q(
+        """SELECT 'network_traffic' AS dataset, rule, columns, violations FROM (
+             SELECT 'not_null' AS rule, 'traffic_id' AS columns, count(*) FILTER (WHERE traffic_id IS NULL) AS violations FROM network_traffic
+             UNION ALL SELECT 'not_null', 'source_ip', count(*) FILTER (WHERE source_ip IS NULL) FROM network_traffic
+             UNION ALL SELECT 'not_null', 'destination_ip', count(*) FILTER (WHERE destination_ip IS NULL) FROM network_traffic
+             UNION ALL SELECT 'not_null', 'protocol', count(*) FILTER (WHERE protocol IS NULL) FROM network_traffic
+             UNION ALL SELECT 'not_null', 'port', count(*) FILTER (WHERE port IS NULL) FROM network_traffic
+             UNION ALL SELECT 'not_null', 'packet_size', count(*) FILTER (WHERE packet_size IS NULL) FROM network_traffic
+             UNION ALL SELECT 'not_null', 'timestamp', count(*) FILTER (WHERE "timestamp" IS NULL) FROM network_traffic
+             UNION ALL SELECT 'not_null', 'is_suspicious', count(*) FILTER (WHERE is_suspicious IS NULL) FROM network_traffic
+             UNION ALL SELECT 'max_length_50', 'source_ip', count(*) FILTER (WHERE length(source_ip) > 50) FROM network_traffic
+             UNION ALL SELECT 'max_length_50', 'destination_ip', count(*) FILTER (WHERE length(destination_ip) > 50) FROM network_traffic
+             UNION ALL SELECT 'max_length_50', 'protocol', count(*) FILTER (WHERE length(protocol) > 50) FROM network_traffic
+             UNION ALL SELECT 'primary_key', 'traffic_id', CAST(coalesce(sum(n) FILTER (WHERE n > 1 OR traffic_id IS NULL), 0) AS BIGINT)
+                       FROM (SELECT traffic_id, count(*) AS n FROM network_traffic GROUP BY traffic_id))
+           UNION ALL
+           SELECT 'login_attempts', rule, columns, violations FROM (
+             SELECT 'not_null' AS rule, 'attempt_id' AS columns, count(*) FILTER (WHERE attempt_id IS NULL) AS violations FROM login_attempts
+             UNION ALL SELECT 'not_null', 'username', count(*) FILTER (WHERE username IS NULL) FROM login_attempts
+             UNION ALL SELECT 'not_null', 'timestamp', count(*) FILTER (WHERE "timestamp" IS NULL) FROM login_attempts
+             UNION ALL SELECT 'not_null', 'ip_address', count(*) FILTER (WHERE ip_address IS NULL) FROM login_attempts
+             UNION ALL SELECT 'not_null', 'success', count(*) FILTER (WHERE success IS NULL) FROM login_attempts
+             UNION ALL SELECT 'max_length_100', 'username', count(*) FILTER (WHERE length(username) > 100) FROM login_attempts
+             UNION ALL SELECT 'max_length_50', 'ip_address', count(*) FILTER (WHERE length(ip_address) > 50) FROM login_attempts
+             UNION ALL SELECT 'max_length_500', 'user_agent', count(*) FILTER (WHERE length(user_agent) > 500) FROM login_attempts
+             UNION ALL SELECT 'max_length_100', 'location', count(*) FILTER (WHERE length(location) > 100) FROM login_attempts
+             UNION ALL SELECT 'primary_key', 'attempt_id', CAST(coalesce(sum(n) FILTER (WHERE n > 1 OR attempt_id IS NULL), 0) AS BIGINT)
+                       FROM (SELECT attempt_id, count(*) AS n FROM login_attempts GROUP BY attempt_id))
+           UNION ALL
+           SELECT 'failed_login_metrics', rule, columns, violations FROM (
+             SELECT 'not_null' AS rule, 'username' AS columns, count(*) FILTER (WHERE username IS NULL) AS violations FROM failed_logins
+             UNION ALL SELECT 'not_null', 'ip_address', count(*) FILTER (WHERE ip_address IS NULL) FROM failed_logins
+             UNION ALL SELECT 'not_null', 'failed_attempt_count', count(*) FILTER (WHERE failed_attempt_count IS NULL) FROM failed_logins
+             UNION ALL SELECT 'not_null', 'first_attempt', count(*) FILTER (WHERE first_attempt IS NULL) FROM failed_logins
+             UNION ALL SELECT 'not_null', 'last_attempt', count(*) FILTER (WHERE last_attempt IS NULL) FROM failed_logins
+             UNION ALL SELECT 'not_null', 'time_span_seconds', count(*) FILTER (WHERE time_span_seconds IS NULL) FROM failed_logins
+             UNION ALL SELECT 'not_null', 'attempts_per_minute', count(*) FILTER (WHERE attempts_per_minute IS NULL) FROM failed_logins
+             UNION ALL SELECT 'not_null', 'risk_score', count(*) FILTER (WHERE risk_score IS NULL) FROM failed_logins
+             UNION ALL SELECT 'max_length_100', 'username', count(*) FILTER (WHERE length(username) > 100) FROM failed_logins
+             UNION ALL SELECT 'max_length_50', 'ip_address', count(*) FILTER (WHERE length(ip_address) > 50) FROM failed_logins)"""
+    ),
 }

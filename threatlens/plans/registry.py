@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from threatlens.config import SCALED_LOGIN_RISK
 from threatlens.operators import alerts as A
+from threatlens.operators import contracts as C
 from threatlens.operators import logins as L
 from threatlens.operators import reports as R
 from threatlens.operators import traffic as TR
@@ -119,6 +120,28 @@ QUERIES: dict[str, Query] = {
     ),
     "recent_traffic": lambda s, d: R.time_range(_scored(s, d), "timestamp", AS_OF_TRAFFIC, "30d"),
     "timestamps_as_text": lambda s, d: R.timestamps_as_text(_failed(s, d)),
+    # explicit previous-connection gaps (the lag behind rapid_connection)
+    "connection_gaps": lambda s, d: TR.connection_gaps(V.network_traffic(s, d)),
+    # attack-pattern detectors
+    "brute_force_bursts": lambda s, d: L.brute_force_bursts(
+        V.login_attempts(s, d), keys=("username",), max_gap_s=86400, min_attempts=3
+    ),
+    "port_scans": lambda s, d: TR.port_scans(
+        V.network_traffic(s, d), keys=("source_ip",), window="30 days", min_ports=5
+    ),
+    "incident_timelines": lambda s, d: A.incident_timelines(V.security_alerts(s, d), min_steps=4),
+    "incident_steps": lambda s, d: A.incident_steps(V.security_alerts(s, d)),
+    "failures_by_zone": lambda s, d: L.failures_by_zone(V.login_attempts(s, d)),
+    "success_after_failures": lambda s, d: L.success_after_failures(
+        V.login_attempts(s, d), look_back=3, min_failures=2
+    ),
+    "contract_violations": lambda s, d: C.contract_violations(
+        V.network_traffic(s, d), C.NETWORK_TRAFFIC_CONTRACT
+    ).unionByName(
+        C.contract_violations(V.login_attempts(s, d), C.LOGIN_ATTEMPTS_CONTRACT)
+    ).unionByName(
+        C.contract_violations(_failed(s, d), C.FAILED_LOGIN_METRICS_CONTRACT)
+    ),
 }
 
 
