@@ -371,3 +371,8 @@ bf_sessions AS (
              UNION ALL SELECT 'max_length_50', 'ip_address', count(*) FILTER (WHERE length(ip_address) > 50) FROM failed_logins)"""
     ),
 }
+
+ORACLE["csv_snapshot_roundtrip"] = ORACLE["failed_login_metrics"]
+ORACLE["documents_normalized"] = ORACLE["unresolved_alerts"]
+ORACLE["pipeline_summary"] = ORACLE["run_summary"]
+ORACLE["latest_snapshot"] = ORACLE["priority_distribution"]

@@ -20,6 +20,11 @@ from threatlens.operators import contracts as C
 from threatlens.operators import logins as L
 from threatlens.operators import reports as R
 from threatlens.operators import traffic as TR
+from threatlens.plans import pipeline as P
+from threatlens.session import scratch_path
+from threatlens.sinks.writers import write_documents, write_snapshot
+from threatlens.sources import documents as D
+from threatlens.sources import snapshots as S
 from threatlens.plans.oracle import AS_OF_TRAFFIC
 from threatlens.sources import views as V
 
@@ -145,5 +150,31 @@ QUERIES: dict[str, Query] = {
 }
 
 
+def csv_snapshot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Failed-login metrics written as a CSV snapshot and read back (typed)."""
+    root = scratch_path(spark, "snapshots")
+    write_snapshot(_failed(spark, sf_dir), root, "failed_logins", "20240101_000000")
+    return S.read_snapshot(spark, root, "failed_logins")
+
+
+def documents_normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alerts exported as JSON-lines documents, read back with the fixed schema and
+    the document query {"is_resolved": False}, then prioritized."""
+    path = scratch_path(spark, "alert-documents")
+    write_documents(V.security_alerts(spark, sf_dir), path)
+    docs = D.read_documents(spark, path, query={"is_resolved": False})
+    return alert_table(A.prioritize_alerts(docs))
+
+
+QUERIES.update(
+    {
+        "csv_snapshot_roundtrip": csv_snapshot_roundtrip,
+        "documents_normalized": documents_normalized,
+        "pipeline_summary": P.pipeline_summary,
+        "latest_snapshot": P.refreshed_priorities,
+    }
+)
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
