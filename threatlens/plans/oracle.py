@@ -376,3 +376,6 @@ ORACLE["csv_snapshot_roundtrip"] = ORACLE["failed_login_metrics"]
 ORACLE["documents_normalized"] = ORACLE["unresolved_alerts"]
 ORACLE["pipeline_summary"] = ORACLE["run_summary"]
 ORACLE["latest_snapshot"] = ORACLE["priority_distribution"]
+ORACLE["stream_failed_logins"] = ORACLE["failed_login_metrics"]
+ORACLE["stream_traffic"] = ORACLE["traffic_anomalies"]
+ORACLE["stream_alerts"] = ORACLE["unresolved_alerts"]

@@ -27,6 +27,7 @@ from threatlens.sources import documents as D
 from threatlens.sources import snapshots as S
 from threatlens.plans.oracle import AS_OF_TRAFFIC
 from threatlens.sources import views as V
+from threatlens.streaming import incremental as ST
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -166,8 +167,49 @@ def documents_normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alert_table(A.prioritize_alerts(docs))
 
 
+def _stream_dirs(spark: SparkSession, name: str) -> tuple[str, str]:
+    root = scratch_path(spark, name)
+    return f"{root}/out", f"{root}/checkpoint"
+
+
+def stream_failed_logins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R1: the events table as a file stream; failed-login state in complete mode."""
+    out, ckpt = _stream_dirs(spark, "stream-logins")
+    events = ST.read_stream(spark, f"{sf_dir.rstrip('/')}/events.parquet")
+    q = ST.failed_logins_stream(
+        V.login_attempts_from_events(events), out, ckpt, trigger=ST.Trigger(available_now=True)
+    )
+    q.awaitTermination()
+    return spark.read.parquet(out)
+
+
+def stream_traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R2: lineitem as a file stream, scored per micro-batch with carried last-seen rows."""
+    out, ckpt = _stream_dirs(spark, "stream-traffic")
+    lineitem = ST.read_stream(spark, f"{sf_dir.rstrip('/')}/lineitem.parquet")
+    q = ST.score_traffic_stream(
+        V.network_traffic_from_lineitem(lineitem), out, ckpt, trigger=ST.Trigger(available_now=True)
+    )
+    q.awaitTermination()
+    return spark.read.parquet(f"{out}/scored").select(*TR.SCORED_COLUMNS)
+
+
+def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R3: orders as a file stream, unresolved alerts prioritized (stateless)."""
+    out, ckpt = _stream_dirs(spark, "stream-alerts")
+    orders = ST.read_stream(spark, f"{sf_dir.rstrip('/')}/orders.parquet")
+    q = ST.score_alerts_stream(
+        V.security_alerts_from_orders(orders), out, ckpt, trigger=ST.Trigger(available_now=True)
+    )
+    q.awaitTermination()
+    return alert_table(spark.read.parquet(out))
+
+
 QUERIES.update(
     {
+        "stream_failed_logins": stream_failed_logins,
+        "stream_traffic": stream_traffic,
+        "stream_alerts": stream_alerts,
         "csv_snapshot_roundtrip": csv_snapshot_roundtrip,
         "documents_normalized": documents_normalized,
         "pipeline_summary": P.pipeline_summary,
