@@ -97,10 +97,13 @@ def windowed_failed_logins(
 ) -> DataFrame:
     """Failed-login metrics per event-time window: state is dropped once the
     watermark passes a window, and late rows beyond it are ignored (append mode)."""
+    # watermarks need zoned event time; with the session zone pinned to UTC the cast
+    # is the identity on wall-clock values
     groups = (
         logins.filter(~F.col("success"))
-        .withWatermark("timestamp", watermark)
-        .groupBy(F.window("timestamp", window).alias("window"), "username", "ip_address")
+        .withColumn("_event_time", F.col("timestamp").cast("timestamp"))
+        .withWatermark("_event_time", watermark)
+        .groupBy(F.window("_event_time", window).alias("window"), "username", "ip_address")
         .agg(
             F.count(F.lit(1)).alias("failed_attempt_count"),
             F.min("timestamp").alias("first_attempt"),
@@ -109,8 +112,8 @@ def windowed_failed_logins(
     )
     span = unix_seconds(F.col("last_attempt")) - unix_seconds(F.col("first_attempt"))
     return groups.withColumn("time_span_seconds", span).select(
-        F.col("window.start").alias("window_start"),
-        F.col("window.end").alias("window_end"),
+        F.col("window.start").cast("timestamp_ntz").alias("window_start"),
+        F.col("window.end").cast("timestamp_ntz").alias("window_end"),
         "username",
         "ip_address",
         "failed_attempt_count",
@@ -122,6 +125,26 @@ def windowed_failed_logins(
     )
 
 
+def windowed_failed_logins_stream(
+    logins: DataFrame,
+    out_path: str,
+    checkpoint: str,
+    window: str = "1 hour",
+    watermark: str = "10 minutes",
+    rules: LoginRiskRules = LoginRiskRules(),
+    trigger: Trigger = Trigger(),
+) -> StreamingQuery:
+    """Append-mode windowed metrics to a parquet folder (exactly once)."""
+    writer = (
+        windowed_failed_logins(logins, window, watermark, rules)
+        .writeStream.outputMode("append")
+        .format("parquet")
+        .option("path", out_path)
+        .option("checkpointLocation", checkpoint)
+    )
+    return trigger.apply(writer).start()
+
+
 # --------------------------------------------------------------------------- R2
 
 def _latest_state(spark: SparkSession, state_root: str, before: int) -> DataFrame | None:
