@@ -88,3 +88,14 @@ def test_sequence_spreads_a_hot_key(spark):
         .filter(F.col("k") == "hot").select("p").distinct().count()
     )
     assert spread > 1
+
+
+def test_rapid_join_paths_agree(spark):
+    """Broadcast and shuffled-hash joins of the per-second table give the same flags."""
+    from threatlens.sources import views as V
+
+    t = V.network_traffic(spark, "/root/testdata/sf0.001")
+    a = rapid_connections(t, broadcast_max_rows=10**9).select("traffic_id", "tie_key", "rapid_connection")
+    b = rapid_connections(t, broadcast_max_rows=0).select("traffic_id", "tie_key", "rapid_connection")
+    assert sorted(a.collect()) == sorted(b.collect())
+    assert "BroadcastHashJoin" not in b._jdf.queryExecution().executedPlan().toString()

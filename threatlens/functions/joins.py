@@ -1,0 +1,28 @@
+"""Join-side sizing: broadcast only what has been measured to be small."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from threatlens.session import ensure_checkpoint_dir
+
+#: Default bound for a broadcast side (rows); about 100-200 MB for the narrow
+#: aggregates joined here, well inside executor memory.
+BROADCAST_MAX_ROWS = 2_000_000
+
+
+def sized_join_side(side: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Materialize ``side`` once in the shared checkpoint folder, count it, and return
+    it hinted for the join: broadcast when it has at most ``max_rows`` rows (the
+    other side is then never shuffled), shuffled hash join otherwise (the large side
+    is not sorted, and AQE splits its skewed partitions).
+
+    The checkpoint also cuts the lineage: a lost executor does not recompute the
+    aggregate, and the count and the join read the same rows.
+    """
+    ensure_checkpoint_dir(side.sparkSession)
+    fixed = side.checkpoint(eager=True)
+    if fixed.count() <= max_rows:
+        return F.broadcast(fixed)
+    return fixed.hint("shuffle_hash")

@@ -93,6 +93,17 @@ def action_summary(enriched: DataFrame) -> DataFrame:
     return distribution(enriched, "action_required")
 
 
+def _rows(agg: DataFrame, rows: Sequence[tuple[str, ...]], names: Sequence[str]) -> DataFrame:
+    """Turn the single row of ``agg`` into one row per entry of ``rows`` (each entry
+    names the literal label and the aggregate columns to take), without another pass."""
+    label, *values = names
+    structs = [
+        F.struct(F.lit(r[0]).alias(label), *[F.col(c).alias(v) for c, v in zip(r[1:], values)])
+        for r in rows
+    ]
+    return agg.select(F.explode(F.array(*structs)).alias("r")).select("r.*")
+
+
 def kpi_cards(
     failed: DataFrame, scored: DataFrame, enriched: DataFrame, cfg: PipelineConfig = PipelineConfig()
 ) -> DataFrame:
@@ -101,26 +112,24 @@ def kpi_cards(
     ``failed_logins`` counts (user, address) groups and ``suspicious_traffic`` counts
     every scored connection — what the cards show.  One aggregate per dataset."""
     logins = failed.agg(
-        F.lit("failed_logins").alias("card"),
-        F.count(F.lit(1)).alias("total"),
-        F.count_if(F.col("risk_score") >= cfg.high_risk).alias("flagged"),
+        F.count(F.lit(1)).alias("t"), F.count_if(F.col("risk_score") >= cfg.high_risk).alias("f")
     )
     traffic = scored.agg(
-        F.lit("suspicious_traffic").alias("card"),
-        F.count(F.lit(1)).alias("total"),
-        F.count_if(F.col("anomaly_score") >= cfg.high_anomaly).alias("flagged"),
+        F.count(F.lit(1)).alias("t"), F.count_if(F.col("anomaly_score") >= cfg.high_anomaly).alias("f")
     )
     alerts = enriched.agg(
-        F.lit("security_alerts").alias("card"),
-        F.count(F.lit(1)).alias("total"),
-        F.count_if(F.col("priority") == "CRITICAL").alias("flagged"),
+        F.count(F.lit(1)).alias("t"),
+        F.count_if(F.col("priority") == "CRITICAL").alias("f"),
+        F.count_if(F.col("action_required")).alias("a"),
     )
-    actions = enriched.agg(
-        F.lit("actions_required").alias("card"),
-        F.count_if(F.col("action_required")).alias("total"),
-        F.count_if(F.col("action_required")).alias("flagged"),
+    names = ("card", "total", "flagged")
+    return (
+        _rows(logins, [("failed_logins", "t", "f")], names)
+        .unionByName(_rows(traffic, [("suspicious_traffic", "t", "f")], names))
+        .unionByName(
+            _rows(alerts, [("security_alerts", "t", "f"), ("actions_required", "a", "a")], names)
+        )
     )
-    return logins.unionByName(traffic).unionByName(alerts).unionByName(actions)
 
 
 def risk_bounds(failed: DataFrame) -> DataFrame:
@@ -209,28 +218,31 @@ def parse_timestamps(df: DataFrame, columns: Sequence[str], fmt: str = "yyyy-MM-
 def run_summary_counts(
     logins: DataFrame,
     failed: DataFrame,
-    traffic: DataFrame,
     scored: DataFrame,
-    alerts: DataFrame,
     enriched: DataFrame,
     cfg: PipelineConfig = PipelineConfig(),
 ) -> DataFrame:
-    """The run summary's six counts as (metric, value) rows, one aggregate per input."""
-    parts = [
-        logins.agg(F.lit("login_attempts_extracted").alias("metric"), F.count(F.lit(1)).alias("value")),
-        failed.agg(F.lit("failed_login_metrics").alias("metric"), F.count(F.lit(1)).alias("value")),
-        traffic.agg(F.lit("traffic_records_extracted").alias("metric"), F.count(F.lit(1)).alias("value")),
-        scored.agg(
-            F.lit("suspicious_traffic_patterns").alias("metric"),
-            F.count_if(F.col("anomaly_score") > cfg.summary_anomaly).alias("value"),
-        ),
-        alerts.agg(F.lit("security_alerts_processed").alias("metric"), F.count(F.lit(1)).alias("value")),
-        enriched.agg(
-            F.lit("critical_high_alerts").alias("metric"),
-            F.count_if(F.col("priority").isin(*cfg.urgent_priorities)).alias("value"),
-        ),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """The run summary's six counts as (metric, value) rows, one aggregate per
+    dataset: every traffic row is kept by the scoring, so the scored result also
+    counts the extracted traffic, and the enriched alerts count the extracted ones."""
+    names = ("metric", "value")
+    login_n = logins.agg(F.count(F.lit(1)).alias("n"))
+    failed_n = failed.agg(F.count(F.lit(1)).alias("n"))
+    traffic_n = scored.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("anomaly_score") > cfg.summary_anomaly).alias("s"),
+    )
+    alert_n = enriched.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("priority").isin(*cfg.urgent_priorities)).alias("u"),
+    )
+    return (
+        _rows(login_n, [("login_attempts_extracted", "n")], names)
+        .unionByName(_rows(failed_n, [("failed_login_metrics", "n")], names))
+        .unionByName(
+            _rows(traffic_n, [("traffic_records_extracted", "n"), ("suspicious_traffic_patterns", "s")], names)
+        )
+        .unionByName(
+            _rows(alert_n, [("security_alerts_processed", "n"), ("critical_high_alerts", "u")], names)
+        )
+    )

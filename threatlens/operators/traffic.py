@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from threatlens.config import TrafficRules
 from threatlens.functions.scoring import anomaly_score, large_packet, suspicious_port, unix_seconds
+from threatlens.functions.joins import BROADCAST_MAX_ROWS, sized_join_side
 from threatlens.functions.sequence import with_previous
 
 #: Row order inside a source: the reference orders by timestamp only; the id and
@@ -31,7 +32,7 @@ SCORED_COLUMNS = (
 )
 
 
-def rapid_connections(traffic: DataFrame) -> DataFrame:
+def rapid_connections(traffic: DataFrame, broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Add ``rapid_connection``: the previous connection of the same source (in
     ``TRAFFIC_ORDER``) is less than one whole second earlier.
 
@@ -40,9 +41,11 @@ def rapid_connections(traffic: DataFrame) -> DataFrame:
     epoch second, i.e. when the row is not the first of its (source_ip, second)
     group.  That needs no per-source ordering at all: one aggregate of the first
     order key per (source, second) — partially aggregated before the shuffle, so a
-    hot source costs nothing extra — joined back on (source, second).  AQE turns the
-    join into a broadcast when the aggregate is small and splits skewed join
-    partitions otherwise.  The DuckDB oracle keeps the literal LAG definition.
+    hot source costs nothing extra — joined back on (source, second).  The aggregate
+    is measured (``sized_join_side``): broadcast when it is at most
+    ``broadcast_max_rows`` rows (coarse timestamps: bounded by sources x seconds
+    covered, whatever the traffic volume), otherwise a shuffled hash join whose hot
+    partitions AQE splits.  The DuckDB oracle keeps the literal LAG definition.
     """
     order_key = F.struct(*[F.col(c) for c in TRAFFIC_ORDER])
     firsts = (
@@ -52,7 +55,7 @@ def rapid_connections(traffic: DataFrame) -> DataFrame:
     )
     keyed = traffic.withColumn("_sec", unix_seconds(F.col("timestamp")))
     joined = keyed.join(
-        firsts,
+        sized_join_side(firsts, broadcast_max_rows),
         F.col("source_ip").eqNullSafe(F.col("_f_ip")) & (F.col("_sec") == F.col("_f_sec")),
         "left",
     )

@@ -25,7 +25,8 @@ from threatlens.sinks.writers import Receipt, write_snapshot
 from threatlens.sources import snapshots as S
 from threatlens.sources import views as V
 
-#: An extra sink: called with (kind, result DataFrame) after the snapshot is written.
+#: An extra sink: called with (kind, result DataFrame) after the snapshot is written;
+#: the DataFrame reads the written snapshot, so no result is computed twice.
 Sink = Callable[[str, DataFrame], object]
 
 
@@ -98,6 +99,7 @@ def run_pipeline(
     (JDBC tables, document collections).  Errors are raised, not swallowed."""
     started = dt.datetime.now()
     run_id = run_id or run_id_for(started)
+    spark = logins.sparkSession
     obs_logins = Observation("logins_extracted")
     obs_traffic = Observation("traffic_scored")
     obs_alerts = Observation("alerts_enriched")
@@ -119,8 +121,8 @@ def run_pipeline(
         "enriched_alerts": write_snapshot(enriched, out_root, "enriched_alerts", run_id),
     }
     for sink in sinks:
-        for kind, df in res.items():
-            sink(kind, df)
+        for kind, _ in res.items():
+            sink(kind, S.read_snapshot(spark, out_root, kind, run_id))
     counts = {
         "login_attempts_extracted": obs_logins.get["n"],
         "failed_login_metrics": receipts["failed_logins"].rows,

@@ -98,12 +98,7 @@ QUERIES: dict[str, Query] = {
     "kpi_cards": lambda s, d: R.kpi_cards(_failed(s, d), _scored(s, d), _enriched(s, d)),
     "risk_bounds": lambda s, d: R.risk_bounds(_failed(s, d)),
     "run_summary": lambda s, d: R.run_summary_counts(
-        V.login_attempts(s, d),
-        _failed(s, d),
-        V.network_traffic(s, d),
-        _scored(s, d),
-        A.unresolved(V.security_alerts(s, d)),
-        _enriched(s, d),
+        V.login_attempts(s, d), _failed(s, d), _scored(s, d), _enriched(s, d)
     ),
     # table pages, highlight, time range, text
     "login_page": lambda s, d: R.page(
