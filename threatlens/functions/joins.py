@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,18 +13,31 @@ from threatlens.session import ensure_checkpoint_dir
 #: aggregates joined here, well inside executor memory.
 BROADCAST_MAX_ROWS = 2_000_000
 
+#: Broadcast only when it spares a shuffle of a side at least this many times larger.
+BROADCAST_MIN_RATIO = 10
+
 
-def sized_join_side(side: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def sized_join_side(
+    side: DataFrame,
+    max_rows: int = BROADCAST_MAX_ROWS,
+    other_rows: Callable[[], int] | None = None,
+    min_ratio: int = BROADCAST_MIN_RATIO,
+) -> DataFrame:
     """Materialize ``side`` once in the shared checkpoint folder, count it, and return
-    it hinted for the join: broadcast when it has at most ``max_rows`` rows (the
-    other side is then never shuffled), shuffled hash join otherwise (the large side
-    is not sorted, and AQE splits its skewed partitions).
+    it hinted for the join.
+
+    Broadcast when it has at most ``max_rows`` rows and (if ``other_rows`` is given)
+    the other side is at least ``min_ratio`` times larger: the other side is then
+    never shuffled.  Otherwise a shuffled hash join: the large side is not sorted,
+    and AQE splits its skewed partitions.  ``other_rows`` is called after the
+    checkpoint job, so an ``Observation`` on that job's input can answer it.
 
     The checkpoint also cuts the lineage: a lost executor does not recompute the
     aggregate, and the count and the join read the same rows.
     """
     ensure_checkpoint_dir(side.sparkSession)
     fixed = side.checkpoint(eager=True)
-    if fixed.count() <= max_rows:
+    n = fixed.count()
+    if n <= max_rows and (other_rows is None or n * min_ratio <= other_rows()):
         return F.broadcast(fixed)
     return fixed.hint("shuffle_hash")

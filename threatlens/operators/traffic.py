@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from threatlens.config import TrafficRules
@@ -43,19 +43,21 @@ def rapid_connections(traffic: DataFrame, broadcast_max_rows: int = BROADCAST_MA
     order key per (source, second) — partially aggregated before the shuffle, so a
     hot source costs nothing extra — joined back on (source, second).  The aggregate
     is measured (``sized_join_side``): broadcast when it is at most
-    ``broadcast_max_rows`` rows (coarse timestamps: bounded by sources x seconds
-    covered, whatever the traffic volume), otherwise a shuffled hash join whose hot
-    partitions AQE splits.  The DuckDB oracle keeps the literal LAG definition.
+    ``broadcast_max_rows`` rows and at least 10x smaller than the traffic (coarse
+    timestamps at scale: bounded by sources x seconds covered, whatever the traffic
+    volume), otherwise a shuffled hash join whose hot partitions AQE splits.  The DuckDB oracle keeps the literal LAG definition.
     """
     order_key = F.struct(*[F.col(c) for c in TRAFFIC_ORDER])
+    seen = Observation("traffic_rows")
     firsts = (
-        traffic.filter(F.col("timestamp").isNotNull())
+        traffic.observe(seen, F.count(F.lit(1)).alias("n"))
+        .filter(F.col("timestamp").isNotNull())
         .groupBy(F.col("source_ip").alias("_f_ip"), unix_seconds(F.col("timestamp")).alias("_f_sec"))
         .agg(F.min(order_key).alias("_first"))
     )
     keyed = traffic.withColumn("_sec", unix_seconds(F.col("timestamp")))
     joined = keyed.join(
-        sized_join_side(firsts, broadcast_max_rows),
+        sized_join_side(firsts, broadcast_max_rows, other_rows=lambda: seen.get["n"]),
         F.col("source_ip").eqNullSafe(F.col("_f_ip")) & (F.col("_sec") == F.col("_f_sec")),
         "left",
     )
