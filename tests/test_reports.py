@@ -70,3 +70,9 @@ def test_timestamps_as_text_and_back(spark):
     assert collect(text)[0]["first_attempt"] == "2024-01-01 12:00:00"
     back = R.parse_timestamps(text, ["first_attempt", "last_attempt", "missing"])
     assert collect(back)[0]["first_attempt"] == dt.datetime(2024, 1, 1, 12, 0, 0)
+
+
+def test_preview_and_first_columns(spark):
+    df = failed(spark, [10, 100, 30, 80])
+    assert [r["risk_score"] for r in collect(R.preview(df, "failed_logins"))] == [100, 80, 30]
+    assert R.first_columns(df).columns == ["username", "ip_address", "failed_attempt_count", "first_attempt", "last_attempt"]

@@ -67,7 +67,7 @@ def select_priorities(enriched: DataFrame, selected: Iterable[str] | None = None
     """``priority IN (selected)``; None means all four, an empty selection no rows."""
     selected = list(PRIORITY_ORDER if selected is None else selected)
     if not selected:
-        return enriched.limit(0)
+        return enriched.filter(F.lit(False))
     return enriched.filter(F.col("priority").isin(*selected))
 
 

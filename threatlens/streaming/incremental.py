@@ -173,7 +173,7 @@ def score_traffic_batch(
     Returns (scored rows, late rows, new last-seen table)."""
     key = F.struct(*[F.col(c) for c in TRAFFIC_ORDER])
     if last_seen is None:
-        on_time, late = batch, batch.limit(0)
+        on_time, late = batch, batch.filter(F.lit(False))
         seeded = rapid_connections(on_time)
     else:
         seen = last_seen.select(F.col("source_ip").alias("_s_ip"), F.col("last").alias("_s_last"))
