@@ -26,6 +26,19 @@ from pyspark.sql.window import Window
 from threatlens.session import ensure_checkpoint_dir
 
 
+def _ranged(df: DataFrame, keys: list[str], order: list[str], num_partitions: int | None) -> DataFrame:
+    """Range-partition on (keys, order), tag rows with their partition id and pin
+    both in the shared checkpoint folder."""
+    spark = df.sparkSession
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ensure_checkpoint_dir(spark)
+    return (
+        df.repartitionByRange(n, *[F.col(c) for c in keys + order])
+        .withColumn("_pid", F.spark_partition_id())
+        .checkpoint(eager=True)
+    )
+
+
 def with_sequence(
     df: DataFrame,
     keys: Sequence[str],
@@ -41,18 +54,10 @@ def with_sequence(
     """
     keys, order = list(keys), list(order)
     running = dict(running or {})
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-
     base = df
     for name, expr in running.items():
         base = base.withColumn(f"_v_{name}", expr)
-    ensure_checkpoint_dir(spark)
-    ranged = (
-        base.repartitionByRange(n, *[F.col(c) for c in keys + order])
-        .withColumn("_pid", F.spark_partition_id())
-        .checkpoint(eager=True)
-    )
+    ranged = _ranged(base, keys, order, num_partitions)
     w_local = Window.partitionBy("_pid", *keys).orderBy(*order)
     upto = w_local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = ranged.withColumn("_lseq", F.row_number().over(w_local))
@@ -90,17 +95,37 @@ def with_previous(
     alias: str,
     num_partitions: int | None = None,
 ) -> DataFrame:
-    """``lag(value) over (partition by keys order by order)`` without a per-key task:
-    number the rows with ``with_sequence`` and fetch row ``seq - 1`` by an equi-join
-    on (key, seq), whose keys are unique and so never skewed."""
-    keys = list(keys)
-    seq = with_sequence(df, keys, order, num_partitions=num_partitions)
-    prev = seq.select(
-        *[F.col(k).alias(f"_pk_{k}") for k in keys],
-        (F.col("seq") + 1).alias("_pseq"),
-        F.col(value).alias(alias),
+    """``lag(value) over (partition by keys order by order)`` without a per-key task.
+
+    Inside each range partition the window lag over (partition, key) is already the
+    exact previous row, except for the first row of each (partition, key).  Only the
+    first key of a partition can have rows in earlier partitions, and its previous
+    row is the last row of that key in the latest earlier partition holding it: the
+    lag over the per-partition tails.  That repair table has at most one row per
+    partition and is broadcast; the rows themselves are shuffled once (range) plus
+    once for the local window.
+    """
+    keys, order = list(keys), list(order)
+    ranged = _ranged(df, keys, order, num_partitions)
+    w_local = Window.partitionBy("_pid", *keys).orderBy(*order)
+    local = ranged.withColumn(alias, F.lag(value).over(w_local)).withColumn(
+        "_is_last", F.lead(F.lit(1)).over(w_local).isNull()
     )
-    cond = F.col("seq") == F.col("_pseq")
+    tails = local.filter(F.col("_is_last")).select("_pid", *keys, F.col(value).alias("_tail"))
+    w_tail = Window.partitionBy(*keys).orderBy("_pid")
+    carry = (
+        tails.withColumn("_has_prev", F.count(F.lit(1)).over(w_tail.rowsBetween(Window.unboundedPreceding, -1)) > 0)
+        .withColumn("_carry", F.lag("_tail").over(w_tail))
+        .filter(F.col("_has_prev"))  # at most one row per partition
+        .select(F.col("_pid").alias("_cpid"), *[F.col(k).alias(f"_ck_{k}") for k in keys], "_carry")
+    )
+    cond = F.col("_pid") == F.col("_cpid")
     for k in keys:
-        cond = cond & F.col(k).eqNullSafe(F.col(f"_pk_{k}"))
-    return seq.join(prev, cond, "left").select(*df.columns, "seq", alias)
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_ck_{k}"))
+    # the first row of a (partition, key) has a null local lag and takes the carry
+    is_first = F.lag(F.lit(1)).over(w_local).isNull()
+    fixed = local.withColumn("_is_first", is_first).join(F.broadcast(carry), cond, "left")
+    out = fixed.withColumn(
+        alias, F.when(F.col("_is_first") & F.col("_cpid").isNotNull(), F.col("_carry")).otherwise(F.col(alias))
+    )
+    return out.select(*df.columns, alias)
