@@ -225,10 +225,18 @@ def score_traffic_stream(
     def process(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         seen = _latest_state(spark, state_root, batch_id)
-        scored, late, fresh = score_traffic_batch(batch, seen, rules)
-        scored.write.mode("overwrite").parquet(f"{out_root}/scored/batch_id={batch_id}")
-        late.write.mode("overwrite").parquet(f"{out_root}/late/batch_id={batch_id}")
-        fresh.write.mode("overwrite").parquet(f"{state_root}/batch_id={batch_id}")
+        # three outputs read the micro-batch: keep it for this call only (a lost
+        # block is recomputed from the batch's source files)
+        batch = batch.persist()
+        try:
+            scored, late, fresh = score_traffic_batch(batch, seen, rules)
+            scored.write.mode("overwrite").parquet(f"{out_root}/scored/batch_id={batch_id}")
+            late.write.mode("overwrite").parquet(f"{out_root}/late/batch_id={batch_id}")
+            # the state is written last: a batch retried after a failure above
+            # still reads the previous batch's last-seen table
+            fresh.write.mode("overwrite").parquet(f"{state_root}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
 
     writer = traffic.writeStream.option("checkpointLocation", checkpoint).foreachBatch(process)
     return trigger.apply(writer).start()
