@@ -2,7 +2,6 @@
 
 from collections import defaultdict
 
-from pyspark.sql import functions as F
 
 from conftest import at, collect
 from threatlens.config import Zones
@@ -124,3 +123,38 @@ def test_contract_violations(spark):
     assert got[("primary_key", "traffic_id")] == 2
     assert got[("not_null", "source_ip")] == 1 and got[("not_null", "port")] == 1
     assert got[("max_length_50", "protocol")] == 1 and got[("not_null", "timestamp")] == 0
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+from pyspark.sql.window import Window  # noqa: E402
+
+
+def window_bursts(logins, keys, max_gap_s, min_attempts):
+    """Direct definition: lag + running sum per key over every failure."""
+    fails = logins.filter(~F.col("success") & F.col("timestamp").isNotNull()).withColumn(
+        "_sec", F.unix_timestamp("timestamp"))
+    w = Window.partitionBy(*keys).orderBy("_sec", "attempt_id")
+    prev = F.lag("_sec").over(w)
+    s = fails.withColumn("_b", F.sum(F.when(prev.isNull() | (F.col("_sec") - prev > max_gap_s), 1).otherwise(0))
+                         .over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    return s.groupBy(*keys, "_b").agg(F.count("*").alias("attempts"), F.min("timestamp").alias("burst_start"),
+                                      F.max("timestamp").alias("burst_end")).filter(F.col("attempts") >= min_attempts)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    rows=st.lists(st.tuples(st.sampled_from(["a", "a", "a", "b", "c"]),
+                            st.floats(min_value=0, max_value=4 * 86400).map(lambda x: round(x, 1)),
+                            st.sampled_from([False, False, True, None])), min_size=1, max_size=80),
+    gap=st.sampled_from([0, 5, 60, 3600, 86400]),
+    k=st.integers(min_value=1, max_value=4),
+    bucket=st.sampled_from([60, 3600, 86400]),
+)
+def test_bursts_equal_direct_sessionization(spark, rows, gap, k, bucket):
+    df = login_frame(spark, rows)
+    got = brute_force_bursts(df, keys=("username",), max_gap_s=gap, min_attempts=k, bucket_s=bucket)
+    expect = window_bursts(df, ["username"], gap, k)
+    cols = ["username", "attempts", "burst_start", "burst_end"]
+    assert sorted(got.select(*cols).collect()) == sorted(expect.select(*cols).collect())

@@ -1,7 +1,6 @@
 """Property tests: the skew-safe plans equal the plain per-key Window versions,
 whatever the key distribution (one hot key included) and partition count."""
 
-import datetime as dt
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
