@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from threatlens.session import ensure_checkpoint_dir
@@ -36,8 +36,10 @@ def sized_join_side(
     aggregate, and the count and the join read the same rows.
     """
     ensure_checkpoint_dir(side.sparkSession)
-    fixed = side.checkpoint(eager=True)
-    n = fixed.count()
+    rows = Observation("join_side_rows")
+    # the checkpoint job itself counts the rows: no second pass over the side
+    fixed = side.observe(rows, F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
+    n = rows.get["n"]
     if n <= max_rows and (other_rows is None or n * min_ratio <= other_rows()):
         return F.broadcast(fixed)
     return fixed.hint("shuffle_hash")
