@@ -379,3 +379,27 @@ ORACLE["latest_snapshot"] = ORACLE["priority_distribution"]
 ORACLE["stream_failed_logins"] = ORACLE["failed_login_metrics"]
 ORACLE["stream_traffic"] = ORACLE["traffic_anomalies"]
 ORACLE["stream_alerts"] = ORACLE["unresolved_alerts"]
+ORACLE["stream_failed_logins_windowed"] = _q(
+    """SELECT window_start, window_end, username, ip_address, failed_attempt_count, first_attempt,
+              last_attempt, time_span_seconds,
+              failed_attempt_count / NULLIF(CAST(time_span_seconds AS DOUBLE) / 60, 0) AS attempts_per_minute,
+              CASE WHEN failed_attempt_count >= 5 THEN
+                     CASE WHEN time_span_seconds <= 60 THEN 100 WHEN time_span_seconds <= 300 THEN 80
+                          WHEN time_span_seconds <= 3600 THEN 50 ELSE 30 END
+                   WHEN failed_attempt_count >= 3 THEN 20 ELSE 10 END AS risk_score
+       FROM win
+       WHERE window_end <= (SELECT max("timestamp") FROM login_attempts WHERE NOT success)
+                           - INTERVAL 10 MINUTE""",
+    f"""
+win_g AS (
+  SELECT {unix('"timestamp"')} - (({unix('"timestamp"')} % 3600) + 3600) % 3600 AS ws,
+         username, ip_address, count(*) AS failed_attempt_count,
+         min("timestamp") AS first_attempt, max("timestamp") AS last_attempt
+  FROM login_attempts WHERE NOT success AND "timestamp" IS NOT NULL
+  GROUP BY ws, username, ip_address),
+win AS (
+  SELECT make_timestamp(ws * 1000000) AS window_start, make_timestamp((ws + 3600) * 1000000) AS window_end,
+         username, ip_address, failed_attempt_count, first_attempt, last_attempt,
+         {unix("last_attempt")} - {unix("first_attempt")} AS time_span_seconds
+  FROM win_g)""",
+)
