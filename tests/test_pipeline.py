@@ -52,3 +52,15 @@ def test_every_query_matches_its_oracle(spark):
         if sorted(cols) != sorted(df.columns) or canon(df.columns, rows) != canon(cols, rel.fetchall()):
             failures.append(name)
     assert failures == []
+
+
+def test_sql_views(spark):
+    from threatlens.sources import views as V
+
+    names = V.register(spark, SMALL)
+    assert "suspicious_traffic" in names
+    top = spark.sql(
+        "SELECT risk_score, count(*) AS n FROM failed_logins GROUP BY risk_score ORDER BY risk_score DESC"
+    ).collect()
+    assert sum(r["n"] for r in top) == spark.table("failed_logins").count()
+    assert spark.sql("SELECT count(*) FROM enriched_alerts WHERE is_resolved").first()[0] == 0

@@ -81,3 +81,27 @@ def network_traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def security_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return security_alerts_from_orders(table(spark, sf_dir, "orders"))
+
+
+def register(spark: SparkSession, sf_dir: str) -> list[str]:
+    """Temp views for ad-hoc SQL: the three security views and the scored results
+    (``failed_logins``, ``suspicious_traffic``, ``enriched_alerts``).  Views are lazy:
+    each SQL query plans against the parquet scans, with the usual pushdown."""
+    from threatlens.operators.alerts import prioritize_alerts, unresolved
+    from threatlens.operators.logins import failed_login_metrics
+    from threatlens.operators.traffic import traffic_anomalies
+
+    logins = login_attempts(spark, sf_dir)
+    traffic = network_traffic(spark, sf_dir)
+    alerts = security_alerts(spark, sf_dir)
+    frames = {
+        "login_attempts": logins,
+        "network_traffic": traffic,
+        "security_alerts": alerts,
+        "failed_logins": failed_login_metrics(logins),
+        "suspicious_traffic": traffic_anomalies(traffic),
+        "enriched_alerts": prioritize_alerts(unresolved(alerts)),
+    }
+    for name, df in frames.items():
+        df.createOrReplaceTempView(name)
+    return list(frames)
