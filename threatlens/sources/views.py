@@ -85,8 +85,9 @@ def security_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def register(spark: SparkSession, sf_dir: str) -> list[str]:
     """Temp views for ad-hoc SQL: the three security views and the scored results
-    (``failed_logins``, ``suspicious_traffic``, ``enriched_alerts``).  Views are lazy:
-    each SQL query plans against the parquet scans, with the usual pushdown."""
+    (``failed_logins``, ``suspicious_traffic``, ``enriched_alerts``).  Each SQL query
+    plans against the parquet scans, with the usual pushdown; only the per-second
+    table behind ``suspicious_traffic`` is materialized at registration."""
     from threatlens.operators.alerts import prioritize_alerts, unresolved
     from threatlens.operators.logins import failed_login_metrics
     from threatlens.operators.traffic import traffic_anomalies
