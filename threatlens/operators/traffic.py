@@ -49,13 +49,17 @@ def rapid_connections(traffic: DataFrame, broadcast_max_rows: int = BROADCAST_MA
     """
     order_key = F.struct(*[F.col(c) for c in TRAFFIC_ORDER])
     seen = Observation("traffic_rows")
+    sec = unix_seconds(F.col("timestamp"))
     firsts = (
         traffic.observe(seen, F.count(F.lit(1)).alias("n"))
         .filter(F.col("timestamp").isNotNull())
-        .groupBy(F.col("source_ip").alias("_f_ip"), unix_seconds(F.col("timestamp")).alias("_f_sec"))
+        # the min over a struct runs as a sort aggregate; a leading hash of the group
+        # lets the sort compare one long instead of addresses sharing their prefix
+        .groupBy(F.xxhash64("source_ip", sec).alias("_f_h"), F.col("source_ip").alias("_f_ip"), sec.alias("_f_sec"))
         .agg(F.min(order_key).alias("_first"))
+        .drop("_f_h")
     )
-    keyed = traffic.withColumn("_sec", unix_seconds(F.col("timestamp")))
+    keyed = traffic.withColumn("_sec", sec)
     joined = keyed.join(
         sized_join_side(firsts, broadcast_max_rows, other_rows=lambda: seen.get["n"]),
         F.col("source_ip").eqNullSafe(F.col("_f_ip")) & (F.col("_sec") == F.col("_f_sec")),
