@@ -33,6 +33,9 @@ def test_traffic_stream_equals_batch(spark):
     got = spark.read.parquet(f"{root}/out/scored").select(*SCORED_COLUMNS)
     expect = traffic_anomalies(V.network_traffic_from_lineitem(lineitem))
     assert spark.read.parquet(f"{root}/out/late").count() == 0
+    metrics = spark.read.parquet(f"{root}/out/metrics")
+    assert metrics.count() >= 4 and metrics.agg(F.sum("late")).first()[0] == 0
+    assert metrics.agg(F.sum("scored")).first()[0] == lineitem.count()
     assert len([d for d in spark.read.parquet(f"{root}/out/scored").inputFiles()]) >= 4
     assert sorted(got.collect()) == sorted(expect.collect())
 

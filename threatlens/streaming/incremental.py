@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -219,7 +219,8 @@ def score_traffic_stream(
     trigger: Trigger = Trigger(),
 ) -> StreamingQuery:
     """Write scored traffic to ``out_root/scored/batch_id=N``, late rows to
-    ``out_root/late/batch_id=N`` and the last-seen table to ``out_root/state``."""
+    ``out_root/late/batch_id=N``, per-batch counts (scored, late) to
+    ``out_root/metrics`` and the last-seen table to ``out_root/state``."""
     state_root = f"{out_root}/state"
 
     def process(batch: DataFrame, batch_id: int) -> None:
@@ -230,8 +231,16 @@ def score_traffic_stream(
         batch = batch.persist()
         try:
             scored, late, fresh = score_traffic_batch(batch, seen, rules)
-            scored.write.mode("overwrite").parquet(f"{out_root}/scored/batch_id={batch_id}")
-            late.write.mode("overwrite").parquet(f"{out_root}/late/batch_id={batch_id}")
+            n_scored, n_late = Observation(f"scored_{batch_id}"), Observation(f"late_{batch_id}")
+            scored.observe(n_scored, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(
+                f"{out_root}/scored/batch_id={batch_id}"
+            )
+            late.observe(n_late, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(
+                f"{out_root}/late/batch_id={batch_id}"
+            )
+            spark.createDataFrame(
+                [(n_scored.get["n"], n_late.get["n"])], "scored long, late long"
+            ).write.mode("overwrite").parquet(f"{out_root}/metrics/batch_id={batch_id}")
             # the state is written last: a batch retried after a failure above
             # still reads the previous batch's last-seen table
             fresh.write.mode("overwrite").parquet(f"{state_root}/batch_id={batch_id}")
