@@ -3,14 +3,14 @@
 import duckdb
 
 import __spark_entry__ as E
-from threatlens.plans import pipeline as P
+from threatlens.plans import etl as P
 from threatlens.session import scratch_path
 
 SMALL = "/root/testdata/sf0.001"
 
 
 def test_run_and_refresh(spark):
-    root = scratch_path(spark, "test-pipeline")
+    root = scratch_path(spark, "test-etl-run")
     logins, traffic, alerts = P.extract(spark, SMALL)
     s = P.run_pipeline(logins, traffic, alerts, root, run_id="20240101_000000")
     assert s.counts["login_attempts_extracted"] == logins.count()

@@ -16,7 +16,7 @@ from threatlens.operators.logins import (
     success_after_failures,
 )
 from threatlens.operators.traffic import connection_gaps, port_scans, rapid_connections, traffic_anomalies
-from threatlens.plans.pipeline import report_refresh, run_pipeline
+from threatlens.plans.etl import report_refresh, run_pipeline
 from threatlens.session import build_session
 from threatlens.sources import views
 

@@ -13,7 +13,7 @@ from __future__ import annotations
 import argparse
 import json
 
-from threatlens.plans import pipeline as P
+from threatlens.plans import etl as P
 from threatlens.session import build_session
 from threatlens.sources import views as V
 from threatlens.streaming import incremental as ST

@@ -164,10 +164,10 @@ def report_refresh(
     }
 
 
-def pipeline_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+def etl_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Run the whole pipeline into a fresh folder of the shared scratch area and
     return its summary counts as (metric, value)."""
-    out = scratch_path(spark, "pipeline")
+    out = scratch_path(spark, "etl-run")
     summary = run_pipeline(*extract(spark, sf_dir), out_root=out, run_id="20240101_000000")
     return summary.to_frame(spark)
 
@@ -182,7 +182,7 @@ def refreshed_priorities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report_refresh(spark, out)["priority_distribution"]
 
 
-def bench_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bench_full_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     t0 = time.perf_counter()
-    frame = pipeline_summary(spark, sf_dir)
+    frame = etl_run_summary(spark, sf_dir)
     return frame.withColumn("seconds", F.lit(round(time.perf_counter() - t0, 3)))

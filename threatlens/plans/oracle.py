@@ -374,7 +374,7 @@ bf_sessions AS (
 
 ORACLE["csv_snapshot_roundtrip"] = ORACLE["failed_login_metrics"]
 ORACLE["documents_normalized"] = ORACLE["unresolved_alerts"]
-ORACLE["pipeline_summary"] = ORACLE["run_summary"]
+ORACLE["etl_run_summary"] = ORACLE["run_summary"]
 ORACLE["latest_snapshot"] = ORACLE["priority_distribution"]
 ORACLE["stream_failed_logins"] = ORACLE["failed_login_metrics"]
 ORACLE["stream_traffic"] = ORACLE["traffic_anomalies"]

@@ -20,7 +20,7 @@ from threatlens.operators import contracts as C
 from threatlens.operators import logins as L
 from threatlens.operators import reports as R
 from threatlens.operators import traffic as TR
-from threatlens.plans import pipeline as P
+from threatlens.plans import etl as P
 from threatlens.session import scratch_path
 from threatlens.sinks.writers import write_documents, write_snapshot
 from threatlens.sources import documents as D
@@ -221,7 +221,7 @@ QUERIES.update(
         "stream_alerts": stream_alerts,
         "csv_snapshot_roundtrip": csv_snapshot_roundtrip,
         "documents_normalized": documents_normalized,
-        "pipeline_summary": P.pipeline_summary,
+        "etl_run_summary": P.etl_run_summary,
         "latest_snapshot": P.refreshed_priorities,
     }
 )
