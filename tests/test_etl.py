@@ -64,3 +64,12 @@ def test_sql_views(spark):
     ).collect()
     assert sum(r["n"] for r in top) == spark.table("failed_logins").count()
     assert spark.sql("SELECT count(*) FROM enriched_alerts WHERE is_resolved").first()[0] == 0
+
+
+def test_cluster_conf_scales_partitions():
+    from threatlens.session import cluster_conf
+
+    big = cluster_conf(100 * 2**40, executors=1000, cores_per_executor=4)
+    assert int(big["spark.sql.shuffle.partitions"]) == 100 * 2**40 // (256 << 20)  # 409,600
+    small = cluster_conf(10 << 20, executors=2, cores_per_executor=4)
+    assert int(small["spark.sql.shuffle.partitions"]) == 24  # three waves of 8 slots
