@@ -21,7 +21,13 @@ from threatlens.functions.columns import lookup, pick_mod, text
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """``<dir>/<name>.parquet`` (file or folder), else a ``<dir>/<name>`` folder of
+    parquet files, as large tables are usually stored."""
+    base = f"{sf_dir.rstrip('/')}/{name}"
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(f"{base}.parquet")
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return spark.read.parquet(f"{base}.parquet" if fs.exists(p) else base)
 
 
 def login_attempts_from_events(events: DataFrame) -> DataFrame:
