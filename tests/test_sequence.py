@@ -98,3 +98,19 @@ def test_rapid_join_paths_agree(spark):
     b = rapid_connections(t, broadcast_max_rows=0).select("traffic_id", "tie_key", "rapid_connection")
     assert sorted(a.collect()) == sorted(b.collect())
     assert "BroadcastHashJoin" not in b._jdf.queryExecution().executedPlan().toString()
+
+
+def test_sized_join_side_rule(spark):
+    from threatlens.functions.joins import sized_join_side
+
+    big = spark.range(5000).withColumnRenamed("id", "k")
+
+    def plan(side):
+        return big.join(side, "k")._jdf.queryExecution().executedPlan().toString()
+
+    small = spark.range(100).withColumnRenamed("id", "k")
+    assert "BroadcastHashJoin" in plan(sized_join_side(small, max_rows=1000, other_rows=lambda: 5000))
+    # too close in size to the other side: no broadcast
+    assert "BroadcastHashJoin" not in plan(sized_join_side(small, max_rows=1000, other_rows=lambda: 500))
+    # over the row bound: no broadcast
+    assert "BroadcastHashJoin" not in plan(sized_join_side(small, max_rows=50))
