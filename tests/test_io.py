@@ -59,3 +59,13 @@ def test_documents_roundtrip(spark):
 def test_object_ids_normalized(spark):
     df = spark.createDataFrame([({"$oid": "abc"}, 1)], "_id struct<`$oid`: string>, n int")
     assert collect(D.normalize_documents(df)) == [{"_id": "abc", "n": 1}]
+
+
+def test_jdbc_write_options():
+    from threatlens.sinks.writers import jdbc_write_options
+
+    base = {"url": "jdbc:mysql://db:3306/sec", "user": "u", "password": "p"}
+    o = jdbc_write_options(base, "failed_login_metrics", create_table_options="ENGINE=InnoDB DEFAULT CHARSET=utf8mb4")
+    assert o["dbtable"] == "failed_login_metrics" and o["truncate"] == "true"
+    assert o["createTableOptions"] == "ENGINE=InnoDB DEFAULT CHARSET=utf8mb4" and o["url"] == base["url"]
+    assert jdbc_write_options(base, "t", truncate=False)["truncate"] == "false"

@@ -27,6 +27,25 @@ class Receipt:
     files: int
 
 
+def jdbc_write_options(
+    options: Mapping[str, str],
+    table: str,
+    truncate: bool = True,
+    batchsize: int = 10000,
+    create_table_options: str | None = None,
+) -> dict[str, str]:
+    """Writer options: ``truncate`` keeps the table definition on overwrite (keys,
+    NOT NULL) instead of dropping it; ``create_table_options`` is passed to the
+    database as is (e.g. ``ENGINE=InnoDB DEFAULT CHARSET=utf8mb4``).  Each task
+    inserts its partition in one transaction, so a retried task does not duplicate
+    rows where the database supports transactions."""
+    opts = dict(options)
+    opts.update(dbtable=table, batchsize=str(batchsize), truncate="true" if truncate else "false")
+    if create_table_options:
+        opts["createTableOptions"] = create_table_options
+    return opts
+
+
 def write_jdbc(
     df: DataFrame,
     options: Mapping[str, str],
@@ -37,21 +56,12 @@ def write_jdbc(
     num_partitions: int | None = None,
     create_table_options: str | None = None,
 ) -> None:
-    """Write to a database table.  ``overwrite`` with ``truncate`` keeps the existing
-    table definition (keys, NOT NULL) instead of dropping it; ``append`` adds rows;
-    ``num_partitions`` caps concurrent connections (coalesce, no shuffle)."""
+    """Write to a database table (``overwrite`` or ``append``); ``num_partitions``
+    caps concurrent connections (coalesce, no shuffle)."""
     if num_partitions is not None:
         df = df.coalesce(num_partitions)
-    writer = (
-        df.write.format("jdbc")
-        .options(**options)
-        .option("dbtable", table)
-        .option("batchsize", str(batchsize))
-        .option("truncate", "true" if truncate else "false")
-    )
-    if create_table_options:
-        writer = writer.option("createTableOptions", create_table_options)
-    writer.mode(mode).save()
+    opts = jdbc_write_options(options, table, truncate, batchsize, create_table_options)
+    df.write.format("jdbc").options(**opts).mode(mode).save()
 
 
 def _textual(df: DataFrame) -> DataFrame:
