@@ -24,15 +24,16 @@ def build_session(
 ) -> SparkSession:
     """Create (or reuse) a session with the settings the operators assume.
 
-    ``master`` defaults to ``local[*]`` only when nothing else is configured, so
+    ``master`` is set only when given (or in ``SPARK_MASTER``), so
     ``spark-submit --master yarn`` keeps working.  Shuffle partitions default to
     the Spark default; AQE coalesces them at run time, so a generous number is
     safe at 100 TB and cheap at test scale.
     """
     builder = SparkSession.builder.appName(app_name)
-    if master is None and "SPARK_MASTER" not in os.environ and not _submitted():
-        master = "local[*]"
-    if master is not None:
+    # only an explicit master is set: under spark-submit the cluster's master stays in
+    # force, and a plain ``python`` launch defaults to local[*] by itself
+    master = master or os.environ.get("SPARK_MASTER")
+    if master:
         builder = builder.master(master)
     conf = {
         # Results depend on wall-clock conversions only through this setting.
@@ -56,10 +57,6 @@ def build_session(
     return spark
 
 
-def _submitted() -> bool:
-    return bool(os.environ.get("SPARK_SUBMIT_OPTS") or os.environ.get("PYSPARK_SUBMIT_ARGS"))
-
-
 def is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
