@@ -73,3 +73,10 @@ def test_cluster_conf_scales_partitions():
     assert int(big["spark.sql.shuffle.partitions"]) == 100 * 2**40 // (256 << 20)  # 409,600
     small = cluster_conf(10 << 20, executors=2, cores_per_executor=4)
     assert int(small["spark.sql.shuffle.partitions"]) == 24  # three waves of 8 slots
+
+
+def test_refresh_without_runs_is_empty(spark):
+    root = scratch_path(spark, "test-empty-refresh")
+    reports = P.report_refresh(spark, root)
+    assert reports["risk_distribution"].count() == 0 and reports["alert_table"].count() == 0
+    assert "highlight" in reports["login_table"].columns
