@@ -80,3 +80,19 @@ def test_refresh_without_runs_is_empty(spark):
     reports = P.report_refresh(spark, root)
     assert reports["risk_distribution"].count() == 0 and reports["alert_table"].count() == 0
     assert "highlight" in reports["login_table"].columns
+
+
+def test_extra_sinks_receive_written_results(spark):
+    from threatlens.sinks.writers import write_documents
+
+    root = scratch_path(spark, "test-etl-sinks")
+    receipts = {}
+
+    def documents(kind, df):
+        receipts[kind] = write_documents(df, f"{root}/documents/{kind}")
+
+    s = P.run_pipeline(*P.extract(spark, SMALL), out_root=root, run_id="20240101_000000", sinks=[documents])
+    assert set(receipts) == {"failed_logins", "suspicious_traffic", "enriched_alerts"}
+    assert receipts["failed_logins"].rows == s.counts["failed_login_metrics"]
+    assert receipts["suspicious_traffic"].rows == s.counts["traffic_records_extracted"]
+    assert receipts["enriched_alerts"].rows == s.counts["security_alerts_processed"]
