@@ -69,3 +69,35 @@ def test_jdbc_write_options():
     assert o["dbtable"] == "failed_login_metrics" and o["truncate"] == "true"
     assert o["createTableOptions"] == "ENGINE=InnoDB DEFAULT CHARSET=utf8mb4" and o["url"] == base["url"]
     assert jdbc_write_options(base, "t", truncate=False)["truncate"] == "false"
+
+
+def test_extended_json_documents(spark):
+    """An export with {"$oid"} ids and {"$date"} dates (ISO with Z, with an offset, and
+    epoch millis) reads back to the same typed rows as the plain export."""
+    import datetime as dt
+
+    from threatlens.schemas import SECURITY_ALERTS
+    from threatlens.sources import views as V
+
+    alerts = V.security_alerts(spark, "/root/testdata/sf0.001")
+    path = scratch_path(spark, "test-extended-json")
+    iso = F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSS")
+    shifted = F.date_format(F.col("timestamp") + F.expr("INTERVAL 2 HOURS"), "yyyy-MM-dd'T'HH:mm:ss.SSS")
+    millis = (F.unix_micros(F.col("timestamp").cast("timestamp")) / 1000).cast("long")
+    date = (
+        F.when(F.col("alert_id") % 3 == 0, F.to_json(F.struct(F.concat(iso, F.lit("Z")).alias("$date"))))
+        .when(F.col("alert_id") % 3 == 1, F.to_json(F.struct(F.concat(shifted, F.lit("+02:00")).alias("$date"))))
+        .otherwise(F.to_json(F.struct(F.struct(millis.cast("string").alias("$numberLong")).alias("$date"))))
+    )
+    docs = alerts.select(
+        F.to_json(F.struct(F.struct(F.col("alert_id").cast("string").alias("$oid")).alias("_id"),
+                           *[c for c in alerts.columns if c != "timestamp"],
+                           F.lit("__DATE__").alias("timestamp"))).alias("j"),
+        date.alias("d"),
+    ).select(F.expr("replace(j, '\"__DATE__\"', d)").alias("value"))
+    docs.write.mode("overwrite").text(path)
+    schema = SECURITY_ALERTS.add("_id", "string")
+    back = D.read_documents(spark, path, schema=schema, query={"is_resolved": False}, extended_json=True)
+    expect = alerts.filter(~F.col("is_resolved")).withColumn("_id", F.col("alert_id").cast("string"))
+    assert sorted(map(tuple, back.select(*expect.columns).collect())) == sorted(map(tuple, expect.collect()))
+    assert isinstance(back.first()["timestamp"], dt.datetime)
