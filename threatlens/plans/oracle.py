@@ -368,7 +368,21 @@ bf_sessions AS (
              UNION ALL SELECT 'not_null', 'attempts_per_minute', count(*) FILTER (WHERE attempts_per_minute IS NULL) FROM failed_logins
              UNION ALL SELECT 'not_null', 'risk_score', count(*) FILTER (WHERE risk_score IS NULL) FROM failed_logins
              UNION ALL SELECT 'max_length_100', 'username', count(*) FILTER (WHERE length(username) > 100) FROM failed_logins
-             UNION ALL SELECT 'max_length_50', 'ip_address', count(*) FILTER (WHERE length(ip_address) > 50) FROM failed_logins)"""
+             UNION ALL SELECT 'max_length_50', 'ip_address', count(*) FILTER (WHERE length(ip_address) > 50) FROM failed_logins)
+           UNION ALL
+           SELECT 'suspicious_traffic_analysis', rule, columns, violations FROM (
+             SELECT 'not_null' AS rule, 'traffic_id' AS columns, count(*) FILTER (WHERE traffic_id IS NULL) AS violations FROM scored_traffic
+             UNION ALL SELECT 'not_null', 'source_ip', count(*) FILTER (WHERE source_ip IS NULL) FROM scored_traffic
+             UNION ALL SELECT 'not_null', 'destination_ip', count(*) FILTER (WHERE destination_ip IS NULL) FROM scored_traffic
+             UNION ALL SELECT 'not_null', 'protocol', count(*) FILTER (WHERE protocol IS NULL) FROM scored_traffic
+             UNION ALL SELECT 'not_null', 'port', count(*) FILTER (WHERE port IS NULL) FROM scored_traffic
+             UNION ALL SELECT 'not_null', 'timestamp', count(*) FILTER (WHERE "timestamp" IS NULL) FROM scored_traffic
+             UNION ALL SELECT 'not_null', 'packet_size', count(*) FILTER (WHERE packet_size IS NULL) FROM scored_traffic
+             UNION ALL SELECT 'not_null', 'is_suspicious', count(*) FILTER (WHERE is_suspicious IS NULL) FROM scored_traffic
+             UNION ALL SELECT 'not_null', 'anomaly_score', count(*) FILTER (WHERE anomaly_score IS NULL) FROM scored_traffic
+             UNION ALL SELECT 'max_length_50', 'source_ip', count(*) FILTER (WHERE length(source_ip) > 50) FROM scored_traffic
+             UNION ALL SELECT 'max_length_50', 'destination_ip', count(*) FILTER (WHERE length(destination_ip) > 50) FROM scored_traffic
+             UNION ALL SELECT 'max_length_50', 'protocol', count(*) FILTER (WHERE length(protocol) > 50) FROM scored_traffic)"""
     ),
 }
 

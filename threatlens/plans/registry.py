@@ -142,6 +142,8 @@ QUERIES: dict[str, Query] = {
         C.contract_violations(V.login_attempts(s, d), C.LOGIN_ATTEMPTS_CONTRACT)
     ).unionByName(
         C.contract_violations(_failed(s, d), C.FAILED_LOGIN_METRICS_CONTRACT)
+    ).unionByName(
+        C.contract_violations(_scored(s, d), C.SUSPICIOUS_TRAFFIC_CONTRACT)
     ),
 }
 
