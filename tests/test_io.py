@@ -96,7 +96,9 @@ def test_extended_json_documents(spark):
         date.alias("d"),
     ).select(F.expr("replace(j, '\"__DATE__\"', d)").alias("value"))
     docs.write.mode("overwrite").text(path)
-    schema = SECURITY_ALERTS.add("_id", "string")
+    from pyspark.sql import types as T
+
+    schema = T.StructType(SECURITY_ALERTS.fields + [T.StructField("_id", T.StringType())])
     back = D.read_documents(spark, path, schema=schema, query={"is_resolved": False}, extended_json=True)
     expect = alerts.filter(~F.col("is_resolved")).withColumn("_id", F.col("alert_id").cast("string"))
     assert sorted(map(tuple, back.select(*expect.columns).collect())) == sorted(map(tuple, expect.collect()))
