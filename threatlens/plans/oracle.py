@@ -417,3 +417,32 @@ win AS (
          {unix("last_attempt")} - {unix("first_attempt")} AS time_span_seconds
   FROM win_g)""",
 )
+ORACLE["stream_brute_force_bursts"] = _q(
+    f"""SELECT username, burst_start, burst_end, duration_seconds, attempts FROM (
+          SELECT username, min("timestamp") AS burst_start, max("timestamp") AS burst_end,
+                 {unix('max("timestamp")')} - {unix('min("timestamp")')} AS duration_seconds,
+                 count(*) AS attempts, max(sec) + 86401 AS session_end
+          FROM bf_sessions GROUP BY username, burst HAVING count(*) >= 3)
+        WHERE session_end <= (SELECT max(sec) FROM bf_fail) - 600""",
+    f"""
+bf_fail AS (
+  SELECT username, "timestamp", {unix('"timestamp"')} AS sec
+  FROM login_attempts WHERE NOT success AND "timestamp" IS NOT NULL),
+bf_lag AS (
+  SELECT *, LAG(sec) OVER (PARTITION BY username ORDER BY sec, "timestamp") AS prev_sec FROM bf_fail),
+bf_sessions AS (
+  SELECT *, SUM(CASE WHEN prev_sec IS NULL OR sec - prev_sec > 86400 THEN 1 ELSE 0 END)
+              OVER (PARTITION BY username ORDER BY sec, "timestamp" ROWS UNBOUNDED PRECEDING) AS burst
+  FROM bf_lag)""",
+)
+ORACLE["stream_port_scans"] = _q(
+    f"""SELECT source_ip, make_timestamp(ws * 1000000) AS window_start,
+              make_timestamp((ws + 2592000) * 1000000) AS window_end,
+              count(DISTINCT port) AS distinct_ports, count(*) AS connections,
+              min("timestamp") AS first_seen, max("timestamp") AS last_seen
+       FROM (SELECT *, {unix('"timestamp"')} - (({unix('"timestamp"')} % 2592000) + 2592000) % 2592000 AS ws
+             FROM network_traffic WHERE "timestamp" IS NOT NULL)
+       GROUP BY source_ip, ws
+       HAVING count(DISTINCT port) >= 5
+          AND ws + 2592000 <= (SELECT max({unix('"timestamp"')}) FROM network_traffic) - 600"""
+)

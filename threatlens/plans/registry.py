@@ -193,6 +193,30 @@ def stream_failed_logins_windowed(spark: SparkSession, sf_dir: str) -> DataFrame
     return spark.read.parquet(out)
 
 
+def stream_brute_force_bursts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D1 on a stream: session windows of failed logins per user (gap: 1 day),
+    10-minute watermark, append mode."""
+    out, ckpt = _stream_dirs(spark, "stream-bursts")
+    events = ST.read_stream(spark, f"{sf_dir.rstrip('/')}/events.parquet")
+    bursts = ST.brute_force_bursts_stream(
+        V.login_attempts_from_events(events), keys=("username",), max_gap_s=86400, min_attempts=3
+    )
+    ST.append_to_parquet(bursts, out, ckpt, ST.Trigger(available_now=True)).awaitTermination()
+    return spark.read.parquet(out)
+
+
+def stream_port_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D2 on a stream: exact distinct ports per source and 30-day window through two
+    chained watermarked aggregations, append mode."""
+    out, ckpt = _stream_dirs(spark, "stream-scans")
+    lineitem = ST.read_stream(spark, f"{sf_dir.rstrip('/')}/lineitem.parquet")
+    scans = ST.port_scans_stream(
+        V.network_traffic_from_lineitem(lineitem), keys=("source_ip",), window="30 days", min_ports=5
+    )
+    ST.append_to_parquet(scans, out, ckpt, ST.Trigger(available_now=True)).awaitTermination()
+    return spark.read.parquet(out)
+
+
 def stream_traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R2: lineitem as a file stream, scored per micro-batch with carried last-seen rows."""
     out, ckpt = _stream_dirs(spark, "stream-traffic")
@@ -219,6 +243,8 @@ QUERIES.update(
     {
         "stream_failed_logins": stream_failed_logins,
         "stream_failed_logins_windowed": stream_failed_logins_windowed,
+        "stream_brute_force_bursts": stream_brute_force_bursts,
+        "stream_port_scans": stream_port_scans,
         "stream_traffic": stream_traffic,
         "stream_alerts": stream_alerts,
         "csv_snapshot_roundtrip": csv_snapshot_roundtrip,

@@ -267,3 +267,84 @@ def score_alerts_stream(
         .option("checkpointLocation", checkpoint)
     )
     return trigger.apply(writer).start()
+
+
+# --------------------------------------------------------------------------- detectors
+
+def _event_seconds(df: DataFrame) -> DataFrame:
+    """Event time truncated to whole epoch seconds, zoned (watermarks need it); all
+    gaps are whole-second differences, as in the batch operators."""
+    return df.filter(F.col("timestamp").isNotNull()).withColumn(
+        "_event_sec", F.timestamp_seconds(unix_seconds(F.col("timestamp")))
+    )
+
+
+def brute_force_bursts_stream(
+    logins: DataFrame,
+    keys: tuple[str, ...] = ("username", "ip_address"),
+    max_gap_s: int = 60,
+    min_attempts: int = 5,
+    watermark: str = "10 minutes",
+) -> DataFrame:
+    """Bursts of failed logins as session windows (append mode).  With whole-second
+    event time and a gap of ``max_gap_s + 1`` seconds, two failures share a session
+    exactly when their second-difference is at most ``max_gap_s`` — the batch rule.
+    A burst is emitted once the watermark passes its session end."""
+    fails = _event_seconds(logins.filter(~F.col("success"))).withWatermark("_event_sec", watermark)
+    sessions = fails.groupBy(F.session_window("_event_sec", f"{max_gap_s + 1} seconds").alias("s"), *keys).agg(
+        F.min("timestamp").alias("burst_start"),
+        F.max("timestamp").alias("burst_end"),
+        F.count(F.lit(1)).alias("attempts"),
+    )
+    return sessions.filter(F.col("attempts") >= min_attempts).select(
+        *keys,
+        "burst_start",
+        "burst_end",
+        (unix_seconds(F.col("burst_end")) - unix_seconds(F.col("burst_start"))).alias("duration_seconds"),
+        "attempts",
+    )
+
+
+def port_scans_stream(
+    traffic: DataFrame,
+    keys: tuple[str, ...] = ("source_ip", "destination_ip"),
+    window: str = "60 seconds",
+    min_ports: int = 5,
+    watermark: str = "10 minutes",
+) -> DataFrame:
+    """Exact distinct ports per key and tumbling window in a stream: two chained
+    watermarked aggregations, (key, window, port) then (key, window), in append
+    mode; a window is emitted once the watermark passes its end."""
+    per_port = (
+        _event_seconds(traffic)
+        .withWatermark("_event_sec", watermark)
+        .groupBy(F.window("_event_sec", window).alias("w"), *keys, "port")
+        .agg(
+            F.count(F.lit(1)).alias("_n"),
+            F.min("timestamp").alias("_first"),
+            F.max("timestamp").alias("_last"),
+        )
+    )
+    per_window = per_port.groupBy("w", *keys).agg(
+        F.count("port").alias("distinct_ports"),
+        F.sum("_n").alias("connections"),
+        F.min("_first").alias("first_seen"),
+        F.max("_last").alias("last_seen"),
+    )
+    return per_window.filter(F.col("distinct_ports") >= min_ports).select(
+        *keys,
+        F.col("w.start").cast("timestamp_ntz").alias("window_start"),
+        F.col("w.end").cast("timestamp_ntz").alias("window_end"),
+        "distinct_ports",
+        "connections",
+        "first_seen",
+        "last_seen",
+    )
+
+
+def append_to_parquet(df: DataFrame, out_path: str, checkpoint: str, trigger: Trigger = Trigger()) -> StreamingQuery:
+    writer = (
+        df.writeStream.outputMode("append").format("parquet").option("path", out_path)
+        .option("checkpointLocation", checkpoint)
+    )
+    return trigger.apply(writer).start()
