@@ -47,3 +47,21 @@ def test_distributions_sum_to_rows(spark):
     assert R.anomaly_distribution(scored).agg(F.sum("count")).first()[0] == scored.count()
     assert R.priority_distribution(enriched).agg(F.sum("count")).first()[0] == enriched.count()
     assert abs(R.priority_share(enriched).agg(F.sum("share")).first()[0] - 1.0) < 1e-12
+
+
+def test_every_operator_accepts_empty_input(spark):
+    from threatlens.operators import alerts as A
+    from threatlens.operators import logins as L
+    from threatlens.operators import traffic as T
+    from threatlens.operators.contracts import NETWORK_TRAFFIC_CONTRACT, contract_violations
+    from threatlens.schemas import LOGIN_ATTEMPTS, NETWORK_TRAFFIC, SECURITY_ALERTS, empty
+
+    logins, traffic, alerts = (empty(spark, s) for s in (LOGIN_ATTEMPTS, NETWORK_TRAFFIC, SECURITY_ALERTS))
+    outputs = [
+        L.failed_login_metrics(logins), L.brute_force_bursts(logins), L.failures_by_zone(logins),
+        L.success_after_failures(logins), T.traffic_anomalies(traffic), T.connection_gaps(traffic),
+        T.port_scans(traffic), A.prioritize_alerts(alerts), A.incident_timelines(alerts), A.incident_steps(alerts),
+    ]
+    assert [df.count() for df in outputs] == [0] * len(outputs)
+    assert {r["violations"] for r in contract_violations(traffic, NETWORK_TRAFFIC_CONTRACT).collect()} == {0}
+    assert R.risk_bounds(L.failed_login_metrics(logins)).first().asDict() == {"slider_min": 0, "slider_max": 100}
