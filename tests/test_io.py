@@ -103,3 +103,26 @@ def test_extended_json_documents(spark):
     expect = alerts.filter(~F.col("is_resolved")).withColumn("_id", F.col("alert_id").cast("string"))
     assert sorted(map(tuple, back.select(*expect.columns).collect())) == sorted(map(tuple, expect.collect()))
     assert isinstance(back.first()["timestamp"], dt.datetime)
+
+
+def test_flat_snapshots_written_through_pandas(spark):
+    """<kind>_YYYYmmdd_HHMMSS.csv files as a pandas writer leaves them: True/False,
+    dicts as Python text, timestamps with or without fractions; the newest wins."""
+    import os
+
+    folder = scratch_path(spark, "test-flat")
+    os.makedirs(folder.replace("file:", ""), exist_ok=True)
+    header = ("alert_id,alert_type,severity,timestamp,source,description,affected_system,is_resolved,"
+              "detection_details,severity_score,priority,action_required\n")
+    old = header + "1,Ransomware,LOW,2024-01-01 00:00:00,IDS-1,d,S-1,False,,20,MEDIUM,False\n"
+    new = header + ("2,Brute Force,HIGH,2024-01-02 03:04:05.250000,IDS-2,\"d, x\",S-2,False,"
+                    "\"{'ip_address': '10.0.0.1', 'incident_id': 'INC-7'}\",100,CRITICAL,True\n")
+    base = folder.replace("file:", "")
+    for name, text in [("enriched_alerts_20240101_000000.csv", old), ("enriched_alerts_20240102_000000.csv", new)]:
+        with open(os.path.join(base, name), "w") as fh:
+            fh.write(text)
+    rows = collect(S.read_flat_snapshot(spark, folder, "enriched_alerts"))
+    assert len(rows) == 1 and rows[0]["alert_id"] == 2 and rows[0]["action_required"] is True
+    assert rows[0]["detection_details"] == {"ip_address": "10.0.0.1", "incident_id": "INC-7"}
+    assert rows[0]["timestamp"].microsecond == 250000 and rows[0]["description"] == "d, x"
+    assert S.read_flat_snapshot(spark, folder, "failed_logins").count() == 0

@@ -8,6 +8,7 @@ never mixes runs.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -82,3 +83,40 @@ def read_snapshot(
         if isinstance(f.dataType, T.MapType):
             df = df.withColumn(f.name, F.from_json(F.col(f.name), f.dataType))
     return df.select(*schema.fieldNames())
+
+
+def flat_snapshot_paths(spark: SparkSession, folder: str, kind: str) -> list[str]:
+    """Files named ``<kind>_YYYYmmdd_HHMMSS.csv`` in ``folder``, oldest first."""
+    p, fs = _fs(spark, folder.rstrip("/"))
+    if not fs.exists(p):
+        return []
+    pattern = re.compile(rf"^{re.escape(kind)}_(\d{{8}}_\d{{6}})\.csv$")
+    found = []
+    for status in fs.listStatus(p):
+        m = pattern.match(status.getPath().getName())
+        if m and status.isFile():
+            found.append((m.group(1), status.getPath().toString()))
+    return [path for _, path in sorted(found)]
+
+
+def read_flat_snapshot(spark: SparkSession, folder: str, kind: str) -> DataFrame:
+    """The newest flat CSV snapshot of ``kind`` (one file per run, written through
+    pandas): booleans as ``True``/``False`` and map columns as Python dict text are
+    accepted.  Typed empty frame when there is none."""
+    schema = RESULT_SCHEMAS[kind]
+    paths = flat_snapshot_paths(spark, folder, kind)
+    if not paths:
+        return spark.createDataFrame([], schema)
+    df = (
+        spark.read.schema(csv_schema(schema))
+        .option("header", True)
+        .option("mode", "FAILFAST")
+        .option("timestampNTZFormat", TS_FORMAT)
+        .csv(paths[-1])
+    )
+    for f in schema.fields:
+        if isinstance(f.dataType, T.MapType):
+            # {'k': 'v'} (Python text) -> {"k": "v"} (JSON) before parsing
+            as_json = F.regexp_replace(F.col(f.name), "'", '"')
+            df = df.withColumn(f.name, F.from_json(as_json, f.dataType))
+    return df.select(*schema.fieldNames())
