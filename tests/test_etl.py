@@ -96,3 +96,19 @@ def test_extra_sinks_receive_written_results(spark):
     assert receipts["failed_logins"].rows == s.counts["failed_login_metrics"]
     assert receipts["suspicious_traffic"].rows == s.counts["traffic_records_extracted"]
     assert receipts["enriched_alerts"].rows == s.counts["security_alerts_processed"]
+
+
+def test_refresh_from_flat_layout(spark):
+    import os
+
+    folder = scratch_path(spark, "test-flat-refresh")
+    base = folder.replace("file:", "")
+    os.makedirs(base, exist_ok=True)
+    with open(os.path.join(base, "failed_logins_20240101_000000.csv"), "w") as fh:
+        fh.write("username,ip_address,failed_attempt_count,first_attempt,last_attempt,time_span_seconds,"
+                 "attempts_per_minute,risk_score\n"
+                 "u1,10.0.0.1,5,2024-01-01 00:00:00,2024-01-01 00:00:30,30,10.0,100\n"
+                 "u2,10.0.0.2,1,2024-01-01 00:00:00,2024-01-01 00:00:00,0,,10\n")
+    reports = P.report_refresh(spark, folder, layout="flat")
+    assert {r["risk_score"]: r["count"] for r in reports["risk_distribution"].collect()} == {100: 1, 10: 1}
+    assert reports["anomaly_distribution"].count() == 0

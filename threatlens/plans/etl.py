@@ -149,13 +149,24 @@ def report_refresh(
     risk_range: tuple[int, int] = (0, 100),
     priorities: Iterable[str] | None = None,
     page_size: int = 10,
+    layout: str = "runs",
 ) -> dict[str, DataFrame]:
     """Reports of one run (default: the latest run present for every kind): the four
-    charts and the first page of the three tables, all lazy DataFrames."""
-    run_id = run_id or S.latest_run_id(spark, out_root)
-    failed = S.read_snapshot(spark, out_root, "failed_logins", run_id)
-    scored = S.read_snapshot(spark, out_root, "suspicious_traffic", run_id)
-    enriched = S.read_snapshot(spark, out_root, "enriched_alerts", run_id)
+    charts and the first page of the three tables, all lazy DataFrames.
+
+    ``layout="flat"`` reads existing ``<kind>_YYYYmmdd_HHMMSS.csv`` files instead (the
+    newest of each kind)."""
+    if layout == "flat":
+        failed, scored, enriched = (
+            S.read_flat_snapshot(spark, out_root, k) for k in ("failed_logins", "suspicious_traffic", "enriched_alerts")
+        )
+    elif layout == "runs":
+        run_id = run_id or S.latest_run_id(spark, out_root)
+        failed = S.read_snapshot(spark, out_root, "failed_logins", run_id)
+        scored = S.read_snapshot(spark, out_root, "suspicious_traffic", run_id)
+        enriched = S.read_snapshot(spark, out_root, "enriched_alerts", run_id)
+    else:
+        raise ValueError(f"unknown layout {layout!r}; use 'runs' or 'flat'")
     selected = list(priorities) if priorities is not None else None
     return {
         "risk_distribution": R.risk_distribution(failed, *risk_range).orderBy("risk_score"),
