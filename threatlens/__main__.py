@@ -1,7 +1,7 @@
 """Command line: run the pipeline, print reports, or start the streams.
 
     python -m threatlens run    --tables DIR --out DIR [--run-id ID]
-    python -m threatlens report --out DIR [--run-id ID] [--risk LO HI] [--priority P ...]
+    python -m threatlens report --out DIR [--run-id ID] [--risk LO HI] [--priority P ...] [--layout runs|flat]
     python -m threatlens stream --tables DIR --out DIR [--available-now]
 
 ``--tables`` is a folder with ``events``, ``lineitem`` and ``orders`` parquet tables
@@ -31,6 +31,7 @@ def main(argv=None) -> None:
     rep.add_argument("--run-id")
     rep.add_argument("--risk", nargs=2, type=int, default=(0, 100))
     rep.add_argument("--priority", nargs="*")
+    rep.add_argument("--layout", choices=("runs", "flat"), default="runs")
     st = sub.add_parser("stream")
     st.add_argument("--tables", required=True)
     st.add_argument("--out", required=True)
@@ -43,7 +44,10 @@ def main(argv=None) -> None:
             s = P.run_pipeline(*P.extract(spark, args.tables), out_root=args.out, run_id=args.run_id)
             print(json.dumps({"run_id": s.run_id, "seconds": s.duration_s, **s.counts}))
         elif args.cmd == "report":
-            for name, df in P.report_refresh(spark, args.out, args.run_id, tuple(args.risk), args.priority).items():
+            reports = P.report_refresh(
+                spark, args.out, args.run_id, tuple(args.risk), args.priority, layout=args.layout
+            )
+            for name, df in reports.items():
                 print(f"-- {name}")
                 df.show(truncate=False)
         else:
