@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from threatlens.functions.sequence import with_previous
-from threatlens.operators.logins import success_after_failures
+from threatlens.operators.alerts import incident_steps
+from threatlens.operators.logins import brute_force_bursts, success_after_failures
 from threatlens.operators.traffic import TRAFFIC_ORDER, traffic_anomalies
 from threatlens.session import build_session
 from threatlens.sources import views as V
@@ -42,6 +43,37 @@ def hot_logins(spark, sf_dir):
     )
 
 
+def hot_alerts(spark, sf_dir):
+    a = V.security_alerts(spark, sf_dir)
+    hot = F.pmod(F.col("alert_id"), F.lit(3)) == 0
+    d = F.col("detection_details")
+    return a.withColumn(
+        "detection_details",
+        F.create_map(
+            F.lit("ip_address"), d.getItem("ip_address"),
+            F.lit("username"), d.getItem("username"),
+            F.lit("incident_id"), F.when(hot, F.lit("INC-HOT")).otherwise(d.getItem("incident_id")),
+        ),
+    )
+
+
+def window_steps(a):
+    inc = a.withColumn("incident_id", F.col("detection_details").getItem("incident_id"))
+    return inc.withColumn(
+        "step", F.row_number().over(Window.partitionBy("incident_id").orderBy("timestamp", "alert_id"))
+    )
+
+
+def window_bursts(lg):
+    fails = lg.filter(~F.col("success")).withColumn("_sec", F.unix_timestamp("timestamp"))
+    w = Window.partitionBy("username").orderBy("_sec", "attempt_id")
+    prev = F.lag("_sec").over(w)
+    new = F.when(prev.isNull() | (F.col("_sec") - prev > 60), 1).otherwise(0)
+    return fails.withColumn("_b", F.sum(new).over(w.rowsBetween(Window.unboundedPreceding, 0))).groupBy(
+        "username", "_b"
+    ).count()
+
+
 def reference_lag(t):
     w = Window.partitionBy("source_ip").orderBy("timestamp")
     gap = F.unix_timestamp("timestamp") - F.unix_timestamp(F.lag("timestamp").over(w))
@@ -77,6 +109,10 @@ def main():
         ),
         "window per user (look-back 3 rows)": lambda: reference_look_back(hot_logins(spark, sf_dir)),
         "threatlens success_after_failures": lambda: success_after_failures(hot_logins(spark, sf_dir)),
+        "window per incident (step numbers)": lambda: window_steps(hot_alerts(spark, sf_dir)),
+        "threatlens incident_steps": lambda: incident_steps(hot_alerts(spark, sf_dir)),
+        "window per user (burst sessions)": lambda: window_bursts(hot_logins(spark, sf_dir)),
+        "threatlens brute_force_bursts": lambda: brute_force_bursts(hot_logins(spark, sf_dir), keys=("username",)),
     }
     for name, build in plans.items():
         sc.setJobDescription(name)
@@ -106,7 +142,7 @@ def main():
     for sid, recs in per_task.items():
         plan = stage_plan.get(sid)
         total = sum(recs)
-        if plan is None or total < 10000 or len(recs) < 2:
+        if plan is None or total < 5000 or len(recs) < 2:
             continue
         share = max(recs) / total
         if plan not in worst or share > worst[plan][0]:

@@ -39,6 +39,17 @@ def _ranged(df: DataFrame, keys: list[str], order: list[str], num_partitions: in
     )
 
 
+def _by_part_and_key(ranged: DataFrame, keys: list[str]) -> DataFrame:
+    """Cluster the tagged rows by (partition id, key) for the local windows.
+
+    A range exchange never splits a group and weighs its bounds by rows, so each of
+    the few large (partition, hot key) groups gets a task of its own; a hash of
+    (partition id, key) can send several of them to one task.  The price is one
+    sampling read of the (narrow) checkpointed rows."""
+    n = ranged.rdd.getNumPartitions()
+    return ranged.repartitionByRange(n, F.col("_pid"), *[F.col(k) for k in keys])
+
+
 def with_sequence(
     df: DataFrame,
     keys: Sequence[str],
@@ -60,7 +71,7 @@ def with_sequence(
     ranged = _ranged(base, keys, order, num_partitions)
     w_local = Window.partitionBy("_pid", *keys).orderBy(*order)
     upto = w_local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = ranged.withColumn("_lseq", F.row_number().over(w_local))
+    local = _by_part_and_key(ranged, keys).withColumn("_lseq", F.row_number().over(w_local))
     for name in running:
         local = local.withColumn(f"_l_{name}", F.sum(f"_v_{name}").over(upto))
 
@@ -108,7 +119,7 @@ def with_previous(
     keys, order = list(keys), list(order)
     ranged = _ranged(df, keys, order, num_partitions)
     w_local = Window.partitionBy("_pid", *keys).orderBy(*order)
-    local = ranged.withColumn(alias, F.lag(value).over(w_local)).withColumn(
+    local = _by_part_and_key(ranged, keys).withColumn(alias, F.lag(value).over(w_local)).withColumn(
         "_is_last", F.lead(F.lit(1)).over(w_local).isNull()
     )
     tails = local.filter(F.col("_is_last")).select("_pid", *keys, F.col(value).alias("_tail"))
