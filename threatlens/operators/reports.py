@@ -8,6 +8,7 @@ deterministic and the sort range-partitions evenly (a bare score has five values
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -180,6 +181,9 @@ def time_range(df: DataFrame, column: str, as_of, range_name: str = "all") -> Da
     span = RANGES[range_name]
     if span is None:
         return df
+    if isinstance(as_of, (dt.datetime, dt.date)):
+        as_of = as_of.isoformat(sep=" ") if isinstance(as_of, dt.datetime) else as_of.isoformat()
+    # as text, the literal is cast to the column's type without a zone conversion
     end = F.lit(as_of).cast(df.schema[column].dataType)
     return df.filter(F.col(column).between(end - F.expr(f"INTERVAL {span}"), end))
 
