@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -68,6 +68,21 @@ def read_stream(spark: SparkSession, path: str, schema=None, max_files_per_trigg
     return reader.parquet(path)
 
 
+# --------------------------------------------------------------------------- helpers
+
+def _event_seconds(df: DataFrame) -> DataFrame:
+    """Event time truncated to whole epoch seconds, zoned (watermarks need it); all
+    gaps are whole-second differences, as in the batch operators."""
+    return df.filter(F.col("timestamp").isNotNull()).withColumn(
+        "_event_sec", F.timestamp_seconds(unix_seconds(F.col("timestamp")))
+    )
+
+
+def _wall(instant: Column) -> Column:
+    """A zoned window bound back to UTC wall-clock time, without the session zone."""
+    return F.timestamp_add("SECOND", F.unix_seconds(instant), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+
+
 # --------------------------------------------------------------------------- R1
 
 def failed_logins_stream(
@@ -97,13 +112,10 @@ def windowed_failed_logins(
 ) -> DataFrame:
     """Failed-login metrics per event-time window: state is dropped once the
     watermark passes a window, and late rows beyond it are ignored (append mode)."""
-    # watermarks need zoned event time; with the session zone pinned to UTC the cast
-    # is the identity on wall-clock values
     groups = (
-        logins.filter(~F.col("success"))
-        .withColumn("_event_time", F.col("timestamp").cast("timestamp"))
-        .withWatermark("_event_time", watermark)
-        .groupBy(F.window("_event_time", window).alias("window"), "username", "ip_address")
+        _event_seconds(logins.filter(~F.col("success")))
+        .withWatermark("_event_sec", watermark)
+        .groupBy(F.window("_event_sec", window).alias("window"), "username", "ip_address")
         .agg(
             F.count(F.lit(1)).alias("failed_attempt_count"),
             F.min("timestamp").alias("first_attempt"),
@@ -112,8 +124,8 @@ def windowed_failed_logins(
     )
     span = unix_seconds(F.col("last_attempt")) - unix_seconds(F.col("first_attempt"))
     return groups.withColumn("time_span_seconds", span).select(
-        F.col("window.start").cast("timestamp_ntz").alias("window_start"),
-        F.col("window.end").cast("timestamp_ntz").alias("window_end"),
+        _wall(F.col("window.start")).alias("window_start"),
+        _wall(F.col("window.end")).alias("window_end"),
         "username",
         "ip_address",
         "failed_attempt_count",
@@ -271,14 +283,6 @@ def score_alerts_stream(
 
 # --------------------------------------------------------------------------- detectors
 
-def _event_seconds(df: DataFrame) -> DataFrame:
-    """Event time truncated to whole epoch seconds, zoned (watermarks need it); all
-    gaps are whole-second differences, as in the batch operators."""
-    return df.filter(F.col("timestamp").isNotNull()).withColumn(
-        "_event_sec", F.timestamp_seconds(unix_seconds(F.col("timestamp")))
-    )
-
-
 def brute_force_bursts_stream(
     logins: DataFrame,
     keys: tuple[str, ...] = ("username", "ip_address"),
@@ -333,8 +337,8 @@ def port_scans_stream(
     )
     return per_window.filter(F.col("distinct_ports") >= min_ports).select(
         *keys,
-        F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-        F.col("w.end").cast("timestamp_ntz").alias("window_end"),
+        _wall(F.col("w.start")).alias("window_start"),
+        _wall(F.col("w.end")).alias("window_end"),
         "distinct_ports",
         "connections",
         "first_seen",
