@@ -76,3 +76,18 @@ def test_preview_and_first_columns(spark):
     df = failed(spark, [10, 100, 30, 80])
     assert [r["risk_score"] for r in collect(R.preview(df, "failed_logins"))] == [100, 80, 30]
     assert R.first_columns(df).columns == ["username", "ip_address", "failed_attempt_count", "first_attempt", "last_attempt"]
+
+
+def test_ipv4_helpers(spark):
+    from threatlens.functions.network import in_cidr, ip_zone, ipv4_to_long
+
+    rows = [("10.0.0.1",), ("10.0.0.255",), ("10.0.1.0",), ("256.1.1.1",), ("::1",), ("1.2.3",), (None,), ("0.0.0.0",)]
+    df = spark.createDataFrame(rows, "ip string").select(
+        "ip", ipv4_to_long(F.col("ip")).alias("v"), in_cidr(F.col("ip"), "10.0.0.0/24").alias("in"),
+        ip_zone(F.col("ip")).alias("zone"),
+    )
+    got = {r["ip"]: (r["v"], r["in"], r["zone"]) for r in df.collect()}
+    assert got["10.0.0.1"] == (167772161, True, "internal")
+    assert got["10.0.0.255"][1] is True and got["10.0.1.0"][1] is False
+    assert got["256.1.1.1"] == (None, False, "unknown") and got["::1"] == (None, False, "unknown")
+    assert got["1.2.3"][0] is None and got[None] == (None, False, "unknown") and got["0.0.0.0"][0] == 0
