@@ -72,6 +72,9 @@ class PipelineConfig:
 
 PRIORITY_ORDER = ("CRITICAL", "HIGH", "MEDIUM", "LOW")
 
+# Report time ranges: name -> interval (None: no bound).
+TIME_RANGES = (("all", None), ("24h", "24 hours"), ("7d", "7 days"), ("30d", "30 days"))
+
 LOCATIONS = (
     "New York, USA",
     "Los Angeles, USA",

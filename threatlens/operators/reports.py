@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from threatlens.config import PRIORITY_ORDER, PipelineConfig
+from threatlens.config import PRIORITY_ORDER, TIME_RANGES, PipelineConfig
 from threatlens.functions.scoring import priority_rank
 
 #: Reference order per result kind, followed by a unique tie-break: (column, descending).
@@ -40,7 +40,7 @@ def order_of(kind: str) -> list[Column]:
     return [F.desc(c) if desc else F.asc(c) for c, desc in ORDER_SPECS[kind]]
 
 
-RANGES = {"all": None, "24h": "24 hours", "7d": "7 days", "30d": "30 days"}
+RANGES = dict(TIME_RANGES)
 
 
 def ordered(df: DataFrame, kind: str) -> DataFrame:
