@@ -7,7 +7,9 @@ a hot key across many partitions — and each partition numbers its own rows.
 
 The range-partitioned rows are checkpointed to the shared checkpoint folder: that
 pins every row's partition id (two separate range exchanges would sample different
-bounds), and cuts the lineage so a lost executor does not recompute the sort.
+bounds), and cuts the lineage so a lost executor does not recompute the sort.  The
+local windows then run over (partition id, key) groups, clustered by a second range
+exchange so that large groups do not share a task.
 
 Offsets from earlier partitions: inside partition p only the *first* key can have
 rows in earlier partitions (all rows of earlier partitions sort before all rows of
