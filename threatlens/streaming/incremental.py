@@ -223,6 +223,34 @@ def score_traffic_batch(
     return scored, late, fresh
 
 
+def process_traffic_batch(
+    batch: DataFrame, batch_id: int, out_root: str, rules: TrafficRules = TrafficRules()
+) -> None:
+    """One micro-batch of R2 (the ``foreachBatch`` body).  Idempotent: every output
+    is written under its batch id with overwrite, and the state read is the latest
+    one of an *earlier* batch, so a retried batch reproduces its own outputs."""
+    spark = batch.sparkSession
+    state_root = f"{out_root}/state"
+    seen = _latest_state(spark, state_root, batch_id)
+    # each output re-reads the micro-batch from its source files: a scan and a
+    # projection, deterministic on retry and cheaper here than caching the batch
+    # (measured), and no executor memory is held between the writes
+    scored, late, fresh = score_traffic_batch(batch, seen, rules)
+    n_scored, n_late = Observation(f"scored_{batch_id}"), Observation(f"late_{batch_id}")
+    scored.observe(n_scored, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(
+        f"{out_root}/scored/batch_id={batch_id}"
+    )
+    late.observe(n_late, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(
+        f"{out_root}/late/batch_id={batch_id}"
+    )
+    spark.createDataFrame(
+        [(n_scored.get["n"], n_late.get["n"])], "scored long, late long"
+    ).write.mode("overwrite").parquet(f"{out_root}/metrics/batch_id={batch_id}")
+    # the state is written last: a batch retried after a failure above still reads
+    # the previous batch's last-seen table
+    fresh.write.mode("overwrite").parquet(f"{state_root}/batch_id={batch_id}")
+
+
 def score_traffic_stream(
     traffic: DataFrame,
     out_root: str,
@@ -233,28 +261,9 @@ def score_traffic_stream(
     """Write scored traffic to ``out_root/scored/batch_id=N``, late rows to
     ``out_root/late/batch_id=N``, per-batch counts (scored, late) to
     ``out_root/metrics`` and the last-seen table to ``out_root/state``."""
-    state_root = f"{out_root}/state"
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        seen = _latest_state(spark, state_root, batch_id)
-        # each output re-reads the micro-batch from its source files: a scan and a
-        # projection, deterministic on retry and cheaper here than caching the batch
-        # (measured), and no executor memory is held between the writes
-        scored, late, fresh = score_traffic_batch(batch, seen, rules)
-        n_scored, n_late = Observation(f"scored_{batch_id}"), Observation(f"late_{batch_id}")
-        scored.observe(n_scored, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(
-            f"{out_root}/scored/batch_id={batch_id}"
-        )
-        late.observe(n_late, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(
-            f"{out_root}/late/batch_id={batch_id}"
-        )
-        spark.createDataFrame(
-            [(n_scored.get["n"], n_late.get["n"])], "scored long, late long"
-        ).write.mode("overwrite").parquet(f"{out_root}/metrics/batch_id={batch_id}")
-        # the state is written last: a batch retried after a failure above still
-        # reads the previous batch's last-seen table
-        fresh.write.mode("overwrite").parquet(f"{state_root}/batch_id={batch_id}")
+        process_traffic_batch(batch, batch_id, out_root, rules)
 
     writer = traffic.writeStream.option("checkpointLocation", checkpoint).foreachBatch(process)
     return trigger.apply(writer).start()
