@@ -87,5 +87,8 @@ def test_traffic_batch_retry_is_idempotent(spark):
     ST.process_traffic_batch(second, 1, root)  # the retry
     assert sorted(spark.read.parquet(f"{root}/scored/batch_id=1").collect()) == once
     assert sorted(spark.read.parquet(f"{root}/state/batch_id=1").collect()) == state_once
+    ST.process_traffic_batch(second.filter(F.lit(False)), 2, root)  # an empty batch 2
+    states = sorted(p.split("=")[-1] for p in spark.read.parquet(f"{root}/state").inputFiles() if "batch_id=" in p)
+    assert {s.split("/")[0] for s in states} == {"1", "2"}  # batch 0's table was pruned
     both = spark.read.parquet(f"{root}/scored").select(*SCORED_COLUMNS)
     assert sorted(both.collect()) == sorted(traffic_anomalies(traffic).collect())

@@ -228,7 +228,8 @@ def process_traffic_batch(
 ) -> None:
     """One micro-batch of R2 (the ``foreachBatch`` body).  Idempotent: every output
     is written under its batch id with overwrite, and the state read is the latest
-    one of an *earlier* batch, so a retried batch reproduces its own outputs."""
+    one of an *earlier* batch, so a retried batch reproduces its own outputs.  State
+    tables older than the previous batch's are removed."""
     spark = batch.sparkSession
     state_root = f"{out_root}/state"
     seen = _latest_state(spark, state_root, batch_id)
@@ -249,6 +250,21 @@ def process_traffic_batch(
     # the state is written last: a batch retried after a failure above still reads
     # the previous batch's last-seen table
     fresh.write.mode("overwrite").parquet(f"{state_root}/batch_id={batch_id}")
+    _prune_state(spark, state_root, keep_from=batch_id - 1)
+
+
+def _prune_state(spark: SparkSession, state_root: str, keep_from: int) -> None:
+    """Remove last-seen tables of batches before ``keep_from``: only the previous
+    batch's table can still be read (by a retry of the current one)."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(state_root)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return
+    for st in fs.listStatus(root):
+        name = st.getPath().getName()
+        if name.startswith("batch_id=") and int(name.split("=", 1)[1]) < keep_from:
+            fs.delete(st.getPath(), True)
 
 
 def score_traffic_stream(
