@@ -1,8 +1,7 @@
 """Explicit schemas: sources are never inferred.
 
 Timestamps are wall-clock values without a zone (``TimestampNTZType``), the type
-the driver's parquet tables carry; ``as_timestamp_type`` converts a schema for
-sources that deliver zoned timestamps.
+the driver's parquet tables carry.
 """
 
 from __future__ import annotations
@@ -97,23 +96,6 @@ RESULT_SCHEMAS = {
     "enriched_alerts": ENRICHED_ALERTS,
 }
 
-SOURCE_SCHEMAS = {
-    "login_attempts": LOGIN_ATTEMPTS,
-    "network_traffic": NETWORK_TRAFFIC,
-    "security_alerts": SECURITY_ALERTS,
-}
-
-
-def as_timestamp_type(schema: T.StructType) -> T.StructType:
-    """Same schema with zone-aware timestamps (for JDBC / document sources)."""
-    return T.StructType(
-        [
-            T.StructField(f.name, T.TimestampType() if f.dataType == TS else f.dataType, f.nullable)
-            for f in schema.fields
-        ]
-    )
-
-
 def empty(spark, schema: T.StructType):
     """A typed, row-less DataFrame (replaces a column-less one for absent data)."""
     return spark.createDataFrame([], schema)
