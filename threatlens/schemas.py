@@ -96,6 +96,7 @@ RESULT_SCHEMAS = {
     "enriched_alerts": ENRICHED_ALERTS,
 }
 
+
 def empty(spark, schema: T.StructType):
     """A typed, row-less DataFrame (replaces a column-less one for absent data)."""
     return spark.createDataFrame([], schema)
