@@ -100,3 +100,15 @@ def test_alert_priorities(spark):
     assert [got[i]["action_required"] for i in range(6)] == [False, True, False, False, False, False]
     assert got[99]["action_required"] is False
     assert {r["alert_id"] for r in collect(unresolved(df))} == {1, 3, 5}
+
+
+def test_every_port(spark):
+    from threatlens.config import TRAFFIC_PORTS
+
+    ports = list(TRAFFIC_PORTS) + [5432, None]
+    rows = [(i, f"src{i}", 0.0, p, 100, False) for i, p in enumerate(ports)]  # one row per source
+    got = {r["port"]: (r["suspicious_port"], r["anomaly_score"]) for r in collect(traffic_anomalies(traffic(spark, rows)))}
+    for p in ports:
+        flagged = p in (22, 3389, 445, 1433, 3306, 5432)
+        assert got[p] == (flagged, 50 if flagged else 10), p
+    assert got[21] == (False, 10)  # FTP is not in the suspicious set
