@@ -112,3 +112,14 @@ def test_every_port(spark):
         flagged = p in (22, 3389, 445, 1433, 3306, 5432)
         assert got[p] == (flagged, 50 if flagged else 10), p
     assert got[21] == (False, 10)  # FTP is not in the suspicious set
+
+
+def test_failed_logins_with_nulls(spark):
+    rows = [(i, None, at(i), "10.0.0.1", False, None, None) for i in range(3)]  # null user
+    rows += [(10 + i, "u", at(i), None, False, "ua", "X") for i in range(5)]  # null address
+    rows += [(20 + i, "v", None, "10.0.0.2", False, "ua", "X") for i in range(5)]  # null times
+    got = {(r["username"], r["ip_address"]): r for r in collect(failed_login_metrics(spark.createDataFrame(rows, LOGIN_ATTEMPTS)))}
+    assert got[(None, "10.0.0.1")]["failed_attempt_count"] == 3 and got[(None, "10.0.0.1")]["risk_score"] == 20
+    assert got[("u", None)]["risk_score"] == 100
+    v = got[("v", "10.0.0.2")]
+    assert v["time_span_seconds"] is None and v["attempts_per_minute"] is None and v["risk_score"] == 30
