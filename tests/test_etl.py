@@ -112,3 +112,19 @@ def test_refresh_from_flat_layout(spark):
     reports = P.report_refresh(spark, folder, layout="flat")
     assert {r["risk_score"]: r["count"] for r in reports["risk_distribution"].collect()} == {100: 1, 10: 1}
     assert reports["anomaly_distribution"].count() == 0
+
+
+def test_refresh_with_time_range(spark):
+    import datetime as dt
+
+    import pytest
+
+    root = scratch_path(spark, "test-refresh-range")
+    P.run_pipeline(*P.extract(spark, SMALL), out_root=root, run_id="20240101_000000")
+    everything = P.report_refresh(spark, root)
+    as_of = dt.datetime(1998, 8, 2)
+    recent = P.report_refresh(spark, root, time_range="30d", as_of=as_of)
+    total = lambda d: sum(r["count"] for r in d.collect())
+    assert 0 < total(recent["anomaly_distribution"]) < total(everything["anomaly_distribution"])
+    with pytest.raises(ValueError):
+        P.report_refresh(spark, root, time_range="7d")

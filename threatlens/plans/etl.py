@@ -150,12 +150,16 @@ def report_refresh(
     priorities: Iterable[str] | None = None,
     page_size: int = 10,
     layout: str = "runs",
+    time_range: str = "all",
+    as_of=None,
 ) -> dict[str, DataFrame]:
     """Reports of one run (default: the latest run present for every kind): the four
     charts and the first page of the three tables, all lazy DataFrames.
 
     ``layout="flat"`` reads existing ``<kind>_YYYYmmdd_HHMMSS.csv`` files instead (the
-    newest of each kind)."""
+    newest of each kind).  ``time_range`` ("all", "24h", "7d", "30d") keeps rows whose
+    time (last failed attempt, connection, alert) lies in the range ending at ``as_of``,
+    which is required for any range but "all"."""
     if layout == "flat":
         failed, scored, enriched = (
             S.read_flat_snapshot(spark, out_root, k) for k in ("failed_logins", "suspicious_traffic", "enriched_alerts")
@@ -167,6 +171,12 @@ def report_refresh(
         enriched = S.read_snapshot(spark, out_root, "enriched_alerts", run_id)
     else:
         raise ValueError(f"unknown layout {layout!r}; use 'runs' or 'flat'")
+    if time_range != "all":
+        if as_of is None:
+            raise ValueError("a time range needs an explicit as_of")
+        failed = R.time_range(failed, "last_attempt", as_of, time_range)
+        scored = R.time_range(scored, "timestamp", as_of, time_range)
+        enriched = R.time_range(enriched, "timestamp", as_of, time_range)
     selected = list(priorities) if priorities is not None else None
     return {
         "risk_distribution": R.risk_distribution(failed, *risk_range).orderBy("risk_score"),
