@@ -2,6 +2,7 @@
 
     python -m threatlens run    --tables DIR --out DIR [--run-id ID]
     python -m threatlens report --out DIR [--run-id ID] [--risk LO HI] [--priority P ...] [--layout runs|flat]
+                                [--range all|24h|7d|30d --as-of TIME]
     python -m threatlens stream --tables DIR --out DIR [--available-now]
 
 ``--tables`` is a folder with ``events``, ``lineitem`` and ``orders`` parquet tables
@@ -32,6 +33,8 @@ def main(argv=None) -> None:
     rep.add_argument("--risk", nargs=2, type=int, default=(0, 100))
     rep.add_argument("--priority", nargs="*")
     rep.add_argument("--layout", choices=("runs", "flat"), default="runs")
+    rep.add_argument("--range", dest="time_range", choices=("all", "24h", "7d", "30d"), default="all")
+    rep.add_argument("--as-of", help="end of the time range, e.g. '2024-01-31 00:00:00'")
     st = sub.add_parser("stream")
     st.add_argument("--tables", required=True)
     st.add_argument("--out", required=True)
@@ -45,7 +48,8 @@ def main(argv=None) -> None:
             print(json.dumps({"run_id": s.run_id, "seconds": s.duration_s, **s.counts}))
         elif args.cmd == "report":
             reports = P.report_refresh(
-                spark, args.out, args.run_id, tuple(args.risk), args.priority, layout=args.layout
+                spark, args.out, args.run_id, tuple(args.risk), args.priority,
+                layout=args.layout, time_range=args.time_range, as_of=args.as_of,
             )
             for name, df in reports.items():
                 print(f"-- {name}")
