@@ -65,8 +65,9 @@ def brute_force_bursts(
        gap between failures inside one second is 0, so this loses nothing;
     2. seconds are sessionized inside (key, day) windows, which hold at most
        ``bucket_s`` rows whatever the data volume;
-    3. the per-day sessions (bounded by time, not by rows) are chained across days
-       with a second small window per key;
+    3. the per-day sessions are chained across days through one summary row per
+       (key, day): only a day's first session can continue the previous day's last,
+       so the per-key window sees at most one row per day;
     4. one final aggregate per chained burst.
     """
     keys = list(keys)
@@ -94,12 +95,29 @@ def brute_force_bursts(
         F.max("_last").alias("_last"),
         F.sum("_n").alias("_n"),
     )
-    w_key = Window.partitionBy(*keys).orderBy("_start_sec")
-    prev_end = F.lag("_end_sec").over(w_key)
-    chained = pieces.withColumn(
-        "_new", F.when(prev_end.isNull() | ((F.col("_start_sec") - prev_end) > gap), 1).otherwise(0)
-    ).withColumn("_burst", F.sum("_new").over(w_key.rowsBetween(Window.unboundedPreceding, 0)))
-    bursts = chained.groupBy(*keys, "_burst").agg(
+    # Chaining across buckets: only a bucket's first piece can continue the previous
+    # non-empty bucket's last piece, so the per-key window runs over one summary row
+    # per (key, bucket) — bounded by the time span, whatever the number of pieces.
+    per_bucket = pieces.groupBy(*keys, "_bucket").agg(
+        F.min("_start_sec").alias("_b_start"),
+        F.max("_end_sec").alias("_b_end"),
+        F.max("_local").alias("_b_pieces"),
+    )
+    w_key = Window.partitionBy(*keys).orderBy("_bucket")
+    linked = F.coalesce((F.col("_b_start") - F.lag("_b_end").over(w_key)) <= gap, F.lit(False))
+    chained = per_bucket.withColumn("_linked", linked.cast("long")).withColumn(
+        "_before",
+        F.coalesce(
+            F.sum(F.col("_b_pieces") - F.col("_linked")).over(w_key.rowsBetween(Window.unboundedPreceding, -1)),
+            F.lit(0),
+        ),
+    )
+    # burst number of a piece: bursts started in earlier buckets + its index in its
+    # bucket, minus one when the bucket's first piece continues the previous burst
+    numbered = pieces.join(chained.select(*keys, "_bucket", "_linked", "_before"), [*keys, "_bucket"]).withColumn(
+        "_burst", F.col("_before") + F.col("_local") - F.col("_linked")
+    )
+    bursts = numbered.groupBy(*keys, "_burst").agg(
         F.min("_first").alias("burst_start"),
         F.max("_last").alias("burst_end"),
         F.sum("_n").alias("attempts"),
