@@ -16,8 +16,10 @@ from threatlens.operators.logins import (
     success_after_failures,
 )
 from threatlens.operators.traffic import connection_gaps, port_scans, rapid_connections, traffic_anomalies
+from threatlens.functions.joins import sized_join_side
+from threatlens.functions.sequence import with_previous, with_sequence
 from threatlens.plans.etl import report_refresh, run_pipeline
-from threatlens.session import build_session
+from threatlens.session import build_session, cluster_conf
 from threatlens.sources import views
 
 __version__ = "0.1.0"
@@ -31,6 +33,7 @@ __all__ = [
     "Zones",
     "brute_force_bursts",
     "build_session",
+    "cluster_conf",
     "connection_gaps",
     "contract_violations",
     "failed_login_metrics",
@@ -42,8 +45,11 @@ __all__ = [
     "rapid_connections",
     "report_refresh",
     "run_pipeline",
+    "sized_join_side",
     "success_after_failures",
     "traffic_anomalies",
     "unresolved",
     "views",
+    "with_previous",
+    "with_sequence",
 ]
