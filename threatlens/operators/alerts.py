@@ -55,9 +55,10 @@ def incident_timelines(alerts: DataFrame, min_steps: int = 1) -> DataFrame:
     """Per incident: number of steps, first/last time, duration, unresolved steps,
     the first and last alert type and the number of distinct types.
 
-    Everything is an algebraic aggregate (``min_by``/``max_by`` on the time order),
-    so partial aggregation bounds the shuffle whatever the incident size; the full
-    ordered chain is the long table of ``incident_steps``, never one list per group.
+    One ``groupBy`` with partial aggregation (``min_by``/``max_by`` on the time order,
+    counts, a two-phase distinct count), so the shuffle is bounded whatever the
+    incident size; the full ordered chain is the long table of ``incident_steps``,
+    never one list per group.
     """
     order_key = F.struct(*[F.col(c) for c in ALERT_ORDER])
     grouped = _incident(alerts).groupBy("incident_id").agg(
