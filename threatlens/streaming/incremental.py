@@ -14,6 +14,13 @@
 * R3 ``score_alerts_stream``: stateless projection (parquet file sink, exactly once).
 * R4: the dashboard refresh period is the default processing-time trigger;
   ``available_now=True`` processes what is there and stops (tests, backfills).
+* Detectors on streams: ``brute_force_bursts_stream`` (session windows over
+  whole-second event time, the batch gap rule exactly) and ``port_scans_stream``
+  (exact distinct ports through two chained watermarked aggregations).
+
+Event time is whole epoch seconds (``timestamp_seconds(unix_timestamp(ts))``) and
+window bounds are mapped back to wall-clock time without the session zone, so no
+result depends on ``spark.sql.session.timeZone``.
 """
 
 from __future__ import annotations
