@@ -158,3 +158,53 @@ def test_bursts_equal_direct_sessionization(spark, rows, gap, k, bucket):
     expect = window_bursts(df, ["username"], gap, k)
     cols = ["username", "attempts", "burst_start", "burst_end"]
     assert sorted(got.select(*cols).collect()) == sorted(expect.select(*cols).collect())
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    rows=st.lists(st.tuples(st.sampled_from(["s1", "s1", "s2", "s3"]),
+                            st.integers(min_value=0, max_value=400),
+                            st.sampled_from([22, 80, 443, 3389, 21, 53, 25])), min_size=1, max_size=60),
+    k=st.integers(min_value=1, max_value=5),
+)
+def test_port_scans_equal_brute_force(spark, rows, k):
+    data = [(i, src, "d", "TCP", port, 60, at(sec), False, 0) for i, (src, sec, port) in enumerate(rows)]
+    got = port_scans(spark.createDataFrame(data, NETWORK_TRAFFIC), keys=("source_ip",), window="60 seconds", min_ports=k)
+    import calendar
+
+    def epoch(t):  # wall-clock value as UTC seconds, whatever the local zone
+        return calendar.timegm(t.timetuple())
+
+    base = epoch(at(0)) // 60 * 60
+    expect = defaultdict(lambda: [set(), 0])
+    for src, sec, port in rows:
+        start = (epoch(at(sec)) // 60) * 60 - base
+        expect[(src, start)][0].add(port)
+        expect[(src, start)][1] += 1
+    want = sorted((s, st_, len(p), n) for (s, st_), (p, n) in expect.items() if len(p) >= k)
+    have = sorted((r["source_ip"], epoch(r["window_start"]) - base, r["distinct_ports"], r["connections"])
+                  for r in got.collect())
+    assert have == want
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=st.lists(st.tuples(st.sampled_from(["INC-1", "INC-1", "INC-2", None]),
+                               st.integers(min_value=0, max_value=50),
+                               st.sampled_from(["Ransomware", "Brute Force", "Phishing Attempt"]),
+                               st.booleans()), min_size=1, max_size=40))
+def test_incident_timelines_equal_brute_force(spark, rows):
+    data = [(i, t, "HIGH", at(sec), "IDS-1", "d", "S", res, None if inc is None else {"incident_id": inc})
+            for i, (inc, sec, t, res) in enumerate(rows)]
+    got = {r["incident_id"]: r for r in collect(incident_timelines(spark.createDataFrame(data, SECURITY_ALERTS)))}
+    groups = defaultdict(list)
+    for i, (inc, sec, t, res) in enumerate(rows):
+        if inc is not None:
+            groups[inc].append((sec, i, t, res))
+    assert set(got) == set(groups)
+    for inc, items in groups.items():
+        items.sort()
+        r = got[inc]
+        assert (r["steps"], r["unresolved_steps"]) == (len(items), sum(1 for x in items if not x[3]))
+        assert (r["first_alert_type"], r["last_alert_type"]) == (items[0][2], items[-1][2])
+        assert r["distinct_alert_types"] == len({x[2] for x in items})
+        assert r["duration_seconds"] == items[-1][0] - items[0][0]
