@@ -123,3 +123,10 @@ def test_failed_logins_with_nulls(spark):
     assert got[("u", None)]["risk_score"] == 100
     v = got[("v", "10.0.0.2")]
     assert v["time_span_seconds"] is None and v["attempts_per_minute"] is None and v["risk_score"] == 30
+
+
+def test_traffic_without_tie_key(spark):
+    rows = [(1, "a", 0.0, 22, 100, False), (2, "a", 0.5, 80, 100, False), (3, "b", 0.2, 80, 100, False)]
+    df = traffic(spark, rows).drop("tie_key")
+    got = {r["traffic_id"]: r["rapid_connection"] for r in collect(traffic_anomalies(df))}
+    assert got == {1: False, 2: True, 3: False}

@@ -16,6 +16,14 @@ from threatlens.functions.sequence import with_previous
 #: tie key make "the previous connection" deterministic under timestamp ties.
 TRAFFIC_ORDER = ("timestamp", "traffic_id", "tie_key")
 
+def with_tie_key(traffic: DataFrame) -> DataFrame:
+    """Sources whose ``traffic_id`` is already unique (a serial key) carry no
+    ``tie_key``; a constant one keeps ``TRAFFIC_ORDER`` valid for them."""
+    if "tie_key" in traffic.columns:
+        return traffic
+    return traffic.withColumn("tie_key", F.lit(0).cast("long"))
+
+
 SCORED_COLUMNS = (
     "traffic_id",
     "source_ip",
@@ -47,6 +55,7 @@ def rapid_connections(traffic: DataFrame, broadcast_max_rows: int = BROADCAST_MA
     timestamps at scale: bounded by sources x seconds covered, whatever the traffic
     volume), otherwise a shuffled hash join whose hot partitions AQE splits.  The DuckDB oracle keeps the literal LAG definition.
     """
+    traffic = with_tie_key(traffic)
     order_key = F.struct(*[F.col(c) for c in TRAFFIC_ORDER])
     seen = Observation("traffic_rows")
     sec = unix_seconds(F.col("timestamp"))
@@ -101,7 +110,7 @@ def connection_gaps(traffic: DataFrame) -> DataFrame:
     (null for a source's first connection): the lag the reference computes, done
     with an exact distributed row numbering instead of one task per source."""
     prev = with_previous(
-        traffic.select("traffic_id", "tie_key", "source_ip", "timestamp"),
+        with_tie_key(traffic).select("traffic_id", "tie_key", "source_ip", "timestamp"),
         keys=["source_ip"],
         order=list(TRAFFIC_ORDER),
         value="timestamp",

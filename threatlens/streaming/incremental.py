@@ -42,7 +42,7 @@ from threatlens.functions.scoring import (
 )
 from threatlens.operators.alerts import prioritize_alerts, unresolved
 from threatlens.operators.logins import failed_login_metrics
-from threatlens.operators.traffic import SCORED_COLUMNS, TRAFFIC_ORDER, rapid_connections
+from threatlens.operators.traffic import SCORED_COLUMNS, TRAFFIC_ORDER, rapid_connections, with_tie_key
 
 REFRESH_PERIOD = "5 minutes"
 
@@ -190,6 +190,7 @@ def score_traffic_batch(
     """Score one micro-batch given the last-seen row per source of earlier batches.
 
     Returns (scored rows, late rows, new last-seen table)."""
+    batch = with_tie_key(batch)
     key = F.struct(*[F.col(c) for c in TRAFFIC_ORDER])
     if last_seen is None:
         on_time, late = batch, batch.filter(F.lit(False))
