@@ -126,3 +126,21 @@ def test_flat_snapshots_written_through_pandas(spark):
     assert rows[0]["detection_details"] == {"ip_address": "10.0.0.1", "incident_id": "INC-7"}
     assert rows[0]["timestamp"].microsecond == 250000 and rows[0]["description"] == "d, x"
     assert S.read_flat_snapshot(spark, folder, "failed_logins").count() == 0
+
+
+def test_conform_to_schema(spark):
+    import datetime as dt
+
+    from threatlens.schemas import LOGIN_ATTEMPTS, conform
+
+    raw = spark.createDataFrame(
+        [(7, "admin", dt.datetime(2024, 1, 1, 12, 0), "10.0.0.1", True)],
+        "ATTEMPT_ID int, username string, timestamp timestamp, ip_address string, success boolean",
+    )
+    df = conform(raw, LOGIN_ATTEMPTS)
+    assert df.dtypes == [("attempt_id", "bigint"), ("username", "string"), ("timestamp", "timestamp_ntz"),
+                         ("ip_address", "string"), ("success", "boolean"), ("user_agent", "string"),
+                         ("location", "string")]
+    assert df.first()["timestamp"] == dt.datetime(2024, 1, 1, 12, 0)
+    with pytest.raises(ValueError, match="attempt_id"):
+        conform(raw.drop("ATTEMPT_ID"), LOGIN_ATTEMPTS)

@@ -100,3 +100,24 @@ RESULT_SCHEMAS = {
 def empty(spark, schema: T.StructType):
     """A typed, row-less DataFrame (replaces a column-less one for absent data)."""
     return spark.createDataFrame([], schema)
+
+
+def conform(df, schema: T.StructType):
+    """``df`` with exactly the columns of ``schema``, by name, cast to its types.
+
+    Missing nullable columns become typed nulls; a missing non-nullable column is an
+    error.  Zoned timestamps cast to ``timestamp_ntz`` keep their UTC wall-clock
+    value when the session zone is UTC (as ``build_session`` sets it)."""
+    from pyspark.sql import functions as F
+
+    have = {c.lower(): c for c in df.columns}
+    cols = []
+    for f in schema.fields:
+        src = have.get(f.name.lower())
+        if src is None:
+            if not f.nullable:
+                raise ValueError(f"required column {f.name!r} is missing")
+            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
+        else:
+            cols.append(F.col(src).cast(f.dataType).alias(f.name))
+    return df.select(*cols)
