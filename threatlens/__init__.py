@@ -19,6 +19,7 @@ from threatlens.operators.traffic import connection_gaps, port_scans, rapid_conn
 from threatlens.functions.joins import sized_join_side
 from threatlens.functions.sequence import with_previous, with_sequence
 from threatlens.plans.etl import report_refresh, run_pipeline
+from threatlens.schemas import conform
 from threatlens.session import build_session, cluster_conf
 from threatlens.sources import views
 
@@ -34,6 +35,7 @@ __all__ = [
     "brute_force_bursts",
     "build_session",
     "cluster_conf",
+    "conform",
     "connection_gaps",
     "contract_violations",
     "failed_login_metrics",

@@ -52,7 +52,9 @@ def read_documents(
     ``extended_json`` accepts collection exports that wrap dates as ``{"$date": ...}``
     (ISO text, with or without a zone suffix, or epoch milliseconds) and ids as
     ``{"$oid": ...}``: those fields are read as text and normalized to the declared
-    types, so plain and extended exports give the same rows."""
+    types, so plain and extended exports give the same rows.  Use it as well for plain
+    ISO dates that carry a zone suffix (``...Z``, ``...+02:00``), which the strict reader
+    rejects."""
     if not _exists(spark, path):
         return spark.createDataFrame([], schema)
     if not extended_json:
