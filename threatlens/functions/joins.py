@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from threatlens.session import ensure_checkpoint_dir
 
-#: Default bound for a broadcast side (rows); about 100-200 MB for the narrow
+#: Default bound for a broadcast side (rows); about 50-100 MB for the narrow
 #: aggregates joined here, well inside executor memory.
-BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_ROWS = 1_000_000
 
 #: Broadcast only when it spares a shuffle of a side at least this many times larger.
 BROADCAST_MIN_RATIO = 10
