@@ -4,6 +4,8 @@
     python -m threatlens report --out DIR [--run-id ID] [--risk LO HI] [--priority P ...] [--layout runs|flat]
                                 [--range all|24h|7d|30d --as-of TIME]
     python -m threatlens stream --tables DIR --out DIR [--available-now]
+    python -m threatlens queries
+    python -m threatlens explain NAME --tables DIR        # formatted physical plan
 
 ``--tables`` is a folder with ``events``, ``lineitem`` and ``orders`` parquet tables
 (the security views are derived from them).
@@ -39,11 +41,24 @@ def main(argv=None) -> None:
     st.add_argument("--tables", required=True)
     st.add_argument("--out", required=True)
     st.add_argument("--available-now", action="store_true")
+    sub.add_parser("queries")
+    ex = sub.add_parser("explain")
+    ex.add_argument("name")
+    ex.add_argument("--tables", required=True)
     args = ap.parse_args(argv)
+    if args.cmd == "queries":
+        from threatlens.plans.registry import QUERIES
+
+        print("\n".join(QUERIES))
+        return
 
     spark = build_session()
     try:
-        if args.cmd == "run":
+        if args.cmd == "explain":
+            from threatlens.plans.registry import QUERIES
+
+            QUERIES[args.name](spark, args.tables).explain("formatted")
+        elif args.cmd == "run":
             s = P.run_pipeline(*P.extract(spark, args.tables), out_root=args.out, run_id=args.run_id)
             print(json.dumps({"run_id": s.run_id, "seconds": s.duration_s, **s.counts}))
         elif args.cmd == "report":
