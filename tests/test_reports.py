@@ -91,3 +91,10 @@ def test_ipv4_helpers(spark):
     assert got["10.0.0.255"][1] is True and got["10.0.1.0"][1] is False
     assert got["256.1.1.1"] == (None, False, "unknown") and got["::1"] == (None, False, "unknown")
     assert got["1.2.3"][0] is None and got[None] == (None, False, "unknown") and got["0.0.0.0"][0] == 0
+
+
+def test_page_arguments(spark):
+    with pytest.raises(ValueError):
+        R.page(failed(spark, [10]), R.order_of("failed_logins"), -1)
+    with pytest.raises(ValueError):
+        R.page(failed(spark, [10]), R.order_of("failed_logins"), 0, 0)

@@ -191,6 +191,8 @@ def time_range(df: DataFrame, column: str, as_of, range_name: str = "all") -> Da
 def page(df: DataFrame, order: Sequence[Column], page_no: int = 0, size: int = 10) -> DataFrame:
     """One page of a sorted table.  ``order`` must be unique for stable pages; the
     planner turns sort+offset+limit into a top-k (no full sort)."""
+    if page_no < 0 or size <= 0:
+        raise ValueError(f"page {page_no} of size {size}: need page >= 0 and size > 0")
     return df.orderBy(*order).offset(page_no * size).limit(size)
 
 
