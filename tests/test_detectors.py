@@ -208,3 +208,15 @@ def test_incident_timelines_equal_brute_force(spark, rows):
         assert (r["first_alert_type"], r["last_alert_type"]) == (items[0][2], items[-1][2])
         assert r["distinct_alert_types"] == len({x[2] for x in items})
         assert r["duration_seconds"] == items[-1][0] - items[0][0]
+
+
+def test_detector_arguments(spark):
+    import pytest
+
+    df = login_frame(spark)
+    with pytest.raises(ValueError):
+        brute_force_bursts(df, max_gap_s=-1)
+    with pytest.raises(ValueError):
+        brute_force_bursts(df, bucket_s=0)
+    with pytest.raises(ValueError):
+        success_after_failures(df, look_back=0)

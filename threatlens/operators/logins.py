@@ -70,6 +70,8 @@ def brute_force_bursts(
        so the per-key window sees at most one row per day;
     4. one final aggregate per chained burst.
     """
+    if max_gap_s < 0 or bucket_s < 1:
+        raise ValueError("need max_gap_s >= 0 and bucket_s >= 1")
     keys = list(keys)
     gap = F.lit(max_gap_s)
     per_second = (
@@ -157,6 +159,8 @@ def success_after_failures(
     tasks); the failures in the window are then ``fails_before(i) - fails_before(i -
     look_back)``, one equi-join on (username, seq) with unique keys.
     """
+    if look_back < 1:
+        raise ValueError("look_back must be at least 1")
     fail = F.when(F.col("success"), 0).when(~F.col("success"), 1).otherwise(0)
     seq = with_sequence(
         logins.withColumn("_fail", fail),
