@@ -128,3 +128,15 @@ def test_refresh_with_time_range(spark):
     assert 0 < total(recent["anomaly_distribution"]) < total(everything["anomaly_distribution"])
     with pytest.raises(ValueError):
         P.report_refresh(spark, root, time_range="7d")
+
+
+def test_parquet_snapshots(spark):
+    root = scratch_path(spark, "test-parquet-run")
+    s = P.run_pipeline(*P.extract(spark, SMALL), out_root=root, run_id="20240101_000000", snapshot_format="parquet")
+    reports = P.report_refresh(spark, root, snapshot_format="parquet")
+    assert sum(r["count"] for r in reports["anomaly_distribution"].collect()) == s.counts["traffic_records_extracted"]
+    from threatlens.sources import snapshots as S
+
+    alerts = S.read_snapshot(spark, root, "enriched_alerts", fmt="parquet")
+    assert alerts.count() == s.counts["security_alerts_processed"]
+    assert dict(alerts.dtypes)["detection_details"] == "map<string,string>"

@@ -29,12 +29,14 @@ def main(argv=None) -> None:
     run.add_argument("--tables", required=True)
     run.add_argument("--out", required=True)
     run.add_argument("--run-id")
+    run.add_argument("--snapshot-format", choices=("csv", "parquet"), default="csv")
     rep = sub.add_parser("report")
     rep.add_argument("--out", required=True)
     rep.add_argument("--run-id")
     rep.add_argument("--risk", nargs=2, type=int, default=(0, 100))
     rep.add_argument("--priority", nargs="*")
     rep.add_argument("--layout", choices=("runs", "flat"), default="runs")
+    rep.add_argument("--snapshot-format", choices=("csv", "parquet"), default="csv")
     rep.add_argument("--range", dest="time_range", choices=("all", "24h", "7d", "30d"), default="all")
     rep.add_argument("--as-of", help="end of the time range, e.g. '2024-01-31 00:00:00'")
     st = sub.add_parser("stream")
@@ -59,12 +61,16 @@ def main(argv=None) -> None:
 
             QUERIES[args.name](spark, args.tables).explain("formatted")
         elif args.cmd == "run":
-            s = P.run_pipeline(*P.extract(spark, args.tables), out_root=args.out, run_id=args.run_id)
+            s = P.run_pipeline(
+                *P.extract(spark, args.tables), out_root=args.out, run_id=args.run_id,
+                snapshot_format=args.snapshot_format,
+            )
             print(json.dumps({"run_id": s.run_id, "seconds": s.duration_s, **s.counts}))
         elif args.cmd == "report":
             reports = P.report_refresh(
                 spark, args.out, args.run_id, tuple(args.risk), args.priority,
                 layout=args.layout, time_range=args.time_range, as_of=args.as_of,
+                snapshot_format=args.snapshot_format,
             )
             for name, df in reports.items():
                 print(f"-- {name}")

@@ -94,6 +94,7 @@ def run_pipeline(
     run_id: str | None = None,
     cfg: PipelineConfig = PipelineConfig(),
     sinks: Iterable[Sink] = (),
+    snapshot_format: str = "csv",
 ) -> RunSummary:
     """Extract → transform → load.  Writes one snapshot per result kind under
     ``out_root`` (partition ``run_id``), then hands each result to the extra sinks
@@ -125,12 +126,13 @@ def run_pipeline(
     }
     with ThreadPoolExecutor(max_workers=len(outputs)) as pool:
         futures = {
-            kind: pool.submit(write_snapshot, df, out_root, kind, run_id) for kind, df in outputs.items()
+            kind: pool.submit(write_snapshot, df, out_root, kind, run_id, fmt=snapshot_format)
+            for kind, df in outputs.items()
         }
         receipts = {kind: f.result() for kind, f in futures.items()}
     for sink in sinks:
         for kind, _ in res.items():
-            sink(kind, S.read_snapshot(spark, out_root, kind, run_id))
+            sink(kind, S.read_snapshot(spark, out_root, kind, run_id, fmt=snapshot_format))
     counts = {
         "login_attempts_extracted": obs_logins.get["n"],
         "failed_login_metrics": receipts["failed_logins"].rows,
@@ -152,6 +154,7 @@ def report_refresh(
     layout: str = "runs",
     time_range: str = "all",
     as_of=None,
+    snapshot_format: str = "csv",
 ) -> dict[str, DataFrame]:
     """Reports of one run (default: the latest run present for every kind): the four
     charts and the first page of the three tables, all lazy DataFrames.
@@ -166,9 +169,9 @@ def report_refresh(
         )
     elif layout == "runs":
         run_id = run_id or S.latest_run_id(spark, out_root)
-        failed = S.read_snapshot(spark, out_root, "failed_logins", run_id)
-        scored = S.read_snapshot(spark, out_root, "suspicious_traffic", run_id)
-        enriched = S.read_snapshot(spark, out_root, "enriched_alerts", run_id)
+        failed = S.read_snapshot(spark, out_root, "failed_logins", run_id, fmt=snapshot_format)
+        scored = S.read_snapshot(spark, out_root, "suspicious_traffic", run_id, fmt=snapshot_format)
+        enriched = S.read_snapshot(spark, out_root, "enriched_alerts", run_id, fmt=snapshot_format)
     else:
         raise ValueError(f"unknown layout {layout!r}; use 'runs' or 'flat'")
     if time_range != "all":

@@ -62,7 +62,7 @@ def csv_schema(schema: T.StructType) -> T.StructType:
 
 
 def read_snapshot(
-    spark: SparkSession, root: str, kind: str, run_id: str | None = None
+    spark: SparkSession, root: str, kind: str, run_id: str | None = None, fmt: str = "csv"
 ) -> DataFrame:
     """The rows of ``kind`` from ``run_id`` (default: the latest committed run of that
     kind; reports pass the latest run common to all kinds); a typed empty frame if
@@ -71,6 +71,10 @@ def read_snapshot(
     run_id = run_id or latest_run_id(spark, root, [kind])
     if run_id is None:
         return spark.createDataFrame([], schema)
+    if fmt == "parquet":
+        typed = spark.read.schema(T.StructType(schema.fields + [T.StructField("run_id", T.StringType())]))
+        df = typed.parquet(f"{root.rstrip('/')}/{kind}").filter(F.col("run_id") == run_id)
+        return df.select(*schema.fieldNames())
     df = (
         spark.read.schema(csv_schema(schema).add("run_id", T.StringType()))
         .option("header", True)
