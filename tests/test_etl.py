@@ -140,3 +140,26 @@ def test_parquet_snapshots(spark):
     alerts = S.read_snapshot(spark, root, "enriched_alerts", fmt="parquet")
     assert alerts.count() == s.counts["security_alerts_processed"]
     assert dict(alerts.dtypes)["detection_details"] == "map<string,string>"
+
+
+def test_command_line(spark):
+    """run, report and queries through the command line (a separate process)."""
+    import json
+    import os
+    import subprocess
+    import sys
+
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = scratch_path(spark, "test-cli")
+    env = dict(os.environ, PYTHONPATH=repo)
+    run = subprocess.run([sys.executable, "-m", "threatlens", "run", "--tables", SMALL, "--out", out,
+                          "--run-id", "20240101_000000"], capture_output=True, text=True, env=env, timeout=600)
+    assert run.returncode == 0, run.stderr[-2000:]
+    summary = json.loads(run.stdout.strip().splitlines()[-1])
+    assert summary["run_id"] == "20240101_000000" and summary["traffic_records_extracted"] > 0
+    rep = subprocess.run([sys.executable, "-m", "threatlens", "report", "--out", out, "--priority", "CRITICAL"],
+                         capture_output=True, text=True, env=env, timeout=600)
+    assert rep.returncode == 0 and "priority_distribution" in rep.stdout and "CRITICAL" in rep.stdout
+    names = subprocess.run([sys.executable, "-m", "threatlens", "queries"], capture_output=True, text=True,
+                           env=env, timeout=120).stdout.split()
+    assert "traffic_anomalies" in names and len(names) == 42
