@@ -53,7 +53,8 @@ def rapid_connections(traffic: DataFrame, broadcast_max_rows: int = BROADCAST_MA
     is measured (``sized_join_side``): broadcast when it is at most
     ``broadcast_max_rows`` rows and at least 10x smaller than the traffic (coarse
     timestamps at scale: bounded by sources x seconds covered, whatever the traffic
-    volume), otherwise a shuffled hash join whose hot partitions AQE splits.  The DuckDB oracle keeps the literal LAG definition.
+    volume), otherwise a shuffled hash join whose hot partitions AQE splits.  The
+    DuckDB oracle keeps the literal LAG definition.
     """
     traffic = with_tie_key(traffic)
     order_key = F.struct(*[F.col(c) for c in TRAFFIC_ORDER])
