@@ -221,7 +221,9 @@ def score_traffic_batch(
         large_packet(F.col("packet_size"), rules).alias("large_packet"),
     ).withColumn(
         "anomaly_score",
-        anomaly_score(F.col("is_suspicious"), F.col("rapid_connection"), F.col("suspicious_port"), F.col("large_packet")),
+        anomaly_score(
+            F.col("is_suspicious"), F.col("rapid_connection"), F.col("suspicious_port"), F.col("large_packet")
+        ),
     ).select(*SCORED_COLUMNS)
     fresh = on_time.filter(F.col("timestamp").isNotNull()).groupBy("source_ip").agg(F.max(key).alias("last"))
     if last_seen is not None:
