@@ -9,12 +9,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from threatlens.llm import decontam, langid, sentencepiece
+from threatlens.llm import decontam, langid, linededup, neardup, sentencepiece
 from threatlens.llm.common import table
 from threatlens.session import scratch_path
 
 STAGES = [
     ("language_id", langid.stage),
+    ("line_dedup", linededup.stage),
+    ("near_duplicates", neardup.stage),
     ("benchmark_decontamination", decontam.stage),
     ("sentencepiece", sentencepiece.stage),
 ]
