@@ -1,13 +1,15 @@
 """Property tests: the skew-safe plans equal the plain per-key Window versions,
 whatever the key distribution (one hot key included) and partition count."""
 
+import datetime as dt
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from conftest import at
+from conftest import BASE, at
+from threatlens.config import TrafficRules
 from threatlens.functions.sequence import with_previous, with_sequence
 from threatlens.operators.traffic import TRAFFIC_ORDER, rapid_connections
 from threatlens.schemas import NETWORK_TRAFFIC
@@ -89,28 +91,46 @@ def test_sequence_spreads_a_hot_key(spark):
     assert spread > 1
 
 
-def test_rapid_join_paths_agree(spark):
-    """Broadcast and shuffled-hash joins of the per-second table give the same flags."""
-    from threatlens.sources import views as V
+def _traffic(spark, rows):
+    """(id, source, seconds or None) rows."""
+    return spark.createDataFrame(
+        [(i, ip, None if t is None else BASE + dt.timedelta(seconds=t)) for i, ip, t in rows],
+        "traffic_id long, source_ip string, timestamp timestamp_ntz",
+    )
+
+
+def _rapid(df, rules=TrafficRules()):
+    return {r["traffic_id"]: r["rapid_connection"] for r in rapid_connections(df, rules).collect()}
 
-    t = V.network_traffic(spark, "/root/testdata/sf0.001")
-    a = rapid_connections(t, broadcast_max_rows=10**9).select("traffic_id", "tie_key", "rapid_connection")
-    b = rapid_connections(t, broadcast_max_rows=0).select("traffic_id", "tie_key", "rapid_connection")
-    assert sorted(a.collect()) == sorted(b.collect())
-    assert "BroadcastHashJoin" not in b._jdf.queryExecution().executedPlan().toString()
 
+def test_rapid_gap_of_other_lengths(spark):
+    rows = [(1, "a", 0), (2, "a", 3), (3, "a", 8), (4, "b", 8), (5, None, 0), (6, None, 4), (7, "a", None), (8, "a", None)]
+    df = _traffic(spark, rows)
+    assert _rapid(df, TrafficRules(rapid_gap_s=5)) == {1: False, 2: True, 3: False, 4: False, 5: False, 6: True, 7: False, 8: False}
+    assert _rapid(df, TrafficRules(rapid_gap_s=6))[3]
+    assert not any(_rapid(df).values())
 
-def test_sized_join_side_rule(spark):
-    from threatlens.functions.joins import sized_join_side
 
-    big = spark.range(5000).withColumnRenamed("id", "k")
+def test_rapid_window_equals_the_lag(spark):
+    import random
 
-    def plan(side):
-        return big.join(side, "k")._jdf.queryExecution().executedPlan().toString()
+    rng = random.Random(4)
+    rows = [(i, rng.choice(["a", "b", None]), rng.choice([None, *[x / 4 for x in range(80)]])) for i in range(400)]
+    want, last = {}, {}
+    for i, ip, t in sorted(rows, key=lambda r: (r[2] is not None, r[2] or 0, r[0])):
+        want[i] = t is not None and last.get(ip) is not None and int(t) - int(last[ip]) < 1
+        last[ip] = t
+    assert _rapid(_traffic(spark, rows)) == want
+
+
+def test_scoring_runs_no_job_when_it_is_built(spark):
+    from threatlens.operators.traffic import traffic_anomalies
+    from threatlens.sources import views as V
 
-    small = spark.range(100).withColumnRenamed("id", "k")
-    assert "BroadcastHashJoin" in plan(sized_join_side(small, max_rows=1000, other_rows=lambda: 5000))
-    # too close in size to the other side: no broadcast
-    assert "BroadcastHashJoin" not in plan(sized_join_side(small, max_rows=1000, other_rows=lambda: 500))
-    # over the row bound: no broadcast
-    assert "BroadcastHashJoin" not in plan(sized_join_side(small, max_rows=50))
+    traffic = V.network_traffic(spark, "/root/testdata/sf0.001")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("build", "build")
+    plan = traffic_anomalies(traffic)._jdf.queryExecution().executedPlan().toString()
+    assert not tracker.getJobIdsForGroup("build")
+    spark.sparkContext.setJobGroup("tests", "tests")
+    assert plan.count("Exchange hashpartitioning") == 1

@@ -1,9 +1,11 @@
-"""Streams equal the batch operators; late traffic rows are routed aside."""
+"""Streams equal the batch operators, in whatever order the rows come."""
+
+import datetime as dt
 
 from pyspark.sql import functions as F
 
-from threatlens.operators.logins import failed_login_metrics
-from threatlens.operators.traffic import SCORED_COLUMNS, traffic_anomalies
+from threatlens.operators.logins import brute_force_bursts, failed_login_metrics, failed_logins_by
+from threatlens.operators.traffic import port_scans, traffic_anomalies
 from threatlens.session import scratch_path
 from threatlens.sources import views as V
 from threatlens.streaming import incremental as ST
@@ -30,47 +32,105 @@ def test_traffic_stream_equals_batch(spark):
     q = ST.score_traffic_stream(V.network_traffic_from_lineitem(stream), f"{root}/out", f"{root}/ckpt",
                                 trigger=ST.Trigger(available_now=True))
     q.awaitTermination()
-    got = spark.read.parquet(f"{root}/out/scored").select(*SCORED_COLUMNS)
-    expect = traffic_anomalies(V.network_traffic_from_lineitem(lineitem))
-    assert spark.read.parquet(f"{root}/out/late").count() == 0
-    metrics = spark.read.parquet(f"{root}/out/metrics")
-    assert metrics.count() >= 4 and metrics.agg(F.sum("late")).first()[0] == 0
-    assert metrics.agg(F.sum("scored")).first()[0] == lineitem.count()
-    assert len([d for d in spark.read.parquet(f"{root}/out/scored").inputFiles()]) >= 4
-    assert sorted(got.collect()) == sorted(expect.collect())
+    assert spark.read.parquet(f"{root}/out/scored").count() == lineitem.count()
+    assert sorted(ST.read_scored(spark, f"{root}/out").collect()) == sorted(
+        traffic_anomalies(V.network_traffic_from_lineitem(lineitem)).collect())
 
 
-def test_late_rows_are_routed(spark):
-    traffic = V.network_traffic(spark, SMALL)
-    last = traffic.groupBy("source_ip").agg(F.max(F.struct("timestamp", "traffic_id", "tie_key")).alias("last"))
-    scored, late, fresh = ST.score_traffic_batch(traffic, last)
-    assert scored.count() == 0 and late.count() == traffic.count()
-    assert fresh.count() == last.count()
+def unsorted_files(spark, df, root, parts=4):
+    """Write ``df`` as files that are not in time order; a stream of one file a batch."""
+    df.repartition(parts, F.hash(*df.columns)).write.parquet(root)
+    return ST.read_stream(spark, root, schema=df.schema, max_files_per_trigger=1)
 
 
-def test_login_stream_equals_batch(spark):
-    root = scratch_path(spark, "test-stream-logins")
-    stream = ST.read_stream(spark, f"{SMALL}/events.parquet")
-    q = ST.failed_logins_stream(V.login_attempts_from_events(stream), f"{root}/out", f"{root}/ckpt",
-                                trigger=ST.Trigger(available_now=True))
-    q.awaitTermination()
-    expect = failed_login_metrics(V.login_attempts(spark, SMALL))
-    assert sorted(spark.read.parquet(f"{root}/out").collect()) == sorted(expect.collect())
+def traffic_rows(spark, n=600, seed=3):
+    import random
 
+    rng = random.Random(seed)
+    base = dt.datetime(2024, 1, 1)
+    rows = [
+        (
+            i - i % 2 * (i % 5 == 0), 0, rng.choice(["10.0.0.1", "10.0.0.2", None]), "10.0.0.9", "SSH", 22, rng.randint(1, 2000), False,
+            None if rng.random() < 0.05 else base + dt.timedelta(seconds=rng.choice([0, 86400 * 20]) + rng.randint(0, 200) / 2),
+        )
+        for i in range(n)
+    ]
+    return spark.createDataFrame(
+        rows,
+        "traffic_id long, tie_key long, source_ip string, destination_ip string, protocol string, port int, packet_size int, "
+        "is_suspicious boolean, timestamp timestamp_ntz",
+    )
 
-def test_windowed_logins_stream_equals_batch(spark):
-    root = scratch_path(spark, "test-stream-windowed")
-    stream = ST.read_stream(spark, f"{SMALL}/events.parquet")
-    q = ST.windowed_failed_logins_stream(V.login_attempts_from_events(stream), f"{root}/out", f"{root}/ckpt",
-                                         trigger=ST.Trigger(available_now=True))
-    q.awaitTermination()
-    got = spark.read.parquet(f"{root}/out")
+
+def by_id(df):
+    return sorted(tuple((x is not None, x) for x in r) for r in df.collect())
+
+
+def test_unsorted_traffic_keeps_and_scores_every_row(spark):
+    """Late rows, rows behind the horizon, null times and null sources included."""
+    rows = traffic_rows(spark)
+    for horizon in (None, 7 * 86400, 20):
+        root = scratch_path(spark, "test-stream-unsorted")
+        stream = unsorted_files(spark, rows, f"{root}/src")
+        ST.score_traffic_stream(stream, f"{root}/out", f"{root}/ckpt", trigger=ST.Trigger(available_now=True), horizon_s=horizon).awaitTermination()
+        assert by_id(ST.read_scored(spark, f"{root}/out")) == by_id(traffic_anomalies(rows))
+        metrics = spark.read.parquet(f"{root}/out/metrics").drop("batch_id")
+        total = metrics.agg(F.sum("scored"), F.sum("late"), F.sum("corrections"), F.count("*")).first()
+        assert total[0] == 600 and total[1] > 0 and total[2] > 0 and total[3] == 4
+        late_nulls = spark.read.parquet(f"{root}/out/scored").filter("timestamp is null and late").count()
+        assert late_nulls == 0
+
+
+def test_unsorted_logins_keep_every_row(spark):
+    events = V.table(spark, SMALL, "events")
     logins = V.login_attempts(spark, SMALL)
-    # append mode emits a window once the watermark (max event time - 10 min) passes its end
-    watermark = logins.filter(~F.col("success")).agg(F.max("timestamp")).first()[0] - __import__("datetime").timedelta(minutes=10)
-    expect = ST.windowed_failed_logins(logins).filter(F.col("window_end") <= F.lit(watermark))
-    assert got.count() > 0
-    assert sorted(got.collect()) == sorted(expect.collect())
+    once = ST.Trigger(available_now=True)
+    root = scratch_path(spark, "test-stream-unsorted-logins")
+    stream = lambda k: V.login_attempts_from_events(unsorted_files(spark, events, f"{root}/src{k}"))
+    ST.failed_logins_stream(stream(0), f"{root}/a", f"{root}/ca", once).awaitTermination()
+    assert by_id(ST.read_failed_logins(spark, f"{root}/a")) == by_id(failed_login_metrics(logins))
+    ST.windowed_failed_logins_stream(stream(1), f"{root}/b", f"{root}/cb", 3600, once).awaitTermination()
+    got = ST.read_windowed_failed_logins(spark, f"{root}/b")
+    assert got.agg(F.sum("failed_attempt_count")).first()[0] == logins.filter(~F.col("success")).count()
+    keys = ("username",)
+    ST.brute_force_bursts_stream(stream(2), f"{root}/c", f"{root}/cc", keys, 86400, once).awaitTermination()
+    want = brute_force_bursts(logins, keys, 86400, 3)
+    assert by_id(ST.read_bursts(spark, f"{root}/c", keys, 86400, 3)) == by_id(want) and want.count() > 0
+
+
+def test_bursts_with_a_null_key_agree(spark):
+    base = dt.datetime(2024, 1, 1)
+    rows = [(None, "10.0.0.1", False, base + dt.timedelta(seconds=10 * i)) for i in range(6)]
+    rows += [("x", None, False, base + dt.timedelta(seconds=5 * i)) for i in range(5)]
+    df = spark.createDataFrame(rows, "username string, ip_address string, success boolean, timestamp timestamp_ntz")
+    batch = brute_force_bursts(df, max_gap_s=60, min_attempts=5)
+    assert sorted(r["attempts"] for r in batch.collect()) == [5, 6]
+    root = scratch_path(spark, "test-null-bursts")
+    ST.brute_force_bursts_stream(unsorted_files(spark, df, f"{root}/src", 3), f"{root}/o", f"{root}/c", trigger=ST.Trigger(available_now=True)).awaitTermination()
+    assert by_id(ST.read_bursts(spark, f"{root}/o")) == by_id(batch)
+
+
+def test_partials_are_compacted_and_retries_change_nothing(spark):
+    logins = V.login_attempts(spark, SMALL)
+    root = scratch_path(spark, "test-partials")
+    parts = [logins.filter(F.abs(F.hash("timestamp", "username")) % 7 == k) for k in range(7)]
+    partial, merge = (lambda b: failed_logins_by(b, ST.LOGIN_KEYS)), ST._merged_counts(ST.LOGIN_KEYS)
+    for k, part in enumerate(parts):
+        for _ in range(1 + (k in (2, 4, 5))):  # some batches are retried
+            ST.write_partials(part, k, root, partial, merge, compact_every=2)
+    assert by_id(ST.read_failed_logins(spark, root)) == by_id(failed_login_metrics(logins))
+    assert ST._committed(spark, f"{root}/base", "upto") == [4, 6]
+    assert ST._committed(spark, f"{root}/partials", "batch_id") == [5, 6]
+
+
+def test_port_scan_stream_equals_batch(spark):
+    root = scratch_path(spark, "test-stream-scans")
+    lineitem = V.table(spark, SMALL, "lineitem")
+    stream = V.network_traffic_from_lineitem(unsorted_files(spark, lineitem, f"{root}/src"))
+    keys, window = ("source_ip",), 30 * 86400
+    ST.port_scans_stream(stream, f"{root}/o", f"{root}/c", keys, window, ST.Trigger(available_now=True)).awaitTermination()
+    want = port_scans(V.network_traffic(spark, SMALL), keys, "30 days", 3)
+    assert by_id(ST.read_port_scans(spark, f"{root}/o", keys, window, 3)) == by_id(want) and want.count() > 0
 
 
 def test_traffic_batch_retry_is_idempotent(spark):
@@ -88,7 +148,5 @@ def test_traffic_batch_retry_is_idempotent(spark):
     assert sorted(spark.read.parquet(f"{root}/scored/batch_id=1").collect()) == once
     assert sorted(spark.read.parquet(f"{root}/state/batch_id=1").collect()) == state_once
     ST.process_traffic_batch(second.filter(F.lit(False)), 2, root)  # an empty batch 2
-    states = sorted(p.split("=")[-1] for p in spark.read.parquet(f"{root}/state").inputFiles() if "batch_id=" in p)
-    assert {s.split("/")[0] for s in states} == {"1", "2"}  # batch 0's table was pruned
-    both = spark.read.parquet(f"{root}/scored").select(*SCORED_COLUMNS)
-    assert sorted(both.collect()) == sorted(traffic_anomalies(traffic).collect())
+    assert ST._committed(spark, f"{root}/state", "batch_id") == [1, 2]  # batch 0's table was pruned
+    assert sorted(ST.read_scored(spark, root).collect()) == sorted(traffic_anomalies(traffic).collect())

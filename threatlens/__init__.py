@@ -16,7 +16,6 @@ from threatlens.operators.logins import (
     success_after_failures,
 )
 from threatlens.operators.traffic import connection_gaps, port_scans, rapid_connections, traffic_anomalies
-from threatlens.functions.joins import sized_join_side
 from threatlens.functions.sequence import with_previous, with_sequence
 from threatlens.plans.etl import report_refresh, run_pipeline
 from threatlens.schemas import conform
@@ -47,7 +46,6 @@ __all__ = [
     "rapid_connections",
     "report_refresh",
     "run_pipeline",
-    "sized_join_side",
     "success_after_failures",
     "traffic_anomalies",
     "unresolved",

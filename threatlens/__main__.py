@@ -43,6 +43,7 @@ def main(argv=None) -> None:
     st.add_argument("--tables", required=True)
     st.add_argument("--out", required=True)
     st.add_argument("--available-now", action="store_true")
+    st.add_argument("--max-files", type=int, default=64, help="most files in one micro-batch")
     sub.add_parser("queries")
     ex = sub.add_parser("explain")
     ex.add_argument("name")
@@ -77,15 +78,19 @@ def main(argv=None) -> None:
                 df.show(truncate=False)
         else:
             trig = ST.Trigger(available_now=args.available_now)
+
+            def source(table: str):
+                return ST.read_stream(spark, f"{args.tables}/{table}.parquet", max_files_per_trigger=args.max_files)
+
             qs = [
                 ST.failed_logins_stream(
-                    V.login_attempts_from_events(ST.read_stream(spark, f"{args.tables}/events.parquet")),
+                    V.login_attempts_from_events(source("events")),
                     f"{args.out}/failed_logins", f"{args.out}/_checkpoints/failed_logins", trigger=trig),
                 ST.score_traffic_stream(
-                    V.network_traffic_from_lineitem(ST.read_stream(spark, f"{args.tables}/lineitem.parquet")),
+                    V.network_traffic_from_lineitem(source("lineitem")),
                     f"{args.out}/suspicious_traffic", f"{args.out}/_checkpoints/suspicious_traffic", trigger=trig),
                 ST.score_alerts_stream(
-                    V.security_alerts_from_orders(ST.read_stream(spark, f"{args.tables}/orders.parquet")),
+                    V.security_alerts_from_orders(source("orders")),
                     f"{args.out}/enriched_alerts", f"{args.out}/_checkpoints/enriched_alerts", trigger=trig),
             ]
             for q in qs:

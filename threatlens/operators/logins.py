@@ -15,39 +15,45 @@ from threatlens.functions.scoring import attempts_per_minute, risk_score, unix_s
 from threatlens.functions.sequence import with_sequence
 
 
-def failed_login_metrics(logins: DataFrame, rules: LoginRiskRules = LoginRiskRules()) -> DataFrame:
-    """Per (username, ip_address): failures, first/last failure, span, rate and risk.
-
-    One hash aggregate with map-side partial aggregation, so a hot pair is reduced
-    on every mapper before the shuffle.  The result is not sorted; ordering is a
-    report concern (``reports.ordered``).
-    """
-    groups = (
+def failed_logins_by(logins: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Failures per key: their number, first and last time."""
+    return (
         logins.filter(~F.col("success"))
-        .groupBy("username", "ip_address")
+        .groupBy(*keys)
         .agg(
             F.count(F.lit(1)).alias("failed_attempt_count"),
             F.min("timestamp").alias("first_attempt"),
             F.max("timestamp").alias("last_attempt"),
         )
     )
-    span = unix_seconds(F.col("last_attempt")) - unix_seconds(F.col("first_attempt"))
-    return groups.withColumn("time_span_seconds", span).select(
-        "username",
-        "ip_address",
+
+
+def with_login_risk(groups: DataFrame, keys: Sequence[str], rules: LoginRiskRules = LoginRiskRules()) -> DataFrame:
+    """Span, rate and risk of groups of failures."""
+    count, span = F.col("failed_attempt_count"), F.col("time_span_seconds")
+    seconds = unix_seconds(F.col("last_attempt")) - unix_seconds(F.col("first_attempt"))
+    return groups.withColumn("time_span_seconds", seconds).select(
+        *keys,
         "failed_attempt_count",
         "first_attempt",
         "last_attempt",
         "time_span_seconds",
-        attempts_per_minute(F.col("failed_attempt_count"), F.col("time_span_seconds")).alias(
-            "attempts_per_minute"
-        ),
-        risk_score(F.col("failed_attempt_count"), F.col("time_span_seconds"), rules).alias(
-            "risk_score"
-        ),
+        attempts_per_minute(count, span).alias("attempts_per_minute"),
+        risk_score(count, span, rules).alias("risk_score"),
     )
 
 
+def failed_login_metrics(logins: DataFrame, rules: LoginRiskRules = LoginRiskRules()) -> DataFrame:
+    """Per (username, ip_address): failures, first/last failure, span, rate and risk.
+
+    One hash aggregate with map-side partial aggregation, so a hot pair is reduced
+    on every mapper before the shuffle.  The result is not sorted; ordering is a
+    report concern (``reports.ordered``).
+    """
+    keys = ["username", "ip_address"]
+    return with_login_risk(failed_logins_by(logins, keys), keys, rules)
+
+
 def brute_force_bursts(
     logins: DataFrame,
     keys: Sequence[str] = ("username", "ip_address"),
@@ -116,9 +122,13 @@ def brute_force_bursts(
     )
     # burst number of a piece: bursts started in earlier buckets + its index in its
     # bucket, minus one when the bucket's first piece continues the previous burst
-    numbered = pieces.join(chained.select(*keys, "_bucket", "_linked", "_before"), [*keys, "_bucket"]).withColumn(
-        "_burst", F.col("_before") + F.col("_local") - F.col("_linked")
+    chain = chained.select(
+        *[F.col(k).alias(f"_c_{k}") for k in keys], F.col("_bucket").alias("_c_bucket"), "_linked", "_before"
     )
+    same = F.col("_bucket") == F.col("_c_bucket")
+    for k in keys:  # a null key is a key like any other
+        same = same & F.col(k).eqNullSafe(F.col(f"_c_{k}"))
+    numbered = pieces.join(chain, same).withColumn("_burst", F.col("_before") + F.col("_local") - F.col("_linked"))
     bursts = numbered.groupBy(*keys, "_burst").agg(
         F.min("_first").alias("burst_start"),
         F.max("_last").alias("burst_end"),

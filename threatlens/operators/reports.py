@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from threatlens.config import PRIORITY_ORDER, TIME_RANGES, PipelineConfig
+from threatlens.config import PRIORITY_ORDER, TIME_RANGES, PipelineConfig, TrafficRules
 from threatlens.functions.scoring import priority_rank
+from threatlens.operators.traffic import traffic_anomalies
 
 #: Reference order per result kind, followed by a unique tie-break: (column, descending).
 ORDER_SPECS: dict[str, list[tuple[str, bool]]] = {
@@ -188,6 +189,20 @@ def time_range(df: DataFrame, column: str, as_of, range_name: str = "all") -> Da
     return df.filter(F.col(column).between(end - F.expr(f"INTERVAL {span}"), end))
 
 
+def recent_traffic(traffic: DataFrame, as_of, range_name: str, rules: TrafficRules = TrafficRules()) -> DataFrame:
+    """Scored traffic of a time range, filtered before it is scored.
+
+    Whether a connection is rapid depends on the rows up to ``rapid_gap_s`` before it,
+    so the range is widened by that and by the started second, and trimmed afterwards;
+    the filter on the source's own column reaches the scan."""
+    if RANGES.get(range_name) is None:
+        return time_range(traffic_anomalies(traffic, rules), "timestamp", as_of, range_name)
+    end = F.lit(str(as_of)).cast(traffic.schema["timestamp"].dataType)
+    start = end - F.expr(f"INTERVAL {RANGES[range_name]}") - F.expr(f"INTERVAL {rules.rapid_gap_s + 1} SECONDS")
+    scored = traffic_anomalies(traffic.filter(F.col("timestamp").between(start, end)), rules)
+    return time_range(scored, "timestamp", as_of, range_name)
+
+
 def page(df: DataFrame, order: Sequence[Column], page_no: int = 0, size: int = 10) -> DataFrame:
     """One page of a sorted table.  ``order`` must be unique for stable pages; the
     planner turns sort+offset+limit into a top-k (no full sort)."""

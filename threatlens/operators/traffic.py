@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from threatlens.config import TrafficRules
 from threatlens.functions.scoring import anomaly_score, large_packet, suspicious_port, unix_seconds
-from threatlens.functions.joins import BROADCAST_MAX_ROWS, sized_join_side
 from threatlens.functions.sequence import with_previous
+from threatlens.schemas import SUSPICIOUS_TRAFFIC
 
 #: Row order inside a source: the reference orders by timestamp only; the id and
 #: tie key make "the previous connection" deterministic under timestamp ties.
@@ -24,86 +25,55 @@ def with_tie_key(traffic: DataFrame) -> DataFrame:
     return traffic.withColumn("tie_key", F.lit(0).cast("long"))
 
 
-SCORED_COLUMNS = (
-    "traffic_id",
-    "source_ip",
-    "destination_ip",
-    "protocol",
-    "port",
-    "timestamp",
-    "packet_size",
-    "is_suspicious",
-    "rapid_connection",
-    "suspicious_port",
-    "large_packet",
-    "anomaly_score",
-)
+#: Fixed: the columns of the scored table, in their order.
+SCORED_COLUMNS = tuple(SUSPICIOUS_TRAFFIC.fieldNames())
 
 
-def rapid_connections(traffic: DataFrame, broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def rapid_connections(traffic: DataFrame, rules: TrafficRules = TrafficRules()) -> DataFrame:
     """Add ``rapid_connection``: the previous connection of the same source (in
-    ``TRAFFIC_ORDER``) is less than one whole second earlier.
-
-    Gaps are differences of whole epoch seconds and rows are time-ordered, so the
-    gap is below 1 exactly when an earlier row of the same source falls in the same
-    epoch second, i.e. when the row is not the first of its (source_ip, second)
-    group.  That needs no per-source ordering at all: one aggregate of the first
-    order key per (source, second) — partially aggregated before the shuffle, so a
-    hot source costs nothing extra — joined back on (source, second).  The aggregate
-    is measured (``sized_join_side``): broadcast when it is at most
-    ``broadcast_max_rows`` rows and at least 10x smaller than the traffic (coarse
-    timestamps at scale: bounded by sources x seconds covered, whatever the traffic
-    volume), otherwise a shuffled hash join whose hot partitions AQE splits.  The
-    DuckDB oracle keeps the literal LAG definition.
+    ``TRAFFIC_ORDER``) is less than ``rules.rapid_gap_s`` whole seconds earlier.
+
+    Gaps are differences of whole epoch seconds and rows are time-ordered, so with the
+    default of one second the gap is below it exactly when an earlier row of the same
+    source falls in the same second.  That is a row number within (source, second): one
+    shuffle, which spreads a hot source over its seconds.  Rows without a timestamp are
+    never rapid and each get a partition of their own.  Any other gap takes the exact
+    distributed lag (``with_previous``).
     """
     traffic = with_tie_key(traffic)
-    order_key = F.struct(*[F.col(c) for c in TRAFFIC_ORDER])
-    seen = Observation("traffic_rows")
     sec = unix_seconds(F.col("timestamp"))
-    firsts = (
-        traffic.observe(seen, F.count(F.lit(1)).alias("n"))
-        .filter(F.col("timestamp").isNotNull())
-        # the min over a struct runs as a sort aggregate; a leading hash of the group
-        # lets the sort compare one long instead of addresses sharing their prefix
-        .groupBy(F.xxhash64("source_ip", sec).alias("_f_h"), F.col("source_ip").alias("_f_ip"), sec.alias("_f_sec"))
-        .agg(F.min(order_key).alias("_first"))
-        .drop("_f_h")
-    )
-    keyed = traffic.withColumn("_sec", sec)
-    joined = keyed.join(
-        sized_join_side(firsts, broadcast_max_rows, other_rows=lambda: seen.get["n"]),
-        F.col("source_ip").eqNullSafe(F.col("_f_ip")) & (F.col("_sec") == F.col("_f_sec")),
-        "left",
+    if rules.rapid_gap_s == 1:
+        alone = F.when(F.col("timestamp").isNull(), F.xxhash64("traffic_id", "tie_key"))
+        seconds = Window.partitionBy("source_ip", sec, alone).orderBy(*TRAFFIC_ORDER)
+        rapid = F.col("timestamp").isNotNull() & (F.row_number().over(seconds) > 1)
+        return traffic.withColumn("rapid_connection", rapid)
+    previous = with_previous(traffic, ["source_ip"], list(TRAFFIC_ORDER), "timestamp", "_previous")
+    gap = unix_seconds(F.col("timestamp")) - unix_seconds(F.col("_previous"))
+    return previous.withColumn("rapid_connection", F.coalesce(gap < rules.rapid_gap_s, F.lit(False))).drop("_previous")
+
+
+def with_scores(
+    flagged: DataFrame, rules: TrafficRules = TrafficRules(), extra: Sequence[str] = ()
+) -> DataFrame:
+    """The scored columns of rows with ``rapid_connection``, then the ``extra`` ones."""
+    scored = flagged.withColumns(
+        {
+            "suspicious_port": suspicious_port(F.col("port"), rules),
+            "large_packet": large_packet(F.col("packet_size"), rules),
+        }
+    ).withColumn(
+        "anomaly_score",
+        anomaly_score(
+            F.col("is_suspicious"), F.col("rapid_connection"), F.col("suspicious_port"), F.col("large_packet")
+        ),
     )
-    rapid = F.coalesce(F.col("_first").isNotNull() & (order_key != F.col("_first")), F.lit(False))
-    return joined.withColumn("rapid_connection", rapid).drop("_sec", "_f_ip", "_f_sec", "_first")
+    return scored.select(*SCORED_COLUMNS, *extra)
 
 
 def traffic_anomalies(traffic: DataFrame, rules: TrafficRules = TrafficRules()) -> DataFrame:
     """Score every connection (rows are kept, only scored); the 12 output columns of
     the suspicious-traffic table in their order.  Not sorted (see ``reports``)."""
-    flagged = rapid_connections(traffic)
-    return flagged.select(
-        "traffic_id",
-        "source_ip",
-        "destination_ip",
-        "protocol",
-        "port",
-        "timestamp",
-        "packet_size",
-        "is_suspicious",
-        "rapid_connection",
-        suspicious_port(F.col("port"), rules).alias("suspicious_port"),
-        large_packet(F.col("packet_size"), rules).alias("large_packet"),
-    ).withColumn(
-        "anomaly_score",
-        anomaly_score(
-            F.col("is_suspicious"),
-            F.col("rapid_connection"),
-            F.col("suspicious_port"),
-            F.col("large_packet"),
-        ),
-    )
+    return with_scores(rapid_connections(traffic, rules), rules)
 
 
 def connection_gaps(traffic: DataFrame) -> DataFrame:

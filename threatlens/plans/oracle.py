@@ -401,9 +401,7 @@ ORACLE["stream_failed_logins_windowed"] = _q(
                      CASE WHEN time_span_seconds <= 60 THEN 100 WHEN time_span_seconds <= 300 THEN 80
                           WHEN time_span_seconds <= 3600 THEN 50 ELSE 30 END
                    WHEN failed_attempt_count >= 3 THEN 20 ELSE 10 END AS risk_score
-       FROM win
-       WHERE window_end <= (SELECT max("timestamp") FROM login_attempts WHERE NOT success)
-                           - INTERVAL 10 MINUTE""",
+       FROM win""",
     f"""
 win_g AS (
   SELECT {unix('"timestamp"')} - (({unix('"timestamp"')} % 3600) + 3600) % 3600 AS ws,
@@ -421,9 +419,9 @@ ORACLE["stream_brute_force_bursts"] = _q(
     f"""SELECT username, burst_start, burst_end, duration_seconds, attempts FROM (
           SELECT username, min("timestamp") AS burst_start, max("timestamp") AS burst_end,
                  {unix('max("timestamp")')} - {unix('min("timestamp")')} AS duration_seconds,
-                 count(*) AS attempts, max(sec) + 86401 AS session_end
+                 count(*) AS attempts
           FROM bf_sessions GROUP BY username, burst HAVING count(*) >= 3)
-        WHERE session_end <= (SELECT max(sec) FROM bf_fail) - 600""",
+        """,
     f"""
 bf_fail AS (
   SELECT username, "timestamp", {unix('"timestamp"')} AS sec
@@ -443,6 +441,5 @@ ORACLE["stream_port_scans"] = _q(
        FROM (SELECT *, {unix('"timestamp"')} - (({unix('"timestamp"')} % 2592000) + 2592000) % 2592000 AS ws
              FROM network_traffic WHERE "timestamp" IS NOT NULL)
        GROUP BY source_ip, ws
-       HAVING count(DISTINCT port) >= 5
-          AND ws + 2592000 <= (SELECT max({unix('"timestamp"')}) FROM network_traffic) - 600"""
+       HAVING count(DISTINCT port) >= 5"""
 )

@@ -119,7 +119,7 @@ QUERIES: dict[str, Query] = {
     "highlighted_logins": lambda s, d: R.highlight(
         L.failed_login_metrics(V.login_attempts(s, d), SCALED_LOGIN_RISK), "failed_logins"
     ),
-    "recent_traffic": lambda s, d: R.time_range(_scored(s, d), "timestamp", AS_OF_TRAFFIC, "30d"),
+    "recent_traffic": lambda s, d: R.recent_traffic(V.network_traffic(s, d), AS_OF_TRAFFIC, "30d"),
     "timestamps_as_text": lambda s, d: R.timestamps_as_text(_failed(s, d)),
     # explicit previous-connection gaps (the lag behind rapid_connection)
     "connection_gaps": lambda s, d: TR.connection_gaps(V.network_traffic(s, d)),
@@ -164,78 +164,60 @@ def documents_normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alert_table(A.prioritize_alerts(docs))
 
 
-def _stream_dirs(spark: SparkSession, name: str) -> tuple[str, str]:
+def _stream(spark: SparkSession, sf_dir: str, table: str, name: str, files: int = 4) -> tuple[DataFrame, str, str]:
+    """The table as a stream of several files that are not in time order, one for each
+    micro-batch; and the folders for its results and its checkpoint."""
     root = scratch_path(spark, name)
-    return f"{root}/out", f"{root}/checkpoint"
+    rows = V.table(spark, sf_dir, table)
+    rows.repartition(files, F.hash(*rows.columns)).write.parquet(f"{root}/source")
+    return ST.read_stream(spark, f"{root}/source", max_files_per_trigger=1), f"{root}/out", f"{root}/checkpoint"
+
+
+ONCE = ST.Trigger(available_now=True)
 
 
 def stream_failed_logins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """R1: the events table as a file stream; failed-login state in complete mode."""
-    out, ckpt = _stream_dirs(spark, "stream-logins")
-    events = ST.read_stream(spark, f"{sf_dir.rstrip('/')}/events.parquet")
-    q = ST.failed_logins_stream(
-        V.login_attempts_from_events(events), out, ckpt, trigger=ST.Trigger(available_now=True)
-    )
-    q.awaitTermination()
-    return spark.read.parquet(out)
+    """R1: events as a file stream, failed logins kept as partial results by batch."""
+    events, out, ckpt = _stream(spark, sf_dir, "events", "stream-logins")
+    ST.failed_logins_stream(V.login_attempts_from_events(events), out, ckpt, ONCE).awaitTermination()
+    return ST.read_failed_logins(spark, out)
 
 
 def stream_failed_logins_windowed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """R1, windowed: hourly failed-login metrics with a 10-minute watermark, append
-    mode; only windows the watermark has closed are emitted."""
-    out, ckpt = _stream_dirs(spark, "stream-logins-windowed")
-    events = ST.read_stream(spark, f"{sf_dir.rstrip('/')}/events.parquet")
-    q = ST.windowed_failed_logins_stream(
-        V.login_attempts_from_events(events), out, ckpt, window="1 hour", watermark="10 minutes",
-        trigger=ST.Trigger(available_now=True),
-    )
-    q.awaitTermination()
-    return spark.read.parquet(out)
+    """R1, windowed: hourly failed-login metrics of all rows."""
+    events, out, ckpt = _stream(spark, sf_dir, "events", "stream-logins-windowed")
+    ST.windowed_failed_logins_stream(V.login_attempts_from_events(events), out, ckpt, 3600, ONCE).awaitTermination()
+    return ST.read_windowed_failed_logins(spark, out, 3600)
 
 
 def stream_brute_force_bursts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """D1 on a stream: session windows of failed logins per user (gap: 1 day),
-    10-minute watermark, append mode."""
-    out, ckpt = _stream_dirs(spark, "stream-bursts")
-    events = ST.read_stream(spark, f"{sf_dir.rstrip('/')}/events.parquet")
-    bursts = ST.brute_force_bursts_stream(
-        V.login_attempts_from_events(events), keys=("username",), max_gap_s=86400, min_attempts=3
-    )
-    ST.append_to_parquet(bursts, out, ckpt, ST.Trigger(available_now=True)).awaitTermination()
-    return spark.read.parquet(out)
+    """D1 on a stream: sessions of failed logins per user (gap: 1 day)."""
+    events, out, ckpt = _stream(spark, sf_dir, "events", "stream-bursts")
+    keys = ("username",)
+    ST.brute_force_bursts_stream(V.login_attempts_from_events(events), out, ckpt, keys, 86400, ONCE).awaitTermination()
+    return ST.read_bursts(spark, out, keys, 86400, min_attempts=3)
 
 
 def stream_port_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """D2 on a stream: exact distinct ports per source and 30-day window through two
-    chained watermarked aggregations, append mode."""
-    out, ckpt = _stream_dirs(spark, "stream-scans")
-    lineitem = ST.read_stream(spark, f"{sf_dir.rstrip('/')}/lineitem.parquet")
-    scans = ST.port_scans_stream(
-        V.network_traffic_from_lineitem(lineitem), keys=("source_ip",), window="30 days", min_ports=5
-    )
-    ST.append_to_parquet(scans, out, ckpt, ST.Trigger(available_now=True)).awaitTermination()
-    return spark.read.parquet(out)
+    """D2 on a stream: distinct ports per source and 30-day window."""
+    lineitem, out, ckpt = _stream(spark, sf_dir, "lineitem", "stream-scans")
+    keys, window = ("source_ip",), 30 * 86400
+    ST.port_scans_stream(V.network_traffic_from_lineitem(lineitem), out, ckpt, keys, window, ONCE).awaitTermination()
+    return ST.read_port_scans(spark, out, keys, window, min_ports=5)
 
 
 def stream_traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """R2: lineitem as a file stream, scored per micro-batch with carried last-seen rows."""
-    out, ckpt = _stream_dirs(spark, "stream-traffic")
-    lineitem = ST.read_stream(spark, f"{sf_dir.rstrip('/')}/lineitem.parquet")
-    q = ST.score_traffic_stream(
-        V.network_traffic_from_lineitem(lineitem), out, ckpt, trigger=ST.Trigger(available_now=True)
-    )
-    q.awaitTermination()
-    return spark.read.parquet(f"{out}/scored").select(*TR.SCORED_COLUMNS)
+    """R2: lineitem as a file stream, scored per micro-batch; rows behind the horizon and
+    rows that come before stored ones included."""
+    lineitem, out, ckpt = _stream(spark, sf_dir, "lineitem", "stream-traffic")
+    ST.score_traffic_stream(V.network_traffic_from_lineitem(lineitem), out, ckpt, trigger=ONCE).awaitTermination()
+    return ST.read_scored(spark, out)
 
 
 def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R3: orders as a file stream, unresolved alerts prioritized (stateless)."""
-    out, ckpt = _stream_dirs(spark, "stream-alerts")
-    orders = ST.read_stream(spark, f"{sf_dir.rstrip('/')}/orders.parquet")
-    q = ST.score_alerts_stream(
-        V.security_alerts_from_orders(orders), out, ckpt, trigger=ST.Trigger(available_now=True)
-    )
-    q.awaitTermination()
+    orders, out, ckpt = _stream(spark, sf_dir, "orders", "stream-alerts")
+    ST.score_alerts_stream(V.security_alerts_from_orders(orders), out, ckpt, trigger=ONCE).awaitTermination()
     return alert_table(spark.read.parquet(out))
 
 

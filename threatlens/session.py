@@ -110,7 +110,7 @@ def cluster_conf(
       least three waves of tasks; AQE coalesces small ones and splits skewed ones;
     * skew: a partition is skewed at 4x the median and above 1 GB;
     * static broadcast stays at the 10 MB default — the operators broadcast only
-      sides they have measured (``functions.joins``) or bounded by construction.
+      sides bounded by construction.
     """
     slots = max(1, executors * cores_per_executor)
     partitions = max(3 * slots, -(-input_bytes // target_partition_bytes))

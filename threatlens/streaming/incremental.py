@@ -1,48 +1,42 @@
-"""Incremental versions of the three scores (R1–R4) with Structured Streaming.
-
-* R1 ``failed_logins_stream``: the failed-login aggregate as streaming state, one row
-  per (username, ip_address) — the same result as the batch operator after every
-  trigger (complete mode), or a windowed variant with a watermark whose state is
-  bounded in time (append mode).
-* R2 ``score_traffic_stream``: ``foreachBatch``; each micro-batch is scored with the
-  batch operator plus a *last-seen* table (one row per source) carried from the
-  previous batch, so a connection in the same second as the previous batch's last
-  one is still rapid.  Every batch writes its output and its last-seen table under
-  its batch id with overwrite, so a retried batch replaces its own files
-  (idempotent).  Rows older than their source's last-seen row are routed to a late
-  table and counted, never silently mixed in.
+"""Incremental versions of the three scores (R1-R4) and two detectors with Structured
+Streaming.  Every row counts, in whatever order the files come.
+
+* R1 ``failed_logins_stream``, its windowed variant and the detectors D1 and D2 keep
+  *partial results*: each micro-batch is reduced to one row per group (count, first and
+  last time; for bursts the batch's own sessions; for port scans the distinct ports) and
+  written under its batch id.  Partial results of any batches merge exactly, so late rows
+  need no watermark and no window stays open: ``read_*`` merges what is there.  Every
+  ``compact_every`` batches the partials are merged into one base table, so the files of
+  a long-running stream stay few; readers see either the old base with its partials or
+  the new one.
+* R2 ``score_traffic_stream``: ``foreachBatch``; a connection is rapid if it is not the
+  first of its (source, second), so the state is the first row of each (source, second)
+  within ``horizon_s`` of the newest row.  Rows behind the horizon are compared with the
+  scored table itself.  A late row that precedes a stored first row makes that one rapid:
+  the row is written again as a correction, and ``read_scored`` puts it in place.
 * R3 ``score_alerts_stream``: stateless projection (parquet file sink, exactly once).
 * R4: the dashboard refresh period is the default processing-time trigger;
   ``available_now=True`` processes what is there and stops (tests, backfills).
-* Detectors on streams: ``brute_force_bursts_stream`` (session windows over
-  whole-second event time, the batch gap rule exactly) and ``port_scans_stream``
-  (exact distinct ports through two chained watermarked aggregations).
 
-Event time is whole epoch seconds (``timestamp_seconds(unix_timestamp(ts))``) and
-window bounds are mapped back to wall-clock time without the session zone, so no
-result depends on ``spark.sql.session.timeZone``.
+Everything a batch writes lies under its batch id and is written with overwrite, and a
+batch reads only what earlier batches wrote, so a retried batch replaces its own files.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.window import Window
 
 from threatlens.config import AlertRules, LoginRiskRules, TrafficRules
-from threatlens.functions.scoring import (
-    anomaly_score,
-    attempts_per_minute,
-    large_packet,
-    risk_score,
-    suspicious_port,
-    unix_seconds,
-)
+from threatlens.functions.scoring import unix_seconds
 from threatlens.operators.alerts import prioritize_alerts, unresolved
-from threatlens.operators.logins import failed_login_metrics
-from threatlens.operators.traffic import SCORED_COLUMNS, TRAFFIC_ORDER, rapid_connections, with_tie_key
+from threatlens.operators.logins import brute_force_bursts, failed_logins_by, with_login_risk
+from threatlens.operators.traffic import SCORED_COLUMNS, TRAFFIC_ORDER, rapid_connections, with_scores, with_tie_key
 
 REFRESH_PERIOD = "5 minutes"
 
@@ -75,206 +69,225 @@ def read_stream(spark: SparkSession, path: str, schema=None, max_files_per_trigg
     return reader.parquet(path)
 
 
-# --------------------------------------------------------------------------- helpers
+# --------------------------------------------------------------------------- files by batch
 
-def _event_seconds(df: DataFrame) -> DataFrame:
-    """Event time truncated to whole epoch seconds, zoned (watermarks need it); all
-    gaps are whole-second differences, as in the batch operators."""
-    return df.filter(F.col("timestamp").isNotNull()).withColumn(
-        "_event_sec", F.timestamp_seconds(unix_seconds(F.col("timestamp")))
+def _committed(spark: SparkSession, root: str, prefix: str) -> list[int]:
+    """Numbers of the folders ``prefix=N`` below ``root`` that were written completely."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    names = [st.getPath().getName() for st in fs.listStatus(path)]
+    return sorted(
+        int(n.split("=", 1)[1])
+        for n in names
+        if n.startswith(f"{prefix}=") and fs.exists(jvm.org.apache.hadoop.fs.Path(f"{root}/{n}/_SUCCESS"))
     )
 
 
-def _wall(instant: Column) -> Column:
-    """A zoned window bound back to UTC wall-clock time, without the session zone."""
-    return F.timestamp_add("SECOND", F.unix_seconds(instant), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+def _remove(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
-# --------------------------------------------------------------------------- R1
+def read_partials(spark: SparkSession, root: str, upto: int | None = None) -> DataFrame:
+    """Partial results of the batches up to ``upto``: the newest base before it, and the
+    batches after that base."""
+    bases = [b for b in _committed(spark, f"{root}/base", "upto") if upto is None or b < upto]
+    base = bases[-1] if bases else -1
+    batches = [b for b in _committed(spark, f"{root}/partials", "batch_id") if b > base and (upto is None or b <= upto)]
+    paths = [f"{root}/base/upto={base}"] * (base >= 0) + [f"{root}/partials/batch_id={b}" for b in batches]
+    return spark.read.parquet(*paths)
 
-def failed_logins_stream(
-    logins: DataFrame,
-    out_path: str,
+
+def write_partials(
+    batch: DataFrame,
+    batch_id: int,
+    root: str,
+    partial: Callable[[DataFrame], DataFrame],
+    merge: Callable[[DataFrame], DataFrame],
+    compact_every: int = 20,
+) -> None:
+    """One micro-batch: write its partial result, and from time to time a new base.  The
+    files of the base before stay until the next compaction, for a retry and for readers."""
+    spark = batch.sparkSession
+    partial(batch).write.mode("overwrite").parquet(f"{root}/partials/batch_id={batch_id}")
+    if batch_id and batch_id % compact_every == 0:
+        before = [b for b in _committed(spark, f"{root}/base", "upto") if b < batch_id]
+        merge(read_partials(spark, root, batch_id)).write.mode("overwrite").parquet(f"{root}/base/upto={batch_id}")
+        if before:
+            for b in before[:-1]:
+                _remove(spark, f"{root}/base/upto={b}")
+            for b in _committed(spark, f"{root}/partials", "batch_id"):
+                if b <= before[-1]:
+                    _remove(spark, f"{root}/partials/batch_id={b}")
+
+
+def partial_stream(
+    source: DataFrame,
+    root: str,
     checkpoint: str,
-    rules: LoginRiskRules = LoginRiskRules(),
+    partial: Callable[[DataFrame], DataFrame],
+    merge: Callable[[DataFrame], DataFrame],
     trigger: Trigger = Trigger(),
+    compact_every: int = 20,
 ) -> StreamingQuery:
-    """Complete-mode aggregate; each trigger replaces the result table at
-    ``out_path`` (state: one row per (username, ip_address))."""
-    result = failed_login_metrics(logins, rules)
+    def process(batch: DataFrame, batch_id: int) -> None:
+        write_partials(batch, batch_id, root, partial, merge, compact_every)
 
-    def replace(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(out_path)
+    return trigger.apply(source.writeStream.option("checkpointLocation", checkpoint).foreachBatch(process)).start()
 
-    writer = (
-        result.writeStream.outputMode("complete")
-        .option("checkpointLocation", checkpoint)
-        .foreachBatch(replace)
+
+def _merged_counts(keys: list[str]) -> Callable[[DataFrame], DataFrame]:
+    return lambda parts: parts.groupBy(*keys).agg(
+        F.sum("failed_attempt_count").alias("failed_attempt_count"),
+        F.min("first_attempt").alias("first_attempt"),
+        F.max("last_attempt").alias("last_attempt"),
     )
-    return trigger.apply(writer).start()
 
 
-def windowed_failed_logins(
-    logins: DataFrame, window: str = "1 hour", watermark: str = "10 minutes", rules: LoginRiskRules = LoginRiskRules()
-) -> DataFrame:
-    """Failed-login metrics per event-time window: state is dropped once the
-    watermark passes a window, and late rows beyond it are ignored (append mode)."""
-    groups = (
-        _event_seconds(logins.filter(~F.col("success")))
-        .withWatermark("_event_sec", watermark)
-        .groupBy(F.window("_event_sec", window).alias("window"), "username", "ip_address")
-        .agg(
-            F.count(F.lit(1)).alias("failed_attempt_count"),
-            F.min("timestamp").alias("first_attempt"),
-            F.max("timestamp").alias("last_attempt"),
-        )
-    )
-    span = unix_seconds(F.col("last_attempt")) - unix_seconds(F.col("first_attempt"))
-    return groups.withColumn("time_span_seconds", span).select(
-        _wall(F.col("window.start")).alias("window_start"),
-        _wall(F.col("window.end")).alias("window_end"),
-        "username",
-        "ip_address",
-        "failed_attempt_count",
-        "first_attempt",
-        "last_attempt",
-        "time_span_seconds",
-        attempts_per_minute(F.col("failed_attempt_count"), F.col("time_span_seconds")).alias("attempts_per_minute"),
-        risk_score(F.col("failed_attempt_count"), F.col("time_span_seconds"), rules).alias("risk_score"),
+# --------------------------------------------------------------------------- R1
+
+LOGIN_KEYS = ["username", "ip_address"]
+
+
+def failed_logins_stream(logins: DataFrame, out_root: str, checkpoint: str, trigger: Trigger = Trigger()) -> StreamingQuery:
+    """Failed logins per (username, ip_address), as partial results by batch."""
+    return partial_stream(
+        logins, out_root, checkpoint, lambda b: failed_logins_by(b, LOGIN_KEYS), _merged_counts(LOGIN_KEYS), trigger
     )
 
 
+def read_failed_logins(spark: SparkSession, out_root: str, rules: LoginRiskRules = LoginRiskRules()) -> DataFrame:
+    """The metrics of all rows so far, as the batch operator gives them."""
+    return with_login_risk(_merged_counts(LOGIN_KEYS)(read_partials(spark, out_root)), LOGIN_KEYS, rules)
+
+
+def _window_start(seconds: int) -> Column:
+    """The start of the epoch-aligned window of a row, as wall-clock time."""
+    sec = unix_seconds(F.col("timestamp"))
+    return _wall(sec - F.pmod(sec, F.lit(seconds)))
+
+
+def _wall(seconds: Column) -> Column:
+    """Epoch seconds as UTC wall-clock time, without the session zone."""
+    return F.timestamp_add("SECOND", seconds, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+
+
+WINDOW_KEYS = ["window_start", *LOGIN_KEYS]
+
+
 def windowed_failed_logins_stream(
-    logins: DataFrame,
-    out_path: str,
-    checkpoint: str,
-    window: str = "1 hour",
-    watermark: str = "10 minutes",
-    rules: LoginRiskRules = LoginRiskRules(),
-    trigger: Trigger = Trigger(),
+    logins: DataFrame, out_root: str, checkpoint: str, window_s: int = 3600, trigger: Trigger = Trigger()
 ) -> StreamingQuery:
-    """Append-mode windowed metrics to a parquet folder (exactly once)."""
-    writer = (
-        windowed_failed_logins(logins, window, watermark, rules)
-        .writeStream.outputMode("append")
-        .format("parquet")
-        .option("path", out_path)
-        .option("checkpointLocation", checkpoint)
-    )
-    return trigger.apply(writer).start()
+    """Failed logins per event-time window; rows without a time are in no window."""
+
+    def partial(batch: DataFrame) -> DataFrame:
+        timed = batch.filter(F.col("timestamp").isNotNull()).withColumn("window_start", _window_start(window_s))
+        return failed_logins_by(timed, WINDOW_KEYS)
+
+    return partial_stream(logins, out_root, checkpoint, partial, _merged_counts(WINDOW_KEYS), trigger)
+
+
+def read_windowed_failed_logins(
+    spark: SparkSession, out_root: str, window_s: int = 3600, rules: LoginRiskRules = LoginRiskRules()
+) -> DataFrame:
+    merged = _merged_counts(WINDOW_KEYS)(read_partials(spark, out_root))
+    end = F.timestamp_add("SECOND", F.lit(window_s), F.col("window_start"))
+    return with_login_risk(merged.withColumn("window_end", end), ["window_start", "window_end", *LOGIN_KEYS], rules)
 
 
 # --------------------------------------------------------------------------- R2
 
-def _latest_state(spark: SparkSession, state_root: str, before: int) -> DataFrame | None:
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(state_root)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return None
-    ids = []
-    for st in fs.listStatus(root):
-        name = st.getPath().getName()
-        if name.startswith("batch_id=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            bid = int(name.split("=", 1)[1])
-            if bid < before:
-                ids.append(bid)
-    if not ids:
-        return None
-    return spark.read.parquet(f"{state_root}/batch_id={max(ids)}")
-
-
-def score_traffic_batch(
-    batch: DataFrame, last_seen: DataFrame | None, rules: TrafficRules = TrafficRules()
-) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Score one micro-batch given the last-seen row per source of earlier batches.
-
-    Returns (scored rows, late rows, new last-seen table)."""
-    batch = with_tie_key(batch)
-    key = F.struct(*[F.col(c) for c in TRAFFIC_ORDER])
-    if last_seen is None:
-        on_time, late = batch, batch.filter(F.lit(False))
-        seeded = rapid_connections(on_time)
-    else:
-        seen = last_seen.select(F.col("source_ip").alias("_s_ip"), F.col("last").alias("_s_last"))
-        tagged = batch.join(seen, F.col("source_ip").eqNullSafe(F.col("_s_ip")), "left")
-        is_late = F.coalesce(key <= F.col("_s_last"), F.lit(False))
-        late = tagged.filter(is_late).drop("_s_ip", "_s_last")
-        on_time = tagged.filter(~is_late)
-        flagged = rapid_connections(on_time.drop("_s_ip", "_s_last")).join(
-            seen, F.col("source_ip").eqNullSafe(F.col("_s_ip")), "left"
-        )
-        # the first row of a (source, second) group in this batch is still rapid if
-        # the source's last earlier row fell in the same second
-        carried = F.coalesce(
-            F.col("timestamp").isNotNull()
-            & (unix_seconds(F.col("timestamp")) == unix_seconds(F.col("_s_last.timestamp"))),
-            F.lit(False),
-        )
-        seeded = flagged.withColumn("rapid_connection", F.col("rapid_connection") | carried).drop(
-            "_s_ip", "_s_last"
-        )
-        on_time = on_time.drop("_s_ip", "_s_last")
-    scored = seeded.select(
-        *[c for c in SCORED_COLUMNS if c not in ("suspicious_port", "large_packet", "anomaly_score")],
-        suspicious_port(F.col("port"), rules).alias("suspicious_port"),
-        large_packet(F.col("packet_size"), rules).alias("large_packet"),
-    ).withColumn(
-        "anomaly_score",
-        anomaly_score(
-            F.col("is_suspicious"), F.col("rapid_connection"), F.col("suspicious_port"), F.col("large_packet")
-        ),
-    ).select(*SCORED_COLUMNS)
-    fresh = on_time.filter(F.col("timestamp").isNotNull()).groupBy("source_ip").agg(F.max(key).alias("last"))
-    if last_seen is not None:
-        fresh = fresh.unionByName(last_seen.select("source_ip", "last")).groupBy("source_ip").agg(
-            F.max("last").alias("last")
-        )
-    return scored, late, fresh
+#: The source as a struct, so that a null source is a key like any other.
+FIRST_KEYS = ("source", "second")
+
+
+def _keyed(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({"source": F.struct("source_ip"), "second": unix_seconds(F.col("timestamp"))})
+
+
+def _firsts(rows: DataFrame) -> DataFrame:
+    """The first row of each (source, second), whole, in ``row``."""
+    order = F.struct(*[F.col(c) for c in TRAFFIC_ORDER])
+    timed = _keyed(rows.filter(F.col("timestamp").isNotNull()))
+    return timed.groupBy(*FIRST_KEYS).agg(F.min_by(F.struct(*[F.col(c) for c in rows.columns]), order).alias("row"))
 
 
 def process_traffic_batch(
-    batch: DataFrame, batch_id: int, out_root: str, rules: TrafficRules = TrafficRules()
+    batch: DataFrame,
+    batch_id: int,
+    out_root: str,
+    rules: TrafficRules = TrafficRules(),
+    horizon_s: int | None = 7 * 86400,
 ) -> None:
-    """One micro-batch of R2 (the ``foreachBatch`` body).  Idempotent: every output
-    is written under its batch id with overwrite, and the state read is the latest
-    one of an *earlier* batch, so a retried batch reproduces its own outputs.  State
-    tables older than the previous batch's are removed."""
+    """One micro-batch of R2 (the ``foreachBatch`` body).
+
+    ``scored`` gets every row of the batch, with ``late`` (older than the newest row of
+    earlier batches) and, for readers, ``tie_key``; ``corrections`` the earlier rows that
+    a late row has made rapid; ``metrics`` the counts; ``state`` the first rows of each
+    (source, second) in the horizon."""
+    if rules.rapid_gap_s != 1:
+        raise ValueError("the stream's state holds the first row of a second: rapid_gap_s must be 1")
     spark = batch.sparkSession
-    state_root = f"{out_root}/state"
-    seen = _latest_state(spark, state_root, batch_id)
-    # each output re-reads the micro-batch from its source files: a scan and a
-    # projection, deterministic on retry and cheaper here than caching the batch
-    # (measured), and no executor memory is held between the writes
-    scored, late, fresh = score_traffic_batch(batch, seen, rules)
-    n_scored, n_late = Observation(f"scored_{batch_id}"), Observation(f"late_{batch_id}")
-    scored.observe(n_scored, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(
-        f"{out_root}/scored/batch_id={batch_id}"
-    )
-    late.observe(n_late, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(
-        f"{out_root}/late/batch_id={batch_id}"
+    batch = with_tie_key(batch)
+    columns = batch.columns
+    done = [b for b in _committed(spark, f"{out_root}/state", "batch_id") if b < batch_id]
+    earlier = [b for b in _committed(spark, f"{out_root}/metrics", "batch_id") if b < batch_id]
+    newest = None
+    known = None
+    if done:
+        metrics = spark.read.parquet(*[f"{out_root}/metrics/batch_id={b}" for b in earlier])
+        newest = metrics.agg(F.max("newest_second")).first()[0]
+        known = spark.read.parquet(f"{out_root}/state/batch_id={done[-1]}")
+    own = _firsts(batch)
+    order = lambda row: F.struct(*[F.col(f"{row}.{c}") for c in TRAFFIC_ORDER])
+    if known is not None:
+        if horizon_s is not None and newest is not None:
+            # seconds behind the horizon are no longer in the state: ask the scored rows
+            old = own.filter(F.col("second") < newest - horizon_s).select(*FIRST_KEYS)
+            scored = spark.read.parquet(*[f"{out_root}/scored/batch_id={b}" for b in earlier])
+            scored = _keyed(scored).filter(F.col("second") < newest - horizon_s)
+            again = scored.join(old, list(FIRST_KEYS), "left_semi").select(*[F.col(c) for c in columns])
+            known = known.filter(F.col("second") >= newest - horizon_s).unionByName(_firsts(again))
+        before = known.select(*FIRST_KEYS, F.col("row").alias("known"))
+    else:
+        before = own.filter(F.lit(False)).select(*FIRST_KEYS, F.col("row").alias("known"))
+    flagged = _keyed(rapid_connections(batch, rules))
+    flagged = flagged.join(before.select(*FIRST_KEYS, order("known").alias("_known")), list(FIRST_KEYS), "left")
+    this = F.struct(*[F.col(c) for c in TRAFFIC_ORDER])
+    flagged = flagged.withColumn("rapid_connection", F.col("rapid_connection") | F.coalesce(this >= F.col("_known"), F.lit(False)))
+    late = F.coalesce(F.col("second") < F.lit(newest), F.lit(False)) if newest is not None else F.lit(False)
+    counts = Observation(f"traffic_{batch_id}")
+    scored = with_scores(flagged.withColumn("late", late), rules, [*(c for c in columns if c not in SCORED_COLUMNS), "late"])
+    scored.observe(
+        counts,
+        F.count(F.lit(1)).alias("scored"),
+        F.count_if("late").alias("late"),
+        F.max(unix_seconds(F.col("timestamp"))).alias("newest"),
+    ).write.mode("overwrite").parquet(f"{out_root}/scored/batch_id={batch_id}")
+    # a stored first row that is first no longer
+    met = own.join(before, list(FIRST_KEYS))
+    lost = met.filter(order("row") < order("known")).select("known.*").withColumn("rapid_connection", F.lit(True))
+    corrected = Observation(f"corrections_{batch_id}")
+    with_scores(lost, rules, ["tie_key"]).observe(corrected, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(
+        f"{out_root}/corrections/batch_id={batch_id}"
     )
+    seen = counts.get
+    top = max((x for x in (newest, seen["newest"]) if x is not None), default=None)
     spark.createDataFrame(
-        [(n_scored.get["n"], n_late.get["n"])], "scored long, late long"
+        [(seen["scored"], seen["late"], corrected.get["n"], top)], "scored long, late long, corrections long, newest_second long"
     ).write.mode("overwrite").parquet(f"{out_root}/metrics/batch_id={batch_id}")
-    # the state is written last: a batch retried after a failure above still reads
-    # the previous batch's last-seen table
-    fresh.write.mode("overwrite").parquet(f"{state_root}/batch_id={batch_id}")
-    _prune_state(spark, state_root, keep_from=batch_id - 1)
-
-
-def _prune_state(spark: SparkSession, state_root: str, keep_from: int) -> None:
-    """Remove last-seen tables of batches before ``keep_from``: only the previous
-    batch's table can still be read (by a retry of the current one)."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(state_root)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return
-    for st in fs.listStatus(root):
-        name = st.getPath().getName()
-        if name.startswith("batch_id=") and int(name.split("=", 1)[1]) < keep_from:
-            fs.delete(st.getPath(), True)
+    # the state is written last: a batch retried after a failure above still reads the
+    # state of the batch before it
+    both = own if known is None else own.unionByName(known)
+    state = both.groupBy(*FIRST_KEYS).agg(F.min_by("row", order("row")).alias("row"))
+    if horizon_s is not None and top is not None:
+        state = state.filter(F.col("second") >= top - horizon_s)
+    state.write.mode("overwrite").parquet(f"{out_root}/state/batch_id={batch_id}")
+    for b in done[:-1]:  # only the batch before can still be read, by a retry of this one
+        _remove(spark, f"{out_root}/state/batch_id={b}")
 
 
 def score_traffic_stream(
@@ -283,16 +296,23 @@ def score_traffic_stream(
     checkpoint: str,
     rules: TrafficRules = TrafficRules(),
     trigger: Trigger = Trigger(),
+    horizon_s: int | None = 7 * 86400,
 ) -> StreamingQuery:
-    """Write scored traffic to ``out_root/scored/batch_id=N``, late rows to
-    ``out_root/late/batch_id=N``, per-batch counts (scored, late) to
-    ``out_root/metrics`` and the last-seen table to ``out_root/state``."""
-
     def process(batch: DataFrame, batch_id: int) -> None:
-        process_traffic_batch(batch, batch_id, out_root, rules)
+        process_traffic_batch(batch, batch_id, out_root, rules, horizon_s)
+
+    return trigger.apply(traffic.writeStream.option("checkpointLocation", checkpoint).foreachBatch(process)).start()
 
-    writer = traffic.writeStream.option("checkpointLocation", checkpoint).foreachBatch(process)
-    return trigger.apply(writer).start()
+
+def read_scored(spark: SparkSession, out_root: str) -> DataFrame:
+    """All rows scored so far, corrected ones in their last form."""
+    scored = spark.read.parquet(f"{out_root}/scored").drop("batch_id")
+    corrections = spark.read.parquet(f"{out_root}/corrections").drop("batch_id")
+    # a correction replaces the one row of its order key that is not rapid
+    keys = [F.struct("source_ip").alias("source"), *TRAFFIC_ORDER]
+    first = ~F.col("rapid_connection")
+    kept = scored.filter(first).select("*", keys[0]).join(corrections.select(*keys), ["source", *TRAFFIC_ORDER], "left_anti")
+    return scored.filter(~first).unionByName(kept.drop("source")).select(*SCORED_COLUMNS).unionByName(corrections.select(*SCORED_COLUMNS))
 
 
 # --------------------------------------------------------------------------- R3
@@ -320,70 +340,81 @@ def score_alerts_stream(
 
 def brute_force_bursts_stream(
     logins: DataFrame,
+    out_root: str,
+    checkpoint: str,
     keys: tuple[str, ...] = ("username", "ip_address"),
     max_gap_s: int = 60,
-    min_attempts: int = 5,
-    watermark: str = "10 minutes",
-) -> DataFrame:
-    """Bursts of failed logins as session windows (append mode).  With whole-second
-    event time and a gap of ``max_gap_s + 1`` seconds, two failures share a session
-    exactly when their second-difference is at most ``max_gap_s`` — the batch rule.
-    A burst is emitted once the watermark passes its session end."""
-    fails = _event_seconds(logins.filter(~F.col("success"))).withWatermark("_event_sec", watermark)
-    sessions = fails.groupBy(F.session_window("_event_sec", f"{max_gap_s + 1} seconds").alias("s"), *keys).agg(
-        F.min("timestamp").alias("burst_start"),
-        F.max("timestamp").alias("burst_end"),
-        F.count(F.lit(1)).alias("attempts"),
+    trigger: Trigger = Trigger(),
+) -> StreamingQuery:
+    """Bursts of failed logins: each batch keeps its own sessions, whatever their size."""
+
+    def partial(batch: DataFrame) -> DataFrame:
+        return brute_force_bursts(batch, keys, max_gap_s, min_attempts=1).drop("duration_seconds")
+
+    return partial_stream(logins, out_root, checkpoint, partial, lambda p: merge_sessions(p, keys, max_gap_s), trigger)
+
+
+def merge_sessions(sessions: DataFrame, keys: tuple[str, ...], max_gap_s: int) -> DataFrame:
+    """Sessions of several batches that overlap or lie within the gap become one: a new
+    one begins where the start lies further than the gap behind all ends so far."""
+    start, end = unix_seconds(F.col("burst_start")), unix_seconds(F.col("burst_end"))
+    by_start = Window.partitionBy(*keys).orderBy(start, end, "attempts")
+    so_far = F.max(end).over(by_start.rowsBetween(Window.unboundedPreceding, -1))
+    new = F.when(so_far.isNull() | (start - so_far > max_gap_s), 1).otherwise(0)
+    numbered = sessions.withColumn("_new", new).withColumn(
+        "_burst", F.sum("_new").over(by_start.rowsBetween(Window.unboundedPreceding, 0))
+    )
+    return (
+        numbered.groupBy(*keys, "_burst")
+        .agg(F.min("burst_start").alias("burst_start"), F.max("burst_end").alias("burst_end"), F.sum("attempts").alias("attempts"))
+        .drop("_burst")
     )
-    return sessions.filter(F.col("attempts") >= min_attempts).select(
-        *keys,
-        "burst_start",
-        "burst_end",
-        (unix_seconds(F.col("burst_end")) - unix_seconds(F.col("burst_start"))).alias("duration_seconds"),
-        "attempts",
+
+
+def read_bursts(
+    spark: SparkSession, out_root: str, keys: tuple[str, ...] = ("username", "ip_address"), max_gap_s: int = 60, min_attempts: int = 5
+) -> DataFrame:
+    merged = merge_sessions(read_partials(spark, out_root), keys, max_gap_s).filter(F.col("attempts") >= min_attempts)
+    span = unix_seconds(F.col("burst_end")) - unix_seconds(F.col("burst_start"))
+    return merged.select(*keys, "burst_start", "burst_end", span.alias("duration_seconds"), "attempts")
+
+
+def _merged_ports(keys: tuple[str, ...]) -> Callable[[DataFrame], DataFrame]:
+    return lambda parts: parts.groupBy(*keys, "window_start", "port").agg(
+        F.sum("connections").alias("connections"), F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen")
     )
 
 
 def port_scans_stream(
     traffic: DataFrame,
+    out_root: str,
+    checkpoint: str,
     keys: tuple[str, ...] = ("source_ip", "destination_ip"),
-    window: str = "60 seconds",
-    min_ports: int = 5,
-    watermark: str = "10 minutes",
-) -> DataFrame:
-    """Exact distinct ports per key and tumbling window in a stream: two chained
-    watermarked aggregations, (key, window, port) then (key, window), in append
-    mode; a window is emitted once the watermark passes its end."""
-    per_port = (
-        _event_seconds(traffic)
-        .withWatermark("_event_sec", watermark)
-        .groupBy(F.window("_event_sec", window).alias("w"), *keys, "port")
-        .agg(
-            F.count(F.lit(1)).alias("_n"),
-            F.min("timestamp").alias("_first"),
-            F.max("timestamp").alias("_last"),
+    window_s: int = 60,
+    trigger: Trigger = Trigger(),
+) -> StreamingQuery:
+    """Distinct ports per key and window: each batch keeps one row per port."""
+
+    def partial(batch: DataFrame) -> DataFrame:
+        timed = batch.filter(F.col("timestamp").isNotNull()).withColumn("window_start", _window_start(window_s))
+        return timed.groupBy(*keys, "window_start", "port").agg(
+            F.count(F.lit(1)).alias("connections"), F.min("timestamp").alias("first_seen"), F.max("timestamp").alias("last_seen")
         )
-    )
-    per_window = per_port.groupBy("w", *keys).agg(
-        F.count("port").alias("distinct_ports"),
-        F.sum("_n").alias("connections"),
-        F.min("_first").alias("first_seen"),
-        F.max("_last").alias("last_seen"),
-    )
-    return per_window.filter(F.col("distinct_ports") >= min_ports).select(
-        *keys,
-        _wall(F.col("w.start")).alias("window_start"),
-        _wall(F.col("w.end")).alias("window_end"),
-        "distinct_ports",
-        "connections",
-        "first_seen",
-        "last_seen",
-    )
 
+    return partial_stream(traffic, out_root, checkpoint, partial, _merged_ports(keys), trigger)
 
-def append_to_parquet(df: DataFrame, out_path: str, checkpoint: str, trigger: Trigger = Trigger()) -> StreamingQuery:
-    writer = (
-        df.writeStream.outputMode("append").format("parquet").option("path", out_path)
-        .option("checkpointLocation", checkpoint)
+
+def read_port_scans(
+    spark: SparkSession, out_root: str, keys: tuple[str, ...] = ("source_ip", "destination_ip"), window_s: int = 60, min_ports: int = 5
+) -> DataFrame:
+    ports = _merged_ports(keys)(read_partials(spark, out_root))
+    windows = ports.groupBy(*keys, "window_start").agg(
+        F.count("port").alias("distinct_ports"),
+        F.sum("connections").alias("connections"),
+        F.min("first_seen").alias("first_seen"),
+        F.max("last_seen").alias("last_seen"),
+    )
+    end = F.timestamp_add("SECOND", F.lit(window_s), F.col("window_start"))
+    return windows.filter(F.col("distinct_ports") >= min_ports).select(
+        *keys, "window_start", end.alias("window_end"), "distinct_ports", "connections", "first_seen", "last_seen"
     )
-    return trigger.apply(writer).start()
