@@ -5,6 +5,7 @@ import duckdb
 import __spark_entry__ as E
 from threatlens.plans import etl as P
 from threatlens.session import scratch_path
+from threatlens.sinks.writers import write_snapshot
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -163,3 +164,24 @@ def test_command_line(spark):
     names = subprocess.run([sys.executable, "-m", "threatlens", "queries"], capture_output=True, text=True,
                            env=env, timeout=120).stdout.split()
     assert "traffic_anomalies" in names and len(names) == 42
+
+
+def test_reports_never_mix_runs(spark):
+    root = scratch_path(spark, "test-mixed-runs")
+    logins, traffic, alerts = P.extract(spark, SMALL)
+    res = P.transform(logins, traffic, alerts)
+    write_snapshot(res.failed_logins, root, "failed_logins", "20240101_000000")
+    write_snapshot(res.suspicious_traffic, root, "suspicious_traffic", "20240102_000000")
+    write_snapshot(res.enriched_alerts, root, "enriched_alerts", "20240102_000000")
+    report = P.report_refresh(spark, root)
+    assert all(df.count() == 0 for name, df in report.items() if name.endswith("_table"))
+
+
+def test_sinks_get_typed_results(spark):
+    root = scratch_path(spark, "test-typed-sinks")
+    got = {}
+    P.run_pipeline(*P.extract(spark, SMALL), out_root=root, sinks=[lambda kind, df: got.update({kind: df})])
+    want = dict(P.transform(*P.extract(spark, SMALL)).items())
+    for kind, df in got.items():
+        assert all(f.endswith(".parquet") for f in df.inputFiles())
+        assert df.count() == want[kind].count()

@@ -4,14 +4,18 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import at, collect
+from threatlens.operators.logins import failed_login_metrics
 from threatlens.schemas import ENRICHED_ALERTS, SECURITY_ALERTS
 from threatlens.session import scratch_path
 from threatlens.sinks.writers import write_documents, write_snapshot
 from threatlens.sources import documents as D
 from threatlens.sources import jdbc as J
 from threatlens.sources import snapshots as S
+from threatlens.sources import views as V
 from threatlens.operators.alerts import prioritize_alerts
 
+SMALL = "/root/testdata/sf0.001"
+
 
 def test_jdbc_options():
     env = {"MYSQL_HOST": "db", "MYSQL_USER": "u", "MYSQL_PASSWORD": "p", "MYSQL_DB": "sec"}
@@ -144,3 +148,45 @@ def test_conform_to_schema(spark):
     assert df.first()["timestamp"] == dt.datetime(2024, 1, 1, 12, 0)
     with pytest.raises(ValueError, match="attempt_id"):
         conform(raw.drop("ATTEMPT_ID"), LOGIN_ATTEMPTS)
+
+
+def test_csv_snapshot_keeps_any_text(spark):
+    from threatlens.schemas import ENRICHED_ALERTS, FAILED_LOGIN_METRICS
+
+    root = scratch_path(spark, "test-any-text")
+    odd = [" bob ", "", None, "a\nb", "c\r\nd", 'q"uo"te', '"', "back\\slash", "\\n", "\\\\", "\\e", "x\0y", ",", "'", "\\", "é😀", '\\"', "\ttab\t"]
+    text = next(f.name for f in FAILED_LOGIN_METRICS.fields if f.name == "username")
+    base = V.login_attempts(spark, SMALL)
+    rows = failed_login_metrics(base).limit(1).drop(text).crossJoin(spark.createDataFrame([(x,) for x in odd], f"{text} string"))
+    rows = rows.select(*FAILED_LOGIN_METRICS.fieldNames())
+    write_snapshot(rows, root, "failed_logins", "20240101_000000")
+    got = S.read_snapshot(spark, root, "failed_logins")
+    assert sorted((r[text] is None, r[text] or "") for r in got.collect()) == sorted((x is None, x or "") for x in odd)
+    assert got.drop(text).distinct().collect() == rows.drop(text).distinct().collect()
+    names = ENRICHED_ALERTS.fieldNames()
+    assert "detection_details" in names
+    alerts = prioritize_alerts(V.security_alerts(spark, SMALL)).limit(1).select(*names)
+    maps = alerts.withColumn("detection_details", F.create_map(F.lit("k\n"), F.lit('v"\\ ')))
+    write_snapshot(maps, root, "enriched_alerts", "20240101_000000")
+    assert S.read_snapshot(spark, root, "enriched_alerts").first()["detection_details"] == {"k\n": 'v"\\ '}
+
+
+def test_flat_map_text(spark):
+    convert = S._dict_to_json()
+    texts = ["{'ip_address': '1.2.3.4', 'username': None}", '{\'username\': "O\'Brien", \'ok\': True, \'n\': 3}', '{"a": null}', None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select(F.from_json(convert("t"), "map<string,string>").alias("m"))
+    assert [r["m"] for r in df.collect()] == [
+        {"ip_address": "1.2.3.4", "username": None}, {"username": "O'Brien", "ok": "true", "n": "3"}, {"a": None}, None
+    ]
+    import pytest
+
+    with pytest.raises(Exception):
+        spark.createDataFrame([("not a map",)], "t string").select(convert("t")).collect()
+
+
+def test_dates_before_1970(spark):
+    from threatlens.sources.documents import extended_timestamp
+
+    df = spark.createDataFrame([('{"$date": {"$numberLong": "-1000"}}',), ('{"$date": "1969-12-31T23:59:59Z"}',)], "t string")
+    out = df.select(extended_timestamp(F.col("t"), __import__("pyspark.sql.types", fromlist=["T"]).TimestampNTZType(), "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]").alias("x"))
+    assert len({r["x"] for r in out.collect()}) == 1

@@ -33,3 +33,24 @@ def text(prefix: str, value: Column) -> Column:
 def is_true(c: Column) -> Column:
     """Null-safe truth test: null counts as false."""
     return F.coalesce(c, F.lit(False))
+
+
+def escape_text(c: Column) -> Column:
+    """Text for one line of a text file: backslash, line breaks and NUL as ``\\\\``,
+    ``\\n``, ``\\r`` and ``\\0``, the empty text as ``\\e`` (null stays null)."""
+    out = F.replace(c, F.lit("\\"), F.lit("\\\\"))
+    for char, name in (("\n", "n"), ("\r", "r"), ("\0", "0")):
+        out = F.replace(out, F.lit(char), F.lit(f"\\{name}"))
+    return F.when(c == "", F.lit("\\e")).otherwise(out)
+
+
+def unescape_text(c: Column) -> Column:
+    """The text that ``escape_text`` was given."""
+
+    def part(x: Column) -> Column:
+        for char, name in (("\n", "n"), ("\r", "r"), ("\0", "0"), ("", "e")):
+            x = F.replace(x, F.lit(f"\\{name}"), F.lit(char))
+        return x
+
+    # doubled backslashes part the text; what remains between them are the other escapes
+    return F.array_join(F.transform(F.split(c, r"\\\\", -1), part), "\\")

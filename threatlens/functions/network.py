@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threatlens.config import Zones
@@ -35,12 +35,25 @@ def in_cidr(ip: Column, cidr: str) -> Column:
     return F.coalesce(v.between(lo, hi), F.lit(False))
 
 
-def ip_zone(ip: Column, zones: Zones = Zones()) -> Column:
-    """Zone name of the first network that contains the address, else ``zones.other``."""
-    v = ipv4_to_long(ip)
+def zone_of(value: Column, zones: Zones = Zones()) -> Column:
+    """Zone name of the first network that contains the address, given as its 32-bit
+    value, else ``zones.other``."""
     expr = None
     for zone, cidr in zones.ranges():
-        lo, hi = _cidr_bounds(cidr)
-        cond = v.between(lo, hi)
+        cond = value.between(*_cidr_bounds(cidr))
         expr = F.when(cond, zone) if expr is None else expr.when(cond, zone)
     return expr.otherwise(zones.other)
+
+
+def ip_zone(ip: Column, zones: Zones = Zones()) -> Column:
+    return zone_of(ipv4_to_long(ip), zones)
+
+
+def with_ip_value(df: DataFrame, ip: str, out: str) -> DataFrame:
+    """Add the 32-bit value of an address; it is matched and split once, in projections of
+    their own, however often the value is used."""
+    parts = F.when(F.col(ip).rlike(_IPV4), F.transform(F.split(F.col(ip), r"\."), lambda x: x.cast("long")))
+    df = df.withColumn("_octets", parts)
+    octets = [F.get("_octets", F.lit(i)) for i in range(4)]
+    value = octets[0] * 16777216 + octets[1] * 65536 + octets[2] * 256 + octets[3]
+    return df.withColumn(out, F.when(F.array_max("_octets") <= 255, value)).drop("_octets")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from threatlens.config import LoginRiskRules, Zones
-from threatlens.functions.network import ip_zone
+from threatlens.functions.network import with_ip_value, zone_of
 from threatlens.functions.scoring import attempts_per_minute, risk_score, unix_seconds
 from threatlens.functions.sequence import with_sequence
 
@@ -148,7 +148,8 @@ def brute_force_bursts(
 def failures_by_zone(logins: DataFrame, zones: Zones = Zones()) -> DataFrame:
     """Attempts, failures and failure rate per address zone and location."""
     return (
-        logins.withColumn("zone", ip_zone(F.col("ip_address"), zones))
+        with_ip_value(logins.select("ip_address", "location", "success"), "ip_address", "_value")
+        .withColumn("zone", zone_of(F.col("_value"), zones))
         .groupBy("zone", "location")
         .agg(
             F.count(F.lit(1)).alias("attempts"),
@@ -172,8 +173,10 @@ def success_after_failures(
     if look_back < 1:
         raise ValueError("look_back must be at least 1")
     fail = F.when(F.col("success"), 0).when(~F.col("success"), 1).otherwise(0)
+    # only what the result needs: the sequence's checkpoint stops column pruning
+    needed = logins.select("attempt_id", "username", "timestamp", "ip_address", "location", "success")
     seq = with_sequence(
-        logins.withColumn("_fail", fail),
+        needed.withColumn("_fail", fail),
         keys=["username"],
         order=["timestamp", "attempt_id"],
         running={"_fails": F.col("_fail")},

@@ -21,13 +21,14 @@ from threatlens.operators import alerts as A
 from threatlens.operators import logins as L
 from threatlens.operators import reports as R
 from threatlens.operators import traffic as TR
+from threatlens.schemas import RESULT_SCHEMAS, empty
 from threatlens.session import scratch_path
 from threatlens.sinks.writers import Receipt, write_snapshot
 from threatlens.sources import snapshots as S
 from threatlens.sources import views as V
 
 #: An extra sink: called with (kind, result DataFrame) after the snapshot is written;
-#: the DataFrame reads the written snapshot, so no result is computed twice.
+#: the DataFrame reads a typed copy of the result, never CSV, and nothing is computed twice.
 Sink = Callable[[str, DataFrame], object]
 
 
@@ -124,15 +125,23 @@ def run_pipeline(
         "suspicious_traffic": scored,
         "enriched_alerts": enriched,
     }
+    sinks = list(sinks)
+    typed_root = out_root
+    if sinks and snapshot_format == "csv":
+        typed_root = scratch_path(spark, "typed-results")
+
+    def write(kind: str, df: DataFrame) -> Receipt:
+        if typed_root != out_root:
+            write_snapshot(df, typed_root, kind, run_id, fmt="parquet")
+            df = S.read_snapshot(spark, typed_root, kind, run_id, fmt="parquet")
+        return write_snapshot(df, out_root, kind, run_id, fmt=snapshot_format)
+
     with ThreadPoolExecutor(max_workers=len(outputs)) as pool:
-        futures = {
-            kind: pool.submit(write_snapshot, df, out_root, kind, run_id, fmt=snapshot_format)
-            for kind, df in outputs.items()
-        }
+        futures = {kind: pool.submit(write, kind, df) for kind, df in outputs.items()}
         receipts = {kind: f.result() for kind, f in futures.items()}
     for sink in sinks:
         for kind, _ in res.items():
-            sink(kind, S.read_snapshot(spark, out_root, kind, run_id, fmt=snapshot_format))
+            sink(kind, S.read_snapshot(spark, typed_root, kind, run_id, fmt="parquet"))
     counts = {
         "login_attempts_extracted": obs_logins.get["n"],
         "failed_login_metrics": receipts["failed_logins"].rows,
@@ -169,9 +178,11 @@ def report_refresh(
         )
     elif layout == "runs":
         run_id = run_id or S.latest_run_id(spark, out_root)
-        failed = S.read_snapshot(spark, out_root, "failed_logins", run_id, fmt=snapshot_format)
-        scored = S.read_snapshot(spark, out_root, "suspicious_traffic", run_id, fmt=snapshot_format)
-        enriched = S.read_snapshot(spark, out_root, "enriched_alerts", run_id, fmt=snapshot_format)
+        # without a run that all kinds have, the report is empty: runs are never mixed
+        failed, scored, enriched = (
+            S.read_snapshot(spark, out_root, kind, run_id, fmt=snapshot_format) if run_id else empty(spark, RESULT_SCHEMAS[kind])
+            for kind in ("failed_logins", "suspicious_traffic", "enriched_alerts")
+        )
     else:
         raise ValueError(f"unknown layout {layout!r}; use 'runs' or 'flat'")
     if time_range != "all":
@@ -209,9 +220,9 @@ def refreshed_priorities(spark: SparkSession, sf_dir: str) -> DataFrame:
     CRITICAL); the refresh must report the newer run."""
     out = scratch_path(spark, "refresh")
     older = PipelineConfig(alerts=AlertRules(priority_bands=((101, "CRITICAL"), (50, "HIGH"), (20, "MEDIUM"))))
-    run_pipeline(*extract(spark, sf_dir), out_root=out, run_id="20240101_000000", cfg=older)
-    run_pipeline(*extract(spark, sf_dir), out_root=out, run_id="20240102_000000")
-    return report_refresh(spark, out)["priority_distribution"]
+    run_pipeline(*extract(spark, sf_dir), out_root=out, run_id="20240101_000000", cfg=older, snapshot_format="parquet")
+    run_pipeline(*extract(spark, sf_dir), out_root=out, run_id="20240102_000000", snapshot_format="parquet")
+    return report_refresh(spark, out, snapshot_format="parquet")["priority_distribution"]
 
 
 def bench_full_run(spark: SparkSession, sf_dir: str) -> DataFrame:

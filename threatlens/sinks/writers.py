@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from threatlens.functions.columns import escape_text
+
 SNAPSHOT_TS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 DOCUMENT_TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
@@ -65,11 +67,14 @@ def write_jdbc(
 
 
 def _textual(df: DataFrame) -> DataFrame:
-    """Maps and structs as JSON text (CSV holds only atomic values)."""
+    """Maps and structs as JSON text (CSV holds only atomic values), text escaped so that
+    spaces, quotes, line breaks and the empty text come back as they were."""
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.MapType, T.StructType, T.ArrayType)):
-            cols.append(F.to_json(F.col(f.name)).alias(f.name))
+            cols.append(escape_text(F.to_json(F.col(f.name))).alias(f.name))
+        elif isinstance(f.dataType, T.StringType):
+            cols.append(escape_text(F.col(f.name)).alias(f.name))
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)
@@ -114,6 +119,9 @@ def write_snapshot(
             _textual(d)
             .write.mode(mode)
             .option("header", True)
+            .option("escape", '"')
+            .option("ignoreLeadingWhiteSpace", False)
+            .option("ignoreTrailingWhiteSpace", False)
             .option("timestampNTZFormat", SNAPSHOT_TS_FORMAT)
             .option("timestampFormat", SNAPSHOT_TS_FORMAT)
             .csv(path)

@@ -102,7 +102,7 @@ def extended_timestamp(text: F.Column, to: T.DataType, fmt: str) -> F.Column:
     utc = F.timestamp_add("MINUTE", -offset_min, wall)
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     from_millis = F.timestamp_add("MILLISECOND", millis, epoch)
-    value = F.when(millis.isNotNull() & ~inner.contains("-"), from_millis).otherwise(utc)
+    value = F.when(millis.isNotNull(), from_millis).otherwise(utc)
     return value.cast(to)
 
 

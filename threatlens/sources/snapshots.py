@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from threatlens.functions.columns import unescape_text
 from threatlens.schemas import RESULT_SCHEMAS
 
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
@@ -79,16 +80,41 @@ def read_snapshot(
         spark.read.schema(csv_schema(schema).add("run_id", T.StringType()))
         .option("header", True)
         .option("mode", "FAILFAST")
+        .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .option("timestampNTZFormat", TS_FORMAT)
         .csv(f"{root.rstrip('/')}/{kind}")
         .filter(F.col("run_id") == run_id)
     )
     for f in schema.fields:
         if isinstance(f.dataType, T.MapType):
-            df = df.withColumn(f.name, F.from_json(F.col(f.name), f.dataType))
+            df = df.withColumn(f.name, F.from_json(unescape_text(F.col(f.name)), f.dataType))
+        elif isinstance(f.dataType, T.StringType):
+            df = df.withColumn(f.name, unescape_text(F.col(f.name)))
     return df.select(*schema.fieldNames())
 
 
+def _dict_to_json():
+    """Python dict text ({'k': 'v', 'n': None}) or JSON text as JSON; other text raises."""
+
+    def convert(value):
+        import ast
+        import json
+
+        if value is None:
+            return None
+        try:
+            found = ast.literal_eval(value)
+        except (ValueError, SyntaxError):
+            found = json.loads(value)
+        if not isinstance(found, dict):
+            raise ValueError(f"not a map: {value[:80]!r}")
+        return json.dumps({str(k): None if v is None else v if isinstance(v, str) else json.dumps(v, default=str) for k, v in found.items()})
+
+    return F.udf(convert, "string")
+
+
 def flat_snapshot_paths(spark: SparkSession, folder: str, kind: str) -> list[str]:
     """Files named ``<kind>_YYYYmmdd_HHMMSS.csv`` in ``folder``, oldest first."""
     p, fs = _fs(spark, folder.rstrip("/"))
@@ -120,7 +146,5 @@ def read_flat_snapshot(spark: SparkSession, folder: str, kind: str) -> DataFrame
     )
     for f in schema.fields:
         if isinstance(f.dataType, T.MapType):
-            # {'k': 'v'} (Python text) -> {"k": "v"} (JSON) before parsing
-            as_json = F.regexp_replace(F.col(f.name), "'", '"')
-            df = df.withColumn(f.name, F.from_json(as_json, f.dataType))
+            df = df.withColumn(f.name, F.from_json(_dict_to_json()(F.col(f.name)), f.dataType))
     return df.select(*schema.fieldNames())
