@@ -47,7 +47,7 @@ LENGTH = 50
 GRAM = 16
 GRAMS = LENGTH - GRAM + 1
 BATCH_BYTES = 4 << 20
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 2 << 20
 _PIECE = 1 << 19  # string starts of a piece of a long text
 _POSITION = np.uint64((1 << 20) - 1)
 _BASE = 0xD6E8FEB86659FD93
@@ -143,8 +143,8 @@ def suffix_mergesort(h: PrefixHashes, start: np.ndarray, bucket: np.ndarray) ->
         width *= 2
     same = np.zeros(n, dtype=bool)
     maybe = np.flatnonzero(~first & (whole[order] == np.roll(whole[order], 1)))
-    for k in range(0, len(maybe), 200_000):  # byte by byte: a collision of hashes is no match
-        part = maybe[k : k + 200_000]
+    for k in range(0, len(maybe), 20_000):  # byte by byte: a collision of hashes is no match
+        part = maybe[k : k + 20_000]
         window = np.arange(LENGTH)
         same[part] = (h.data[start[order[part]][:, None] + window] == h.data[start[order[part - 1]][:, None] + window]).all(axis=1)
     return order, same
@@ -187,7 +187,7 @@ def runs(texts: list[bytes]) -> dict[str, np.ndarray]:
         found["start"].append(head - np.array(begins)[piece] + np.array([o for _, o, _ in pieces])[piece])
         found["count"].append(tail - head + 1)
         found["rel"].append(anchor[head] - head)
-        found["key"].append(gram[anchor[head]])
+        found["key"].append(_mix(gram[anchor[head]]))  # minima are small: spread them again
 
     pieces: list[tuple[int, int, bytes]] = []
     total = 0
