@@ -16,7 +16,8 @@ An n-gram that is in every document costs its shard one small entry a document,
 beforehand.  Nothing is capped: the model is as large as the corpus' n-grams, spread over
 shards whose number follows the input.
 
-N-grams are compared by 48-bit hashes.  V is estimated from the ``SKETCH`` smallest word
+N-grams are compared by hashes of 44 bits or more, 13 more than the number of bytes has.
+V is estimated from the ``SKETCH`` smallest word
 hashes of the corpus (a bottom-k sketch, exact below that size).
 
 Defined results: null and empty texts have n_tokens 0 and losses 0; rows equal in id and
@@ -34,17 +35,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threatlens.llm.common import input_bytes, partitions_for, table, text_slices, texts
+from threatlens.llm.common import input_bytes, table, text_slices, texts
 from threatlens.llm.neardup import _GOLD, _mix
 from threatlens.llm.suffixdedup import _pack, _rows_by_shard, _unpack
 
 ALPHA = 0.1
-BITS = 48
 SKETCH = 1 << 16
-SLICE = 8 << 20
-SHARD_BYTES = 16 << 20
+SLICE = 4 << 20
+#: Ranges of keys that a shard works on one after the other, to keep its arrays small.
+RANGES = 16
+#: Text whose n-grams one shard holds.
+SHARD_BYTES = 32 << 20
+#: Labelled ids that are broadcast; more of them are joined by a shuffle of the texts.
+BROADCAST_IDS = 1_000_000
 _START = np.uint64(0x51A27)
-_TOP = np.uint64(64 - BITS)
 PARTS = "shard long, docs binary, good binary, keys binary, runs binary, idx binary, counts binary"
 _FIELDS = pa.schema([("shard", pa.int64())] + [(n, pa.binary()) for n in ("docs", "good", "keys", "runs", "idx", "counts")])
 SUMS = "doc_id long, uid long, n long, target double, background double"
@@ -56,8 +60,12 @@ def _small(x: np.ndarray) -> bytes:
     return bytes([np.dtype(kind).itemsize]) + x.astype(kind).tobytes()
 
 
+def _small_view(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, dtype={1: np.uint8, 2: np.uint16, 4: np.uint32}[data[0]], offset=1)
+
+
 def _large(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, dtype={1: np.uint8, 2: np.uint16, 4: np.uint32}[data[0]], offset=1).astype(np.int64)
+    return _small_view(data).astype(np.int64)
 
 
 def word_hashes(rows: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -69,17 +77,18 @@ def word_hashes(rows: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return hashes, np.array([len(ws) for ws in words], dtype=np.int64)
 
 
-def ngrams(hashes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def ngrams(hashes: np.ndarray, sizes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Keys of each position's history and bigram: the lowest bit tells them apart."""
+    top = np.uint64(64 - bits)
     first = np.zeros(len(hashes), dtype=bool)
     first[(np.cumsum(sizes) - sizes)[sizes > 0]] = True
     history = np.where(first, _START, np.roll(hashes, 1))
-    one = _mix(history * _GOLD + np.uint64(1)) >> _TOP
-    two = _mix(_mix(history) * _GOLD + hashes) >> _TOP
+    one = _mix(history * _GOLD + np.uint64(1)) >> top
+    two = _mix(_mix(history) * _GOLD + hashes) >> top
     return one & ~np.uint64(1), two | np.uint64(1)
 
 
-def _parts(shards: int):
+def _parts(shards: int, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, "text", SLICE):
             hashes, sizes = word_hashes(texts(batch))
@@ -88,7 +97,7 @@ def _parts(shards: int):
             ids = np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("key_id", "uid")])
             good = np.array(batch.column("good").to_pylist(), dtype=bool)
             doc = np.repeat(np.arange(len(sizes)), sizes)
-            keys, docs = np.concatenate(ngrams(hashes, sizes)), np.concatenate([doc, doc])
+            keys, docs = np.concatenate(ngrams(hashes, sizes, bits)), np.concatenate([doc, doc])
             order = np.argsort(keys, kind="stable")  # documents stay in order within a key
             keys, docs = keys[order], docs[order]
             new = np.concatenate([[True], (keys[1:] != keys[:-1]) | (docs[1:] != docs[:-1])])
@@ -98,7 +107,7 @@ def _parts(shards: int):
             new = np.concatenate([[True], keys[1:] != keys[:-1]])
             heads = np.flatnonzero(new)
             sizes_of = np.diff(np.append(heads, len(keys)))
-            shard = np.minimum((keys[heads].astype(np.float64) * (shards / 2.0**BITS)).astype(np.int64), shards - 1)
+            shard = np.minimum((keys[heads].astype(np.float64) * (shards / 2.0**bits)).astype(np.int64), shards - 1)
             ends = np.append(heads, len(keys))
             rows = []
             for s, part in _rows_by_shard(shard):  # keys are sorted, so a shard's are in a row
@@ -125,26 +134,34 @@ def _losses(vocabulary: float):
         col = {c: parts.column(c).to_pylist() for c in parts.column_names}
         docs = [np.frombuffer(x, dtype=np.int64).reshape(2, -1) for x in col["docs"]]
         places = np.cumsum([0, *[d.shape[1] for d in docs]])
-        keys = np.concatenate([np.repeat(_unpack(k), _large(r)) for k, r in zip(col["keys"], col["runs"], strict=True)])
-        doc = np.concatenate([_large(x) + p for x, p in zip(col["idx"], places, strict=False)])
-        own = np.concatenate([_large(x) for x in col["counts"]]).astype(np.float64)
-        good = np.concatenate([np.frombuffer(x, dtype=bool) for x in col["good"]])[doc]
-        order = np.argsort(keys, kind="stable")
-        heads = np.flatnonzero(np.concatenate([[True], np.diff(keys[order]) != 0]))
-        sizes = np.diff(np.append(heads, len(order)))
-        total = np.empty(len(order))
-        target = np.empty(len(order))
-        total[order] = np.repeat(np.add.reduceat(own[order], heads), sizes)
-        target[order] = np.repeat(np.add.reduceat((own * good)[order], heads), sizes)
-        history = (keys & np.uint64(1)) == 0
-        prior = np.where(history, ALPHA * vocabulary, ALPHA)
-        sign = np.where(history, own, -own)  # the loss is log(history) - log(bigram)
+        keys = [_unpack(k) for k in col["keys"]]
+        ends = [np.cumsum(np.concatenate([[0], _large(r)])) for r in col["runs"]]  # of each key's entries
+        idx, counts = ([_small_view(x) for x in col[c]] for c in ("idx", "counts"))
+        good = [np.frombuffer(x, dtype=bool) for x in col["good"]]
         n = places[-1]
-        sums = [
-            np.bincount(doc, weights=own * history, minlength=n),
-            np.bincount(doc, weights=sign * np.log(np.maximum(target - own * good, 0.0) + prior), minlength=n),
-            np.bincount(doc, weights=sign * np.log(np.maximum(total - own, 0.0) + prior), minlength=n),
-        ]
+        sums = np.zeros((3, n))
+        low, high = min(k[0] for k in keys), max(k[-1] for k in keys)
+        bounds = [int(low) + (int(high) - int(low) + 1) * i // RANGES for i in range(RANGES + 1)]
+        for begin, end in zip(bounds, bounds[1:], strict=False):
+            cut = [np.searchsorted(k, np.array([begin, end], dtype=np.uint64)) for k in keys]
+            key = np.concatenate([np.repeat(k[i:j], np.diff(e[i : j + 1])) for k, e, (i, j) in zip(keys, ends, cut, strict=True)])
+            if not len(key):
+                continue
+            span = [(e[i], e[j]) for e, (i, j) in zip(ends, cut, strict=True)]
+            doc = np.concatenate([x[i:j].astype(np.int64) + p for x, p, (i, j) in zip(idx, places, span, strict=False)])
+            own = np.concatenate([x[i:j].astype(np.float64) for x, (i, j) in zip(counts, span, strict=True)])
+            liked = own * np.concatenate([g[x[i:j]] for g, x, (i, j) in zip(good, idx, span, strict=True)])
+            order = np.argsort(key, kind="stable")
+            heads = np.flatnonzero(np.concatenate([[True], np.diff(key[order]) != 0]))
+            sizes = np.diff(np.append(heads, len(order)))
+            history = (key & np.uint64(1)) == 0
+            prior = np.where(history, ALPHA * vocabulary, ALPHA)
+            sign = np.where(history, own, -own)  # the loss is log(history) - log(bigram)
+            sums[0] += np.bincount(doc, weights=own * history, minlength=n)
+            for row, mine in ((1, liked), (2, own)):
+                total = np.empty(len(order))
+                total[order] = np.repeat(np.add.reduceat(mine[order], heads), sizes)
+                sums[row] += np.bincount(doc, weights=sign * np.log(np.maximum(total - mine, 0.0) + prior), minlength=n)
         ids = np.concatenate(docs, axis=1)
         return pa.Table.from_arrays(
             [pa.array(ids[0]), pa.array(ids[1]), pa.array(sums[0].astype(np.int64)), pa.array(sums[1]), pa.array(sums[2])],
@@ -175,14 +192,17 @@ def cross_entropy_difference(docs: DataFrame, labels: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     best = labels.select(F.col("doc_id").cast("long").alias("doc_id"), ((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)).alias("good"))
     best = best.filter("good").select("doc_id", "good").distinct()
+    if best.count() <= BROADCAST_IDS:
+        best = F.broadcast(best)
     null_id = -(1 << 63)
     total = input_bytes(rows)
-    shards = partitions_for(spark, total, SHARD_BYTES)
+    shards = max(1, -(-total // SHARD_BYTES))
+    bits = min(60, max(44, total.bit_length() + 13))
     vocabulary = vocabulary_size(rows)
     marked = rows.join(best, "doc_id", "left").select(
         F.coalesce("doc_id", F.lit(null_id)).alias("key_id"), F.xxhash64("text").alias("uid"), F.coalesce("good", F.lit(False)).alias("good"), "text"
     )
-    sums = marked.mapInArrow(_parts(shards), PARTS).groupBy("shard").applyInArrow(_losses(vocabulary), SUMS)
+    sums = marked.mapInArrow(_parts(shards, bits), PARTS).groupBy("shard").applyInArrow(_losses(vocabulary), SUMS)
     scored = sums.groupBy("doc_id", "uid").agg(*[F.sum(c).alias(c) for c in ("n", "target", "background")])
     empty = rows.filter(~F.col("text").rlike(r"(?U)\S")).distinct()
     n = F.col("n")
