@@ -12,14 +12,21 @@ large set costs little more than its size.  Registers of a union are the maxima.
 
 Candidates: ``BAND`` registers in a row are a band, and nodes that share a band value share
 a bucket.  A register of two sets with similarity J is equal with a probability of at
-least J, so at J = 0.8 all 42 bands miss with probability (1 - 0.8**5)**42 = 6e-8.
-
-Links: in each bucket every node is first compared with the bucket's smallest node; nodes
-so linked form components.  Then, in the buckets that still hold nodes of different
-components, the nodes are compared across components.  Pairs inside a component are never
-compared, so a bucket of many near copies costs one comparison for each of them.  For each pair the
-similarity is estimated by maximum likelihood from both sketches together and the set
-sizes; pairs clearly below the limit go, the others are confirmed on the full sets.
+least J, so at J = 0.8 all 75 bands miss with probability (1 - 0.8**8)**75 = 1e-6; at
+J = 0.07, usual for two unrelated documents of a language, a band agrees with 6e-10.
+
+Links: every node is first compared with the two nodes that are smallest in most of its
+buckets; nodes so linked form components.  In the buckets that still hold nodes of
+different components, three more rounds compare each node with two drawn nodes of other
+components, and then what is left is compared across components in full.  Pairs inside a
+component are never compared, so a bucket of many near copies costs a few comparisons for
+each of them.  A node with too many shingles of its own (that no other open node has)
+can't reach the limit with anyone; that exact bound is part of the last join, so the
+outliers of a large group are not held against all of it.
+
+For each pair the similarity is estimated by maximum likelihood from both sketches
+together and the set sizes; pairs clearly below the limit go, the others are confirmed on
+the full sets.
 
 Components: the smallest label spreads along the links, with pointer jumping; each round
 is checkpointed in the shared folder.
@@ -40,16 +47,18 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from threatlens.llm.common import id_text, text_slices, texts
 from threatlens.session import ensure_checkpoint_dir
 
-REGISTERS = 211  # a prime: any step through the registers meets each once
-BAND = 5
+REGISTERS = 601  # a prime: any step through the registers meets each once
+BAND = 8
 BANDS = REGISTERS // BAND
 BASE = 1.02
 RATE = 20.0
-MARGIN = 0.14  # five standard errors of the estimate at 0.8
+TURNS = 3  # rounds against drawn nodes, before what is left is compared in full
+MARGIN = 0.085  # five standard errors of the estimate at 0.8
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -200,15 +209,55 @@ def _verify(percent: int):
     return run
 
 
-def verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough, checkpointed."""
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = docs.join(nodes, "doc_id", "left_semi").mapInArrow(_set_rows(k), "doc_id long, registers binary, shingles binary")
     side = lambda n: sets.select(F.col("doc_id").alias(n), F.col("registers").alias(f"r{n}"), F.col("shingles").alias(f"s{n}"))
-    full = pairs.join(side("b"), "b").join(side("a"), "a")
+    full = pairs.select("a", "b").join(side("b"), "b").join(side("a"), "a")
     return full.mapInArrow(_verify(percent), "a long, b long").distinct().checkpoint()
 
 
+def _shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(shingle, doc_id) for each shingle of the packed sets."""
+    for batch in batches:
+        sets = [np.frombuffer(x, dtype=np.int64) for x in batch.column("shingles").to_pylist()]
+        for k in range(0, len(sets), 200):
+            part = sets[k : k + 200]
+            if part:
+                ids = np.repeat(batch.column("doc_id").to_numpy(zero_copy_only=False)[k : k + 200], [len(x) for x in part])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(part)), pa.array(ids)], names=["shingle", "node"])
+
+
+def shared_sizes(sets: DataFrame) -> DataFrame:
+    """node, n, shared: the size of its set, and how many of a node's shingles another of these nodes has too."""
+    rows = sets.mapInArrow(_shingle_rows, "shingle long, node long")
+    alone = rows.groupBy("shingle").agg(F.min("node").alias("node"), F.max("node").alias("last")).filter("node = last")
+    alone = alone.groupBy("node").agg(F.count(F.lit(1)).alias("alone"))
+    sizes = sets.groupBy(F.col("doc_id").alias("node")).agg(
+        F.max(F.octet_length("shingles") / 8).cast("long").alias("n"), F.count(F.lit(1)).alias("rows")
+    )
+    # a node of several rows has several sets: no bound for it
+    n = F.when(F.col("rows") == 1, F.col("n"))
+    return sizes.join(alone, "node", "left").select("node", n.alias("n"), (n - F.coalesce("alone", F.lit(0))).alias("shared"))
+
+
+def _most_shared(pairs: DataFrame) -> DataFrame:
+    """Of pairs (a, b), one row for each bucket they share, the two of each node (``node``,
+    or b) that share the most; each pair once."""
+    node = "node" if "node" in pairs.columns else "b"
+    most = Window.partitionBy(node).orderBy(F.desc("times"), "a", "b")
+    counted = pairs.groupBy(*dict.fromkeys(["a", "b", node])).agg(F.count(F.lit(1)).alias("times"))
+    return counted.withColumn("rank", F.row_number().over(most)).filter("rank <= 2").select("a", "b").distinct().checkpoint()
+
+
+def _open_rows(buckets: DataFrame, label: DataFrame, bounds: DataFrame | None) -> DataFrame:
+    """band, node, label of the buckets with nodes of several components."""
+    rows = buckets.join(label, "node", "left").select("band", "node", F.coalesce("label", "node").alias("label"))
+    if bounds is not None:
+        rows = rows.join(bounds.select("node"), "node", "left_semi")
+    split = rows.groupBy("band").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y").select("band")
+    return rows.join(split, "band").checkpoint()
+
+
 def components(links: DataFrame) -> DataFrame:
     """node, label: the smallest node reachable over the links (a, b)."""
     ends = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -236,20 +285,41 @@ def link_documents(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     members = found.select("doc_id", "n_shingles", "class").join(classes, "class", "left")
     # one bands array for each class; only bands that two nodes share make a bucket
     nodes = found.filter("class is not null").groupBy("class").agg(F.min("doc_id").alias("node"), F.any_value("bands").alias("bands"))
-    bands = nodes.filter("node is not null").select("node", F.explode("bands").alias("band"))
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bands = nodes.filter("node is not null").select("node", F.explode("bands").alias("band")).repartition(parts, "band")
     shared = bands.groupBy("band").agg(F.min("node").alias("hub"), F.max("node").alias("last")).filter("hub <> last").select("band", "hub")
     buckets = bands.join(shared, "band").checkpoint()  # the rows of shared buckets alone
-    first = buckets.filter("hub <> node").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct().checkpoint()
-    links = verified(first, rows, k, percent)
+    sets = rows.join(buckets.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    sets = sets.mapInArrow(_set_rows(k), "doc_id long, registers binary, shingles binary").checkpoint()
+    # a first round against each bucket's smallest node, then against others of it
+    tested = _most_shared(buckets.filter("hub <> node").select(F.col("hub").alias("a"), F.col("node").alias("b")))
+    links = verified(tested, sets, percent)
     label = components(links)
-    labelled = buckets.join(label, "node", "left").select("band", "node", F.coalesce("label", "node").alias("label"))
-    split = labelled.groupBy("band").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y").select("band")
-    open_rows = labelled.join(split, "band")
-    left, right = (open_rows.select("band", F.col("node").alias(n), F.col("label").alias(f"l{n}")) for n in ("a", "b"))
-    across = left.join(right, "band").filter("a < b and la <> lb").select("a", "b").distinct().join(first, ["a", "b"], "left_anti").checkpoint()
-    more = verified(across, rows, k, percent) if across.limit(1).count() else None
-    if more is not None:
-        label = components(links.union(more))
+    bounds = None
+    for turn in range(TURNS):
+        open_rows = _open_rows(buckets, label, bounds)
+        if bounds is None:
+            open_sets = sets.join(open_rows.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
+            # a node with too many shingles of its own reaches the limit with nobody
+            bounds = shared_sizes(open_sets).filter(F.coalesce(100 * F.col("shared") >= percent * F.col("n"), F.lit(True))).checkpoint()
+            open_rows = _open_rows(buckets, label, bounds)
+        draw = F.xxhash64("node", F.lit(turn))
+        hubs = open_rows.groupBy("band").agg(F.min(F.struct(draw.alias("draw"), "node", "label")).alias("hub"))
+        pairs = open_rows.join(hubs, "band").filter("label <> hub.label").select(
+            F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b"), "node"
+        )
+        pairs = _most_shared(pairs.join(tested, ["a", "b"], "left_anti"))
+        links = links.union(verified(pairs, sets, percent))
+        tested = tested.union(pairs)
+        label = components(links)
+    open_rows = _open_rows(buckets, label, bounds).join(bounds, "node")
+    left, right = (open_rows.select("band", F.col("node").alias(n), *[F.col(c).alias(f"{c}_{n}") for c in ("label", "n", "shared")]) for n in ("a", "b"))
+    # at most so many shingles can be common to both
+    reach = F.coalesce((100 + percent) * F.least("shared_a", "shared_b") >= percent * (F.col("n_a") + F.col("n_b")), F.lit(True))
+    across = left.join(right, "band").filter((F.col("a") < F.col("b")) & (F.col("label_a") != F.col("label_b")) & reach)
+    across = across.select("a", "b").distinct().join(tested, ["a", "b"], "left_anti").checkpoint()
+    if across.limit(1).count():
+        label = components(links.union(verified(across, sets, percent)))
     out = members.join(label.withColumnRenamed("node", "rep"), "rep", "left")
     component = F.coalesce("label", "rep", "doc_id")
     component = F.when(F.col("doc_id").isNotNull(), F.when(F.col("n_shingles") > 0, component).otherwise(F.col("doc_id")))
