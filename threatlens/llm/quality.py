@@ -142,7 +142,7 @@ def train(docs: DataFrame, labels: DataFrame, rules: RuleFitRules = RuleFitRules
     ensure_checkpoint_dir(docs.sparkSession)
     # at most max_labels ids and labels: a proven bound for the broadcast
     chosen = id_text(docs).join(F.broadcast(sample.select("doc_id")), "doc_id")
-    rows = with_statistics(chosen).join(F.broadcast(sample), "doc_id").repartition(8, "doc_id").checkpoint()
+    rows = with_statistics(chosen).join(F.broadcast(sample), "doc_id").repartition(8).sortWithinPartitions("doc_id").checkpoint()
     classes = [r["label"] for r in rows.select("label").distinct().collect()]
     if len(classes) < 2:
         return RuleModel(0.0 if not classes else 20.0 * (2 * classes[0] - 1), ())
