@@ -11,10 +11,10 @@ A template recurs if at least ``min_lines`` lines in two or more documents have
 two or more surroundings (the templates of the line before and after).  The lines of a
 copied document keep their surroundings: they are left to the near-duplicate stage.  A
 line goes if one of its templates recurs and the template's first document (smallest
-doc_id) is another one; so one example of each template stays.
+doc_id, null last) is another one; so one example of each template stays.
 
-Templates are counted with partial aggregates and joined back by key; nothing is
-collected or broadcast by hand, and only keys, not lines, are shuffled.
+Only keys, not lines, are shuffled, and once: the counts and the join back read the same
+exchange.  Nothing is collected or broadcast by hand.
 
 Defined results: a null text stays null and has no lines; an empty line, or one with
 fewer than ``min_words`` words, always stays; rows equal in id and text are treated
@@ -71,7 +71,7 @@ def line_keys(rows: DataFrame, rules: TemplateRules) -> DataFrame:
         "doc_id",
         F.xxhash64("text").alias("_hash"),
         F.transform(
-            F.split(masked, "\n", -1), lambda x: F.filter(F.split(x, r"\s+"), lambda w: w != "")
+            F.split(masked, "\n", -1), lambda x: F.filter(F.split(x, " "), lambda w: w != "")
         ).alias("_words"),
     )
     keyed = lines.select("doc_id", "_hash", F.transform("_words", lambda w: _keys(w, rules)).alias("_keys"))
@@ -91,21 +91,25 @@ def line_keys(rows: DataFrame, rules: TemplateRules) -> DataFrame:
 
 def dropped_lines(rows: DataFrame, rules: TemplateRules = TemplateRules()) -> DataFrame:
     """doc_id, _hash, _drop: the line numbers that go from each text that loses some."""
-    keys = line_keys(rows, rules)
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # one exchange by key serves both the counts and the join back
+    keys = line_keys(rows, rules).repartition(parts, "_key")
+    doc = F.xxhash64("doc_id", "_hash")
     recurring = (
         keys.groupBy("_key")
         .agg(
             F.count(F.lit(1)).alias("_n"),
             F.min("_around").alias("_a"),
             F.max("_around").alias("_b"),
-            F.min(F.struct("doc_id", "_hash")).alias("_first"),
-            F.max(F.struct("doc_id", "_hash")).alias("_last"),
+            F.min(doc).alias("_c"),
+            F.max(doc).alias("_d"),
+            F.min("doc_id").alias("_first"),
         )
-        .filter((F.col("_n") >= rules.min_lines) & (F.col("_a") != F.col("_b")) & (F.col("_first") != F.col("_last")))
+        .filter((F.col("_n") >= rules.min_lines) & (F.col("_a") != F.col("_b")) & (F.col("_c") != F.col("_d")))
         .select("_key", "_first")
     )
     again = keys.select("doc_id", "_hash", "_line", "_key").join(recurring, "_key")
-    gone = again.filter(~F.struct("doc_id", "_hash").eqNullSafe(F.col("_first")))
+    gone = again.filter(~F.col("doc_id").eqNullSafe(F.col("_first")))
     return gone.groupBy("doc_id", "_hash").agg(F.collect_set("_line").alias("_drop"))
 
 
