@@ -35,6 +35,18 @@ def test_copies_and_clean_documents_keep_their_lines(frame):
     assert all(out[i] == (t, 3, 0) for i, t in rows)
 
 
+def test_a_long_line_in_two_documents_goes_from_the_second(frame):
+    # the long line, in words or in characters, needs two documents; the short one three lines
+    for line, dropped in ((LICENSE, 1), ("Uninterruptedly misunderstanding internationalisation everywhere", 1), ("so he did", 0)):
+        rows = [(1, f"head u of text\n{line}\ntail u of text"), (2, f"head v of text\n{line}\ntail v of text")]
+        out = cleaned(frame(rows))
+        assert out[1] == (rows[0][1], 3, 0) and out[2][2] == dropped
+    names = "anna", "bert"
+    line = "The visitor {} came to the old town hall to read the new book of the house today"
+    rows = [(i, f"intro {n} words\n{line.format(n)}\nend {n} words") for i, n in enumerate(names)]
+    assert [cleaned(frame(rows))[i][2] for i in range(2)] == [0, 0]
+
+
 def test_edge_cases(frame):
     rows = [(1, None), (2, ""), (3, "\n\n"), (4, "one two"), (5, "one two"), (6, "x one two"), (None, LICENSE + "\nu v w"), (8, "q r s\n" + LICENSE), (9, "e f g\n" + LICENSE + "\nh i j")]
     out = cleaned(frame(rows))

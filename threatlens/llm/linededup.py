@@ -7,8 +7,10 @@ line of ``block_words`` or more words has, beside its full template, four templa
 each of which one quarter of the words after the leading ones is a wildcard, so lines
 that differ inside one quarter meet in one template.
 
-A template recurs if at least ``min_lines`` lines in two or more documents have it, in
-two or more surroundings (the templates of the line before and after).  The lines of a
+A template recurs if lines in two or more documents have it, in two or more surroundings
+(the templates of the line before and after).  The full template of a long line (of
+``block_words`` words or ``long_chars`` characters) needs no more than that; a wildcard
+template and a shorter line's need ``min_lines`` lines.  The lines of a
 copied document keep their surroundings: they are left to the near-duplicate stage.  A
 line goes if one of its templates recurs and the template's first document (smallest
 doc_id, null last) is another one; so one example of each template stays.
@@ -32,7 +34,10 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class TemplateRules:
+    #: lines that a wildcard template or a shorter line needs
     min_lines: int = 3
+    #: characters from which a line of fewer than ``block_words`` words is long
+    long_chars: int = 40
     min_words: int = 3
     lead_words: int = 2
     #: shortest line with wildcard templates, in words
@@ -45,7 +50,8 @@ BLOCKS = 4
 
 def _keys(words: Column, rules: TemplateRules) -> Column:
     """The template keys of one line's words: the leaf (count and leading words) hashed
-    together with the words that the template fixes."""
+    together with the words that the template fixes.  The lowest bit is 1 if the template
+    needs ``min_lines`` lines."""
     n = F.size(words)
     lead = F.array_join(F.slice(words, 1, rules.lead_words), " ")
     rest = n - rules.lead_words
@@ -54,12 +60,15 @@ def _keys(words: Column, rules: TemplateRules) -> Column:
         begin = rules.lead_words + 1 + F.floor(rest * k / BLOCKS).cast("int")
         end = rules.lead_words + 1 + F.floor(rest * (k + 1) / BLOCKS).cast("int")
         blocks.append(F.xxhash64(F.array_join(F.slice(words, begin, F.greatest(end - begin, F.lit(0))), " ")))
-    full = F.xxhash64(F.lit(-1), n, lead, *blocks)
-    wild = [F.xxhash64(F.lit(k), n, lead, *[b for j, b in enumerate(blocks) if j != k]) for k in range(BLOCKS)]
+    even = lambda h: h.bitwiseAND(F.lit(-2))
+    full = even(F.xxhash64(F.lit(-1), n, lead, *blocks))
+    wild = [F.xxhash64(F.lit(k), n, lead, *[b for j, b in enumerate(blocks) if j != k]).bitwiseOR(F.lit(1)) for k in range(BLOCKS)]
+    line = F.array_join(words, " ")
+    short = even(F.xxhash64(F.lit(-1), n, line)) + F.when(F.length(line) < rules.long_chars, F.lit(1)).otherwise(F.lit(0))
     # one hash of the words for the surroundings comes first
     return (
         F.when(n < rules.min_words, F.array(F.xxhash64(F.array_join(words, " "))))
-        .when(n < rules.block_words, F.array(F.xxhash64(F.lit(-1), n, F.array_join(words, " ")), F.xxhash64(F.lit(-1), n, F.array_join(words, " "))))
+        .when(n < rules.block_words, F.array(short, short))
         .otherwise(F.array(full, full, *wild))
     )
 
@@ -105,7 +114,8 @@ def dropped_lines(rows: DataFrame, rules: TemplateRules = TemplateRules()) -> Da
             F.max(doc).alias("_d"),
             F.min("doc_id").alias("_first"),
         )
-        .filter((F.col("_n") >= rules.min_lines) & (F.col("_a") != F.col("_b")) & (F.col("_c") != F.col("_d")))
+        .filter((F.col("_n") >= F.when(F.col("_key").bitwiseAND(F.lit(1)) == 1, rules.min_lines).otherwise(2)))
+        .filter((F.col("_a") != F.col("_b")) & (F.col("_c") != F.col("_d")))
         .select("_key", "_first")
     )
     again = keys.select("doc_id", "_hash", "_line", "_key").join(recurring, "_key")
