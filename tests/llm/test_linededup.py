@@ -47,6 +47,22 @@ def test_a_long_line_in_two_documents_goes_from_the_second(frame):
     assert [cleaned(frame(rows))[i][2] for i in range(2)] == [0, 0]
 
 
+def test_blocks_of_lines_go_as_a_whole(frame):
+    block = "The first of many lines of the licence stands here\nand the second line of it follows\nthe third line ends it for all"
+    names = "uvwxyz"
+    own = [f"a quite {c} line of its own document" for c in names]
+    places = [f"{{}}\n{block}", f"{block}\n{{}}", f"{{}}\n{block}\n{{}}"]
+    for place in places:
+        rows = [(i, place.format(f"head {t}", f"tail {t}")) for i, t in enumerate(own)]
+        out = cleaned(frame(rows))
+        assert out[0] == (rows[0][1], rows[0][1].count("\n") + 1, 0)
+        assert all(out[i][2] == 3 and "licence" not in out[i][0] and names[i] in out[i][0] for i in range(1, 6))
+    # a document's only line, and exact copies of the first and of another document
+    rows = [(0, own[0] + "\n" + LICENSE), (1, LICENSE), (2, own[1] + "\n" + LICENSE), (3, own[0] + "\n" + LICENSE), (4, own[1] + "\n" + LICENSE)]
+    out = cleaned(frame(rows))
+    assert [out[i][2] for i in range(5)] == [0, 1, 1, 0, 1] and out[0][0] == out[3][0] and out[2][0] == out[4][0] == own[1]
+
+
 def test_edge_cases(frame):
     rows = [(1, None), (2, ""), (3, "\n\n"), (4, "one two"), (5, "one two"), (6, "x one two"), (None, LICENSE + "\nu v w"), (8, "q r s\n" + LICENSE), (9, "e f g\n" + LICENSE + "\nh i j")]
     out = cleaned(frame(rows))

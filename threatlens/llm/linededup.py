@@ -7,13 +7,14 @@ line of ``block_words`` or more words has, beside its full template, four templa
 each of which one quarter of the words after the leading ones is a wildcard, so lines
 that differ inside one quarter meet in one template.
 
-A template recurs if lines in two or more documents have it, in two or more surroundings
-(the templates of the line before and after).  The full template of a long line (of
-``block_words`` words or ``long_chars`` characters) needs no more than that; a wildcard
-template and a shorter line's need ``min_lines`` lines.  The lines of a
-copied document keep their surroundings: they are left to the near-duplicate stage.  A
-line goes if one of its templates recurs and the template's first document (smallest
-doc_id, null last) is another one; so one example of each template stays.
+A template recurs if lines in two or more documents of different texts have it.  The full
+template of a long line (of ``block_words`` words or ``long_chars`` characters) needs no
+more than that; a wildcard template and a shorter line's need ``min_lines`` lines.  A line
+goes if one of its templates recurs and the template's first document (smallest doc_id,
+null last) is another one; so one example of each template stays.  Exact copies of a text
+count as one document, lose the same lines and so stay exact copies: they are left to the
+near-duplicate stage.  What else stands around a line does not matter, so a block of lines
+goes as a whole.
 
 Only keys, not lines, are shuffled, and once: the counts and the join back read the same
 exchange.  Nothing is collected or broadcast by hand.
@@ -65,16 +66,11 @@ def _keys(words: Column, rules: TemplateRules) -> Column:
     wild = [F.xxhash64(F.lit(k), n, lead, *[b for j, b in enumerate(blocks) if j != k]).bitwiseOR(F.lit(1)) for k in range(BLOCKS)]
     line = F.array_join(words, " ")
     short = even(F.xxhash64(F.lit(-1), n, line)) + F.when(F.length(line) < rules.long_chars, F.lit(1)).otherwise(F.lit(0))
-    # one hash of the words for the surroundings comes first
-    return (
-        F.when(n < rules.min_words, F.array(F.xxhash64(F.array_join(words, " "))))
-        .when(n < rules.block_words, F.array(short, short))
-        .otherwise(F.array(full, full, *wild))
-    )
+    return F.when(n < rules.min_words, F.array().cast("array<bigint>")).when(n < rules.block_words, F.array(short)).otherwise(F.array(full, *wild))
 
 
 def line_keys(rows: DataFrame, rules: TemplateRules) -> DataFrame:
-    """_doc (id and text hash), _line, _key, _around for each line and template."""
+    """doc_id, _hash (of the text), _line, _key for each line and template."""
     masked = F.regexp_replace("text", r"(?<!\S)[^\s\d]*+\d\S*+", WILDCARD)
     lines = rows.filter(F.col("text").isNotNull()).select(
         "doc_id",
@@ -83,19 +79,8 @@ def line_keys(rows: DataFrame, rules: TemplateRules) -> DataFrame:
             F.split(masked, "\n", -1), lambda x: F.filter(F.split(x, " "), lambda w: w != "")
         ).alias("_words"),
     )
-    keyed = lines.select("doc_id", "_hash", F.transform("_words", lambda w: _keys(w, rules)).alias("_keys"))
-    around = F.transform(
-        "_keys",
-        lambda k, i: F.struct(
-            i.alias("line"),
-            F.slice(k, 2, BLOCKS + 1).alias("keys"),
-            F.xxhash64(F.get(F.get(F.col("_keys"), i - 1), F.lit(0)), F.get(F.get(F.col("_keys"), i + 1), F.lit(0))).alias("around"),
-        ),
-    )
-    flat = keyed.select("doc_id", "_hash", F.explode(around).alias("_at"))
-    return flat.select(
-        "doc_id", "_hash", F.col("_at.line").alias("_line"), F.explode("_at.keys").alias("_key"), F.col("_at.around").alias("_around")
-    )
+    keyed = lines.select("doc_id", "_hash", F.posexplode(F.transform("_words", lambda w: _keys(w, rules))).alias("_line", "_keys"))
+    return keyed.select("doc_id", "_hash", "_line", F.explode("_keys").alias("_key"))
 
 
 def dropped_lines(rows: DataFrame, rules: TemplateRules = TemplateRules()) -> DataFrame:
@@ -103,23 +88,21 @@ def dropped_lines(rows: DataFrame, rules: TemplateRules = TemplateRules()) -> Da
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # one exchange by key serves both the counts and the join back
     keys = line_keys(rows, rules).repartition(parts, "_key")
-    doc = F.xxhash64("doc_id", "_hash")
     recurring = (
         keys.groupBy("_key")
         .agg(
             F.count(F.lit(1)).alias("_n"),
-            F.min("_around").alias("_a"),
-            F.max("_around").alias("_b"),
-            F.min(doc).alias("_c"),
-            F.max(doc).alias("_d"),
+            F.min("_hash").alias("_a"),
+            F.max("_hash").alias("_b"),
             F.min("doc_id").alias("_first"),
+            F.min_by("_hash", F.coalesce("doc_id", F.lit((1 << 63) - 1))).alias("_text"),
         )
         .filter((F.col("_n") >= F.when(F.col("_key").bitwiseAND(F.lit(1)) == 1, rules.min_lines).otherwise(2)))
-        .filter((F.col("_a") != F.col("_b")) & (F.col("_c") != F.col("_d")))
-        .select("_key", "_first")
+        .filter(F.col("_a") != F.col("_b"))
+        .select("_key", "_first", "_text")
     )
-    again = keys.select("doc_id", "_hash", "_line", "_key").join(recurring, "_key")
-    gone = again.filter(~F.col("doc_id").eqNullSafe(F.col("_first")))
+    again = keys.join(recurring, "_key")
+    gone = again.filter(~F.col("doc_id").eqNullSafe(F.col("_first")) & (F.col("_hash") != F.col("_text")))
     return gone.groupBy("doc_id", "_hash").agg(F.collect_set("_line").alias("_drop"))
 
 
