@@ -63,6 +63,34 @@ def test_blocks_of_lines_go_as_a_whole(frame):
     assert [out[i][2] for i in range(5)] == [0, 1, 1, 0, 1] and out[0][0] == out[3][0] and out[2][0] == out[4][0] == own[1]
 
 
+def test_white_space_and_scripts_without_blanks(frame):
+    line = "shared words of the house stand in this line"
+    rows = [(0, f"u of own\n{line}\nend u"), (1, f"v of own\r\n{line}\r\nend v"), (2, "w of own\n" + line.replace(" ", "\t") + "\nend w")]
+    rows += [(3, "x of own\n" + line.replace(" ", "\u00a0") + "\nend x")]
+    out = cleaned(frame(rows))
+    assert [out[i][2] for i in range(4)] == [0, 1, 1, 1] and out[1][0] == "v of own\r\nend v"
+    for long, short in (("本网站的所有内容未经许可不得转载或使用", "第一章"), ("ข้อความทั้งหมดในเว็บไซต์นี้สงวนลิขสิทธิ์", "บทที่"), ("antidisestablishmentarianism", "one two")):
+        rows = [(i, f"{c} own line\n{long}\n{short}\n{c} other end") for i, c in enumerate("uvwxyz")]
+        out = cleaned(frame(rows))
+        assert [out[i][2] for i in range(6)] == [0, 1, 1, 1, 1, 1] and all(short in out[i][0] for i in range(6))
+    # years are masked within a line without blanks, and different lines are not
+    rows = [(i, f"版权所有二零年{1990 + i}年本网站保留全部权利") for i in range(4)] + [(9, "今天1990我们去公园散步然后回家吃饭")]
+    out = cleaned(frame(rows))
+    assert [out[i][2] for i in (0, 1, 2, 3, 9)] == [0, 1, 1, 1, 0]
+
+
+def test_keys_of_many_lines_are_dealt_over_the_partitions(spark, frame, docs, monkeypatch):
+    rows = [(i, f"head {'abcdefgh'[i % 8]}{'uvwxyz'[i // 8 % 6]} of text\n{LICENSE}") for i in range(400)] + [(900, LICENSE), (None, LICENSE + "\na b c")]
+    df = frame(rows)
+    want = sorted(map(tuple, L.line_dedup(None, df).collect()), key=repr), sorted(map(tuple, L.line_dedup(None, docs).collect()), key=repr)
+    assert sum(r[2] for r in want[0]) > 300
+    monkeypatch.setattr(L, "SAMPLE", 1)
+    monkeypatch.setattr(L, "HOT_LINES", 2)
+    hot = L.hot_keys(df.select("doc_id", "text"), L.TemplateRules(), 4)
+    assert len(hot) == 4
+    assert (sorted(map(tuple, L.line_dedup(None, df).collect()), key=repr), sorted(map(tuple, L.line_dedup(None, docs).collect()), key=repr)) == want
+
+
 def test_edge_cases(frame):
     rows = [(1, None), (2, ""), (3, "\n\n"), (4, "one two"), (5, "one two"), (6, "x one two"), (None, LICENSE + "\nu v w"), (8, "q r s\n" + LICENSE), (9, "e f g\n" + LICENSE + "\nh i j")]
     out = cleaned(frame(rows))
