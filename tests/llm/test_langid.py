@@ -68,6 +68,24 @@ def test_code_lengths_equal_the_definition(corpus):
         assert got == pytest.approx(want, rel=1e-4) or "z" in probe and got >= want - 1e-3
 
 
+def test_every_language_is_learned(spark):
+    rng = random.Random(8)
+    names = [f"l{k:02d}" for k in range(70)]
+    words = {g: ["".join(rng.choice("abcdefghijklmnop") for _ in range(5)) for _ in range(8)] for g in names}
+    few = {"l69": 3}
+    rows = [(g, " ".join(rng.choice(words[g]) for _ in range(20))) for g in names for _ in range(few.get(g, 6))]
+    docs = spark.createDataFrame([(i, t, g) for i, (g, t) in enumerate(rows)], "doc_id long, text string, lang string").coalesce(2)
+    lang = {i: g for i, (g, _) in enumerate(rows)}
+    learned = {g for i, g in lang.items() if zlib.crc32(str(i).encode()) % 4 != 2}
+    trees = G.train(docs, G.TrainRules(langs_per_block=16))
+    assert len(trees) == 5 and [x for b in trees for x in b.langs] == sorted(learned) and len(learned) >= 69
+    out = G.predict(docs, trees).collect()
+    assert all(r["lang_pred"] == lang[r["doc_id"]] for r in out if lang[r["doc_id"]] in learned)
+    # the bound on counts takes the same share of each language
+    small = G.train(docs.filter("lang in ('l01', 'l69')"), G.TrainRules(grams_per_lang=20))
+    assert small[0].langs == ["l01", "l69"]
+
+
 def test_rejects_and_empty_tables(spark, corpus):
     docs, rows = corpus
     out = G.stage(spark, docs, "")

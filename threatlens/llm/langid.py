@@ -12,7 +12,10 @@ Bytes are folded first: ASCII capitals to small letters, digits to ``0``, white
 a blank; bytes that training never met share one symbol.
 
 Training reads a bounded sample of labelled documents (``docs_per_lang``), counted by
-Spark; the frozen trees are at most ``max_table_bytes`` and are broadcast.
+Spark.  Every language is learned, from its own ``grams_per_lang`` most frequent counts.
+The trees are frozen and broadcast in blocks of ``langs_per_block`` languages of at most
+``max_table_bytes`` each, over one common alphabet, so code lengths compare across blocks;
+a worker holds all blocks, so its memory grows with the number of languages.
 
 Defined results: a null text, an empty text and one without any letter are ``und`` with
 score 0, and so is every text if there is nothing to learn from; equal code lengths take
@@ -29,8 +32,10 @@ from types import SimpleNamespace
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from threatlens.llm.common import fold, id_text, text_slices, texts
 
@@ -47,15 +52,15 @@ _FOLD[9:14] = 32
 class TrainRules:
     #: expected number of training documents per language; a language with fewer gives all
     docs_per_lang: int = 2000
-    #: languages learned, the most frequent ones
-    max_langs: int = 64
-    #: different (context, byte) pairs kept over all languages, the most frequent ones
-    max_grams: int = 600_000
+    #: different (context, byte) pairs kept of each language, its most frequent ones
+    grams_per_lang: int = 150_000
+    #: languages of one frozen table
+    langs_per_block: int = 4
     #: symbols of the folded byte alphabet, the most frequent ones; the rest share one
     max_symbols: int = 110
     #: a context of order 3 is kept from so many occurrences on
     min_context: int = 6
-    #: bound of the frozen table that is broadcast
+    #: bound of a block's frozen table
     max_table_bytes: int = 48 << 20
 
 
@@ -75,38 +80,57 @@ def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def train(docs: DataFrame, rules: TrainRules = TrainRules()) -> SimpleNamespace | None:
-    """Learn from the documents with a language outside fold 2 of 4."""
+def train(docs: DataFrame, rules: TrainRules = TrainRules()) -> list[SimpleNamespace] | None:
+    """Learn from the documents with a language outside fold 2 of 4: the trees of each block
+    of languages, in the order of the names."""
     known = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).filter(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & (fold("doc_id", 4) != 2)
     )
-    sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(rules.max_langs).collect()
+    sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("size")).collect()
     if not sizes:
         return None
-    share = F.create_map(*[x for r in sizes for x in (F.lit(r["lang"]), F.lit(min(1.0, rules.docs_per_lang / r["n"])))])
+    share = docs.sparkSession.createDataFrame([(r["lang"], rules.docs_per_lang / r["size"]) for r in sizes], "lang string, share double")
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / F.lit(1 << 30)
-    sample = known.filter(draw < share[F.col("lang")])
+    sample = known.join(F.broadcast(share), "lang").filter(draw < F.col("share"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "code"))
     counts = (
         sample.select("lang", "text")
         .mapInArrow(_grams, "lang string, code long, n long")
         .groupBy("lang", "code")
         .agg(F.sum("n").alias("n"))
-        .orderBy(F.desc("n"), "lang", "code")
-        .limit(rules.max_grams)
-        .toArrow()
-        .to_pandas()
+        .withColumn("place", place)
+        .filter(F.col("place") <= rules.grams_per_lang)
+        .drop("place")
     )
-    return freeze(counts, rules) if len(counts) else None
-
-
-def freeze(counts: pd.DataFrame, rules: TrainRules) -> SimpleNamespace:
-    """The frozen trees of all languages: ``symbols`` folds a byte, ``nodes`` gives the
+    langs = sorted(r["lang"] for r in sizes)
+    if len(langs) <= rules.langs_per_block:
+        found = counts.toArrow().to_pandas()
+        return [freeze(found, rules)] if len(found) else None
+    counts = counts.persist()
+    try:
+        # every language has the same weight in the common alphabet
+        by_byte = counts.groupBy("lang", F.col("code").bitwiseAND(F.lit(255)).alias("byte")).agg(F.sum("n").alias("n")).toArrow().to_pandas()
+        weight = by_byte["n"] / by_byte.groupby("lang")["n"].transform("sum")
+        common = np.bincount(by_byte["byte"].to_numpy(dtype=np.int64), weights=weight.to_numpy(dtype=np.float64), minlength=256)
+        out = []
+        for k in range(0, len(langs), rules.langs_per_block):
+            found = counts.filter(F.col("lang").isin(langs[k : k + rules.langs_per_block])).toArrow().to_pandas()
+            if len(found):
+                out.append(freeze(found, rules, common))
+    finally:
+        counts.unpersist()
+    return out or None
+
+
+def freeze(counts: pd.DataFrame, rules: TrainRules, by_byte: np.ndarray | None = None) -> SimpleNamespace:
+    """The frozen trees of a block of languages, over the alphabet of the weights ``by_byte``
+    (those of the counts if there is but one block): ``symbols`` folds a byte, ``nodes`` gives the
     longest known context that ends three symbols, ``bits[node, symbol, language]`` the
     code length."""
     langs = sorted(counts["lang"].unique())
     lang = counts["lang"].map({x: i for i, x in enumerate(langs)}).to_numpy()
     code, n = counts["code"].to_numpy(), counts["n"].to_numpy().astype(np.float64)
-    by_byte = np.bincount(code & 255, weights=n, minlength=256)
+    by_byte = np.bincount(code & 255, weights=n, minlength=256) if by_byte is None else by_byte.copy()
     by_byte[32] += 1  # the start of a text is a blank
     frequent = np.argsort(-by_byte, kind="stable")[: rules.max_symbols]
     frequent = np.sort(frequent[by_byte[frequent] > 0])
@@ -167,28 +191,33 @@ def code_lengths(docs: list[str], trees: SimpleNamespace) -> np.ndarray:
     return out
 
 
-def predict_texts(docs: list[str], trees: SimpleNamespace | None) -> tuple[list[str], list[float]]:
+def predict_texts(docs: list[str], trees: list[SimpleNamespace] | None) -> tuple[list[str], list[float]]:
     """Language and confidence: the softmax of the code lengths, over the root of the
     number of bytes so that long texts don't all reach 1."""
     pred, score = [UND] * len(docs), [0.0] * len(docs)
     if trees is None:
         return pred, score
     lettered = [i for i, t in enumerate(docs) if any(map(str.isalpha, t))]
-    bits = code_lengths([docs[i] for i in lettered], trees)
+    langs = [x for block in trees for x in block.langs]
+    bits = np.concatenate([code_lengths([docs[i] for i in lettered], block) for block in trees], axis=1)
     for i, row in zip(lettered, bits, strict=True):
         best = int(row.argmin())
         scale = np.sqrt(len(docs[i]))
-        pred[i], score[i] = trees.langs[best], float(1.0 / np.exp2((row[best] - row) / scale).sum())
+        pred[i], score[i] = langs[best], float(1.0 / np.exp2((row[best] - row) / scale).sum())
     return pred, score
 
 
-def predict(docs: DataFrame, trees: SimpleNamespace | None) -> DataFrame:
+def _broadcast(docs: DataFrame, trees: list[SimpleNamespace] | None) -> list[Broadcast] | None:
+    return trees and [docs.sparkSession.sparkContext.broadcast(block) for block in trees]
+
+
+def predict(docs: DataFrame, trees: list[SimpleNamespace] | None) -> DataFrame:
     """doc_id, lang_pred, score for each row."""
-    model = docs.sparkSession.sparkContext.broadcast(trees)
+    model = _broadcast(docs, trees)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, "text"):
-            pred, score = predict_texts(texts(batch), model.value)
+            pred, score = predict_texts(texts(batch), model and [b.value for b in model])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(pred, pa.string()), pa.array(score, pa.float64())],
                 names=["doc_id", "lang_pred", "score"],
@@ -197,13 +226,13 @@ def predict(docs: DataFrame, trees: SimpleNamespace | None) -> DataFrame:
     return id_text(docs).mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
-def reject_unknown(docs: DataFrame, trees: SimpleNamespace | None) -> DataFrame:
+def reject_unknown(docs: DataFrame, trees: list[SimpleNamespace] | None) -> DataFrame:
     """The rows, all columns kept, whose text has a language."""
-    model = docs.sparkSession.sparkContext.broadcast(trees)
+    model = _broadcast(docs, trees)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, "text"):
-            pred, _ = predict_texts(texts(batch), model.value)
+            pred, _ = predict_texts(texts(batch), model and [b.value for b in model])
             yield batch.filter(pa.array([p != UND for p in pred]))
 
     return docs.mapInArrow(run, docs.schema)
