@@ -64,6 +64,26 @@ def test_finds_planted_and_reordered_passages(spark, frame):
         assert sorted(r["doc_id"] for r in clean.collect()) == [*range(10), 102, 104, 105]
 
 
+def test_short_items_and_scripts_without_blanks(spark, frame):
+    items = [(1, "What is seven?"), (2, "中国的首都是哪一座城市，它有多少人口？"), (3, "เมืองหลวงของประเทศไทยคือเมืองใด"), (4, "東京は"), (5, "!?"), (6, "Rare")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    rows = [
+        (1, "He asked: what is, SEVEN and went. What is seven?"),
+        (2, "what is six, seven is what"),
+        (3, "前面还有别的话：中国的首都是哪一座城市，它有多少人口？后面也有"),
+        (4, "中国的首都很大，人口也多"),
+        (5, "ถาม " + items[2][1] + "ครับ"),
+        (6, "今日の東京は晴れ"),
+        (7, "東京"),
+        (8, "it is rare"),
+        (9, ""),
+    ]
+    out = D.contaminated(frame(rows), bench).collect()
+    assert sorted((r["doc_id"], r["item_id"], r["n_tiles"]) for r in out if r["doc_id"] != 3) == [(1, 1, 1), (5, 3, 1), (6, 4, 1), (8, 6, 1)]
+    assert [(r["item_id"], r["coverage"]) for r in out if r["doc_id"] == 3] == [(2, 1.0)]
+    assert sorted(r["doc_id"] for r in D.clean_documents(frame(rows), bench).collect()) == [2, 4, 7, 9]
+
+
 def test_empty_tables(spark, frame):
     none = spark.createDataFrame([], "item_id long, text string")
     assert D.contaminated(frame([(1, "a b c d e f")]), none).collect() == []

@@ -1,20 +1,22 @@
 """Benchmark decontamination by greedy string tiling.
 
-Texts and benchmark items become words (runs of letters and digits, small letters).  The
+Texts and benchmark items become words (runs of letters and digits, small letters; each
+character of a script without blanks between words is a word).  The
 words of the benchmark get ids.  A document is a candidate for an item if they share a
 seed of ``min_match`` words in a row; seeds are found by a rolling hash over the word
 ids.  For each candidate pair the longest match of words not yet marked is sought by
 running Karp-Rabin matching (seed hashes, then comparison word by word), marked, and the
 search repeated until none of ``min_match`` words is left.  The marked share of the
 item's words is its coverage; tiles may stand in any order, so a reordered passage is
-found too.  Coverage of ``threshold`` or more is contamination.
+found too.  Coverage of ``threshold`` or more is contamination.  An item of fewer than
+``min_match`` words is found by all its words in a row.
 
 The benchmark is taken in blocks whose text is at most ``block_bytes`` each; a block is
 broadcast and held against all documents, so nothing grows with the benchmark but the
 number of passes.
 
-Defined results: null or empty texts match nothing; an item with fewer than
-``min_match`` words can't be tiled and matches nothing; repeated items of one id are told
+Defined results: null or empty texts match nothing; an item without words matches nothing,
+and one of a single word each document with that word; repeated items of one id are told
 apart by their text and give a row each if both match; repeated documents give repeated
 rows; an empty table gives an empty result.
 """
@@ -33,7 +35,14 @@ from pyspark.sql import functions as F
 
 from threatlens.llm.common import id_text, table, text_slices, texts
 
+#: Thai, Lao, Tibetan, Myanmar, Khmer, kana and Han: no blanks between words.
+_UNSPACED = (
+    "\u0e01-\u0e3a\u0e40-\u0e4e\u0e81-\u0ece\u0f40-\u0fbc\u1000-\u103f\u1050-\u109f\u1780-\u17d3\u3005-\u3007"
+    "\u3041-\u3096\u309d-\u309f\u30a1-\u30fa\u30fc-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9d"
+    "\U00020000-\U0003ffff"
+)
 WORD = re.compile(r"[^\W_]+")
+WORD_OR_CHARACTER = re.compile(rf"[{_UNSPACED}]|[^\W_{_UNSPACED}]+")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 PAIRS = "doc_id long, item_id long, n_item_words int, n_covered int, n_tiles int, coverage double"
 
@@ -46,7 +55,7 @@ class TilingRules:
 
 
 def words(text: str) -> list[str]:
-    return WORD.findall(text.lower())
+    return (WORD if text.isascii() else WORD_OR_CHARACTER).findall(text.lower())
 
 
 def _rolling(ids: np.ndarray, k: int) -> np.ndarray:
@@ -61,19 +70,36 @@ def _rolling(ids: np.ndarray, k: int) -> np.ndarray:
 
 
 def build_block(items: list[tuple[int, str]], rules: TilingRules) -> SimpleNamespace:
-    """Word ids, and for each seed hash the (item, position) pairs, sorted by hash."""
+    """Word ids, for each seed hash the items, sorted by hash, and by length the items that
+    are shorter than a seed."""
     vocab: dict[str, int] = {}
     item_ids, item_words = [], []
     for item_id, text in items:
         w = np.array([vocab.setdefault(x, len(vocab) + 1) for x in words(text or "")], dtype=np.int64)
-        if len(w) >= rules.min_match:
+        if len(w):
             item_ids.append(item_id)
             item_words.append(w)
     hashes = [_rolling(w, rules.min_match) for w in item_words]
     flat = np.concatenate(hashes) if hashes else np.zeros(0, dtype=np.uint64)
     of_item = np.repeat(np.arange(len(hashes)), [len(h) for h in hashes]).astype(np.int64)
     order = np.argsort(flat, kind="stable")
-    return SimpleNamespace(vocab=vocab, item_ids=item_ids, item_words=item_words, seeds=flat[order], of_item=of_item[order])
+    short: dict[int, dict[tuple[int, ...], list[int]]] = {}
+    for i, w in enumerate(item_words):
+        if len(w) < rules.min_match:
+            short.setdefault(len(w), {}).setdefault(tuple(w.tolist()), []).append(i)
+    whole = {k: (np.unique([_rolling(np.array(w), k)[0] for w in found]), found) for k, found in short.items()}
+    return SimpleNamespace(vocab=vocab, item_ids=item_ids, item_words=item_words, seeds=flat[order], of_item=of_item[order], short=whole)
+
+
+def short_items(ids: np.ndarray, block: SimpleNamespace) -> list[tuple[int, int, int, int]]:
+    """The items shorter than a seed whose words stand in a row in the text."""
+    out = []
+    for k, (hashes, found) in block.short.items():
+        windows = np.flatnonzero(np.isin(_rolling(ids, k), hashes))
+        if len(windows):
+            hits = np.unique(ids[windows[:, None] + np.arange(k)], axis=0)
+            out += [(item, k, k, 1) for w in hits.tolist() for item in found.get(tuple(w), ())]
+    return out
 
 
 def greedy_tiles(item: np.ndarray, doc: np.ndarray, starts: np.ndarray, min_match: int) -> list[tuple[int, int, int]]:
@@ -126,8 +152,9 @@ def tile_text(text: str, block: SimpleNamespace, rules: TilingRules) -> list[tup
     """(item index, words, covered words, tiles) of the items the text contaminates."""
     get = block.vocab.get
     ids = np.array([get(w, 0) for w in words(text)], dtype=np.int64)
+    out = short_items(ids, block)
     if len(ids) < rules.min_match or not len(block.seeds):
-        return []
+        return sorted(out)
     h = _rolling(ids, rules.min_match)
     unknown = np.concatenate([[0], np.cumsum(ids == 0)])
     starts = np.flatnonzero(unknown[rules.min_match :] == unknown[: -rules.min_match])
@@ -139,8 +166,7 @@ def tile_text(text: str, block: SimpleNamespace, rules: TilingRules) -> list[tup
     for s, lo, hi in zip(starts.tolist(), left.tolist(), right.tolist(), strict=True):
         for item in np.unique(block.of_item[lo:hi]).tolist():
             by_item.setdefault(item, []).append(s)
-    out = []
-    for item, at in sorted(by_item.items()):
+    for item, at in by_item.items():
         w = block.item_words[item]
         # an upper bound of the coverage by seeds alone spares most tilings
         if len(at) + rules.min_match - 1 < rules.threshold * len(w) and len(at) * rules.min_match < rules.threshold * len(w):
@@ -149,7 +175,7 @@ def tile_text(text: str, block: SimpleNamespace, rules: TilingRules) -> list[tup
         covered = sum(k for _, _, k in tiles)
         if covered >= rules.threshold * len(w):
             out.append((item, len(w), covered, len(tiles)))
-    return out
+    return sorted(out)
 
 
 def blocks(benchmark: DataFrame, rules: TilingRules) -> Iterator[SimpleNamespace]:
