@@ -72,3 +72,13 @@ def test_vocabulary_sketch(frame, monkeypatch):
     assert M.vocabulary_size(df) == 539
     monkeypatch.setattr(M, "SKETCH", 128)
     assert abs(M.vocabulary_size(df) - 539) < 150
+
+
+def test_no_row_is_lost_and_vocabulary_is_exact(spark, frame):
+    spaces = [chr(c) for c in range(0x3001) if chr(c).isspace() or not chr(c).split()]
+    rows = [(i, f"{c}{c} {c}") for i, c in enumerate(spaces)] + [(500, "a few words"), (501, "a\u200b"), (502, "\u200b"), (503, "\x1b")]
+    labels = spark.createDataFrame([(500, 1, 0)], "doc_id long, quality int, toxic int")
+    out = {r["doc_id"]: r["n_tokens"] for r in M.cross_entropy_difference(frame(rows), labels).collect()}
+    assert out == {**{i: 0 for i in range(len(spaces))}, 500: 3, 501: 1, 502: 1, 503: 1}
+    many = frame([(i, " ".join(f"w{k}" for k in range(i * 9000, i * 9000 + 10000))) for i in range(9)])
+    assert M.vocabulary_size(many) == 82000

@@ -17,8 +17,7 @@ beforehand.  Nothing is capped: the model is as large as the corpus' n-grams, sp
 shards whose number follows the input.
 
 N-grams are compared by hashes of 44 bits or more, 13 more than the number of bytes has.
-V is estimated from the ``SKETCH`` smallest word
-hashes of the corpus (a bottom-k sketch, exact below that size).
+V is the number of different word hashes (64 bits) of the corpus, by a distributed distinct.
 
 Defined results: null and empty texts have n_tokens 0 and losses 0; rows equal in id and
 text are one document whose n_tokens is their sum; an id without a label is background
@@ -40,6 +39,7 @@ from threatlens.llm.neardup import _GOLD, _mix
 from threatlens.llm.suffixdedup import _pack, _rows_by_shard, _unpack
 
 ALPHA = 0.1
+#: Different word hashes that a task gathers before it sends them.
 SKETCH = 1 << 16
 SLICE = 4 << 20
 #: Ranges of keys that a shard works on one after the other, to keep its arrays small.
@@ -171,18 +171,19 @@ def _losses(vocabulary: float):
     return run
 
 
-def _smallest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    low = np.zeros(0, dtype=np.uint64)
+def _different(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held = np.zeros(0, dtype=np.uint64)
     for batch in text_slices(batches, "text", SLICE):
-        hashes, _ = word_hashes(texts(batch))
-        low = np.union1d(low, _mix(hashes) >> np.uint64(1))[:SKETCH]
-    yield pa.RecordBatch.from_arrays([pa.array(low.astype(np.int64))], names=["h"])
+        held = np.union1d(held, word_hashes(texts(batch))[0])
+        if len(held) >= SKETCH:
+            yield pa.RecordBatch.from_arrays([pa.array(held.view(np.int64))], names=["h"])
+            held = held[:0]
+    yield pa.RecordBatch.from_arrays([pa.array(held.view(np.int64))], names=["h"])
 
 
 def vocabulary_size(docs: DataFrame) -> float:
-    """Number of different words: exact below ``SKETCH``, else from the bottom-k sketch."""
-    low = docs.select("text").mapInArrow(_smallest, "h long").distinct().orderBy("h").limit(SKETCH).agg(F.count("h").alias("n"), F.max("h").alias("top")).first()
-    return float(low["n"]) if low["n"] < SKETCH else (SKETCH - 1) / (low["top"] / 2.0**63)
+    """Number of different words."""
+    return float(docs.select("text").mapInArrow(_different, "h long").distinct().count())
 
 
 def cross_entropy_difference(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -204,7 +205,8 @@ def cross_entropy_difference(docs: DataFrame, labels: DataFrame) -> DataFrame:
     )
     sums = marked.mapInArrow(_parts(shards, bits), PARTS).groupBy("shard").applyInArrow(_losses(vocabulary), SUMS)
     scored = sums.groupBy("doc_id", "uid").agg(*[F.sum(c).alias(c) for c in ("n", "target", "background")])
-    empty = rows.filter(~F.col("text").rlike(r"(?U)\S")).distinct()
+    # Python's white space: Java's and U+001C to U+001F
+    empty = rows.filter(~F.col("text").rlike(r"(?U)[^\s\x1c-\x1f]")).distinct()
     n = F.col("n")
     return scored.select(
         F.when(F.col("doc_id") != null_id, F.col("doc_id")).alias("doc_id"),
