@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from threatlens.llm import decontam, fingerprint, langid, linededup, lmscore, neardup, quality, secrets, sentencepiece, suffixdedup
+from threatlens.llm import decontam, divergence, fingerprint, langid, linededup, lmscore, neardup, quality, secrets, sentencepiece, spelling, suffixdedup
 from threatlens.llm.common import table
 
 
@@ -51,6 +51,14 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixdedup.suffix_dedup(spark, table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_groups(spark, table(spark, sf_dir, "documents"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(spark, table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -64,7 +72,12 @@ QUERIES = {
         op8_line_dedup,
         op9_sentencepiece,
         op10_suffix_dedup,
+        op11_spelling_variants,
+        op13_source_divergence,
     )
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op11_spelling_variants": spelling.SQL,
+    "op13_source_divergence": divergence.SQL,
+}
