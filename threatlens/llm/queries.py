@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from threatlens.llm import decontam, divergence, fingerprint, langid, linededup, lmscore, neardup, quality, secrets, sentencepiece, spelling, suffixdedup
+from threatlens.llm import decontam, divergence, fingerprint, langid, linededup, lmscore, neardup, pii, quality, secrets, sentencepiece, spelling, suffixdedup
 from threatlens.llm.common import table
 
 
@@ -55,6 +55,10 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_groups(spark, table(spark, sf_dir, "documents"))
 
 
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(spark, table(spark, sf_dir, "documents"))
+
+
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.source_divergence(spark, table(spark, sf_dir, "documents"))
 
@@ -73,6 +77,7 @@ QUERIES = {
         op9_sentencepiece,
         op10_suffix_dedup,
         op11_spelling_variants,
+        op12_personal_data,
         op13_source_divergence,
     )
 }
