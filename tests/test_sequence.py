@@ -134,3 +134,35 @@ def test_scoring_runs_no_job_when_it_is_built(spark):
     assert not tracker.getJobIdsForGroup("build")
     spark.sparkContext.setJobGroup("tests", "tests")
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def _chains(rows):
+    """Run-length-coded values per key, by plain Python."""
+    out = {}
+    for key in {r[0] for r in rows}:
+        runs = []
+        for _, _, v in sorted((r for r in rows if r[0] == key), key=lambda r: r[1]):
+            v = "null" if v is None else v
+            if runs and runs[-1][0] == v:
+                runs[-1][1] += 1
+            else:
+                runs.append([v, 1])
+        total = sum(n for _, n in runs)
+        out[key] = (total, len(runs), " > ".join(v + (f" x{n}" if n > 1 else "") for v, n in runs))
+    return out
+
+
+def test_ordered_runs_join_across_partitions(spark):
+    """Runs that cross any number of partition bounds, single rows, null values and null keys."""
+    import random
+
+    from threatlens.functions.sequence import ordered_runs
+
+    rng = random.Random(6)
+    rows = [("hot", i, rng.choice("aab")) for i in range(900)] + [("same", i, "z") for i in range(500)]
+    rows += [(f"k{i % 7}", i, rng.choice(["x", "y", None])) for i in range(60)] + [("one", 1, "q"), (None, 2, "n"), (None, 3, "n")]
+    df = spark.createDataFrame(rows, "k string, at long, v string").repartition(5)
+    for parts in (1, 4, 37):
+        got = ordered_runs(df, ["k"], ["at"], "v", num_partitions=parts)
+        assert {r["k"]: (r["rows"], r["runs"], r["chain"]) for r in got.collect()} == _chains(rows)
+    assert ordered_runs(df.filter("false"), ["k"], ["at"], "v").collect() == []

@@ -142,3 +142,77 @@ def with_previous(
         alias, F.when(F.col("_is_first") & F.col("_cpid").isNotNull(), F.col("_carry")).otherwise(F.col(alias))
     )
     return out.select(*df.columns, alias)
+
+
+def ordered_runs(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    value: str,
+    separator: str = " > ",
+    times: str = " x",
+    num_partitions: int | None = None,
+) -> DataFrame:
+    """Per key, the values in ``order`` as run-length-coded text: ``A x3 > B > A``.
+
+    Adds ``rows``, ``runs`` and ``chain`` to the keys.  Each range partition folds the rows
+    of a key to one piece: its first run, its last run and the text between them.  Pieces
+    are mergeable: two that follow each other join their touching runs where the values
+    are equal.  A key has at most one piece per partition, and only those meet in one row;
+    its rows never do.  ``order`` must be unique within a key; a null value is a run of the
+    text ``null``."""
+    keys, order = list(keys), list(order)
+    ranged = _ranged(df.withColumn("_value", F.coalesce(F.col(value).cast("string"), F.lit("null"))), keys, order, num_partitions)
+    w_local = Window.partitionBy("_pid", *keys).orderBy(*order)
+    before = F.lag("_value").over(w_local)
+    new = F.when(before.isNull() | (before != F.col("_value")), 1).otherwise(0)
+    numbered = _by_part_and_key(ranged, keys).withColumn("_new", new)
+    numbered = numbered.withColumn("_run", F.sum("_new").over(w_local.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    runs = numbered.groupBy("_pid", *keys, "_run").agg(F.first("_value").alias("v"), F.count(F.lit(1)).alias("n"))
+    listed = runs.groupBy("_pid", *keys).agg(F.sort_array(F.collect_list(F.struct("_run", "v", "n"))).alias("runs"))  # of one partition
+
+    def text(run: Column) -> Column:
+        return F.when(run["n"] > 1, F.concat(run["v"], F.lit(times), run["n"].cast("string"))).otherwise(run["v"])
+
+    runs_of = F.col("runs")
+    inner = F.transform(F.slice(runs_of, 2, F.greatest(F.size(runs_of) - 2, F.lit(0))), text)
+    edge = lambda at: F.struct(F.element_at(runs_of, at)["v"].alias("v"), F.element_at(runs_of, at)["n"].alias("n"))
+    pieces = listed.select(
+        *keys,
+        F.struct(
+            F.col("_pid").alias("pid"),
+            F.size(runs_of).cast("long").alias("runs"),
+            F.aggregate(runs_of, F.lit(0).cast("long"), lambda total, r: total + r["n"]).alias("rows"),
+            edge(1).alias("first"),
+            F.array_join(inner, separator).alias("between"),
+            edge(-1).alias("last"),
+        ).alias("piece"),
+    )
+    joined = pieces.groupBy(*keys).agg(F.sort_array(F.collect_list("piece")).alias("pieces"))  # one per partition at most
+    start = F.struct(
+        F.lit(0).cast("long").alias("rows"),
+        F.lit(0).cast("long").alias("runs"),
+        F.lit("").alias("done"),
+        F.lit(None).cast("struct<v:string,n:bigint>").alias("open"),
+    )
+
+    def append(done: Column, *more: Column) -> Column:
+        """Texts behind each other, empty ones left out."""
+        parts = F.filter(F.array(done, *more), lambda t: t != "")
+        return F.array_join(parts, separator)
+
+    def fold(acc: Column, p: Column) -> Column:
+        touches = F.coalesce(acc["open"]["v"] == p["first"]["v"], F.lit(False))
+        first = F.struct(p["first"]["v"].alias("v"), (p["first"]["n"] + F.when(touches, acc["open"]["n"]).otherwise(0)).alias("n"))
+        closed = F.when(touches | acc["open"].isNull(), acc["done"]).otherwise(append(acc["done"], text(acc["open"])))
+        single = p["runs"] == 1
+        return F.struct(
+            (acc["rows"] + p["rows"]).alias("rows"),
+            (acc["runs"] + p["runs"] - F.when(touches, 1).otherwise(0)).alias("runs"),
+            F.when(single, closed).otherwise(append(closed, text(first), p["between"])).alias("done"),
+            F.when(single, first).otherwise(p["last"]).alias("open"),
+        )
+
+    folded = joined.select(*keys, F.aggregate("pieces", start, fold).alias("all"))
+    chain = append(F.col("all.done"), text(F.col("all.open")))
+    return folded.select(*keys, F.col("all.rows").alias("rows"), F.col("all.runs").alias("runs"), chain.alias("chain"))

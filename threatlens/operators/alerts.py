@@ -1,4 +1,4 @@
-"""Alert operators: prioritization (C3) and incident timelines (D3)."""
+"""Alert operators: prioritization (C3), incident timelines and chains (D3)."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from threatlens.config import AlertRules
 from threatlens.functions.scoring import action_required, priority, severity_score, unix_seconds
-from threatlens.functions.sequence import with_sequence
+from threatlens.functions.sequence import ordered_runs, with_sequence
 
 ALERT_ORDER = ("timestamp", "alert_id")
 
@@ -73,3 +73,14 @@ def incident_timelines(alerts: DataFrame, min_steps: int = 1) -> DataFrame:
     return grouped.filter(F.col("steps") >= min_steps).withColumn(
         "duration_seconds", unix_seconds(F.col("last_seen")) - unix_seconds(F.col("first_seen"))
     )
+
+
+def incident_chains(alerts: DataFrame, min_steps: int = 1) -> DataFrame:
+    """Per incident: its steps and its alert types in time order (alert_id breaking ties)
+    as one text, equal neighbours counted: ``Brute Force x3 > Ransomware``.
+
+    The steps of an incident are folded where they are sorted, a piece for each range
+    partition (``ordered_runs``), so an incident of millions of alerts is never one list."""
+    steps = _incident(alerts).select("incident_id", "alert_id", "timestamp", "alert_type")
+    chains = ordered_runs(steps, ["incident_id"], list(ALERT_ORDER), "alert_type")
+    return chains.filter(F.col("rows") >= min_steps).select("incident_id", F.col("rows").alias("steps"), "runs", "chain")

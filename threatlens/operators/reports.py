@@ -18,6 +18,7 @@ from pyspark.sql.window import Window
 
 from threatlens.config import PRIORITY_ORDER, TIME_RANGES, PipelineConfig, TrafficRules
 from threatlens.functions.scoring import priority_rank
+from threatlens.functions.selection import rows_between
 from threatlens.operators.traffic import traffic_anomalies
 
 #: Reference order per result kind, followed by a unique tie-break: (column, descending).
@@ -211,6 +212,22 @@ def page(df: DataFrame, order: Sequence[Column], page_no: int = 0, size: int = 1
     return df.orderBy(*order).offset(page_no * size).limit(size)
 
 
+#: Rows before a page that a top-k may hold in a task; deeper pages are selected by rank.
+SHALLOW_ROWS = 10_000
+
+
+def table_page(df: DataFrame, kind: str, page_no: int = 0, size: int = 10) -> DataFrame:
+    """One page, of any depth, of a result table in its report order.
+
+    A page near the start is a top-k.  A deeper one is found by rank (``rows_between``):
+    the ranges before it are counted, not sorted, and only its own range is sorted."""
+    if page_no < 0 or size <= 0:
+        raise ValueError(f"page {page_no} of size {size}: need page >= 0 and size > 0")
+    if page_no * size <= SHALLOW_ROWS:
+        return page(df, order_of(kind), page_no, size)
+    return rows_between(df, ORDER_SPECS[kind], page_no * size, size)
+
+
 def preview(df: DataFrame, kind: str, n: int = 3) -> DataFrame:
     return ordered(df, kind).limit(n)
 

@@ -160,13 +160,14 @@ def report_refresh(
     risk_range: tuple[int, int] = (0, 100),
     priorities: Iterable[str] | None = None,
     page_size: int = 10,
+    page_no: int = 0,
     layout: str = "runs",
     time_range: str = "all",
     as_of=None,
     snapshot_format: str = "csv",
 ) -> dict[str, DataFrame]:
     """Reports of one run (default: the latest run present for every kind): the four
-    charts and the first page of the three tables, all lazy DataFrames.
+    charts and one page of the three tables, all lazy DataFrames.
 
     ``layout="flat"`` reads existing ``<kind>_YYYYmmdd_HHMMSS.csv`` files instead (the
     newest of each kind).  ``time_range`` ("all", "24h", "7d", "30d") keeps rows whose
@@ -199,11 +200,9 @@ def report_refresh(
         "alert_type_distribution": R.alert_type_distribution(enriched, selected).orderBy(
             F.desc("count"), "alert_type"
         ),
-        "login_table": R.page(R.highlight(failed, "failed_logins"), R.order_of("failed_logins"), 0, page_size),
-        "traffic_table": R.page(
-            R.highlight(scored, "suspicious_traffic"), R.order_of("suspicious_traffic"), 0, page_size
-        ),
-        "alert_table": R.page(R.highlight(enriched, "enriched_alerts"), R.order_of("alerts_table"), 0, page_size),
+        "login_table": R.table_page(R.highlight(failed, "failed_logins"), "failed_logins", page_no, page_size),
+        "traffic_table": R.table_page(R.highlight(scored, "suspicious_traffic"), "suspicious_traffic", page_no, page_size),
+        "alert_table": R.table_page(R.highlight(enriched, "enriched_alerts"), "alerts_table", page_no, page_size),
     }
 
 

@@ -443,3 +443,54 @@ ORACLE["stream_port_scans"] = _q(
        GROUP BY source_ip, ws
        HAVING count(DISTINCT port) >= 5"""
 )
+
+ORACLE["incident_chains"] = _q(
+    """SELECT incident_id, CAST(sum(n) AS BIGINT) AS steps, count(*) AS runs,
+              string_agg(alert_type || CASE WHEN n > 1 THEN ' x' || n ELSE '' END, ' > ' ORDER BY first_step) AS chain
+       FROM (SELECT incident_id, alert_type, run, count(*) AS n, min(step) AS first_step FROM chain_runs
+             GROUP BY incident_id, alert_type, run)
+       GROUP BY incident_id HAVING sum(n) >= 2""",
+    """
+chain_steps AS (
+  SELECT incident_id, alert_type,
+         ROW_NUMBER() OVER (PARTITION BY incident_id ORDER BY "timestamp" ASC NULLS FIRST, alert_id) AS step
+  FROM security_alerts WHERE incident_id IS NOT NULL),
+chain_runs AS (
+  SELECT *, step - ROW_NUMBER() OVER (PARTITION BY incident_id, alert_type ORDER BY step) AS run FROM chain_steps)""",
+)
+ORACLE["deep_traffic_page"] = _q(
+    "SELECT * FROM scored_traffic "
+    'ORDER BY anomaly_score DESC, "timestamp" ASC NULLS FIRST, traffic_id ASC NULLS FIRST, '
+    "source_ip ASC NULLS FIRST, destination_ip ASC NULLS FIRST, port ASC NULLS FIRST "
+    "LIMIT 10 OFFSET 50000"
+)
+
+#: The mixed documents again, as DuckDB JSON.
+_MIXED = f"""
+mixed_documents AS (
+  SELECT *, (alert_id // 2) % 3 AS shape, json_merge_patch(
+    json_object('alert_id', alert_id, 'alert_type', alert_type, 'severity', severity, 'timestamp', strftime("timestamp", '%Y-%m-%dT%H:%M:%S'),
+                'source', source, 'description', description, 'affected_system', affected_system, 'is_resolved', is_resolved),
+    CASE (alert_id // 2) % 3
+      WHEN 0 THEN json_object('detection_details', json_object('ip_address', detail_ip_address, 'username', detail_username, 'incident_id', incident_id, 'step', alert_id % 6 + 1))
+      WHEN 1 THEN json_object('detection_details', json_object('ip_address', detail_ip_address, 'port', alert_id % 60000, 'protocol', 'TCP', 'username', CASE WHEN alert_id % 2 = 0 THEN detail_username END))
+      ELSE json_object('detection_details', json_object('port', 'udp/' || (alert_id % 60000), 'route', json_object('zone', 'dmz', 'hops', range(1, alert_id % 3 + 2))))
+    END) AS document
+  FROM security_alerts)"""
+ORACLE["document_fields"] = _q(
+    """SELECT path, CASE WHEN min(type) = max(type) THEN min(type) ELSE 'VARIANT' END AS type, count(*) AS documents
+       FROM (SELECT substr(replace(t.fullkey, '"', ''), 3) AS path, t.type AS json_type,
+               CASE t.type WHEN 'VARCHAR' THEN 'STRING' WHEN 'UBIGINT' THEN 'BIGINT' WHEN 'ARRAY' THEN 'ARRAY<BIGINT>' ELSE t.type END AS type
+             FROM mixed_documents, json_tree(document) AS t)
+       WHERE path <> '' AND path NOT LIKE '%]' AND json_type <> 'NULL' GROUP BY path""",
+    _MIXED,
+)
+ORACLE["open_document_alerts"] = _q(
+    """SELECT e.alert_id, e.alert_type, e."timestamp", CASE WHEN shape = 0 THEN e.incident_id END AS incident_id, severity_score, priority,
+              CASE WHEN shape = 1 THEN CAST(e.alert_id % 60000 AS INTEGER) END AS detail_port,
+              document->>'$.detection_details.port' AS port_text, document->>'$.detection_details.protocol' AS protocol,
+              CAST(document->>'$.detection_details.step' AS INTEGER) AS step, document->>'$.detection_details.route.zone' AS zone,
+              CAST(document->>'$.detection_details.route.hops[#-1]' AS INTEGER) AS last_hop
+       FROM enriched_alerts e JOIN mixed_documents USING (alert_id)""",
+    _MIXED,
+)

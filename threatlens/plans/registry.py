@@ -21,10 +21,12 @@ from threatlens.operators import logins as L
 from threatlens.operators import reports as R
 from threatlens.operators import traffic as TR
 from threatlens.plans import etl as P
+from threatlens.schemas import SECURITY_ALERTS
 from threatlens.session import scratch_path
 from threatlens.sinks.writers import write_documents, write_snapshot
 from threatlens.sources import documents as D
 from threatlens.sources import snapshots as S
+from threatlens.sources import variants as VR
 from threatlens.plans.oracle import AS_OF_TRAFFIC
 from threatlens.sources import views as V
 from threatlens.streaming import incremental as ST
@@ -132,6 +134,7 @@ QUERIES: dict[str, Query] = {
     ),
     "incident_timelines": lambda s, d: A.incident_timelines(V.security_alerts(s, d), min_steps=4),
     "incident_steps": lambda s, d: A.incident_steps(V.security_alerts(s, d)),
+    "incident_chains": lambda s, d: A.incident_chains(V.security_alerts(s, d), min_steps=2),
     "failures_by_zone": lambda s, d: L.failures_by_zone(V.login_attempts(s, d)),
     "success_after_failures": lambda s, d: L.success_after_failures(
         V.login_attempts(s, d), look_back=3, min_failures=2
@@ -164,6 +167,67 @@ def documents_normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alert_table(A.prioritize_alerts(docs))
 
 
+def mixed_documents(alerts: DataFrame) -> DataFrame:
+    """Alerts as JSON documents whose details differ in their fields and types, one in a
+    column ``value``: steps of an incident, a port and protocol, or a port as text with the
+    zone and hops that led to it."""
+    details = F.col("detection_details")
+    common = [F.col(c) for c in ("alert_id", "alert_type", "severity", "timestamp", "source", "description", "affected_system", "is_resolved")]
+    port = F.pmod("alert_id", F.lit(60000)).cast("int")
+    shapes = [
+        F.struct(details["ip_address"].alias("ip_address"), details["username"].alias("username"), details["incident_id"].alias("incident_id"), (F.pmod("alert_id", F.lit(6)) + 1).alias("step")),
+        F.struct(details["ip_address"].alias("ip_address"), port.alias("port"), F.lit("TCP").alias("protocol"), F.when(F.pmod("alert_id", F.lit(2)) == 0, details["username"]).alias("username")),
+        F.struct(
+            F.concat(F.lit("udp/"), port).alias("port"),
+            F.struct(F.lit("dmz").alias("zone"), F.sequence(F.lit(1), (F.pmod("alert_id", F.lit(3)) + 1)).alias("hops")).alias("route"),
+        ),
+    ]
+    text = [F.to_json(F.struct(*common, shape.alias("detection_details")), {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss"}) for shape in shapes]
+    kind = F.pmod(F.floor(F.col("alert_id") / 2), F.lit(3))
+    return alerts.select(F.when(kind == 0, text[0]).when(kind == 1, text[1]).otherwise(text[2]).alias("value"))
+
+
+def _open_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "open-documents")
+    mixed_documents(V.security_alerts(spark, sf_dir)).write.text(path)
+    return VR.read_open_documents(spark, path)
+
+
+def document_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alert documents of unknown shape: every path, its merged type and its documents."""
+    return VR.field_profile(_open_documents(spark, sf_dir))
+
+
+DETAIL_FIELDS = {
+    "detail_port": ("detection_details.port", "int"),
+    "port_text": ("detection_details.port", "string"),
+    "protocol": ("detection_details.protocol", "string"),
+    "step": ("detection_details.step", "int"),
+    "zone": ("detection_details.route.zone", "string"),
+    "last_hop": ("detection_details.route.hops", "array<int>"),
+}
+
+
+def open_document_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same documents typed: the declared columns, scored, and details that no schema
+    declares; a port that is text is null as a number and kept as text."""
+    docs = VR.typed_documents(_open_documents(spark, sf_dir), SECURITY_ALERTS)
+    scored = A.prioritize_alerts(A.unresolved(docs))
+    out = scored.select(
+        "alert_id", "alert_type", "timestamp", F.col("detection_details")["incident_id"].alias("incident_id"), "severity_score", "priority",
+        *VR.extract(F.col(VR.DOCUMENT), DETAIL_FIELDS),
+    )
+    return out.withColumn("last_hop", F.element_at("last_hop", -1))
+
+
+def deep_traffic_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Page 5,000 of the scored traffic, read from its snapshot."""
+    root = scratch_path(spark, "deep-page")
+    write_snapshot(_scored(spark, sf_dir), root, "suspicious_traffic", "20240101_000000", fmt="parquet")
+    scored = S.read_snapshot(spark, root, "suspicious_traffic", "20240101_000000", fmt="parquet")
+    return R.table_page(scored, "suspicious_traffic", 5000)
+
+
 def _stream(spark: SparkSession, sf_dir: str, table: str, name: str, files: int = 4) -> tuple[DataFrame, str, str]:
     """The table as a stream of several files that are not in time order, one for each
     micro-batch; and the folders for its results and its checkpoint."""
@@ -231,6 +295,9 @@ QUERIES.update(
         "stream_alerts": stream_alerts,
         "csv_snapshot_roundtrip": csv_snapshot_roundtrip,
         "documents_normalized": documents_normalized,
+        "document_fields": document_fields,
+        "open_document_alerts": open_document_alerts,
+        "deep_traffic_page": deep_traffic_page,
         "etl_run_summary": P.etl_run_summary,
         "latest_snapshot": P.refreshed_priorities,
     }
