@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from threatlens.operators.logins import brute_force_bursts, failed_login_metrics, failed_logins_by
+from threatlens.operators.logins import brute_force_bursts, failed_login_metrics
 from threatlens.operators.traffic import port_scans, traffic_anomalies
 from threatlens.session import scratch_path
 from threatlens.sources import views as V
@@ -67,12 +67,12 @@ def by_id(df):
 
 
 def test_unsorted_traffic_keeps_and_scores_every_row(spark):
-    """Late rows, rows behind the horizon, null times and null sources included."""
+    """Late rows, rows of any period, null times and null sources included."""
     rows = traffic_rows(spark)
-    for horizon in (None, 7 * 86400, 20):
+    for period in (7 * 86400, 20):
         root = scratch_path(spark, "test-stream-unsorted")
         stream = unsorted_files(spark, rows, f"{root}/src")
-        ST.score_traffic_stream(stream, f"{root}/out", f"{root}/ckpt", trigger=ST.Trigger(available_now=True), horizon_s=horizon).awaitTermination()
+        ST.score_traffic_stream(stream, f"{root}/out", f"{root}/ckpt", trigger=ST.Trigger(available_now=True), period_s=period).awaitTermination()
         assert by_id(ST.read_scored(spark, f"{root}/out")) == by_id(traffic_anomalies(rows))
         metrics = spark.read.parquet(f"{root}/out/metrics").drop("batch_id")
         total = metrics.agg(F.sum("scored"), F.sum("late"), F.sum("corrections"), F.count("*")).first()
@@ -110,17 +110,57 @@ def test_bursts_with_a_null_key_agree(spark):
     assert by_id(ST.read_bursts(spark, f"{root}/o")) == by_id(batch)
 
 
-def test_partials_are_compacted_and_retries_change_nothing(spark):
-    logins = V.login_attempts(spark, SMALL)
-    root = scratch_path(spark, "test-partials")
-    parts = [logins.filter(F.abs(F.hash("timestamp", "username")) % 7 == k) for k in range(7)]
-    partial, merge = (lambda b: failed_logins_by(b, ST.LOGIN_KEYS)), ST._merged_counts(ST.LOGIN_KEYS)
-    for k, part in enumerate(parts):
-        for _ in range(1 + (k in (2, 4, 5))):  # some batches are retried
-            ST.write_partials(part, k, root, partial, merge, compact_every=2)
-    assert by_id(ST.read_failed_logins(spark, root)) == by_id(failed_login_metrics(logins))
-    assert ST._committed(spark, f"{root}/base", "upto") == [4, 6]
-    assert ST._committed(spark, f"{root}/partials", "batch_id") == [5, 6]
+def test_latest_takes_the_newest_row_of_each_group(spark):
+    root = scratch_path(spark, "test-latest")
+    for batch_id, rows in enumerate(([("a", "x", 1), (None, "x", 2)], [("b", None, 5)], [("a", "x", 3), ("b", None, None)], [])):
+        df = spark.createDataFrame(rows, "k string, j string, n int")
+        for _ in range(1 + batch_id % 2):  # a retry replaces its own batch
+            df.write.mode("overwrite").parquet(f"{root}/updates/batch_id={batch_id}")
+    got = {tuple(r) for r in ST.latest(spark, root, ["k", "j"]).collect()}
+    assert got == {("a", "x", 3), (None, "x", 2), ("b", None, None)}
+
+
+def test_a_batch_reads_its_own_periods_only(spark, monkeypatch):
+    """Batches in time order: what a batch reads does not grow with the number before it."""
+    read = []
+    earlier = ST._earlier
+
+    def counting(spark, path, periods, batch_id, schema):
+        found = earlier(spark, path, periods, batch_id, schema)
+        read.append((len(periods), found.count()))
+        return found
+
+    monkeypatch.setattr(ST, "_earlier", counting)
+    root = scratch_path(spark, "test-constant")
+    base = dt.datetime(2024, 1, 1)
+    columns = "traffic_id long, tie_key long, source_ip string, destination_ip string, protocol string, port int, packet_size int, is_suspicious boolean, timestamp timestamp_ntz"
+    rows = []
+    for batch_id in range(8):
+        some = [(100 * batch_id + i, 0, "10.0.0.1", "10.0.0.9", "SSH", 22, 10, False, base + dt.timedelta(seconds=43200 * batch_id + i // 2)) for i in range(40)]
+        rows += some
+        ST.process_traffic_batch(spark.createDataFrame(some, columns), batch_id, root)
+    assert all(periods == 1 and seen <= 20 for periods, seen in read)
+    assert by_id(ST.read_scored(spark, root)) == by_id(traffic_anomalies(spark.createDataFrame(rows, columns)))
+
+
+def test_processing_time_trigger_keeps_running(spark):
+    """R4: the timer picks up files that come while the stream runs."""
+    root = scratch_path(spark, "test-timer")
+    orders = V.table(spark, SMALL, "orders").limit(300)
+    first, second = orders.filter("o_orderkey % 2 = 0"), orders.filter("o_orderkey % 2 = 1")
+    first.write.parquet(f"{root}/src")
+    stream = ST.read_stream(spark, f"{root}/src", schema=orders.schema)
+    alerts = V.security_alerts_from_orders(stream)
+    q = ST.score_alerts_stream(alerts, f"{root}/out", f"{root}/ckpt", trigger=ST.Trigger("500 milliseconds"), only_unresolved=False)
+    try:
+        q.processAllAvailable()
+        assert q.isActive and spark.read.parquet(f"{root}/out").count() == first.count()
+        second.write.mode("append").parquet(f"{root}/src")
+        q.processAllAvailable()
+        assert q.isActive and spark.read.parquet(f"{root}/out").count() == orders.count()
+    finally:
+        q.stop()
+    assert ST.Trigger().processing_time == "5 minutes"
 
 
 def test_port_scan_stream_equals_batch(spark):
@@ -142,11 +182,10 @@ def test_traffic_batch_retry_is_idempotent(spark):
     root = scratch_path(spark, "test-retry")
     ST.process_traffic_batch(first, 0, root)
     ST.process_traffic_batch(second, 1, root)
-    once = sorted(spark.read.parquet(f"{root}/scored/batch_id=1").collect())
-    state_once = sorted(spark.read.parquet(f"{root}/state/batch_id=1").collect())
+    files = lambda kind: sorted(map(str, spark.read.parquet(f"{root}/{kind}").filter("batch_id = 1").collect()))
+    kinds = ("scored", "state", "corrections", "metrics")
+    once = {k: files(k) for k in kinds}
     ST.process_traffic_batch(second, 1, root)  # the retry
-    assert sorted(spark.read.parquet(f"{root}/scored/batch_id=1").collect()) == once
-    assert sorted(spark.read.parquet(f"{root}/state/batch_id=1").collect()) == state_once
+    assert {k: files(k) for k in kinds} == once and once["state"] and once["scored"]
     ST.process_traffic_batch(second.filter(F.lit(False)), 2, root)  # an empty batch 2
-    assert ST._committed(spark, f"{root}/state", "batch_id") == [1, 2]  # batch 0's table was pruned
     assert sorted(ST.read_scored(spark, root).collect()) == sorted(traffic_anomalies(traffic).collect())

@@ -76,11 +76,12 @@ def brute_force_bursts(
        so the per-key window sees at most one row per day;
     4. one final aggregate per chained burst.
     """
-    if max_gap_s < 0 or bucket_s < 1:
-        raise ValueError("need max_gap_s >= 0 and bucket_s >= 1")
-    keys = list(keys)
-    gap = F.lit(max_gap_s)
-    per_second = (
+    return bursts_of_seconds(failures_by_second(logins, keys), keys, max_gap_s, min_attempts, bucket_s)
+
+
+def failures_by_second(logins: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Failures per key and epoch second: their number, first and last time."""
+    return (
         logins.filter(~F.col("success") & F.col("timestamp").isNotNull())
         .withColumn("_sec", unix_seconds(F.col("timestamp")))
         .groupBy(*keys, "_sec")
@@ -89,8 +90,18 @@ def brute_force_bursts(
             F.min("timestamp").alias("_first"),
             F.max("timestamp").alias("_last"),
         )
-        .withColumn("_bucket", F.floor(F.col("_sec") / bucket_s))
     )
+
+
+def bursts_of_seconds(
+    per_second: DataFrame, keys: Sequence[str], max_gap_s: int = 60, min_attempts: int = 5, bucket_s: int = 86400
+) -> DataFrame:
+    """The bursts of ``failures_by_second`` rows (steps 2 to 4 of ``brute_force_bursts``)."""
+    if max_gap_s < 0 or bucket_s < 1:
+        raise ValueError("need max_gap_s >= 0 and bucket_s >= 1")
+    keys = list(keys)
+    gap = F.lit(max_gap_s)
+    per_second = per_second.withColumn("_bucket", F.floor(F.col("_sec") / bucket_s))
     w_day = Window.partitionBy(*keys, "_bucket").orderBy("_sec")
     prev = F.lag("_sec").over(w_day)
     local = per_second.withColumn(

@@ -1,19 +1,17 @@
 """Incremental versions of the three scores (R1-R4) and two detectors with Structured
 Streaming.  Every row counts, in whatever order the files come.
 
-* R1 ``failed_logins_stream``, its windowed variant and the detectors D1 and D2 keep
-  *partial results*: each micro-batch is reduced to one row per group (count, first and
-  last time; for bursts the batch's own sessions; for port scans the distinct ports) and
-  written under its batch id.  Partial results of any batches merge exactly, so late rows
-  need no watermark and no window stays open: ``read_*`` merges what is there.  Every
-  ``compact_every`` batches the partials are merged into one base table, so the files of
-  a long-running stream stay few; readers see either the old base with its partials or
-  the new one.
+* R1 ``failed_logins_stream``, its windowed variant and the detectors D1 and D2 are streaming
+  aggregations without a watermark: Spark's state store holds one row per group (for bursts
+  per key and second, for port scans per key, window and port), and in update mode a batch
+  hands on the groups that it changed.  ``read_*`` takes the newest row of each group and
+  finishes the operator, so late rows count and no window stays open.
+  ``streaming/windows.py`` has the variants that finish windows and drop late rows.
 * R2 ``score_traffic_stream``: ``foreachBatch``; a connection is rapid if it is not the
-  first of its (source, second), so the state is the first row of each (source, second)
-  within ``horizon_s`` of the newest row.  Rows behind the horizon are compared with the
-  scored table itself.  A late row that precedes a stored first row makes that one rapid:
-  the row is written again as a correction, and ``read_scored`` puts it in place.
+  first of its (source, second), so the state is the first row of each (source, second).
+  It is kept by day (or another period), and a batch reads the days of its own rows only.  A late row that precedes a
+  stored first row makes that one rapid: the row is written again as a correction, and
+  ``read_scored`` puts it in place.
 * R3 ``score_alerts_stream``: stateless projection (parquet file sink, exactly once).
 * R4: the dashboard refresh period is the default processing-time trigger;
   ``available_now=True`` processes what is there and stops (tests, backfills).
@@ -24,18 +22,18 @@ batch reads only what earlier batches wrote, so a retried batch replaces its own
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.window import Window
 
 from threatlens.config import AlertRules, LoginRiskRules, TrafficRules
 from threatlens.functions.scoring import unix_seconds
 from threatlens.operators.alerts import prioritize_alerts, unresolved
-from threatlens.operators.logins import brute_force_bursts, failed_logins_by, with_login_risk
+from threatlens.operators.logins import bursts_of_seconds, failed_logins_by, failures_by_second, with_login_risk
 from threatlens.operators.traffic import SCORED_COLUMNS, TRAFFIC_ORDER, rapid_connections, with_scores, with_tie_key
 
 REFRESH_PERIOD = "5 minutes"
@@ -69,82 +67,26 @@ def read_stream(spark: SparkSession, path: str, schema=None, max_files_per_trigg
     return reader.parquet(path)
 
 
-# --------------------------------------------------------------------------- files by batch
-
-def _committed(spark: SparkSession, root: str, prefix: str) -> list[int]:
-    """Numbers of the folders ``prefix=N`` below ``root`` that were written completely."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(root)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return []
-    names = [st.getPath().getName() for st in fs.listStatus(path)]
-    return sorted(
-        int(n.split("=", 1)[1])
-        for n in names
-        if n.startswith(f"{prefix}=") and fs.exists(jvm.org.apache.hadoop.fs.Path(f"{root}/{n}/_SUCCESS"))
-    )
-
-
-def _remove(spark: SparkSession, path: str) -> None:
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+# --------------------------------------------------------------------------- keyed results
 
+def update_stream(grouped: DataFrame, root: str, checkpoint: str, trigger: Trigger = Trigger()) -> StreamingQuery:
+    """A streaming aggregation whose changed groups are written batch by batch; its state
+    is Spark's own (set ``spark.sql.streaming.stateStore.providerClass`` to the RocksDB
+    provider for many groups)."""
 
-def read_partials(spark: SparkSession, root: str, upto: int | None = None) -> DataFrame:
-    """Partial results of the batches up to ``upto``: the newest base before it, and the
-    batches after that base."""
-    bases = [b for b in _committed(spark, f"{root}/base", "upto") if upto is None or b < upto]
-    base = bases[-1] if bases else -1
-    batches = [b for b in _committed(spark, f"{root}/partials", "batch_id") if b > base and (upto is None or b <= upto)]
-    paths = [f"{root}/base/upto={base}"] * (base >= 0) + [f"{root}/partials/batch_id={b}" for b in batches]
-    return spark.read.parquet(*paths)
-
-
-def write_partials(
-    batch: DataFrame,
-    batch_id: int,
-    root: str,
-    partial: Callable[[DataFrame], DataFrame],
-    merge: Callable[[DataFrame], DataFrame],
-    compact_every: int = 20,
-) -> None:
-    """One micro-batch: write its partial result, and from time to time a new base.  The
-    files of the base before stay until the next compaction, for a retry and for readers."""
-    spark = batch.sparkSession
-    partial(batch).write.mode("overwrite").parquet(f"{root}/partials/batch_id={batch_id}")
-    if batch_id and batch_id % compact_every == 0:
-        before = [b for b in _committed(spark, f"{root}/base", "upto") if b < batch_id]
-        merge(read_partials(spark, root, batch_id)).write.mode("overwrite").parquet(f"{root}/base/upto={batch_id}")
-        if before:
-            for b in before[:-1]:
-                _remove(spark, f"{root}/base/upto={b}")
-            for b in _committed(spark, f"{root}/partials", "batch_id"):
-                if b <= before[-1]:
-                    _remove(spark, f"{root}/partials/batch_id={b}")
-
-
-def partial_stream(
-    source: DataFrame,
-    root: str,
-    checkpoint: str,
-    partial: Callable[[DataFrame], DataFrame],
-    merge: Callable[[DataFrame], DataFrame],
-    trigger: Trigger = Trigger(),
-    compact_every: int = 20,
-) -> StreamingQuery:
-    def process(batch: DataFrame, batch_id: int) -> None:
-        write_partials(batch, batch_id, root, partial, merge, compact_every)
+    def publish(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{root}/updates/batch_id={batch_id}")
 
-    return trigger.apply(source.writeStream.option("checkpointLocation", checkpoint).foreachBatch(process)).start()
+    writer = grouped.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(publish)
+    return trigger.apply(writer).start()
 
 
-def _merged_counts(keys: list[str]) -> Callable[[DataFrame], DataFrame]:
-    return lambda parts: parts.groupBy(*keys).agg(
-        F.sum("failed_attempt_count").alias("failed_attempt_count"),
-        F.min("first_attempt").alias("first_attempt"),
-        F.max("last_attempt").alias("last_attempt"),
-    )
+def latest(spark: SparkSession, root: str, keys: Sequence[str]) -> DataFrame:
+    """The newest row of each group."""
+    updates = spark.read.option("basePath", f"{root}/updates").parquet(f"{root}/updates")
+    values = [c for c in updates.columns if c not in (*keys, "batch_id")]
+    newest = updates.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch_id").alias("v"))
+    return newest.select(*keys, *[F.col(f"v.{c}").alias(c) for c in values])
 
 
 # --------------------------------------------------------------------------- R1
@@ -153,15 +95,13 @@ LOGIN_KEYS = ["username", "ip_address"]
 
 
 def failed_logins_stream(logins: DataFrame, out_root: str, checkpoint: str, trigger: Trigger = Trigger()) -> StreamingQuery:
-    """Failed logins per (username, ip_address), as partial results by batch."""
-    return partial_stream(
-        logins, out_root, checkpoint, lambda b: failed_logins_by(b, LOGIN_KEYS), _merged_counts(LOGIN_KEYS), trigger
-    )
+    """Failed logins per (username, ip_address)."""
+    return update_stream(failed_logins_by(logins, LOGIN_KEYS), out_root, checkpoint, trigger)
 
 
 def read_failed_logins(spark: SparkSession, out_root: str, rules: LoginRiskRules = LoginRiskRules()) -> DataFrame:
     """The metrics of all rows so far, as the batch operator gives them."""
-    return with_login_risk(_merged_counts(LOGIN_KEYS)(read_partials(spark, out_root)), LOGIN_KEYS, rules)
+    return with_login_risk(latest(spark, out_root, LOGIN_KEYS), LOGIN_KEYS, rules)
 
 
 def _window_start(seconds: int) -> Column:
@@ -182,20 +122,16 @@ def windowed_failed_logins_stream(
     logins: DataFrame, out_root: str, checkpoint: str, window_s: int = 3600, trigger: Trigger = Trigger()
 ) -> StreamingQuery:
     """Failed logins per event-time window; rows without a time are in no window."""
-
-    def partial(batch: DataFrame) -> DataFrame:
-        timed = batch.filter(F.col("timestamp").isNotNull()).withColumn("window_start", _window_start(window_s))
-        return failed_logins_by(timed, WINDOW_KEYS)
-
-    return partial_stream(logins, out_root, checkpoint, partial, _merged_counts(WINDOW_KEYS), trigger)
+    timed = logins.filter(F.col("timestamp").isNotNull()).withColumn("window_start", _window_start(window_s))
+    return update_stream(failed_logins_by(timed, WINDOW_KEYS), out_root, checkpoint, trigger)
 
 
 def read_windowed_failed_logins(
     spark: SparkSession, out_root: str, window_s: int = 3600, rules: LoginRiskRules = LoginRiskRules()
 ) -> DataFrame:
-    merged = _merged_counts(WINDOW_KEYS)(read_partials(spark, out_root))
     end = F.timestamp_add("SECOND", F.lit(window_s), F.col("window_start"))
-    return with_login_risk(merged.withColumn("window_end", end), ["window_start", "window_end", *LOGIN_KEYS], rules)
+    groups = latest(spark, out_root, WINDOW_KEYS).withColumn("window_end", end)
+    return with_login_risk(groups, ["window_start", "window_end", *LOGIN_KEYS], rules)
 
 
 # --------------------------------------------------------------------------- R2
@@ -215,45 +151,53 @@ def _firsts(rows: DataFrame) -> DataFrame:
     return timed.groupBy(*FIRST_KEYS).agg(F.min_by(F.struct(*[F.col(c) for c in rows.columns]), order).alias("row"))
 
 
+#: Tasks that write one period's state, so that a busy one is not one task.
+STATE_FILES = 8
+
+
+def _period(second: Column, period_s: int) -> Column:
+    return F.floor(second / period_s).cast("int")
+
+
+def _earlier(spark: SparkSession, path: str, periods: Sequence[int], batch_id: int, schema: T.StructType) -> DataFrame:
+    """The first rows of these periods as earlier batches left them; others are not even listed."""
+    jvm = spark.sparkContext._jvm
+    fs = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = [f"{path}/period={p}" for p in periods if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{path}/period={p}"))]
+    if not found:
+        return spark.createDataFrame([], schema)
+    with_batch = T.StructType([*schema.fields, T.StructField("period", T.IntegerType()), T.StructField("batch_id", T.LongType())])
+    stored = spark.read.schema(with_batch).option("basePath", path).parquet(*found)
+    return stored.filter(F.col("batch_id") < batch_id).drop("period", "batch_id")
+
+
 def process_traffic_batch(
-    batch: DataFrame,
-    batch_id: int,
-    out_root: str,
-    rules: TrafficRules = TrafficRules(),
-    horizon_s: int | None = 7 * 86400,
+    batch: DataFrame, batch_id: int, out_root: str, rules: TrafficRules = TrafficRules(), period_s: int = 86400
 ) -> None:
     """One micro-batch of R2 (the ``foreachBatch`` body).
 
     ``scored`` gets every row of the batch, with ``late`` (older than the newest row of
     earlier batches) and, for readers, ``tie_key``; ``corrections`` the earlier rows that
     a late row has made rapid; ``metrics`` the counts; ``state`` the first rows of each
-    (source, second) in the horizon."""
+    (source, second), by period of ``period_s`` seconds and by batch.  The batch reads the
+    state of its own periods and the metrics of the batch before, so its work does not grow
+    with the history.  Events of a short time belong to one or two days; give a longer period
+    where a batch's events are spread over many."""
     if rules.rapid_gap_s != 1:
         raise ValueError("the stream's state holds the first row of a second: rapid_gap_s must be 1")
     spark = batch.sparkSession
     batch = with_tie_key(batch)
     columns = batch.columns
-    done = [b for b in _committed(spark, f"{out_root}/state", "batch_id") if b < batch_id]
-    earlier = [b for b in _committed(spark, f"{out_root}/metrics", "batch_id") if b < batch_id]
     newest = None
-    known = None
-    if done:
-        metrics = spark.read.parquet(*[f"{out_root}/metrics/batch_id={b}" for b in earlier])
-        newest = metrics.agg(F.max("newest_second")).first()[0]
-        known = spark.read.parquet(f"{out_root}/state/batch_id={done[-1]}")
+    if batch_id:
+        newest = spark.read.parquet(f"{out_root}/metrics/batch_id={batch_id - 1}").first()["newest_second"]
     own = _firsts(batch)
     order = lambda row: F.struct(*[F.col(f"{row}.{c}") for c in TRAFFIC_ORDER])
-    if known is not None:
-        if horizon_s is not None and newest is not None:
-            # seconds behind the horizon are no longer in the state: ask the scored rows
-            old = own.filter(F.col("second") < newest - horizon_s).select(*FIRST_KEYS)
-            scored = spark.read.parquet(*[f"{out_root}/scored/batch_id={b}" for b in earlier])
-            scored = _keyed(scored).filter(F.col("second") < newest - horizon_s)
-            again = scored.join(old, list(FIRST_KEYS), "left_semi").select(*[F.col(c) for c in columns])
-            known = known.filter(F.col("second") >= newest - horizon_s).unionByName(_firsts(again))
-        before = known.select(*FIRST_KEYS, F.col("row").alias("known"))
-    else:
-        before = own.filter(F.lit(False)).select(*FIRST_KEYS, F.col("row").alias("known"))
+    # one number for each period that the batch touches
+    timed = _keyed(batch.filter(F.col("timestamp").isNotNull())).select(_period(F.col("second"), period_s).alias("period"))
+    periods = sorted(r["period"] for r in timed.distinct().collect())
+    known = _earlier(spark, f"{out_root}/state", periods, batch_id, own.schema)
+    before = known.groupBy(*FIRST_KEYS).agg(F.min_by("row", order("row")).alias("known"))
     flagged = _keyed(rapid_connections(batch, rules))
     flagged = flagged.join(before.select(*FIRST_KEYS, order("known").alias("_known")), list(FIRST_KEYS), "left")
     this = F.struct(*[F.col(c) for c in TRAFFIC_ORDER])
@@ -268,26 +212,24 @@ def process_traffic_batch(
         F.max(unix_seconds(F.col("timestamp"))).alias("newest"),
     ).write.mode("overwrite").parquet(f"{out_root}/scored/batch_id={batch_id}")
     # a stored first row that is first no longer
-    met = own.join(before, list(FIRST_KEYS))
+    met = own.join(before, list(FIRST_KEYS), "left")
     lost = met.filter(order("row") < order("known")).select("known.*").withColumn("rapid_connection", F.lit(True))
     corrected = Observation(f"corrections_{batch_id}")
     with_scores(lost, rules, ["tie_key"]).observe(corrected, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(
         f"{out_root}/corrections/batch_id={batch_id}"
     )
+    # the batch's firsts that are first still; a retry overwrites its own batch's folders
+    first = met.filter(F.col("known").isNull() | (order("row") < order("known"))).select(*FIRST_KEYS, "row")
+    first = first.withColumns({"period": _period(F.col("second"), period_s), "batch_id": F.lit(batch_id).cast("long")})
+    spread = first.repartition("period", F.pmod(F.xxhash64("second"), F.lit(STATE_FILES)))
+    writer = spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("period", "batch_id")
+    writer.parquet(f"{out_root}/state")
     seen = counts.get
     top = max((x for x in (newest, seen["newest"]) if x is not None), default=None)
+    # written last: the next batch needs it
     spark.createDataFrame(
         [(seen["scored"], seen["late"], corrected.get["n"], top)], "scored long, late long, corrections long, newest_second long"
     ).write.mode("overwrite").parquet(f"{out_root}/metrics/batch_id={batch_id}")
-    # the state is written last: a batch retried after a failure above still reads the
-    # state of the batch before it
-    both = own if known is None else own.unionByName(known)
-    state = both.groupBy(*FIRST_KEYS).agg(F.min_by("row", order("row")).alias("row"))
-    if horizon_s is not None and top is not None:
-        state = state.filter(F.col("second") >= top - horizon_s)
-    state.write.mode("overwrite").parquet(f"{out_root}/state/batch_id={batch_id}")
-    for b in done[:-1]:  # only the batch before can still be read, by a retry of this one
-        _remove(spark, f"{out_root}/state/batch_id={b}")
 
 
 def score_traffic_stream(
@@ -296,10 +238,10 @@ def score_traffic_stream(
     checkpoint: str,
     rules: TrafficRules = TrafficRules(),
     trigger: Trigger = Trigger(),
-    horizon_s: int | None = 7 * 86400,
+    period_s: int = 86400,
 ) -> StreamingQuery:
     def process(batch: DataFrame, batch_id: int) -> None:
-        process_traffic_batch(batch, batch_id, out_root, rules, horizon_s)
+        process_traffic_batch(batch, batch_id, out_root, rules, period_s)
 
     return trigger.apply(traffic.writeStream.option("checkpointLocation", checkpoint).foreachBatch(process)).start()
 
@@ -346,43 +288,15 @@ def brute_force_bursts_stream(
     max_gap_s: int = 60,
     trigger: Trigger = Trigger(),
 ) -> StreamingQuery:
-    """Bursts of failed logins: each batch keeps its own sessions, whatever their size."""
-
-    def partial(batch: DataFrame) -> DataFrame:
-        return brute_force_bursts(batch, keys, max_gap_s, min_attempts=1).drop("duration_seconds")
-
-    return partial_stream(logins, out_root, checkpoint, partial, lambda p: merge_sessions(p, keys, max_gap_s), trigger)
-
-
-def merge_sessions(sessions: DataFrame, keys: tuple[str, ...], max_gap_s: int) -> DataFrame:
-    """Sessions of several batches that overlap or lie within the gap become one: a new
-    one begins where the start lies further than the gap behind all ends so far."""
-    start, end = unix_seconds(F.col("burst_start")), unix_seconds(F.col("burst_end"))
-    by_start = Window.partitionBy(*keys).orderBy(start, end, "attempts")
-    so_far = F.max(end).over(by_start.rowsBetween(Window.unboundedPreceding, -1))
-    new = F.when(so_far.isNull() | (start - so_far > max_gap_s), 1).otherwise(0)
-    numbered = sessions.withColumn("_new", new).withColumn(
-        "_burst", F.sum("_new").over(by_start.rowsBetween(Window.unboundedPreceding, 0))
-    )
-    return (
-        numbered.groupBy(*keys, "_burst")
-        .agg(F.min("burst_start").alias("burst_start"), F.max("burst_end").alias("burst_end"), F.sum("attempts").alias("attempts"))
-        .drop("_burst")
-    )
+    """Bursts of failed logins: the state is the failures of each key and second."""
+    return update_stream(failures_by_second(logins, keys), out_root, checkpoint, trigger)
 
 
 def read_bursts(
     spark: SparkSession, out_root: str, keys: tuple[str, ...] = ("username", "ip_address"), max_gap_s: int = 60, min_attempts: int = 5
 ) -> DataFrame:
-    merged = merge_sessions(read_partials(spark, out_root), keys, max_gap_s).filter(F.col("attempts") >= min_attempts)
-    span = unix_seconds(F.col("burst_end")) - unix_seconds(F.col("burst_start"))
-    return merged.select(*keys, "burst_start", "burst_end", span.alias("duration_seconds"), "attempts")
-
-
-def _merged_ports(keys: tuple[str, ...]) -> Callable[[DataFrame], DataFrame]:
-    return lambda parts: parts.groupBy(*keys, "window_start", "port").agg(
-        F.sum("connections").alias("connections"), F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen")
-    )
+    """The bursts of all rows so far; as in batch, no key has to fit in one task."""
+    return bursts_of_seconds(latest(spark, out_root, [*keys, "_sec"]), keys, max_gap_s, min_attempts)
 
 
 def port_scans_stream(
@@ -393,21 +307,18 @@ def port_scans_stream(
     window_s: int = 60,
     trigger: Trigger = Trigger(),
 ) -> StreamingQuery:
-    """Distinct ports per key and window: each batch keeps one row per port."""
-
-    def partial(batch: DataFrame) -> DataFrame:
-        timed = batch.filter(F.col("timestamp").isNotNull()).withColumn("window_start", _window_start(window_s))
-        return timed.groupBy(*keys, "window_start", "port").agg(
-            F.count(F.lit(1)).alias("connections"), F.min("timestamp").alias("first_seen"), F.max("timestamp").alias("last_seen")
-        )
-
-    return partial_stream(traffic, out_root, checkpoint, partial, _merged_ports(keys), trigger)
+    """Distinct ports per key and window: the state is one row per port."""
+    timed = traffic.filter(F.col("timestamp").isNotNull()).withColumn("window_start", _window_start(window_s))
+    ports = timed.groupBy(*keys, "window_start", "port").agg(
+        F.count(F.lit(1)).alias("connections"), F.min("timestamp").alias("first_seen"), F.max("timestamp").alias("last_seen")
+    )
+    return update_stream(ports, out_root, checkpoint, trigger)
 
 
 def read_port_scans(
     spark: SparkSession, out_root: str, keys: tuple[str, ...] = ("source_ip", "destination_ip"), window_s: int = 60, min_ports: int = 5
 ) -> DataFrame:
-    ports = _merged_ports(keys)(read_partials(spark, out_root))
+    ports = latest(spark, out_root, [*keys, "window_start", "port"])
     windows = ports.groupBy(*keys, "window_start").agg(
         F.count("port").alias("distinct_ports"),
         F.sum("connections").alias("connections"),
