@@ -494,3 +494,49 @@ ORACLE["open_document_alerts"] = _q(
        FROM enriched_alerts e JOIN mixed_documents USING (alert_id)""",
     _MIXED,
 )
+
+#: Files of the timely streams, their watermarks in whole milliseconds, and lateness: rows of a
+#: file are held against the watermark that the batch before it ran with.
+_TIMELY = f"""
+filed AS (
+  SELECT *, least((day("timestamp") - 1) // 8, 3) + CASE WHEN attempt_id % 7 = 0 THEN 1 ELSE 0 END AS file,
+         {unix('"timestamp"')} // 3600 * 3600 AS ws
+  FROM login_attempts WHERE "timestamp" IS NOT NULL),
+marks AS (
+  SELECT b.file, (SELECT max(epoch_us("timestamp")) // 1000 FROM filed WHERE NOT success AND file <= b.file - 2) - 86400000 AS late_ms,
+         (SELECT max(epoch_us("timestamp")) // 1000 FROM filed WHERE NOT success) - 86400000 AS last_ms
+  FROM (SELECT DISTINCT file FROM filed) b),
+timely AS (
+  SELECT filed.*, last_ms, coalesce((ws + 3600) * 1000 <= late_ms, false) AS late FROM filed JOIN marks USING (file)
+  WHERE NOT success)"""
+ORACLE["stream_finished_windows"] = _q(
+    f"""SELECT make_timestamp(ws * 1000000) AS window_start, make_timestamp((ws + 3600) * 1000000) AS window_end, username, ip_address,
+               failed_attempt_count, first_attempt, last_attempt, span AS time_span_seconds,
+               failed_attempt_count / NULLIF(CAST(span AS DOUBLE) / 60, 0) AS attempts_per_minute,
+               CASE WHEN failed_attempt_count >= 5 THEN CASE WHEN span <= 60 THEN 100 WHEN span <= 300 THEN 80 WHEN span <= 3600 THEN 50 ELSE 30 END
+                    WHEN failed_attempt_count >= 3 THEN 20 ELSE 10 END AS risk_score
+        FROM (SELECT ws, username, ip_address, count(*) AS failed_attempt_count, min("timestamp") AS first_attempt, max("timestamp") AS last_attempt,
+                     {unix('max("timestamp")')} - {unix('min("timestamp")')} AS span
+              FROM timely WHERE NOT late AND (ws + 3600) * 1000 <= last_ms GROUP BY ws, username, ip_address)""",
+    _TIMELY,
+)
+ORACLE["stream_late_rows"] = _q(
+    """SELECT CAST(file AS BIGINT) AS batch, count(*) AS input_rows,
+              (SELECT count(*) FROM (SELECT DISTINCT ws, username, ip_address FROM timely WHERE late AND timely.file = filed.file)) AS late_groups
+       FROM filed GROUP BY file""",
+    _TIMELY,
+)
+ORACLE["stream_closed_bursts"] = _q(
+    f"""SELECT username, min("timestamp") AS burst_start, max("timestamp") AS burst_end,
+               max(sec) - min(sec) AS duration_seconds, count(*) AS attempts
+        FROM cb_sessions GROUP BY username, burst
+        HAVING count(*) >= 3 AND max(sec) + 86401 <= (SELECT max(sec) FROM cb_lag)""",
+    f"""
+cb_lag AS (
+  SELECT username, "timestamp", {unix('"timestamp"')} AS sec, LAG({unix('"timestamp"')}) OVER (PARTITION BY username ORDER BY "timestamp") AS prev_sec
+  FROM login_attempts WHERE NOT success AND "timestamp" IS NOT NULL),
+cb_sessions AS (
+  SELECT *, SUM(CASE WHEN prev_sec IS NULL OR sec - prev_sec > 86400 THEN 1 ELSE 0 END)
+              OVER (PARTITION BY username ORDER BY "timestamp" ROWS UNBOUNDED PRECEDING) AS burst
+  FROM cb_lag)""",
+)

@@ -30,6 +30,7 @@ from threatlens.sources import variants as VR
 from threatlens.plans.oracle import AS_OF_TRAFFIC
 from threatlens.sources import views as V
 from threatlens.streaming import incremental as ST
+from threatlens.streaming import windows as W
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -286,12 +287,50 @@ def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alert_table(spark.read.parquet(out))
 
 
+def _timely_files(spark: SparkSession, sf_dir: str, name: str, late: bool) -> tuple[DataFrame, str, str]:
+    """The logins as a stream of four or five files, eight days each in time order, read one
+    a micro-batch; with ``late``, every seventh login comes one file later."""
+    root = scratch_path(spark, name)
+    logins = V.login_attempts(spark, sf_dir)
+    behind = F.when(F.lit(late) & (F.pmod("attempt_id", F.lit(7)) == 0), 1).otherwise(0)
+    numbered = logins.withColumn("_file", F.least(F.floor((F.dayofmonth("timestamp") - 1) / 8), F.lit(3)) + behind)
+    for k in range(4 + late):  # one by one: the stream takes them by their time
+        numbered.filter(F.col("_file") == k).drop("_file").coalesce(1).write.mode("append").parquet(f"{root}/source")
+    stream = ST.read_stream(spark, f"{root}/source", schema=logins.schema, max_files_per_trigger=1)
+    return stream, f"{root}/out", f"{root}/checkpoint"
+
+
+def stream_finished_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R1 with a watermark of a day: hourly failed logins of the windows that are closed."""
+    logins, out, ckpt = _timely_files(spark, sf_dir, "finished-windows", late=True)
+    W.finished_windows_stream(logins, out, ckpt, "1 hour", "1 day", ONCE).awaitTermination()
+    return W.read_finished_windows(spark, out)
+
+
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows and late groups of each batch of that stream, from its progress."""
+    logins, out, ckpt = _timely_files(spark, sf_dir, "late-rows", late=True)
+    query = W.finished_windows_stream(logins, out, ckpt, "1 hour", "1 day", ONCE)
+    query.awaitTermination()
+    return spark.createDataFrame(W.late_groups(query), "batch long, input_rows long, late_groups long")
+
+
+def stream_closed_bursts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D1 as session windows: the bursts that no later failure can continue."""
+    logins, out, ckpt = _timely_files(spark, sf_dir, "closed-bursts", late=False)
+    W.closed_bursts_stream(logins, out, ckpt, ("username",), 86400, 3, trigger=ONCE).awaitTermination()
+    return spark.read.parquet(out)
+
+
 QUERIES.update(
     {
         "stream_failed_logins": stream_failed_logins,
         "stream_failed_logins_windowed": stream_failed_logins_windowed,
         "stream_brute_force_bursts": stream_brute_force_bursts,
         "stream_port_scans": stream_port_scans,
+        "stream_finished_windows": stream_finished_windows,
+        "stream_late_rows": stream_late_rows,
+        "stream_closed_bursts": stream_closed_bursts,
         "stream_traffic": stream_traffic,
         "stream_alerts": stream_alerts,
         "csv_snapshot_roundtrip": csv_snapshot_roundtrip,
