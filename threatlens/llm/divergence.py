@@ -41,6 +41,8 @@ from threatlens.session import ensure_checkpoint_dir
 #: Words of a text that a task splits at a time, in bytes, and counts that it holds.
 PIECE, COUNTED = 1 << 20, 200_000
 SCALE, PRIOR = 1_000_000_000, 5
+#: Places over which a language's terms are spread.
+SALTS = 256
 #: Bytes of terms: A-Z to a-z, a-z and all bytes of non-ASCII characters as they are, the rest to blanks.
 _TERM_BYTES = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
@@ -224,7 +226,10 @@ def divergence_audit(docs: DataFrame, min_docs: int = 30, top: int = 50, block_t
     by_lang = by_lang.filter(F.col("docs") >= min_docs).select("lang", "term", "lang_n")
     terms = by_lang.groupBy("lang").agg(F.count(F.lit(1)).alias("terms"), F.sum("lang_n").alias("lang_total"))
     block = F.pmod(F.xxhash64("term"), F.greatest(F.ceil(F.col("terms") / block_terms), F.lit(1))).cast("int")
-    placed = by_lang.join(terms, "lang").withColumn("block", block)
+    # a language may hold most terms: its row meets them in several places
+    salt = F.pmod(F.hash("term"), F.lit(SALTS)).alias("salt")
+    spread = terms.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    placed = by_lang.select("*", salt).join(spread, ["lang", "salt"]).drop("salt").withColumn("block", block)
     order = Window.partitionBy("lang", "block").orderBy(F.desc("lang_n"), "term")
     placed = placed.withColumn("id", F.row_number().over(order) - 1).checkpoint()
     sizes = placed.groupBy("lang", "block").agg(F.count(F.lit(1)).cast("int").alias("size"))
