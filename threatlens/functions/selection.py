@@ -60,7 +60,7 @@ def sort_key(df: DataFrame, order: Sequence[tuple[str, bool]]) -> Column:
     return F.struct(*[p.alias(f"k{i}") for i, p in enumerate(parts)])
 
 
-def _range_number(key: Column, bounds: Column, count: int) -> Column:
+def range_number(key: Column, bounds: Column, count: int) -> Column:
     """The number of bounds that are at most the key: a binary search, a step for each bit."""
     steps = [1 << k for k in reversed(range(max(1, count).bit_length()))]
 
@@ -84,6 +84,17 @@ def _bounds(rows: DataFrame, ranges: int, sample_rows: int) -> DataFrame:
     return whole.select(F.array_distinct(cuts).alias("bounds"))
 
 
+def quantile_bounds(
+    df: DataFrame, order: Sequence[tuple[str, bool]], ranges: int, sample_rows: int = SAMPLE_ROWS
+) -> tuple[Column, Column, int]:
+    """The sort key of ``df``, bounds that cut it into at most ``ranges`` parts of about equal
+    rows, and their number.  As columns of a row they give its part by ``range_number``."""
+    key = sort_key(df, order)
+    rows = df.select(key.alias("_key"))
+    bounds = _bounds(rows, ranges, sample_rows).first()["bounds"]
+    return key, _constant(df, bounds, rows.schema["_key"].dataType), len(bounds)
+
+
 def rows_between(
     df: DataFrame,
     order: Sequence[tuple[str, bool]],
@@ -105,8 +116,8 @@ def rows_between(
         bounds = _bounds(rows, ranges, sample_rows).first()["bounds"]
         if not bounds:
             break
-        keys = _literal(bounds, rows.schema["_key"].dataType)
-        numbered = rows.withColumn("_range", _range_number(F.col("_key"), keys, len(bounds)))
+        numbered = rows.withColumn("_bounds", _constant(df, bounds, rows.schema["_key"].dataType))
+        numbered = numbered.withColumn("_range", range_number(F.col("_key"), F.col("_bounds"), len(bounds))).drop("_bounds")
         sizes = dict(numbered.groupBy("_range").agg(F.count(F.lit(1)).alias("n")).collect())  # at most ``ranges`` rows
         before, wanted, held = skipped, [], 0
         for k in range(len(bounds) + 1):
@@ -125,6 +136,7 @@ def rows_between(
     return rows.orderBy("_key").drop("_key").offset(start - skipped).limit(count)
 
 
-def _literal(keys: list, kind: T.StructType) -> Column:
-    """The keys as an array of structs of literals."""
-    return F.array(*[F.struct(*[F.lit(key[f.name]).cast(f.dataType).alias(f.name) for f in kind.fields]) for key in keys])
+def _constant(df: DataFrame, bounds: list, kind: T.StructType) -> Column:
+    """The bounds as a scalar subquery over one local row."""
+    schema = T.StructType([T.StructField("bounds", T.ArrayType(kind))])
+    return df.sparkSession.createDataFrame([(bounds,)], schema).scalar()

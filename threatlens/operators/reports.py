@@ -143,6 +143,91 @@ def risk_bounds(failed: DataFrame) -> DataFrame:
     )
 
 
+def _chart(cells: DataFrame, charts: Mapping[str, tuple[str, str]], totals: Mapping[str, tuple[str, str]]) -> DataFrame:
+    """(chart, label, value) from the aggregated ``cells`` of one dataset: a bar for each value
+    of a chart's column, ``charts: name -> (column, measure)``, and one value for each of
+    ``totals: label -> (chart, measure)``.  All of them are grouping sets of the cells."""
+    columns = list(dict.fromkeys(column for column, _ in charts.values()))
+    measures = list(dict.fromkeys([m for _, m in charts.values()] + [m for _, m in totals.values()]))
+    sets = [[F.col(c)] for c in columns] + [[]]
+    grouped = cells.groupingSets(sets, *[F.col(c) for c in columns]).agg(
+        F.grouping_id(*columns).alias("_set"), *[F.coalesce(F.sum(m), F.lit(0)).cast("long").alias(m) for m in measures]
+    )
+    all_sets = (1 << len(columns)) - 1
+    bars = [
+        F.when(
+            F.col("_set") == all_sets - (1 << (len(columns) - 1 - columns.index(column))),
+            F.struct(F.lit(name).alias("chart"), F.col(column).cast("string").alias("label"), F.col(measure).alias("value")),
+        )
+        for name, (column, measure) in charts.items()
+    ]
+    sums = [
+        F.when(F.col("_set") == all_sets, F.struct(F.lit(chart).alias("chart"), F.lit(label).alias("label"), F.col(m).alias("value")))
+        for label, (chart, m) in totals.items()
+    ]
+    rows = grouped.select(F.explode(F.array(*bars, *sums)).alias("r")).filter("r is not null").select("r.*")
+    # a bar without rows in the selection is no bar; a total may be 0
+    return rows.filter((F.col("value") > 0) | (F.col("chart") == "kpi"))
+
+
+def refresh_charts(
+    failed: DataFrame,
+    scored: DataFrame,
+    enriched: DataFrame,
+    risk_range: tuple[int, int] | None = None,
+    priorities: Iterable[str] | None = None,
+    cfg: PipelineConfig = PipelineConfig(),
+) -> DataFrame:
+    """All charts and cards of a refresh as (chart, label, value), with one scan of each
+    dataset.  A scan is one partial aggregate to the few cells that the charts share; the
+    charts are grouping sets of the cells, not of the rows."""
+    one = F.count(F.lit(1)).alias("n")
+    low, high = risk_range if risk_range is not None else (-(2**31), 2**31 - 1)
+    logins = failed.groupBy("risk_score").agg(one)
+    logins = logins.withColumns(
+        {
+            "shown": F.when(F.col("risk_score").between(low, high), F.col("n")).otherwise(0),
+            "high": F.when(F.col("risk_score") >= cfg.high_risk, F.col("n")).otherwise(0),
+        }
+    )
+    traffic = scored.groupBy("anomaly_score").agg(one)
+    traffic = traffic.withColumn("high", F.when(F.col("anomaly_score") >= cfg.high_anomaly, F.col("n")).otherwise(0))
+    alerts = enriched.groupBy("priority", "alert_type", "action_required").agg(one)
+    selected = F.col("priority").isin(*(PRIORITY_ORDER if priorities is None else priorities))
+    alerts = alerts.withColumns(
+        {
+            "shown": F.when(selected, F.col("n")).otherwise(0),
+            "critical": F.when(F.col("priority") == "CRITICAL", F.col("n")).otherwise(0),
+            "actions": F.when(F.col("action_required"), F.col("n")).otherwise(0),
+        }
+    )
+    return (
+        _chart(
+            logins,
+            {"risk_distribution": ("risk_score", "shown")},
+            {"failed_logins": ("kpi", "n"), "high_risk_logins": ("kpi", "high")},
+        )
+        .unionByName(
+            _chart(
+                traffic,
+                {"anomaly_distribution": ("anomaly_score", "n")},
+                {"suspicious_traffic": ("kpi", "n"), "high_anomalies": ("kpi", "high")},
+            )
+        )
+        .unionByName(
+            _chart(
+                alerts,
+                {
+                    "priority_distribution": ("priority", "shown"),
+                    "alert_type_distribution": ("alert_type", "shown"),
+                    "action_summary": ("action_required", "n"),
+                },
+                {"security_alerts": ("kpi", "n"), "critical_alerts": ("kpi", "critical"), "actions_required": ("kpi", "actions")},
+            )
+        )
+    )
+
+
 _OPS = {
     "=": lambda c, v: c == v,
     "!=": lambda c, v: c != v,

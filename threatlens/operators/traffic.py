@@ -129,3 +129,78 @@ def port_scans(
         "first_seen",
         "last_seen",
     )
+
+
+#: Standard error of a distinct count from a sketch of 2**k registers is about 1.04 / 2**(k/2).
+SKETCH_BITS = 12
+
+
+def _panes(seconds: F.Column, pane_s: int) -> F.Column:
+    return F.floor(seconds / pane_s).cast("long")
+
+
+def sliding_scan_candidates(
+    traffic: DataFrame, keys: Sequence[str], window_s: int, slide_s: int, min_ports: int, sketch_bits: int = SKETCH_BITS
+) -> DataFrame:
+    """(keys, first pane) of the sliding windows that may hold ``min_ports`` distinct ports.
+
+    One HyperLogLog sketch of the ports per key and pane of ``slide_s``, merged map-side; a
+    window is the union of its panes' sketches, so overlapping windows share all counting
+    and no port is a row.  A window passes if its estimate is at most three standard errors below the limit."""
+    panes = (
+        traffic.filter(F.col("timestamp").isNotNull())
+        .groupBy(*keys, _panes(unix_seconds(F.col("timestamp")), slide_s).alias("pane"))
+        .agg(F.hll_sketch_agg("port", sketch_bits).alias("ports"))
+    )
+    starts = F.sequence(F.col("pane") - (window_s // slide_s - 1), F.col("pane"))
+    windows = panes.select(*keys, F.explode(starts).alias("first_pane"), "ports")
+    union = windows.groupBy(*keys, "first_pane").agg(F.hll_union_agg("ports").alias("ports"))
+    error = 1.04 / 2 ** (sketch_bits / 2)
+    return union.filter(F.hll_sketch_estimate("ports") >= min_ports * (1 - 3 * error)).select(*keys, "first_pane")
+
+
+def sliding_port_scans(
+    traffic: DataFrame,
+    keys: Sequence[str] = ("source_ip", "destination_ip"),
+    window_s: int = 60,
+    slide_s: int = 10,
+    min_ports: int = 5,
+    sketch_bits: int = SKETCH_BITS,
+) -> DataFrame:
+    """Sliding windows (epoch-aligned, every ``slide_s``) in which one key touched at least
+    ``min_ports`` distinct ports.
+
+    Sketches find the candidate windows; only the rows of their panes are looked at again
+    and counted exactly, so rows are not multiplied by the windows that hold them unless a
+    candidate needs them."""
+    if slide_s < 1 or window_s % slide_s:
+        raise ValueError("the window must be a whole number of slides")
+    keys = list(keys)
+    found = sliding_scan_candidates(traffic, keys, window_s, slide_s, min_ports, sketch_bits).withColumns({f"_k{i}": F.struct(k) for i, k in enumerate(keys)})
+    found = found.drop(*keys)
+    span = window_s // slide_s
+    rows = traffic.filter(F.col("timestamp").isNotNull()).select(
+        *[F.struct(k).alias(f"_k{i}") for i, k in enumerate(keys)], "port", "timestamp", _panes(unix_seconds(F.col("timestamp")), slide_s).alias("pane")
+    )
+    same = [f"_k{i}" for i in range(len(keys))]  # as structs, null keys meet as well
+    wanted = found.select(*same, "first_pane", F.explode(F.sequence("first_pane", F.col("first_pane") + span - 1)).alias("pane"))
+    # per pane and port first: a busy port is a row, not its connections
+    ports = rows.groupBy(*same, "pane", "port").agg(
+        F.count(F.lit(1)).alias("connections"), F.min("timestamp").alias("first_seen"), F.max("timestamp").alias("last_seen")
+    )
+    counted = ports.join(wanted, [*same, "pane"]).groupBy(*same, "first_pane").agg(
+        F.count_distinct("port").alias("distinct_ports"),
+        F.sum("connections").alias("connections"),
+        F.min("first_seen").alias("first_seen"),
+        F.max("last_seen").alias("last_seen"),
+    )
+    start = F.timestamp_add("SECOND", F.col("first_pane") * slide_s, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+    return counted.filter(F.col("distinct_ports") >= min_ports).select(
+        *[F.col(f"_k{i}.{k}").alias(k) for i, k in enumerate(keys)],
+        start.alias("window_start"),
+        F.timestamp_add("SECOND", F.lit(window_s), start).alias("window_end"),
+        "distinct_ports",
+        "connections",
+        "first_seen",
+        "last_seen",
+    )

@@ -167,7 +167,9 @@ def report_refresh(
     snapshot_format: str = "csv",
 ) -> dict[str, DataFrame]:
     """Reports of one run (default: the latest run present for every kind): the four
-    charts and one page of the three tables, all lazy DataFrames.
+    charts and one page of the three tables, all lazy DataFrames.  ``charts`` holds all
+    charts and cards in one frame, from one scan of each snapshot; the single charts are
+    there for a page that shows one of them.
 
     ``layout="flat"`` reads existing ``<kind>_YYYYmmdd_HHMMSS.csv`` files instead (the
     newest of each kind).  ``time_range`` ("all", "24h", "7d", "30d") keeps rows whose
@@ -194,6 +196,7 @@ def report_refresh(
         enriched = R.time_range(enriched, "timestamp", as_of, time_range)
     selected = list(priorities) if priorities is not None else None
     return {
+        "charts": R.refresh_charts(failed, scored, enriched, risk_range, selected),
         "risk_distribution": R.risk_distribution(failed, *risk_range).orderBy("risk_score"),
         "anomaly_distribution": R.anomaly_distribution(scored).orderBy("anomaly_score"),
         "priority_distribution": R.priority_distribution(enriched, selected).orderBy("sort_order"),

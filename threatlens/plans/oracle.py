@@ -540,3 +540,26 @@ cb_sessions AS (
               OVER (PARTITION BY username ORDER BY "timestamp" ROWS UNBOUNDED PRECEDING) AS burst
   FROM cb_lag)""",
 )
+ORACLE["clustered_traffic"] = _q(
+    "SELECT * FROM scored_traffic WHERE anomaly_score >= 80 AND \"timestamp\" >= TIMESTAMP '1998-01-01 00:00:00'"
+)
+ORACLE["refresh_charts"] = _q(
+    """SELECT 'risk_distribution' AS chart, CAST(risk_score AS VARCHAR) AS label, count(*) AS value FROM failed_logins WHERE risk_score BETWEEN 15 AND 50 GROUP BY risk_score
+       UNION ALL SELECT 'anomaly_distribution', CAST(anomaly_score AS VARCHAR), count(*) FROM scored_traffic GROUP BY anomaly_score
+       UNION ALL SELECT 'priority_distribution', priority, count(*) FROM enriched_alerts WHERE priority IN ('CRITICAL', 'HIGH') GROUP BY priority
+       UNION ALL SELECT 'alert_type_distribution', alert_type, count(*) FROM enriched_alerts WHERE priority IN ('CRITICAL', 'HIGH') GROUP BY alert_type
+       UNION ALL SELECT 'action_summary', CAST(action_required AS VARCHAR), count(*) FROM enriched_alerts GROUP BY action_required
+       UNION ALL SELECT 'kpi', 'failed_logins', count(*) FROM failed_logins
+       UNION ALL SELECT 'kpi', 'high_risk_logins', count(*) FILTER (WHERE risk_score >= 80) FROM failed_logins
+       UNION ALL SELECT 'kpi', 'suspicious_traffic', count(*) FROM scored_traffic
+       UNION ALL SELECT 'kpi', 'high_anomalies', count(*) FILTER (WHERE anomaly_score >= 80) FROM scored_traffic
+       UNION ALL SELECT 'kpi', 'security_alerts', count(*) FROM enriched_alerts
+       UNION ALL SELECT 'kpi', 'critical_alerts', count(*) FILTER (WHERE priority = 'CRITICAL') FROM enriched_alerts
+       UNION ALL SELECT 'kpi', 'actions_required', count(*) FILTER (WHERE action_required) FROM enriched_alerts"""
+)
+ORACLE["sliding_port_scans"] = _q(
+    f"""SELECT source_ip, make_timestamp(ws * 1000000) AS window_start, make_timestamp((ws + 2592000) * 1000000) AS window_end,
+               count(DISTINCT port) AS distinct_ports, count(*) AS connections, min("timestamp") AS first_seen, max("timestamp") AS last_seen
+        FROM (SELECT *, {unix('"timestamp"')} // 864000 * 864000 - 864000 * unnest([0, 1, 2]) AS ws FROM network_traffic WHERE "timestamp" IS NOT NULL)
+        GROUP BY source_ip, ws HAVING count(DISTINCT port) >= 8"""
+)

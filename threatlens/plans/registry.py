@@ -23,6 +23,7 @@ from threatlens.operators import traffic as TR
 from threatlens.plans import etl as P
 from threatlens.schemas import SECURITY_ALERTS
 from threatlens.session import scratch_path
+from threatlens.sinks.clustering import write_clustered
 from threatlens.sinks.writers import write_documents, write_snapshot
 from threatlens.sources import documents as D
 from threatlens.sources import snapshots as S
@@ -135,6 +136,10 @@ QUERIES: dict[str, Query] = {
     ),
     "incident_timelines": lambda s, d: A.incident_timelines(V.security_alerts(s, d), min_steps=4),
     "incident_steps": lambda s, d: A.incident_steps(V.security_alerts(s, d)),
+    "sliding_port_scans": lambda s, d: TR.sliding_port_scans(
+        V.network_traffic(s, d), keys=("source_ip",), window_s=30 * 86400, slide_s=10 * 86400, min_ports=8
+    ),
+    "refresh_charts": lambda s, d: R.refresh_charts(_failed(s, d), _scored(s, d), _enriched(s, d), (15, 50), ["CRITICAL", "HIGH"]),
     "incident_chains": lambda s, d: A.incident_chains(V.security_alerts(s, d), min_steps=2),
     "failures_by_zone": lambda s, d: L.failures_by_zone(V.login_attempts(s, d)),
     "success_after_failures": lambda s, d: L.success_after_failures(
@@ -229,6 +234,18 @@ def deep_traffic_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.table_page(scored, "suspicious_traffic", 5000)
 
 
+def clustered_traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scored traffic in files clustered by score, source and time, and the rows of a filter on
+    two of them, which skips the row groups elsewhere on the curve."""
+    path = f"{scratch_path(spark, 'clustered')}/suspicious_traffic"
+    root = scratch_path(spark, "clustered-source")
+    write_snapshot(_scored(spark, sf_dir), root, "suspicious_traffic", "20240101_000000", fmt="parquet")
+    scored = S.read_snapshot(spark, root, "suspicious_traffic", "20240101_000000", fmt="parquet")
+    write_clustered(scored, path, ["anomaly_score", "source_ip", "timestamp"])
+    recent = F.col("timestamp") >= F.lit("1998-01-01 00:00:00").cast("timestamp_ntz")
+    return spark.read.parquet(path).filter((F.col("anomaly_score") >= 80) & recent)
+
+
 def _stream(spark: SparkSession, sf_dir: str, table: str, name: str, files: int = 4) -> tuple[DataFrame, str, str]:
     """The table as a stream of several files that are not in time order, one for each
     micro-batch; and the folders for its results and its checkpoint."""
@@ -338,6 +355,7 @@ QUERIES.update(
         "document_fields": document_fields,
         "open_document_alerts": open_document_alerts,
         "deep_traffic_page": deep_traffic_page,
+        "clustered_traffic": clustered_traffic,
         "etl_run_summary": P.etl_run_summary,
         "latest_snapshot": P.refreshed_priorities,
     }
