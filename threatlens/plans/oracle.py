@@ -563,3 +563,11 @@ ORACLE["sliding_port_scans"] = _q(
         FROM (SELECT *, {unix('"timestamp"')} // 864000 * 864000 - 864000 * unnest([0, 1, 2]) AS ws FROM network_traffic WHERE "timestamp" IS NOT NULL)
         GROUP BY source_ip, ws HAVING count(DISTINCT port) >= 8"""
 )
+ORACLE["key_violations"] = _q(
+    """SELECT 'network_traffic' AS dataset, 'primary_key' AS rule, 'traffic_id' AS columns,
+              CAST(coalesce(sum(n) FILTER (WHERE n > 1 OR traffic_id IS NULL), 0) AS BIGINT) AS violations
+       FROM (SELECT traffic_id, count(*) AS n FROM network_traffic GROUP BY traffic_id)
+       UNION ALL
+       SELECT 'login_attempts', 'primary_key', 'attempt_id', CAST(coalesce(sum(n) FILTER (WHERE n > 1 OR attempt_id IS NULL), 0) AS BIGINT)
+       FROM (SELECT attempt_id, count(*) AS n FROM login_attempts GROUP BY attempt_id)"""
+)

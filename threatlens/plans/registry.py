@@ -145,6 +145,9 @@ QUERIES: dict[str, Query] = {
     "success_after_failures": lambda s, d: L.success_after_failures(
         V.login_attempts(s, d), look_back=3, min_failures=2
     ),
+    "key_violations": lambda s, d: C.key_violations(V.network_traffic(s, d), C.NETWORK_TRAFFIC_CONTRACT).unionByName(
+        C.key_violations(V.login_attempts(s, d), C.LOGIN_ATTEMPTS_CONTRACT)
+    ),
     "contract_violations": lambda s, d: C.contract_violations(
         V.network_traffic(s, d), C.NETWORK_TRAFFIC_CONTRACT
     ).unionByName(

@@ -77,16 +77,18 @@ def closed_bursts_stream(
     keys: Sequence[str] = ("username", "ip_address"),
     max_gap_s: int = 60,
     min_attempts: int = 5,
-    delay: str = "0 seconds",
+    delay: str = "1 second",
     trigger: Trigger = Trigger(),
 ) -> StreamingQuery:
     """Bursts of failed logins as session windows: a burst is handed on when no failure can
-    continue it.  Gaps are whole seconds up to ``max_gap_s``, as in ``brute_force_bursts``,
-    so a session reaches ``max_gap_s + 1`` seconds beyond the second of its last failure."""
+    continue it.  Gaps are whole seconds up to ``max_gap_s``, as in ``brute_force_bursts``
+    (a failure just ``max_gap_s`` after a session's last one belongs to it); with a delay of
+    a second at least, no failure in time order comes after its session was closed."""
+    gap = f"{max_gap_s} seconds" if max_gap_s else "1 microsecond"
     failed = logins.filter(~F.col("success") & F.col("timestamp").isNotNull())
     second = F.date_trunc("SECOND", instant(F.col("timestamp")))
     failures = failed.withColumn("second", second).withWatermark("second", delay)
-    sessions = failures.groupBy(F.session_window("second", f"{max_gap_s + 1} seconds").alias("w"), *keys).agg(
+    sessions = failures.groupBy(F.session_window("second", gap).alias("w"), *keys).agg(
         F.min("timestamp").alias("burst_start"), F.max("timestamp").alias("burst_end"), F.count(F.lit(1)).alias("attempts")
     )
     span = unix_seconds(F.col("burst_end")) - unix_seconds(F.col("burst_start"))
