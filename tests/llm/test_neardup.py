@@ -81,3 +81,57 @@ def test_register_collisions_follow_similarity():
         sk = N.sketches([np.unique(pool[:100]), np.unique(pool[10:])])
         same.append((sk[0] == sk[1]).mean())
     assert abs(np.mean(same) - 90 / 110) < 0.05
+
+
+def near_copies(n=90, words=60, seed=11):
+    """A group around one text, with more or fewer changed words, ids mixed, some repeated."""
+    import random
+
+    rng = random.Random(seed)
+    base = [f"b{i}" for i in range(words)]
+    rows = []
+    for i in range(n):
+        text = list(base)
+        for _ in range(rng.randint(0, 5)):
+            text[rng.randrange(words)] = f"x{rng.randrange(40)}"
+        rows.append((rng.randrange(10_000), " ".join(text)))
+    return rows + [(rows[0][0], "quite another text of its own"), (rows[1][0], rows[2][1])]
+
+
+def test_a_group_of_near_copies_equals_brute_force(frame):
+    rows = near_copies()
+    for k in (2, 5):
+        want = brute(rows, k)
+        assert 1 < len({c for _, _, c, _ in want}) < 90
+        assert result(frame(rows).repartition(6), k) == want
+
+
+def test_blocks_verify_the_same_links(spark, frame, monkeypatch):
+    """Any block size, several sets of one node, and pairs without a link."""
+    rows = near_copies(40)
+    sets = frame(rows).select("doc_id", "text").mapInArrow(N._set_rows(2), "doc_id long, registers binary, shingles binary")
+    ids = sorted({i for i, _ in rows})
+    pairs = spark.createDataFrame([(a, b) for a in ids for b in ids if a < b], "a long, b long")
+    want = sorted(map(tuple, N.verified(pairs, sets, 80).collect()))
+    assert 10 < len(want) < len(ids) ** 2 / 2
+    for size in (1, 20_000, 4 << 20):
+        monkeypatch.setattr(N, "BLOCK_BYTES", size)
+        monkeypatch.setattr(N, "PAIRS", 37)
+        assert sorted(map(tuple, N.verified_in_blocks(pairs, sets, 80).collect())) == want
+
+
+def test_stage_takes_any_column_names(spark, pairs):
+    rows = [(i, t, "x", "y", "z") for i, t in pairs]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, `_gone` string, row string, `a.b` string")
+    out = N.stage(spark, docs, "")
+    assert out.columns == docs.columns
+    assert {r["doc_id"] for r in out.select("doc_id").collect()} == {doc for doc, _, _, kept in brute(pairs, 5) if kept}
+
+
+def test_new_links_merge_components_so_far(spark):
+    frame = lambda rows, names: spark.createDataFrame(rows, names)
+    label = frame([(1, 1), (2, 1), (5, 5), (6, 5), (9, 9), (10, 9)], "node long, label long")
+    links = frame([(6, 2), (20, 10), (30, 31), (5, 6)], "a long, b long")
+    got = {r["node"]: r["label"] for r in N.merged(label, links).collect()}
+    assert got == {1: 1, 2: 1, 5: 1, 6: 1, 9: 9, 10: 9, 20: 9, 30: 30, 31: 30}
+    assert N.merged(label, frame([(5, 6)], "a long, b long")) is label

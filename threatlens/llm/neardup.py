@@ -17,8 +17,9 @@ J = 0.07, usual for two unrelated documents of a language, a band agrees with 6e
 
 Links: every node is first compared with the two nodes that are smallest in most of its
 buckets; nodes so linked form components.  In the buckets that still hold nodes of
-different components, three more rounds compare each node with two drawn nodes of other
-components, and then what is left is compared across components in full.  Pairs inside a
+different components, another round compares each node with two drawn nodes of other
+components, and then what is left is compared across components in full, in blocks of
+nodes, so that a set is sent to blocks and not to pairs.  Pairs inside a
 component are never compared, so a bucket of many near copies costs a few comparisons for
 each of them.  A node with too many shingles of its own (that no other open node has)
 can't reach the limit with anyone; that exact bound is part of the last join, so the
@@ -57,8 +58,10 @@ BAND = 8
 BANDS = REGISTERS // BAND
 BASE = 1.02
 RATE = 20.0
-TURNS = 3  # rounds against drawn nodes, before what is left is compared in full
+TURNS = 1  # rounds against drawn nodes, before what is left is compared in full
 MARGIN = 0.085  # five standard errors of the estimate at 0.8
+#: Registers and sets of the nodes that a task compares with each other, twice; pairs at a time.
+BLOCK_BYTES, PAIRS = 4 << 20, 4096
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -187,6 +190,20 @@ def _set_rows(k: int):
     return run
 
 
+def _similar(ra: np.ndarray, rb: np.ndarray, sa: list[np.ndarray], sb: list[np.ndarray], percent: int) -> np.ndarray:
+    """Whether the sets of each pair are similar enough: sizes and estimate first, then in full."""
+    na, nb = (np.array([len(x) for x in s], dtype=np.float64) for s in (sa, sb))
+    linked = np.zeros(len(sa), dtype=bool)
+    likely = (100 * np.minimum(na, nb) >= percent * np.maximum(na, nb)) & (na > 0) & (nb > 0)
+    at = np.flatnonzero(likely)
+    if len(at):
+        at = at[estimate(ra[at], rb[at], na[at], nb[at]) >= percent / 100 - MARGIN]
+    for i in at.tolist():
+        both = len(np.intersect1d(sa[i], sb[i], assume_unique=True))
+        linked[i] = 100 * both >= percent * (len(sa[i]) + len(sb[i]) - both)
+    return linked
+
+
 def _verify(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -195,20 +212,39 @@ def _verify(percent: int):
             col = {c: batch.column(c).to_pylist() for c in ("ra", "rb", "sa", "sb")}
             ra, rb = (np.array([np.frombuffer(x, dtype=np.uint16) for x in col[c]]) for c in ("ra", "rb"))
             sa, sb = ([np.frombuffer(x, dtype=np.uint64) for x in col[c]] for c in ("sa", "sb"))
-            na, nb = (np.array([len(x) for x in s], dtype=np.float64) for s in (sa, sb))
-            linked = np.zeros(batch.num_rows, dtype=bool)
-            if batch.num_rows:
-                likely = (100 * np.minimum(na, nb) >= percent * np.maximum(na, nb)) & (na > 0) & (nb > 0)
-                at = np.flatnonzero(likely)
-                at = at[estimate(ra[at], rb[at], na[at], nb[at]) >= percent / 100 - MARGIN]
-                for i in at.tolist():
-                    both = len(np.intersect1d(sa[i], sb[i], assume_unique=True))
-                    linked[i] = 100 * both >= percent * (len(sa[i]) + len(sb[i]) - both)
+            linked = _similar(ra, rb, sa, sb, percent)
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(linked))
 
     return run
 
 
+def _verify_blocks(percent: int):
+    def run(pairs: pa.Table, members: pa.Table) -> pa.Table:
+        node = members.column("node").to_numpy()
+        order = np.argsort(node, kind="stable")
+        registers = [np.frombuffer(members.column("registers")[i].as_py(), dtype=np.uint16) for i in order.tolist()]
+        sets = [np.frombuffer(members.column("shingles")[i].as_py(), dtype=np.uint64) for i in order.tolist()]
+        node = node[order]
+        a, b = pairs.column("a").to_numpy(), pairs.column("b").to_numpy()
+        linked = np.zeros(len(a), dtype=bool)
+        # a node may have several sets: each of a's against each of b's
+        first = [np.searchsorted(node, x) for x in (a, b)]
+        rows = [np.searchsorted(node, x, side="right") - f for x, f in zip((a, b), first, strict=True)]
+        times = rows[0] * rows[1]
+        for k in range(0, len(a), PAIRS):
+            part = slice(k, k + PAIRS)
+            pair = np.repeat(np.arange(len(a))[part], times[part])
+            step = np.arange(len(pair)) - np.repeat(np.cumsum(times[part]) - times[part], times[part])
+            i, j = first[0][pair] + step // rows[1][pair], first[1][pair] + step % rows[1][pair]
+            if len(pair):
+                ra, rb = (np.array([registers[x] for x in at.tolist()]) for at in (i, j))
+                similar = _similar(ra, rb, [sets[x] for x in i.tolist()], [sets[x] for x in j.tolist()], percent)
+                linked[pair[similar]] = True
+        return pa.table({"a": pa.array(a[linked]), "b": pa.array(b[linked])})
+
+    return run
+
+
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough, checkpointed."""
     side = lambda n: sets.select(F.col("doc_id").alias(n), F.col("registers").alias(f"r{n}"), F.col("shingles").alias(f"s{n}"))
@@ -216,6 +252,25 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return full.mapInArrow(_verify(percent), "a long, b long").distinct().checkpoint()
 
 
+def verified_in_blocks(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """As ``verified``, for many pairs of few nodes: a node's set goes once to each block of
+    its partners, not once to each partner.  Nodes with the same smallest partner share a
+    block, or several of about ``BLOCK_BYTES``; a task holds two blocks and their pairs."""
+    home = pairs.select(F.explode(F.array("a", "b")).alias("node"), F.col("a").alias("home")).groupBy("node").agg(F.min("home").alias("home"))
+    sizes = sets.groupBy(F.col("doc_id").alias("node")).agg(F.sum(F.octet_length("registers") + F.octet_length("shingles")).alias("bytes"))
+    placed = home.join(sizes, "node")
+    parts = placed.groupBy("home").agg(F.ceil(F.sum("bytes") / BLOCK_BYTES).alias("parts"))
+    block = F.xxhash64("home", F.pmod(F.xxhash64("node"), F.col("parts")))
+    placed = placed.join(parts, "home").select("node", block.alias("block")).checkpoint()
+    of = lambda n: placed.select(F.col("node").alias(n), F.col("block").alias(f"block_{n}"))
+    keyed = pairs.select("a", "b").join(of("a"), "a").join(of("b"), "b")
+    keyed = keyed.select("a", "b", F.least("block_a", "block_b").alias("x"), F.greatest("block_a", "block_b").alias("y")).checkpoint()
+    members = keyed.select(F.col("x").alias("of_x"), F.col("y").alias("of_y"), F.explode(F.array("a", "b")).alias("node")).distinct()
+    members = members.join(sets.select(F.col("doc_id").alias("node"), "registers", "shingles"), "node")
+    linked = keyed.groupBy("x", "y").cogroup(members.groupBy("of_x", "of_y")).applyInArrow(_verify_blocks(percent), "a long, b long")
+    return linked.distinct().checkpoint()
+
+
 def _shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(shingle, doc_id) for each shingle of the packed sets."""
     for batch in batches:
@@ -276,6 +331,29 @@ def components(links: DataFrame) -> DataFrame:
             return label
 
 
+def merged(label: DataFrame, links: DataFrame) -> DataFrame:
+    """The components (node, label) after new links (a, b): components so far are one node
+    each, so only links between different ones are followed."""
+    of = lambda n: label.select(F.col("node").alias(n), F.col("label").alias(f"label_{n}"))
+    ends = [F.coalesce(f"label_{n}", n).alias(n) for n in ("a", "b")]
+    across = links.join(of("a"), "a", "left").join(of("b"), "b", "left").select(*ends).filter("a <> b").distinct().checkpoint()
+    if not across.limit(1).count():
+        return label
+    top = components(across)
+    known = label.join(top.select(F.col("node").alias("label"), F.col("label").alias("top")), "label", "left")
+    known = known.select("node", F.coalesce("top", "label").alias("label"))
+    return known.unionByName(top.join(label, "node", "left_anti")).checkpoint()
+
+
+def _same_id(found: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links (a, b) between the nodes of classes that rows of one doc_id belong to."""
+    known = found.filter("doc_id is not null and class is not null").select("doc_id", "class")
+    several = known.groupBy("doc_id").agg(F.min("class").alias("x"), F.max("class").alias("y")).filter("x <> y").select("doc_id")
+    nodes = known.join(several, "doc_id").join(classes, "class").select("doc_id", F.col("rep").alias("b")).distinct()
+    first = nodes.groupBy("doc_id").agg(F.min("b").alias("a"))
+    return nodes.join(first, "doc_id").filter("a <> b").select("a", "b").distinct()
+
+
 def link_documents(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for each row."""
     ensure_checkpoint_dir(docs.sparkSession)
@@ -293,8 +371,7 @@ def link_documents(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     sets = sets.mapInArrow(_set_rows(k), "doc_id long, registers binary, shingles binary").checkpoint()
     # a first round against each bucket's smallest node, then against others of it
     tested = _most_shared(buckets.filter("hub <> node").select(F.col("hub").alias("a"), F.col("node").alias("b")))
-    links = verified(tested, sets, percent)
-    label = components(links)
+    label = components(verified(tested, sets, percent).union(_same_id(found, classes)))
     bounds = None
     for turn in range(TURNS):
         open_rows = _open_rows(buckets, label, bounds)
@@ -303,15 +380,18 @@ def link_documents(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
             # a node with too many shingles of its own reaches the limit with nobody
             bounds = shared_sizes(open_sets).filter(F.coalesce(100 * F.col("shared") >= percent * F.col("n"), F.lit(True))).checkpoint()
             open_rows = _open_rows(buckets, label, bounds)
+            # from here on all pairs are of these nodes
+            sets = open_sets.join(bounds.select(F.col("node").alias("doc_id")), "doc_id", "left_semi").checkpoint()
         draw = F.xxhash64("node", F.lit(turn))
         hubs = open_rows.groupBy("band").agg(F.min(F.struct(draw.alias("draw"), "node", "label")).alias("hub"))
         pairs = open_rows.join(hubs, "band").filter("label <> hub.label").select(
             F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b"), "node"
         )
         pairs = _most_shared(pairs.join(tested, ["a", "b"], "left_anti"))
-        links = links.union(verified(pairs, sets, percent))
+        if not pairs.limit(1).count():
+            break  # nothing is left between components
         tested = tested.union(pairs)
-        label = components(links)
+        label = merged(label, verified(pairs, sets, percent))
     open_rows = _open_rows(buckets, label, bounds).join(bounds, "node")
     left, right = (open_rows.select("band", F.col("node").alias(n), *[F.col(c).alias(f"{c}_{n}") for c in ("label", "n", "shared")]) for n in ("a", "b"))
     # at most so many shingles can be common to both
@@ -319,7 +399,7 @@ def link_documents(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     across = left.join(right, "band").filter((F.col("a") < F.col("b")) & (F.col("label_a") != F.col("label_b")) & reach)
     across = across.select("a", "b").distinct().join(tested, ["a", "b"], "left_anti").checkpoint()
     if across.limit(1).count():
-        label = components(links.union(verified(across, sets, percent)))
+        label = merged(label, verified_in_blocks(across, sets, percent))
     out = members.join(label.withColumnRenamed("node", "rep"), "rep", "left")
     component = F.coalesce("label", "rep", "doc_id")
     component = F.when(F.col("doc_id").isNotNull(), F.when(F.col("n_shingles") > 0, component).otherwise(F.col("doc_id")))
@@ -335,5 +415,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates (five-word shingles, 0.8)."""
-    gone = link_documents(docs, k=5, percent=80).filter(~F.col("kept") & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    gone = link_documents(docs, k=5, percent=80).filter(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct()
+    # each row is one struct, so its columns may have any names
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    left = rows.join(gone, F.col("row.doc_id").cast("long") == F.col("doc_id"), "left_anti")
+    return left.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
