@@ -163,7 +163,7 @@ def test_command_line(spark):
     assert rep.returncode == 0 and "priority_distribution" in rep.stdout and "CRITICAL" in rep.stdout
     names = subprocess.run([sys.executable, "-m", "threatlens", "queries"], capture_output=True, text=True,
                            env=env, timeout=120).stdout.split()
-    assert "traffic_anomalies" in names and len(names) == 42
+    assert "traffic_anomalies" in names and len(names) == 53
 
 
 def test_reports_never_mix_runs(spark):
