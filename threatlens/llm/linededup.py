@@ -56,6 +56,8 @@ WILDCARD = "<*>"
 BLOCKS = 4
 #: A character of a script without blanks between words.
 UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\p{IsTibetan}]"
+#: Only a text with one of these has such characters or white space that is not ASCII.
+NOT_PLAIN = r"[\x{85}\x{a0}\x{e00}-\x{1fff}\x{2028}\x{2029}\x{2e80}-\x{10ffff}]"
 #: White space other than the blank and the line feed.
 SPACES, WIDE_SPACES = "\t\r\x0b\x0c", r"[\x85\u00a0\u2028\u2029\u3000]"
 #: One in so many documents is sampled; a key with so many lines in the sample is dealt by document.
@@ -100,7 +102,7 @@ def line_keys(rows: DataFrame, rules: TemplateRules) -> DataFrame:
     """doc_id, _hash (of the text), _line, _key for each line and template."""
     text = F.col("text")
     wide = F.regexp_replace(F.regexp_replace(text, WIDE_SPACES, " "), f"({UNSPACED})", " $1 ")
-    spaced = F.when(F.octet_length(text) > F.length(text), wide).otherwise(text)
+    spaced = F.when((F.octet_length(text) > F.length(text)) & text.rlike(NOT_PLAIN), wide).otherwise(text)
     for c in SPACES:
         spaced = F.replace(spaced, F.lit(c), F.lit(" "))
     # what stands before the first digit goes word by word
