@@ -485,7 +485,7 @@ ORACLE["document_fields"] = _q(
        WHERE path <> '' AND path NOT LIKE '%]' AND json_type <> 'NULL' GROUP BY path""",
     _MIXED,
 )
-ORACLE["open_document_alerts"] = _q(
+ORACLE["alerts_from_open_documents"] = _q(
     """SELECT e.alert_id, e.alert_type, e."timestamp", CASE WHEN shape = 0 THEN e.incident_id END AS incident_id, severity_score, priority,
               CASE WHEN shape = 1 THEN CAST(e.alert_id % 60000 AS INTEGER) END AS detail_port,
               document->>'$.detection_details.port' AS port_text, document->>'$.detection_details.protocol' AS protocol,

@@ -217,7 +217,7 @@ DETAIL_FIELDS = {
 }
 
 
-def open_document_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def alerts_from_open_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same documents typed: the declared columns, scored, and details that no schema
     declares; a port that is text is null as a number and kept as text."""
     docs = VR.typed_documents(_open_documents(spark, sf_dir), SECURITY_ALERTS)
@@ -356,7 +356,7 @@ QUERIES.update(
         "csv_snapshot_roundtrip": csv_snapshot_roundtrip,
         "documents_normalized": documents_normalized,
         "document_fields": document_fields,
-        "open_document_alerts": open_document_alerts,
+        "alerts_from_open_documents": alerts_from_open_documents,
         "deep_traffic_page": deep_traffic_page,
         "clustered_traffic": clustered_traffic,
         "etl_run_summary": P.etl_run_summary,
