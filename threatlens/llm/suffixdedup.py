@@ -115,7 +115,11 @@ def suffix_mergesort(h: PrefixHashes, start: np.ndarray, bucket: np.ndarray) ->
     first = np.concatenate([[True], b[1:] != b[:-1]]) if n else np.zeros(0, dtype=bool)
     heads = np.flatnonzero(first)
     sizes = np.diff(np.append(heads, n))
-    base, size = np.repeat(heads, sizes), np.repeat(sizes, sizes)
+    base = np.repeat(heads, sizes)
+    if n:  # a bucket whose strings all have one hash is in order
+        alike = np.minimum.reduceat(whole[order], heads) == np.maximum.reduceat(whole[order], heads)
+        sizes, lengths = np.where(alike, 1, sizes), sizes
+        size = np.repeat(sizes, lengths)
     width = 1
     while n and width < sizes.max():
         place = np.flatnonzero(size > width)
@@ -356,6 +360,17 @@ def _send(bits: int, shards: int):
     return run
 
 
+def _meeting(bucket: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """The entries of the buckets that hold several documents; only these need sorting."""
+    if not len(bucket):
+        return np.zeros(0, dtype=np.int64)
+    order = np.argsort(bucket, kind="stable")
+    heads = np.flatnonzero(np.concatenate([[True], np.diff(bucket[order]) != 0]))
+    doc = doc[order]
+    several = np.minimum.reduceat(doc, heads) < np.maximum.reduceat(doc, heads)
+    return order[np.repeat(several, np.diff(np.append(heads, len(order))))]
+
+
 def _sort(key, mail):
     """The strings of each run that a smaller doc_id has too, as a bit for each start."""
     ids = [np.frombuffer(x, dtype=np.int64).reshape(2, -1) for x in mail.column("ids").to_pylist()]
@@ -369,12 +384,15 @@ def _sort(key, mail):
     step = np.arange(len(run_of)) - np.repeat(np.cumsum(count) - count, count)
     start = begin[run_of] + step
     bucket = _mix(anchor[run_of] + (rel[run_of] - step).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    order, same = suffix_mergesort(PrefixHashes(data), start, bucket)
-    smallest = doc[run_of[order]].copy()
-    heads = np.flatnonzero(~same)
-    smallest = np.repeat(np.minimum.reduceat(smallest, heads), np.diff(np.append(heads, len(order))))
-    bit = np.zeros(len(order), dtype=np.uint64)
-    bit[order] = smallest < doc[run_of[order]]
+    bit = np.zeros(len(run_of), dtype=np.uint64)
+    met = _meeting(bucket, doc[run_of])
+    if len(met):
+        order, same = suffix_mergesort(PrefixHashes(data), start[met], bucket[met])
+        order = met[order]
+        smallest = doc[run_of[order]]
+        heads = np.flatnonzero(~same)
+        smallest = np.repeat(np.minimum.reduceat(smallest, heads), np.diff(np.append(heads, len(order))))
+        bit[order] = smallest < doc[run_of[order]]
     masks = np.add.reduceat(bit << step.astype(np.uint64), np.cumsum(count) - count)
     out, at = [], 0
     for sender, x in zip(mail.column("sender").to_pylist(), ids, strict=True):
