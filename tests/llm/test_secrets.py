@@ -113,3 +113,41 @@ def test_nothing_to_learn_from(spark, frame):
     out = X.secrets(spark, frame([(1, "plain words only"), (2, None)])).collect()
     assert [r["spans"] for r in out] == ["", ""]
     assert X.secrets(spark, frame([(1, "a")]).filter("doc_id > 1")).collect() == []
+
+
+def test_spans_apart_equal_all_pairs():
+    rng = random.Random(2)
+    for _ in range(300):
+        spans = lambda: sorted((s, rng.randrange(3), s + rng.randint(1, 12)) for s in (rng.randrange(80) for _ in range(rng.randint(0, 8))))
+        added, base = [], spans()
+        for x in spans():
+            if not added or x[0] >= added[-1][2]:
+                added.append(x)
+        assert X._apart(added, base) == [x for x in added if not any(x[0] < b[2] and x[2] > b[0] for b in base)]
+
+
+def test_long_texts_take_linear_time(spark, frame, rows):
+    """Many stretches and base spans in one text: four times the text, some four times the time."""
+    import time
+
+    model = X.train(frame(rows))
+    line = "the words of line password=hunter12345 and id 9f3ac07d51b2 by host-12 of 10.0.0.1\n"
+    took = []
+    for n in (2_500, 10_000):
+        began = time.process_time()
+        assert len([x for x in X.scan(line * n, model, {}) if x[1] == 0]) == n
+        took.append(time.process_time() - began)
+    assert took[1] < 8 * took[0]
+
+
+def test_a_secret_word_in_a_long_chunk_counts(spark):
+    chunk = '{"a":"' + "x" * 400 + '","password":'
+    (spans, _), = X.stretches(f"plain words {chunk} hunter two")
+    assert spans[-1][1] == len(f"plain words {chunk} hunter two")  # the words after it are looked at
+
+
+def test_rare_secrets_still_teach(spark, frame):
+    rng = random.Random(5)
+    rows = [(i, f"plain words of text number {i} and {rng.random()}") for i in range(4000)]
+    rows[777] = (777, 'config: token = "9f3ac07d51b2e8d4a6c1" end')
+    assert X.train(frame(rows), X.CrfRules(max_docs=5)) is not None

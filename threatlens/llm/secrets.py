@@ -10,8 +10,8 @@ every other chunk is a plain word whose label is fixed to outside, so the chain
 stretches is constant and each stretch is decoded alone, with outside before and after
 it.  A stretch is decoded whole whatever its length.
 
-The CRF is trained on stretches of a bounded sample of documents (``max_docs``), whose
-tokens inside base spans count as secret.  The features have none of the base patterns,
+The CRF is trained on stretches of a bounded sample of documents (``max_docs``,
+``max_train_chars``, ``max_stretches``), whose tokens inside base spans count as secret.  The features have none of the base patterns,
 so the model carries over to secrets that the patterns miss.  A span of the CRF that
 touches a base span is dropped: the base one stands.
 
@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threatlens.llm.common import id_text, text_slices, texts
+from threatlens.session import ensure_checkpoint_dir
 
 # The base patterns (kind, pattern, group that must be long, its length).
 BASE = (
@@ -66,6 +67,16 @@ class CrfRules:
     decay: float = 1e-3
     #: stretches longer than this teach nothing (they are still decoded)
     max_train_tokens: int = 64
+    #: texts of so many characters and more teach nothing (they are still scanned)
+    max_train_chars: int = 50_000
+    #: bound of the stretches that teach, those with a secret first
+    max_stretches: int = 20_000
+
+
+#: A text without a match has no base span; only for the draw of the training documents.
+LIKELY = (
+    r"(?i:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9+/_.=-]{8}|AKIA[A-Z0-9]{12}|[0-9a-f]{32}"
+)
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -101,7 +112,7 @@ def stretches(text: str) -> list[tuple[list[tuple[int, int]], list[str]]]:
 
     for m in _CHUNK.finditer(text):
         chunk = m.group()
-        keyword = len(chunk) < 200 and _KEYWORD_RE.search(chunk) is not None
+        keyword = _KEYWORD_RE.search(chunk) is not None
         suspicious = hot > 0 or len(chunk) >= 25 or not (chunk.isalpha() or _HINT.search(chunk) is None)
         if suspicious:
             if not run:
@@ -144,10 +155,14 @@ def _number(name: str) -> int:
     return (h ^ (h >> 15)) % FEATURES
 
 
-def features(text: str, spans: list[tuple[int, int]], before: list[str], memo: dict[str, int]) -> list[list[int]]:
-    """Feature numbers of each token of a stretch."""
+def file_kind(text: str) -> str:
+    """The file features of a text: how much of it is code signs, and whether it has many lines."""
     share = sum(text.count(c) for c in "={};") / (len(text) + 1)
-    file_kind = f"file{0 if share < 0.001 else 1 if share < 0.01 else 2}|{'lines' if text.count(chr(10)) > 20 else 'few'}"
+    return f"file{0 if share < 0.001 else 1 if share < 0.01 else 2}|{'lines' if text.count(chr(10)) > 20 else 'few'}"
+
+
+def features(text: str, kind: str, spans: list[tuple[int, int]], before: list[str], memo: dict[str, int]) -> list[list[int]]:
+    """Feature numbers of each token of a stretch of a text of that ``file_kind``."""
     tokens = [text[s:e] for s, e in spans]
     words = [w for chunk in before for w in re.findall(r"\w+", chunk.lower())][-3:]
     lower = [*([""] * (3 - len(words))), *words, *[t.lower()[:40] for t in tokens], "", ""]
@@ -158,7 +173,7 @@ def features(text: str, spans: list[tuple[int, int]], before: list[str], memo: d
         shape = _shape(token[:200])
         names = [
             *shape, f"k{named}|{shape[0]}", f"p1={near[2][:12]}", f"p2={near[1][:12]}", f"n1={lower[i + 4][:12]}",
-            f"assigned{named and any(c in ('=', ':') for c in near)}", f"{file_kind}|{shape[0]}", f"self={token.lower()[:12]}" if len(token) < 12 else "long",
+            f"assigned{named and any(c in ('=', ':') for c in near)}", f"{kind}|{shape[0]}", f"self={token.lower()[:12]}" if len(token) < 12 else "long",
         ]
         ids = []
         for name in names:
@@ -250,25 +265,30 @@ def fit(examples: list[tuple[list[list[int]], list[int]]], rules: CrfRules) -> S
 
 def train(docs: DataFrame, rules: CrfRules = CrfRules()) -> SimpleNamespace | None:
     """Learn from a sample of documents by a hash of their text; the documents with a
-    base span and those with other suspicious stretches in equal numbers at most."""
+    base span and those with other suspicious stretches in equal numbers at most.  Without a
+    base span in the whole table there is no model (``None``)."""
+    ensure_checkpoint_dir(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, "text"):
             kind = [2 if base_spans(t) else 1 if stretches(t) else 0 for t in texts(batch)]
             yield pa.RecordBatch.from_arrays([batch.column("text"), pa.array(kind, pa.int32())], names=["text", "kind"])
 
-    rows = id_text(docs).filter(F.length("text") > 0)
-    n = rows.count()
-    # a first draw by hash, so that the search for training documents ends at a bounded
-    # number however large the table is; documents with secrets are a few in a hundred
-    share = min(1.0, 40.0 * rules.max_docs / max(n, 1))
-    drawn = rows.select("text").filter(F.pmod(F.xxhash64("text", F.lit(1)), F.lit(1 << 30)) < share * (1 << 30)).filter(F.length("text") < 50_000)
-    kinds = drawn.mapInArrow(run, "text string, kind int").filter("kind > 0")
+    text = F.col("text")
+    rows = id_text(docs).filter((F.length(text) > 0) & (F.length(text) < rules.max_train_chars)).select("text")
+    based = text.rlike(LIKELY)
+    size = rows.agg(F.count(F.lit(1)).alias("n"), F.count_if(based).alias("based")).first()
+    # draws by hash, so that the search for training documents ends at a bounded number
+    # however large the table is and however rare the secrets are in it
+    place = F.pmod(F.xxhash64("text", F.lit(1)), F.lit(1 << 30))
+    bound = lambda docs, of: int(min(1.0, docs / max(of, 1)) * (1 << 30))
+    limit = F.when(based, bound(2 * rules.max_docs, size["based"])).otherwise(bound(16 * rules.max_docs, size["n"] - size["based"]))
+    kinds = rows.filter(place < limit).mapInArrow(run, "text string, kind int").filter("kind > 0").checkpoint()
     order = F.xxhash64("text", F.lit(2))
     found = [kinds.filter(F.col("kind") == k).orderBy(order, "text").limit(rules.max_docs).select("text").toArrow().column(0).to_pylist() for k in (1, 2)]
     examples, memo = [], {}
     for text in [t for part in found for t in part]:
-        secrets = _secret_parts(text)
+        secrets, kind = _secret_parts(text), file_kind(text)
         for spans, before in stretches(text):
             if spans and len(spans) <= rules.max_train_tokens:
                 labels, open_span = [], None
@@ -276,7 +296,8 @@ def train(docs: DataFrame, rules: CrfRules = CrfRules()) -> SimpleNamespace | No
                     inside = next((p for p in secrets if s < p[1] and e > p[0]), None)
                     labels.append(OUTSIDE if inside is None else INSIDE if inside == open_span else BEGIN)
                     open_span = inside
-                examples.append((features(text, spans, before, memo), labels))
+                examples.append((features(text, kind, spans, before, memo), labels))
+    examples = sorted(examples, key=lambda x: BEGIN not in x[1])[: rules.max_stretches]
     weights = Counter(label for _, labels in examples for label in labels)
     return fit(examples, rules) if weights[BEGIN] else None
 
@@ -287,10 +308,11 @@ def scan(text: str, model: SimpleNamespace | None, memo: dict[str, int]) -> list
     if model is None:
         return base
     added = []
+    kind = file_kind(text)
     for spans, before in stretches(text):
         if not spans:
             continue
-        emit = model.emit[np.array(features(text, spans, before, memo))].sum(axis=1)
+        emit = model.emit[np.array(features(text, kind, spans, before, memo))].sum(axis=1)
         labels = viterbi(emit, model.move)
         start = None
         for (s, e), label in zip([*spans, (0, 0)], [*labels, OUTSIDE], strict=True):
@@ -300,7 +322,20 @@ def scan(text: str, model: SimpleNamespace | None, memo: dict[str, int]) -> list
             if label == BEGIN or (label == INSIDE and start is None):
                 start = s
             end = e
-    return sorted(base + [x for x in added if not any(x[0] < b[2] and x[2] > b[0] for b in base)])
+    return sorted(base + _apart(added, base))
+
+
+def _apart(added: list[tuple[int, int, int]], base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """The added spans, in order, that overlap no base span: both are walked once.  The base
+    spans' ends need not ascend, so the furthest end so far counts."""
+    out, at, reach = [], 0, 0
+    for x in added:
+        while at < len(base) and base[at][0] < x[2]:
+            reach = max(reach, base[at][2])
+            at += 1
+        if reach <= x[0]:
+            out.append(x)
+    return out
 
 
 def span_text(spans: list[tuple[int, int, int]]) -> str:
