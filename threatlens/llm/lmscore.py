@@ -43,9 +43,9 @@ ALPHA = 0.1
 SKETCH = 1 << 16
 SLICE = 4 << 20
 #: Ranges of keys that a shard works on one after the other, to keep its arrays small.
-RANGES = 16
+RANGES = 64
 #: Text whose n-grams one shard holds.
-SHARD_BYTES = 32 << 20
+SHARD_BYTES = 24 << 20
 #: Labelled ids that are broadcast; more of them are joined by a shuffle of the texts.
 BROADCAST_IDS = 1_000_000
 _START = np.uint64(0x51A27)
@@ -131,11 +131,12 @@ def _parts(shards: int, bits: int):
 
 def _losses(vocabulary: float):
     def run(key, parts):
-        col = {c: parts.column(c).to_pylist() for c in parts.column_names}
+        col = {c: parts.column(c).to_pylist() for c in parts.column_names if c != "shard"}
+        del parts
         docs = [np.frombuffer(x, dtype=np.int64).reshape(2, -1) for x in col["docs"]]
         places = np.cumsum([0, *[d.shape[1] for d in docs]])
-        keys = [_unpack(k) for k in col["keys"]]
-        ends = [np.cumsum(np.concatenate([[0], _large(r)])) for r in col["runs"]]  # of each key's entries
+        keys = [_unpack(k) for k in col.pop("keys")]
+        ends = [np.cumsum(np.concatenate([[0], _large(r)])).astype(np.int32) for r in col.pop("runs")]  # of each key's entries
         idx, counts = ([_small_view(x) for x in col[c]] for c in ("idx", "counts"))
         good = [np.frombuffer(x, dtype=bool) for x in col["good"]]
         n = places[-1]
