@@ -45,7 +45,7 @@ SLICE = 4 << 20
 #: Ranges of keys that a shard works on one after the other, to keep its arrays small.
 RANGES = 64
 #: Text whose n-grams one shard holds.
-SHARD_BYTES = 24 << 20
+SHARD_BYTES = 14 << 20
 #: Labelled ids that are broadcast; more of them are joined by a shuffle of the texts.
 BROADCAST_IDS = 1_000_000
 _START = np.uint64(0x51A27)
