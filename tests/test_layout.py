@@ -127,3 +127,20 @@ def test_key_violations_need_one_whole_number(spark):
     for key in (("a",), ("a", "b")):
         with pytest.raises(ValueError):
             C.key_violations(df, C.Contract("t", primary_key=key))
+
+
+def test_frequent_values_keep_their_ranges_and_share_no_file(spark, tmp_path):
+    """A sample of rows, not of keys: a value on many rows hides no other.  Rows that are alike
+    in all the columns are still dealt to several files."""
+    n = 40_000
+    df = spark.range(n).select("id", (F.col("id") % 5 * 20).alias("score"), (F.col("id") % 8).alias("day"))
+    places = CL.with_curve_position(df, ["score", "day"], "place").select("place").distinct().count()
+    assert places == 5 * 8
+    alike = df.withColumns({"score": F.when(F.col("id") % 10 > 0, F.lit(50)), "day": F.lit(1)})
+    for name, rows in (("even", df), ("alike", alike)):
+        path = str(tmp_path / name)
+        CL.write_clustered(rows, path, ["score", "day"], files=10)
+        back = spark.read.parquet(path)
+        sizes = [r["count"] for r in back.groupBy(F.input_file_name()).count().collect()]
+        assert sum(sizes) == n and max(sizes) < n / 4
+        assert back.exceptAll(rows).count() == 0
