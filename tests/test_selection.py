@@ -86,3 +86,13 @@ def test_deep_report_page_is_the_top_k_page(spark, monkeypatch):
         assert R.table_page(scored, "suspicious_traffic", page_no).collect() == R.page(scored, R.order_of("suspicious_traffic"), page_no).collect()
     with pytest.raises(ValueError):
         R.table_page(scored, "suspicious_traffic", -1)
+
+
+def test_candidates_are_found_by_comparisons(spark):
+    """No binary search in a lambda for each row and round; repeated keys keep their ranks."""
+    df = spark.range(12_000).select((F.col("id") % 3).alias("k"), F.when(F.col("id") % 7 > 0, F.col("id") % 50).alias("v"), "id")
+    order = [("k", True), ("v", False), ("id", True)]
+    got = SEL.rows_between(df, order, 7_000, 15, range_rows=100, sample_rows=1000)
+    assert "lambda" not in got._jdf.queryExecution().optimizedPlan().toString()
+    whole = df.orderBy(F.desc("k"), "v", F.desc("id")).collect()
+    assert got.collect() == whole[7_000:7_015]
