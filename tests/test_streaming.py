@@ -189,3 +189,17 @@ def test_traffic_batch_retry_is_idempotent(spark):
     assert {k: files(k) for k in kinds} == once and once["state"] and once["scored"]
     ST.process_traffic_batch(second.filter(F.lit(False)), 2, root)  # an empty batch 2
     assert sorted(ST.read_scored(spark, root).collect()) == sorted(traffic_anomalies(traffic).collect())
+
+
+def test_a_batch_reads_several_source_files(spark, monkeypatch):
+    """The source files follow the rows, and the micro-batches stay four."""
+    from threatlens.plans import registry as Q
+
+    monkeypatch.setattr(Q, "STREAM_FILE_ROWS", 300)
+    stream, out, _ = Q._stream(spark, "/root/testdata/sf0.001", "lineitem", "stream-files")
+    source = spark.read.parquet(out.removesuffix("out") + "source")
+    rows = source.count()
+    each = -(-rows // (4 * 300))
+    sizes = [r["count"] for r in source.groupBy(F.input_file_name()).count().collect()]
+    assert each > 1 and len(sizes) == 4 * each and max(sizes) < 2 * 300
+    assert stream.isStreaming

@@ -249,13 +249,18 @@ def clustered_traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path).filter((F.col("anomaly_score") >= 80) & recent)
 
 
-def _stream(spark: SparkSession, sf_dir: str, table: str, name: str, files: int = 4) -> tuple[DataFrame, str, str]:
-    """The table as a stream of several files that are not in time order, one for each
+#: Rows of a stream's source file, about: a task writes one and reads one.
+STREAM_FILE_ROWS = 500_000
+
+
+def _stream(spark: SparkSession, sf_dir: str, table: str, name: str, batches: int = 4) -> tuple[DataFrame, str, str]:
+    """The table as a stream of files that are not in time order, a share of them for each
     micro-batch; and the folders for its results and its checkpoint."""
     root = scratch_path(spark, name)
     rows = V.table(spark, sf_dir, table)
-    rows.repartition(files, F.hash(*rows.columns)).write.parquet(f"{root}/source")
-    return ST.read_stream(spark, f"{root}/source", max_files_per_trigger=1), f"{root}/out", f"{root}/checkpoint"
+    each = max(1, -(-rows.count() // (batches * STREAM_FILE_ROWS)))
+    rows.repartition(batches * each, F.hash(*rows.columns)).write.parquet(f"{root}/source")
+    return ST.read_stream(spark, f"{root}/source", max_files_per_trigger=each), f"{root}/out", f"{root}/checkpoint"
 
 
 ONCE = ST.Trigger(available_now=True)
