@@ -143,6 +143,25 @@ def test_a_batch_reads_its_own_periods_only(spark, monkeypatch):
     assert by_id(ST.read_scored(spark, root)) == by_id(traffic_anomalies(spark.createDataFrame(rows, columns)))
 
 
+def test_a_batch_is_read_twice_and_sorted_once(spark):
+    """Once for its periods, once for all that it writes."""
+    rows = traffic_rows(spark).cache()
+    seen = spark.sparkContext.accumulator(0)
+
+    def passed(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    root = scratch_path(spark, "test-read-once")
+    for batch_id in range(2):
+        part = rows.filter(F.pmod("packet_size", F.lit(2)) == batch_id)
+        seen.value = 0
+        ST.process_traffic_batch(part.mapInArrow(passed, rows.schema), batch_id, root)
+        assert 0 < seen.value <= 2 * part.count()
+    assert by_id(ST.read_scored(spark, root)) == by_id(traffic_anomalies(rows))
+
+
 def test_processing_time_trigger_keeps_running(spark):
     """R4: the timer picks up files that come while the stream runs."""
     root = scratch_path(spark, "test-timer")

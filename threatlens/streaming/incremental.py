@@ -29,12 +29,13 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.window import Window
 
 from threatlens.config import AlertRules, LoginRiskRules, TrafficRules
 from threatlens.functions.scoring import unix_seconds
 from threatlens.operators.alerts import prioritize_alerts, unresolved
 from threatlens.operators.logins import bursts_of_seconds, failed_logins_by, failures_by_second, with_login_risk
-from threatlens.operators.traffic import SCORED_COLUMNS, TRAFFIC_ORDER, rapid_connections, with_scores, with_tie_key
+from threatlens.operators.traffic import SCORED_COLUMNS, TRAFFIC_ORDER, with_scores, with_tie_key
 
 REFRESH_PERIOD = "5 minutes"
 
@@ -144,13 +145,6 @@ def _keyed(rows: DataFrame) -> DataFrame:
     return rows.withColumns({"source": F.struct("source_ip"), "second": unix_seconds(F.col("timestamp"))})
 
 
-def _firsts(rows: DataFrame) -> DataFrame:
-    """The first row of each (source, second), whole, in ``row``."""
-    order = F.struct(*[F.col(c) for c in TRAFFIC_ORDER])
-    timed = _keyed(rows.filter(F.col("timestamp").isNotNull()))
-    return timed.groupBy(*FIRST_KEYS).agg(F.min_by(F.struct(*[F.col(c) for c in rows.columns]), order).alias("row"))
-
-
 #: Tasks that write one period's state, so that a busy one is not one task.
 STATE_FILES = 8
 
@@ -182,7 +176,10 @@ def process_traffic_batch(
     (source, second), by period of ``period_s`` seconds and by batch.  The batch reads the
     state of its own periods and the metrics of the batch before, so its work does not grow
     with the history.  Events of a short time belong to one or two days; give a longer period
-    where a batch's events are spread over many."""
+    where a batch's events are spread over many.
+
+    The batch's rows and the stored ones are shuffled and sorted once, together; the three
+    outputs are filters of that, kept until they are written."""
     if rules.rapid_gap_s != 1:
         raise ValueError("the stream's state holds the first row of a second: rapid_gap_s must be 1")
     spark = batch.sparkSession
@@ -191,39 +188,44 @@ def process_traffic_batch(
     newest = None
     if batch_id:
         newest = spark.read.parquet(f"{out_root}/metrics/batch_id={batch_id - 1}").first()["newest_second"]
-    own = _firsts(batch)
-    order = lambda row: F.struct(*[F.col(f"{row}.{c}") for c in TRAFFIC_ORDER])
     # one number for each period that the batch touches
     timed = _keyed(batch.filter(F.col("timestamp").isNotNull())).select(_period(F.col("second"), period_s).alias("period"))
     periods = sorted(r["period"] for r in timed.distinct().collect())
-    known = _earlier(spark, f"{out_root}/state", periods, batch_id, own.schema)
-    before = known.groupBy(*FIRST_KEYS).agg(F.min_by("row", order("row")).alias("known"))
-    flagged = _keyed(rapid_connections(batch, rules))
-    flagged = flagged.join(before.select(*FIRST_KEYS, order("known").alias("_known")), list(FIRST_KEYS), "left")
-    this = F.struct(*[F.col(c) for c in TRAFFIC_ORDER])
-    flagged = flagged.withColumn("rapid_connection", F.col("rapid_connection") | F.coalesce(this >= F.col("_known"), F.lit(False)))
-    late = F.coalesce(F.col("second") < F.lit(newest), F.lit(False)) if newest is not None else F.lit(False)
-    counts = Observation(f"traffic_{batch_id}")
-    scored = with_scores(flagged.withColumn("late", late), rules, [*(c for c in columns if c not in SCORED_COLUMNS), "late"])
-    scored.observe(
-        counts,
-        F.count(F.lit(1)).alias("scored"),
-        F.count_if("late").alias("late"),
-        F.max(unix_seconds(F.col("timestamp"))).alias("newest"),
-    ).write.mode("overwrite").parquet(f"{out_root}/scored/batch_id={batch_id}")
-    # a stored first row that is first no longer
-    met = own.join(before, list(FIRST_KEYS), "left")
-    lost = met.filter(order("row") < order("known")).select("known.*").withColumn("rapid_connection", F.lit(True))
-    corrected = Observation(f"corrections_{batch_id}")
-    with_scores(lost, rules, ["tie_key"]).observe(corrected, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(
-        f"{out_root}/corrections/batch_id={batch_id}"
-    )
-    # the batch's firsts that are first still; a retry overwrites its own batch's folders
-    first = met.filter(F.col("known").isNull() | (order("row") < order("known"))).select(*FIRST_KEYS, "row")
-    first = first.withColumns({"period": _period(F.col("second"), period_s), "batch_id": F.lit(batch_id).cast("long")})
-    spread = first.repartition("period", F.pmod(F.xxhash64("second"), F.lit(STATE_FILES)))
-    writer = spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("period", "batch_id")
-    writer.parquet(f"{out_root}/state")
+    keyed = _keyed(batch).select(*FIRST_KEYS, F.struct(*columns).alias("row"))
+    known = _earlier(spark, f"{out_root}/state", periods, batch_id, keyed.schema).select("row.*")
+    # a stored row comes before an equal one of the batch
+    rows = batch.withColumn("_stored", F.lit(False)).unionByName(known.withColumn("_stored", F.lit(True)))
+    second = unix_seconds(F.col("timestamp"))
+    alone = F.when(F.col("timestamp").isNull(), F.xxhash64("traffic_id", "tie_key"))
+    seconds = Window.partitionBy("source_ip", second, alone).orderBy(*TRAFFIC_ORDER, F.desc("_stored"))
+    marked = rows.withColumns({"_place": F.row_number().over(seconds), "_stored_so_far": F.count_if("_stored").over(seconds)}).persist()
+    try:
+        rapid = F.col("timestamp").isNotNull() & (F.col("_place") > 1)
+        late = F.coalesce(second < F.lit(newest), F.lit(False)) if newest is not None else F.lit(False)
+        flagged = marked.filter(~F.col("_stored")).withColumns({"rapid_connection": rapid, "late": late})
+        counts = Observation(f"traffic_{batch_id}")
+        scored = with_scores(flagged, rules, [*(c for c in columns if c not in SCORED_COLUMNS), "late"])
+        scored.observe(
+            counts,
+            F.count(F.lit(1)).alias("scored"),
+            F.count_if("late").alias("late"),
+            F.max(second).alias("newest"),
+        ).write.mode("overwrite").parquet(f"{out_root}/scored/batch_id={batch_id}")
+        # a stored first row that is first no longer
+        lost = marked.filter(F.col("_stored") & (F.col("_stored_so_far") == 1) & (F.col("_place") > 1))
+        corrected = Observation(f"corrections_{batch_id}")
+        with_scores(lost.withColumn("rapid_connection", F.lit(True)), rules, ["tie_key"]).observe(
+            corrected, F.count(F.lit(1)).alias("n")
+        ).write.mode("overwrite").parquet(f"{out_root}/corrections/batch_id={batch_id}")
+        # the batch's firsts that are first still; a retry overwrites its own batch's folders
+        first = _keyed(marked.filter(~F.col("_stored") & (F.col("_place") == 1) & F.col("timestamp").isNotNull()))
+        first = first.select(*FIRST_KEYS, F.struct(*columns).alias("row"))
+        first = first.withColumns({"period": _period(F.col("second"), period_s), "batch_id": F.lit(batch_id).cast("long")})
+        spread = first.repartition("period", F.pmod(F.xxhash64("second"), F.lit(STATE_FILES)))
+        writer = spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("period", "batch_id")
+        writer.parquet(f"{out_root}/state")
+    finally:
+        marked.unpersist()
     seen = counts.get
     top = max((x for x in (newest, seen["newest"]) if x is not None), default=None)
     # written last: the next batch needs it
