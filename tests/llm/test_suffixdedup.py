@@ -90,3 +90,26 @@ def test_packed_keys_round_trip():
     for keys in ([], [5], [1, 2, 1 << 40], [0, 1 << 33, 1 << 62]):
         k = np.array(keys, dtype=np.uint64)
         assert (S._unpack(S._pack(k)) == k).all()
+
+
+def test_only_different_strings_of_several_documents_are_sorted(monkeypatch):
+    """Many copies of a few strings in one bucket, and many strings that one document has alone."""
+    rng = np.random.default_rng(3)
+    texts = [rng.integers(97, 123, S.LENGTH).astype(np.uint8).tobytes() for _ in range(40)]
+    strings = [(t, d) for t in texts[:5] for d in range(30)] + [(t, 100 + i) for i, t in enumerate(texts[5:])]
+    sorted_ = []
+    inner = S._sorted_strings
+    monkeypatch.setattr(S, "_sorted_strings", lambda h, start, bucket: sorted_.append(len(start)) or inner(h, start, bucket))
+    n = len(strings)
+    mail = S._messages(
+        [
+            {
+                "to": 0, "sender": 1, "kind": S.COVERED, "ids": np.concatenate([np.arange(n), [d for _, d in strings]]).astype(np.int64).tobytes(),
+                "keys": np.full(n, 7, dtype=np.uint64).tobytes(), "sizes": np.array([1] * n + [0] * n, dtype=np.uint8).tobytes(),
+                "data": b"".join(t for t, _ in strings),
+            }
+        ]
+    )
+    out = S._sort([S.pa.scalar(0)], mail).to_pylist()
+    assert sorted(np.frombuffer(out[0]["ids"], dtype=np.int64).tolist()) == [i for i, (_, d) in enumerate(strings) if 0 < d < 100]
+    assert sorted_ == [5]

@@ -15,8 +15,9 @@ of string starts with one anchor, about one for 18 bytes.
 3.  Each batch sends the bytes of the runs whose anchor is shared to the anchor's shard,
     each different run once, with its smallest doc_id: a line that a third of all
     documents have is one run a batch.
-4.  A shard sorts the suffixes at all string starts of its runs, in buckets of equal
-    anchor and place.  It is a mergesort; two suffixes are compared by prefix polynomial
+4.  A shard sorts the suffixes at the string starts of its runs, in buckets of equal
+    anchor and place, each different string once; strings whose hash no other document has
+    are left out.  It is a mergesort; two suffixes are compared by prefix polynomial
     hashes, their common extension found by binary search over its length.  Neighbours
     that agree over ``LENGTH`` bytes are verified byte by byte; strings with a smaller
     doc_id in their class are reported back to the batch.
@@ -41,7 +42,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threatlens.llm.common import id_text, input_bytes, partitions_for
-from threatlens.llm.neardup import _mix
+from threatlens.llm.neardup import _GOLD, _mix
 
 LENGTH = 50
 GRAM = 16
@@ -101,25 +102,52 @@ def compare(h: PrefixHashes, a: np.ndarray, b: np.ndarray, whole: np.ndarray, at
     return out
 
 
+def _alike(h: PrefixHashes, start: np.ndarray, bucket: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The entries in order of bucket and string hash, and where a new string begins in it."""
+    whole = h.of(start, LENGTH)
+    order = np.lexsort((whole, bucket))
+    b, w = bucket[order], whole[order]
+    return order, np.concatenate([[True], (b[1:] != b[:-1]) | (w[1:] != w[:-1])]) if len(order) else np.zeros(0, dtype=bool)
+
+
 def suffix_mergesort(h: PrefixHashes, start: np.ndarray, bucket: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Order of the suffixes by bucket, in a bucket by their first ``LENGTH`` bytes; and
     for each place in the order whether it has the same bytes as the one before.
 
+    Strings of one hash are sorted as one, so the work follows the different strings and
+    not how often they come."""
+    grouped, new = _alike(h, start, bucket)
+    heads = np.flatnonzero(new)
+    sizes = np.diff(np.append(heads, len(grouped)))
+    first = grouped[heads]
+    ranked = _sorted_strings(h, start[first], bucket[first])
+    # each string's entries follow each other in its place
+    length = sizes[ranked]
+    begin = np.cumsum(length) - length
+    order = grouped[np.repeat(heads[ranked] - begin, length) + np.arange(len(grouped))]
+    maybe = np.ones(len(order), dtype=bool)
+    maybe[begin] = False
+    same = np.zeros(len(order), dtype=bool)
+    at = np.flatnonzero(maybe)
+    for k in range(0, len(at), 20_000):  # byte by byte: a collision of hashes is no match
+        part = at[k : k + 20_000]
+        window = np.arange(LENGTH)
+        same[part] = (h.data[start[order[part]][:, None] + window] == h.data[start[order[part - 1]][:, None] + window]).all(axis=1)
+    return order, same
+
+
+def _sorted_strings(h: PrefixHashes, start: np.ndarray, bucket: np.ndarray) -> np.ndarray:
+    """Order of different strings by bucket, in a bucket by their bytes; buckets come in order.
+
     A bottom-up mergesort of all buckets side by side: in each round a suffix's new place
     is its place in its own block plus its rank in the sibling block, found by binary
     search."""
     n = len(start)
-    order = np.argsort(bucket, kind="stable")
+    order = np.arange(n)
     whole = h.of(start, LENGTH)
-    b = bucket[order]
-    first = np.concatenate([[True], b[1:] != b[:-1]]) if n else np.zeros(0, dtype=bool)
-    heads = np.flatnonzero(first)
+    heads = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if n else np.zeros(0, dtype=np.int64)
     sizes = np.diff(np.append(heads, n))
-    base = np.repeat(heads, sizes)
-    if n:  # a bucket whose strings all have one hash is in order
-        alike = np.minimum.reduceat(whole[order], heads) == np.maximum.reduceat(whole[order], heads)
-        sizes, lengths = np.where(alike, 1, sizes), sizes
-        size = np.repeat(sizes, lengths)
+    base, size = np.repeat(heads, sizes), np.repeat(sizes, sizes)
     width = 1
     while n and width < sizes.max():
         place = np.flatnonzero(size > width)
@@ -145,13 +173,7 @@ def suffix_mergesort(h: PrefixHashes, start: np.ndarray, bucket: np.ndarray) ->
         new[target] = me
         order = new
         width *= 2
-    same = np.zeros(n, dtype=bool)
-    maybe = np.flatnonzero(~first & (whole[order] == np.roll(whole[order], 1)))
-    for k in range(0, len(maybe), 20_000):  # byte by byte: a collision of hashes is no match
-        part = maybe[k : k + 20_000]
-        window = np.arange(LENGTH)
-        same[part] = (h.data[start[order[part]][:, None] + window] == h.data[start[order[part - 1]][:, None] + window]).all(axis=1)
-    return order, same
+    return order
 
 
 def runs(texts: list[bytes]) -> dict[str, np.ndarray]:
@@ -360,12 +382,12 @@ def _send(bits: int, shards: int):
     return run
 
 
-def _meeting(bucket: np.ndarray, doc: np.ndarray) -> np.ndarray:
-    """The entries of the buckets that hold several documents; only these need sorting."""
-    if not len(bucket):
+def _meeting(group: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """The entries of the groups that hold several documents; only these need sorting."""
+    if not len(group):
         return np.zeros(0, dtype=np.int64)
-    order = np.argsort(bucket, kind="stable")
-    heads = np.flatnonzero(np.concatenate([[True], np.diff(bucket[order]) != 0]))
+    order = np.argsort(group, kind="stable")
+    heads = np.flatnonzero(np.concatenate([[True], np.diff(group[order]) != 0]))
     doc = doc[order]
     several = np.minimum.reduceat(doc, heads) < np.maximum.reduceat(doc, heads)
     return order[np.repeat(several, np.diff(np.append(heads, len(order))))]
@@ -387,7 +409,12 @@ def _sort(key, mail):
     bit = np.zeros(len(run_of), dtype=np.uint64)
     met = _meeting(bucket, doc[run_of])
     if len(met):
-        order, same = suffix_mergesort(PrefixHashes(data), start[met], bucket[met])
+        # of these, the strings whose hash another document's string has in the bucket
+        hashes = PrefixHashes(data)
+        string = _mix(bucket[met] + hashes.of(start[met], LENGTH) * _GOLD)
+        met = met[_meeting(string, doc[run_of[met]])]
+    if len(met):
+        order, same = suffix_mergesort(hashes, start[met], bucket[met])
         order = met[order]
         smallest = doc[run_of[order]]
         heads = np.flatnonzero(~same)
