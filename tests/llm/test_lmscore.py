@@ -82,3 +82,32 @@ def test_no_row_is_lost_and_vocabulary_is_exact(spark, frame):
     assert out == {**{i: 0 for i in range(len(spaces))}, 500: 3, 501: 1, 502: 1, 503: 1}
     many = frame([(i, " ".join(f"w{k}" for k in range(i * 9000, i * 9000 + 10000))) for i in range(9)])
     assert M.vocabulary_size(many) == 82000
+
+
+def test_messages_follow_the_different_ngrams_and_not_the_documents():
+    """Many documents of the same words and many shards: a few bytes for each n-gram, one row a document back."""
+    rng = random.Random(4)
+    words = [f"w{k}" for k in range(60)]
+    rows = [(i, " ".join(rng.choice(words) for _ in range(200))) for i in range(300)]
+    good = {i for i, _ in rows if i % 3 == 0}
+    bits, shards = 44, 40
+    docs = M.pa.table({"key_id": [i for i, _ in rows], "uid": [0] * 300, "good": [i in good for i, _ in rows], "text": [t for _, t in rows]})
+    asked = M._ask(shards, bits)([M.pa.scalar(5)], docs)
+    kinds = len(M.Batch(docs, bits).keys)
+    size = sum(len(r[c]) for r in asked.to_pylist() for c in ("keys", "own", "liked"))
+    assert kinds <= 60 * 61 + 61 and asked.num_rows == shards and size <= 12 * kinds + 20 * shards
+    mail = M.pa.concat_tables([M._answer([M.pa.scalar(r["to"])], M.pa.Table.from_pylist([r], schema=M._FIELDS)) for r in reversed(asked.to_pylist())])
+    out = M._losses(60.0, bits)([M.pa.scalar(5)], docs, mail).to_pylist()
+    assert len(out) == len(rows)
+    want = brute(rows, good)
+    for r in out:
+        n, target, background = want[r["doc_id"]]
+        assert r["n"] == n and r["target"] / n == pytest.approx(target) and r["background"] / n == pytest.approx(background)
+
+
+def test_sums_of_any_size_are_packed():
+    import numpy as np
+
+    for most in (0, 255, 256, 1 << 20, 1 << 33):
+        x = np.array([0, most], dtype=np.int64)
+        assert M._large(M._small(x)).tolist() == [0, most]

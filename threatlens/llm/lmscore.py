@@ -8,13 +8,12 @@ the first word.  A document's own words are taken out of both models' counts bef
 scored, so no document is scored on itself.  Its score is the mean loss per word under
 the target model less that under the background model: lower is closer to the target.
 
-Counting and scoring take one shuffle of n-grams.  A slice of documents sends, for each
-shard of the n-gram hashes, its different n-grams with the documents that have them and
-how often.  A shard so holds every occurrence of its n-grams: it sums the counts of both
-models and returns each document's part of the losses, which are added up by document.
-An n-gram that is in every document costs its shard one small entry a document, summed
-beforehand.  Nothing is capped: the model is as large as the corpus' n-grams, spread over
-shards whose number follows the input.
+The documents are dealt to batches.  A batch sends each shard of the n-gram hashes its
+different n-grams, with how often all its documents and its good ones have them; the shard
+sends back what the other batches have of them.  The batch then
+scores its documents.  What is sent is a few bytes for each different n-gram of a batch,
+however many documents or shards there are.  Nothing is capped: the model is as large as
+the corpus' n-grams, spread over shards whose number follows the input.
 
 N-grams are compared by hashes of 44 bits or more, 13 more than the number of bytes has.
 V is the number of different word hashes (64 bits) of the corpus, by a distributed distinct.
@@ -34,38 +33,36 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threatlens.llm.common import input_bytes, table, text_slices, texts
+from threatlens.llm.common import input_bytes, partitions_for, table, text_slices, texts
 from threatlens.llm.neardup import _GOLD, _mix
-from threatlens.llm.suffixdedup import _pack, _rows_by_shard, _unpack
+from threatlens.llm.suffixdedup import _pack, _rows_by_shard, _shard_of, _unpack
 
 ALPHA = 0.1
 #: Different word hashes that a task gathers before it sends them.
 SKETCH = 1 << 16
-SLICE = 4 << 20
-#: Ranges of keys that a shard works on one after the other, to keep its arrays small.
-RANGES = 64
+#: Text of a batch.
+SLICE = 8 << 20
 #: Text whose n-grams one shard holds.
 SHARD_BYTES = 14 << 20
 #: Labelled ids that are broadcast; more of them are joined by a shuffle of the texts.
 BROADCAST_IDS = 1_000_000
 _START = np.uint64(0x51A27)
-PARTS = "shard long, docs binary, good binary, keys binary, runs binary, idx binary, counts binary"
-_FIELDS = pa.schema([("shard", pa.int64())] + [(n, pa.binary()) for n in ("docs", "good", "keys", "runs", "idx", "counts")])
+MESSAGE = "to long, sender long, keys binary, own binary, liked binary"
+_FIELDS = pa.schema([("to", pa.int64()), ("sender", pa.int64())] + [(n, pa.binary()) for n in ("keys", "own", "liked")])
 SUMS = "doc_id long, uid long, n long, target double, background double"
 
 
 def _small(x: np.ndarray) -> bytes:
-    """Whole numbers with as few bytes as the largest needs; the first byte says how many."""
-    kind = np.uint8 if not len(x) or x.max() < 1 << 8 else np.uint16 if x.max() < 1 << 16 else np.uint32
-    return bytes([np.dtype(kind).itemsize]) + x.astype(kind).tobytes()
-
-
-def _small_view(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, dtype={1: np.uint8, 2: np.uint16, 4: np.uint32}[data[0]], offset=1)
+    """Whole numbers with a byte each; those of 255 and more follow in full."""
+    low = np.minimum(x, 255).astype(np.uint8)
+    return np.int64(len(x)).tobytes() + low.tobytes() + x[x >= 255].astype(np.int64).tobytes()
 
 
 def _large(data: bytes) -> np.ndarray:
-    return _small_view(data).astype(np.int64)
+    n = int(np.frombuffer(data, dtype=np.int64, count=1)[0])
+    x = np.frombuffer(data, dtype=np.uint8, offset=8, count=n).astype(np.int64)
+    x[x == 255] = np.frombuffer(data[8 + n :], dtype=np.int64)
+    return x
 
 
 def word_hashes(rows: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -88,86 +85,78 @@ def ngrams(hashes: np.ndarray, sizes: np.ndarray, bits: int) -> tuple[np.ndarray
     return one & ~np.uint64(1), two | np.uint64(1)
 
 
-def _parts(shards: int, bits: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches, "text", SLICE):
-            hashes, sizes = word_hashes(texts(batch))
-            if not len(hashes):
-                continue
-            ids = np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("key_id", "uid")])
-            good = np.array(batch.column("good").to_pylist(), dtype=bool)
-            doc = np.repeat(np.arange(len(sizes)), sizes)
-            keys, docs = np.concatenate(ngrams(hashes, sizes, bits)), np.concatenate([doc, doc])
-            order = np.argsort(keys, kind="stable")  # documents stay in order within a key
-            keys, docs = keys[order], docs[order]
-            new = np.concatenate([[True], (keys[1:] != keys[:-1]) | (docs[1:] != docs[:-1])])
-            heads = np.flatnonzero(new)
-            counts = np.diff(np.append(heads, len(keys)))
-            keys, docs = keys[heads], docs[heads]
-            new = np.concatenate([[True], keys[1:] != keys[:-1]])
-            heads = np.flatnonzero(new)
-            sizes_of = np.diff(np.append(heads, len(keys)))
-            shard = np.minimum((keys[heads].astype(np.float64) * (shards / 2.0**bits)).astype(np.int64), shards - 1)
-            ends = np.append(heads, len(keys))
-            rows = []
-            for s, part in _rows_by_shard(shard):  # keys are sorted, so a shard's are in a row
-                a, b = ends[part[0]], ends[part[-1] + 1]
-                used, idx = np.unique(docs[a:b], return_inverse=True)
-                rows.append(
-                    {
-                        "shard": s,
-                        "docs": ids[:, used].tobytes(),
-                        "good": good[used].tobytes(),
-                        "keys": _pack(keys[heads[part]]),
-                        "runs": _small(sizes_of[part]),
-                        "idx": _small(idx),
-                        "counts": _small(counts[a:b]),
-                    }
-                )
-            yield pa.RecordBatch.from_pylist(rows, schema=_FIELDS)
+class Batch:
+    """The different n-grams of a batch's documents, as entries in order of n-gram."""
+
+    def __init__(self, docs: pa.Table, bits: int):
+        hashes, sizes = word_hashes(texts(docs))
+        self.good = docs.column("good").to_numpy(zero_copy_only=False).astype(bool)
+        doc = np.repeat(np.arange(len(sizes)), sizes)
+        keys, docs_of = np.concatenate(ngrams(hashes, sizes, bits)), np.concatenate([doc, doc])
+        order = np.argsort(keys, kind="stable")  # documents stay in order within a key
+        keys, docs_of = keys[order], docs_of[order]
+        heads = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]) | (docs_of[1:] != docs_of[:-1])])) if len(keys) else order
+        #: of each entry: its document, how often it has the n-gram, and the n-gram's place
+        self.doc, self.own = docs_of[heads], np.diff(np.append(heads, len(keys)))
+        keys = keys[heads]
+        new = np.concatenate([[True], keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, dtype=bool)
+        self.place = np.cumsum(new) - 1
+        self.keys = keys[new]
+        self.liked = self.own * self.good[self.doc]
+
+    def sums(self, mine: np.ndarray) -> np.ndarray:
+        return np.bincount(self.place, weights=mine, minlength=len(self.keys)).astype(np.int64)
+
+
+def _ask(shards: int, bits: int):
+    def run(key, docs):
+        batch = Batch(docs, bits)
+        own, liked = batch.sums(batch.own), batch.sums(batch.liked)
+        rows = []
+        for s, part in _rows_by_shard(_shard_of(batch.keys, bits, shards)):
+            sent = {"keys": _pack(batch.keys[part]), "own": _small(own[part]), "liked": _small(liked[part])}
+            rows.append({"to": s, "sender": key[0].as_py(), **sent})
+        return pa.Table.from_pylist(rows, schema=_FIELDS)
 
     return run
 
 
-def _losses(vocabulary: float):
-    def run(key, parts):
-        col = {c: parts.column(c).to_pylist() for c in parts.column_names if c != "shard"}
-        del parts
-        docs = [np.frombuffer(x, dtype=np.int64).reshape(2, -1) for x in col["docs"]]
-        places = np.cumsum([0, *[d.shape[1] for d in docs]])
-        keys = [_unpack(k) for k in col.pop("keys")]
-        ends = [np.cumsum(np.concatenate([[0], _large(r)])).astype(np.int32) for r in col.pop("runs")]  # of each key's entries
-        idx, counts = ([_small_view(x) for x in col[c]] for c in ("idx", "counts"))
-        good = [np.frombuffer(x, dtype=bool) for x in col["good"]]
-        n = places[-1]
+def _answer(key, mail):
+    """What the other batches have of the n-grams that a batch asked for, in its order: mostly nothing."""
+    keys = [_unpack(x) for x in mail.column("keys").to_pylist()]
+    value, place = np.unique(np.concatenate(keys), return_inverse=True)
+    rows = [{"to": sender, "sender": key[0].as_py()} for sender in mail.column("sender").to_pylist()]
+    for c in ("own", "liked"):
+        mine = [_large(x) for x in mail.column(c).to_pylist()]
+        total = np.bincount(place, weights=np.concatenate(mine), minlength=len(value)).astype(np.int64)
+        at = 0
+        for row, x in zip(rows, mine, strict=True):
+            row[c] = _small(total[place[at : at + len(x)]] - x)
+            at += len(x)
+    return pa.Table.from_pylist(rows, schema=_FIELDS)
+
+
+def _losses(vocabulary: float, bits: int):
+    def run(key, docs, mail):
+        batch = Batch(docs, bits)
+        n = docs.num_rows
         sums = np.zeros((3, n))
-        low, high = min(k[0] for k in keys), max(k[-1] for k in keys)
-        bounds = [int(low) + (int(high) - int(low) + 1) * i // RANGES for i in range(RANGES + 1)]
-        for begin, end in zip(bounds, bounds[1:], strict=False):
-            cut = [np.searchsorted(k, np.array([begin, end], dtype=np.uint64)) for k in keys]
-            key = np.concatenate([np.repeat(k[i:j], np.diff(e[i : j + 1])) for k, e, (i, j) in zip(keys, ends, cut, strict=True)])
-            if not len(key):
-                continue
-            span = [(e[i], e[j]) for e, (i, j) in zip(ends, cut, strict=True)]
-            doc = np.concatenate([x[i:j].astype(np.int64) + p for x, p, (i, j) in zip(idx, places, span, strict=False)])
-            own = np.concatenate([x[i:j].astype(np.float64) for x, (i, j) in zip(counts, span, strict=True)])
-            liked = own * np.concatenate([g[x[i:j]] for g, x, (i, j) in zip(good, idx, span, strict=True)])
-            order = np.argsort(key, kind="stable")
-            heads = np.flatnonzero(np.concatenate([[True], np.diff(key[order]) != 0]))
-            sizes = np.diff(np.append(heads, len(order)))
-            history = (key & np.uint64(1)) == 0
+        if len(batch.keys):
+            history = (batch.keys[batch.place] & np.uint64(1)) == 0
             prior = np.where(history, ALPHA * vocabulary, ALPHA)
-            sign = np.where(history, own, -own)  # the loss is log(history) - log(bigram)
-            sums[0] += np.bincount(doc, weights=own * history, minlength=n)
-            for row, mine in ((1, liked), (2, own)):
-                total = np.empty(len(order))
-                total[order] = np.repeat(np.add.reduceat(mine[order], heads), sizes)
-                sums[row] += np.bincount(doc, weights=sign * np.log(np.maximum(total - mine, 0.0) + prior), minlength=n)
-        ids = np.concatenate(docs, axis=1)
-        return pa.Table.from_arrays(
-            [pa.array(ids[0]), pa.array(ids[1]), pa.array(sums[0].astype(np.int64)), pa.array(sums[1]), pa.array(sums[2])],
-            names=["doc_id", "uid", "n", "target", "background"],
-        )
+            sign = np.where(history, batch.own, -batch.own)  # the loss is log(history) - log(bigram)
+            sums[0] = np.bincount(batch.doc, weights=batch.own * history, minlength=n)
+            # shards are ranges of keys, so their answers in order are those of the keys in order
+            order = np.argsort(mail.column("sender").to_numpy())
+            for row, c, mine in ((1, "liked", batch.liked), (2, "own", batch.own)):
+                answers = mail.column(c).to_pylist()
+                others = np.concatenate([_large(answers[i]) for i in order.tolist()])
+                total = (others + batch.sums(mine))[batch.place]
+                sums[row] = np.bincount(batch.doc, weights=sign * np.log(np.maximum(total - mine, 0) + prior), minlength=n)
+        words = sums[0] > 0
+        ids = [docs.column(c).to_numpy()[words] for c in ("key_id", "uid")]
+        columns = [*ids, sums[0][words].astype(np.int64), sums[1][words], sums[2][words]]
+        return pa.Table.from_arrays([pa.array(x) for x in columns], names=["doc_id", "uid", "n", "target", "background"])
 
     return run
 
@@ -204,7 +193,10 @@ def cross_entropy_difference(docs: DataFrame, labels: DataFrame) -> DataFrame:
     marked = rows.join(best, "doc_id", "left").select(
         F.coalesce("doc_id", F.lit(null_id)).alias("key_id"), F.xxhash64("text").alias("uid"), F.coalesce("good", F.lit(False)).alias("good"), "text"
     )
-    sums = marked.mapInArrow(_parts(shards, bits), PARTS).groupBy("shard").applyInArrow(_losses(vocabulary), SUMS)
+    batch = F.pmod(F.xxhash64("key_id", "uid"), F.lit(partitions_for(spark, total, SLICE))).alias("batch")
+    dealt = marked.select(batch, "key_id", "uid", "good", "text").groupBy("batch")
+    answered = dealt.applyInArrow(_ask(shards, bits), MESSAGE).groupBy("to").applyInArrow(_answer, MESSAGE)
+    sums = dealt.cogroup(answered.groupBy("to")).applyInArrow(_losses(vocabulary, bits), SUMS)
     scored = sums.groupBy("doc_id", "uid").agg(*[F.sum(c).alias(c) for c in ("n", "target", "background")])
     # Python's white space: Java's and U+001C to U+001F
     empty = rows.filter(~F.col("text").rlike(r"(?U)[^\s\x1c-\x1f]")).distinct()
