@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from threatlens.llm.common import text_slices, texts
-from threatlens.session import ensure_checkpoint_dir
+from threatlens.session import ensure_checkpoint_dir, scratch_path
 
 #: Words of a text that a task splits at a time, in bytes, and counts that it holds.
 PIECE, COUNTED = 1 << 20, 200_000
@@ -64,14 +64,14 @@ def _count_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def rows() -> Iterator[pa.RecordBatch]:
         for (lang, source), (n, docs) in counts.items():
-            terms = [None, *[t.decode() for t in n]]
+            terms = pa.array([None, *n], pa.binary()).cast(pa.string())
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([lang] * len(terms), pa.string()),
-                    pa.array([source] * len(terms), pa.string()),
-                    pa.array(terms, pa.string()),
+                    pa.repeat(pa.scalar(lang, pa.string()), len(terms)),
+                    pa.repeat(pa.scalar(source, pa.string()), len(terms)),
+                    terms,
                     pa.array([0, *n.values()], pa.int64()),
-                    pa.array([0, *[docs[t] for t in n]], pa.int64()),
+                    pa.array([0, *map(docs.__getitem__, n)], pa.int64()),
                 ],
                 names=["lang", "source", "term", "n", "docs"],
             )
@@ -190,6 +190,14 @@ def term_counts(docs: DataFrame) -> DataFrame:
     return counted.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
 
 
+def _stored(rows: DataFrame, name: str) -> DataFrame:
+    """Rows that several steps read, once in files: columns of few values take little there,
+    unlike in a checkpoint's rows."""
+    path = scratch_path(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def _share(n: Column, total: Column, terms: Column) -> Column:
     """p as a Column, in decimals of 38 digits."""
     top = (n + PRIOR).cast("decimal(20,0)") * F.lit(SCALE).cast("decimal(10,0)")
@@ -221,7 +229,7 @@ def divergence_audit(docs: DataFrame, min_docs: int = 30, top: int = 50, block_t
     """lang, source, part, item, value, rank: each source's distances to the others of its
     language, and its terms that stand out most from the language."""
     ensure_checkpoint_dir(docs.sparkSession)
-    counts = term_counts(docs).checkpoint()
+    counts = _stored(term_counts(docs), "term-counts")
     by_lang = counts.filter("term is not null").groupBy("lang", "term").agg(F.sum("n").alias("lang_n"), F.sum("docs").alias("docs"))
     by_lang = by_lang.filter(F.col("docs") >= min_docs).select("lang", "term", "lang_n")
     terms = by_lang.groupBy("lang").agg(F.count(F.lit(1)).alias("terms"), F.sum("lang_n").alias("lang_total"))
@@ -233,7 +241,8 @@ def divergence_audit(docs: DataFrame, min_docs: int = 30, top: int = 50, block_t
     order = Window.partitionBy("lang", "block").orderBy(F.desc("lang_n"), "term")
     placed = placed.withColumn("id", F.row_number().over(order) - 1).checkpoint()
     sizes = placed.groupBy("lang", "block").agg(F.count(F.lit(1)).cast("int").alias("size"))
-    kept = counts.join(placed.select("lang", "term", "lang_n", "block", "id"), ["lang", "term"])
+    # once for the totals, the pairs and the terms that stand out
+    kept = _stored(counts.join(placed.select("lang", "term", "lang_n", "block", "id"), ["lang", "term"]), "kept-counts")
     totals = kept.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("source")) - 1
     groups = (
