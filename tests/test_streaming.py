@@ -162,6 +162,17 @@ def test_a_batch_is_read_twice_and_sorted_once(spark):
     assert by_id(ST.read_scored(spark, root)) == by_id(traffic_anomalies(rows))
 
 
+def test_a_corrected_row_without_an_id_comes_once(spark):
+    rows = traffic_rows(spark, 1).schema
+    at = dt.datetime(2024, 1, 1)
+    row = lambda i, ms: (None, None, "10.0.0.1", "10.0.0.9", "SSH", 22, i, False, at + dt.timedelta(milliseconds=ms))
+    batches = [spark.createDataFrame(b, rows) for b in ([row(1, 500)], [row(2, 100), row(3, 700)])]
+    root = scratch_path(spark, "test-null-id")
+    for batch_id, batch in enumerate(batches):
+        ST.process_traffic_batch(batch, batch_id, root)
+    assert by_id(ST.read_scored(spark, root)) == by_id(traffic_anomalies(batches[0].union(batches[1])))
+
+
 def test_processing_time_trigger_keeps_running(spark):
     """R4: the timer picks up files that come while the stream runs."""
     root = scratch_path(spark, "test-timer")

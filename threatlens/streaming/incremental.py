@@ -252,11 +252,11 @@ def read_scored(spark: SparkSession, out_root: str) -> DataFrame:
     """All rows scored so far, corrected ones in their last form."""
     scored = spark.read.parquet(f"{out_root}/scored").drop("batch_id")
     corrections = spark.read.parquet(f"{out_root}/corrections").drop("batch_id")
-    # a correction replaces the one row of its order key that is not rapid
-    keys = [F.struct("source_ip").alias("source"), *TRAFFIC_ORDER]
+    # a correction replaces the one row of its order key that is not rapid; as structs, null keys meet as well
+    keys = [F.struct("source_ip").alias("_source"), F.struct(*TRAFFIC_ORDER).alias("_place")]
     first = ~F.col("rapid_connection")
-    kept = scored.filter(first).select("*", keys[0]).join(corrections.select(*keys), ["source", *TRAFFIC_ORDER], "left_anti")
-    return scored.filter(~first).unionByName(kept.drop("source")).select(*SCORED_COLUMNS).unionByName(corrections.select(*SCORED_COLUMNS))
+    kept = scored.filter(first).select("*", *keys).join(corrections.select(*keys), ["_source", "_place"], "left_anti")
+    return scored.filter(~first).unionByName(kept.drop("_source", "_place")).select(*SCORED_COLUMNS).unionByName(corrections.select(*SCORED_COLUMNS))
 
 
 # --------------------------------------------------------------------------- R3
