@@ -135,3 +135,66 @@ def test_new_links_merge_components_so_far(spark):
     got = {r["node"]: r["label"] for r in N.merged(label, links).collect()}
     assert got == {1: 1, 2: 1, 5: 1, 6: 1, 9: 9, 10: 9, 20: 9, 30: 30, 31: 30}
     assert N.merged(label, frame([(5, 6)], "a long, b long")) is label
+
+
+def loose_family(n=160, words=60, most=12, seed=5):
+    """Copies of one text with up to ``most`` edits each: many of them lie just below the limit."""
+    import random
+
+    rng = random.Random(seed)
+    base = [f"b{i}" for i in range(words)]
+    rows = []
+    for i in range(n):
+        text = list(base)
+        for _ in range(rng.randint(0, most)):
+            at = rng.randrange(len(text))
+            kind = rng.random()
+            text[at : at + 1] = [] if kind < 0.1 else [text[at], f"y{rng.randrange(50)}"] if kind < 0.2 else [f"x{i}_{at}" if kind < 0.8 else f"y{rng.randrange(50)}"]
+        rows.append((i, " ".join(text)))
+    return rows
+
+
+def test_a_loose_family_is_not_compared_in_full(frame, monkeypatch):
+    rows = loose_family()
+    compared = []
+
+    def counted(f):
+        def run(pairs, *args):
+            compared.append(pairs.count())
+            return f(pairs, *args)
+
+        return run
+
+    for name in ("verified", "verified_in_blocks"):
+        monkeypatch.setattr(N, name, counted(getattr(N, name)))
+    want = brute(rows, 2)
+    assert 20 < len({c for _, _, c, _ in want}) < 140
+    assert result(frame(rows).repartition(6), 2) == want
+    assert sum(compared) < 5 * len(rows)  # all pairs would be 12,720
+
+
+def test_families_keep_each_link(spark):
+    """Any family, even with a pivot that fits nobody, gives all links between components."""
+    rng = np.random.default_rng(8)
+    for seed, most in ((1, 6), (2, 9)):
+        texts = [t for _, t in loose_family(70, 40, most, seed)] + [t.replace("b", "c") for _, t in loose_family(30, 30, most, seed + 10)]
+        sets = N.shingle_sets(texts, 2)
+        node = rng.permutation(len(sets)).tolist()
+        node[5] = node[4]  # a node of two sets
+        family = [(f, x) for x in set(node) for f in (1, 2) if f == 1 or x % 3]
+        of = spark.createDataFrame(family, "family long, node long")
+        frame = spark.createDataFrame([(x, i, s.tobytes()) for i, (x, s) in enumerate(zip(node, sets, strict=True))], "doc_id long, unit long, shingles binary")
+        units = N.weighed(of, frame, 80)
+        links = {
+            tuple(sorted((x, y)))
+            for x, s in zip(node, sets, strict=True)
+            for y, t in zip(node, sets, strict=True)
+            if x != y and 100 * len(np.intersect1d(s, t)) >= 80 * len(np.union1d(s, t))
+        }
+        central = {tuple(sorted(r)) for r in N.central_links(units).collect()}
+        assert central and central <= links
+        label = N.merged(spark.createDataFrame([], "node long, label long"), N.central_links(units))
+        of_node = {r["node"]: r["label"] for r in label.collect()}
+        found = {tuple(r) for r in N.sharing_pairs(units, label, 80).collect()}
+        across = {(a, b) for a, b in links if of_node.get(a, a) != of_node.get(b, b)}
+        assert across and across <= found

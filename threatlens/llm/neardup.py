@@ -16,18 +16,30 @@ least J, so at J = 0.8 all 75 bands miss with probability (1 - 0.8**8)**75 = 1e-
 J = 0.07, usual for two unrelated documents of a language, a band agrees with 6e-10.
 
 Links: every node is first compared with the two nodes that are smallest in most of its
-buckets; nodes so linked form components.  In the buckets that still hold nodes of
-different components, another round compares each node with two drawn nodes of other
-components, and then what is left is compared across components in full, in blocks of
-nodes, so that a set is sent to blocks and not to pairs.  Pairs inside a
-component are never compared, so a bucket of many near copies costs a few comparisons for
-each of them.  A node with too many shingles of its own (that no other open node has)
-can't reach the limit with anyone; that exact bound is part of the last join, so the
-outliers of a large group are not held against all of it.
+buckets; nodes so linked form components, and pairs inside a component are never compared.
+Of the buckets that still hold nodes of different components, those with the same largest
+component are a family.  A node with too many shingles of its own (that no other open node
+has) can't reach the limit with anyone and is left out.
+
+Families: the pivot P of a family holds the shingles of more than half of its sets, and D(x)
+is the symmetric difference of x and P.  As |x ^ y| = |D(x)| + |D(y)| - 2 |D(x) & D(y)|, with
+weights w(x) = (100 + percent) |D(x)| - (100 - percent) |x| two sets reach the limit if and only
+if 2 (100 + percent) |D(x) & D(y)| >= w(x) + w(y).  So
+
+* sets whose weights add up to 0 or less are linked; all of these are linked with the set of
+  least weight, which gives one link for each of them;
+* any other two sets of different components must share differences.  D(x) is ordered from the
+  rarest in the family on; if the first that x and y share is the i-th of x (from 0), they
+  share at most |D(x)| - i, which must be enough for both weights.  Only the differences that
+  can be such a first one for some set of another component are kept and joined.
+
+These bounds are exact for any pivot, and texts of one family that lie just below the limit
+share few of their own edits, so a large group of them is not compared in full.
 
 For each pair the similarity is estimated by maximum likelihood from both sketches
 together and the set sizes; pairs clearly below the limit go, the others are confirmed on
-the full sets.
+the full sets, the last ones in blocks of nodes, so that a set is sent to blocks and not to
+pairs.
 
 Components: the smallest label spreads along the links, with pointer jumping; each round
 is checkpointed in the shared folder.
@@ -58,7 +70,6 @@ BAND = 8
 BANDS = REGISTERS // BAND
 BASE = 1.02
 RATE = 20.0
-TURNS = 1  # rounds against drawn nodes, before what is left is compared in full
 MARGIN = 0.085  # five standard errors of the estimate at 0.8
 #: Registers and sets of the nodes that a task compares with each other, twice; pairs at a time.
 BLOCK_BYTES, PAIRS = 4 << 20, 4096
@@ -354,6 +365,93 @@ def _same_id(found: DataFrame, classes: DataFrame) -> DataFrame:
     return nodes.join(first, "doc_id").filter("a <> b").select("a", "b").distinct()
 
 
+def families(open_rows: DataFrame) -> DataFrame:
+    """family, node: a bucket belongs to the largest component that it holds."""
+    sizes = open_rows.select("node", "label").distinct().groupBy("label").agg(F.count(F.lit(1)).alias("size"))
+    of = open_rows.join(sizes, "label").groupBy("band").agg(F.max(F.struct("size", "label")).alias("top"))
+    return open_rows.join(of, "band").select(F.col("top.label").alias("family"), "node").distinct()
+
+
+def _family_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(family, shingle) for each shingle of the packed sets."""
+    for batch in batches:
+        family = batch.column("family").to_numpy(zero_copy_only=False)
+        for k in range(0, batch.num_rows, 200):
+            sets = [np.frombuffer(x, dtype=np.int64) for x in batch.column("shingles").slice(k, 200).to_pylist()]
+            ids = np.repeat(family[k : k + 200], [len(x) for x in sets])
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.concatenate(sets))], names=["family", "shingle"])
+
+
+def _difference_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each set's size and its symmetric difference with the pivot of its family."""
+    none = np.zeros(0, dtype=np.int64)
+    for batch in batches:
+        for k in range(0, batch.num_rows, 200):
+            part = batch.slice(k, 200)
+            sets = [np.frombuffer(x, dtype=np.int64) for x in part.column("shingles").to_pylist()]
+            pivots = [none if x is None else np.array(x, dtype=np.int64) for x in part.column("pivot").to_pylist()]
+            lists = [np.setxor1d(x, y, assume_unique=True) for x, y in zip(sets, pivots, strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *(part.column(c) for c in ("family", "unit", "node")),
+                    pa.array([len(x) for x in sets], pa.int64()),
+                    pa.array(lists, pa.list_(pa.int64())),
+                ],
+                names=["family", "unit", "node", "n", "differences"],
+            )
+
+
+def weighed(of: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """family, unit, node, differences, d, w: a row for each set of each node of a family."""
+    placed = of.join(sets.select(F.col("doc_id").alias("node"), "unit", "shingles"), "node")
+    counts = placed.select("family", "shingles").mapInArrow(_family_shingles, "family long, shingle long").groupBy("family", "shingle").count()
+    half = placed.groupBy("family").agg((F.count(F.lit(1)) / 2).alias("half"))
+    pivots = counts.join(half, "family").filter("count > half").groupBy("family").agg(F.collect_list("shingle").alias("pivot"))
+    rows = placed.select("family", "unit", "node", "shingles").join(pivots, "family", "left")
+    rows = rows.mapInArrow(_difference_rows, "family long, unit long, node long, n long, differences array<long>")
+    d = F.size("differences").cast("long")
+    return rows.select("family", "unit", "node", "differences", d.alias("d"), ((100 + percent) * d - (100 - percent) * F.col("n")).alias("w")).checkpoint()
+
+
+def central_links(units: DataFrame) -> DataFrame:
+    """Links (a, b) between the set of least weight of a family and those that it must reach."""
+    hubs = units.groupBy("family").agg(F.min(F.struct("w", "node")).alias("hub"))
+    found = units.join(hubs, "family").filter("w + hub.w <= 0 and node <> hub.node")
+    return found.select(F.col("hub.node").alias("a"), F.col("node").alias("b"))
+
+
+def _with_others(rows: DataFrame, keys: list[str], low: str, name: str) -> DataFrame:
+    """The least ``low`` among the rows of the same keys with another label; rows without one go."""
+    first = rows.groupBy(*keys).agg(F.min(F.struct(low, "label")).alias("first"))
+    rows = rows.join(first, keys)
+    second = rows.filter("label <> first.label").groupBy(*keys).agg(F.min(low).alias("second"))
+    other = F.when(F.col("label") == F.col("first.label"), F.col("second")).otherwise(F.col(f"first.{low}"))
+    return rows.join(second, keys).withColumn(name, other).drop("first", "second")
+
+
+def sharing_pairs(units: DataFrame, label: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of nodes of different components whose sets can reach the limit, by the
+    differences they share; the sets that ``central_links`` joins have one label."""
+    once = 2 * (100 + percent)  # what a shared difference adds
+    units = units.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    # the partner of least weight decides how many differences must be shared
+    units = _with_others(units, ["family"], "w", "other").filter(F.lit(once) * F.col("d") >= F.col("w") + F.col("other"))
+    rows = units.select("family", "unit", "node", "label", "d", "w", "other", F.explode("differences").alias("difference"))
+    times = rows.groupBy("family", "difference").agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
+    rows = rows.join(times, ["family", "difference"])
+    one = Window.partitionBy("family", "unit")
+    # those that no other set has come first, and each counts as a place
+    place = F.col("d") - F.count(F.lit(1)).over(one) + F.row_number().over(one.orderBy("times", "difference")) - 1
+    rows = rows.withColumn("reach", once * (F.col("d") - place) - F.col("w")).filter("reach >= other")
+    # shared first here, x and y need the reach of x for the weight of y, and the other way round
+    rows = rows.select("family", "difference", "node", "label", "w", "reach", (-F.col("reach")).alias("short")).checkpoint()
+    keys = ["family", "difference"]
+    rows = _with_others(_with_others(rows, keys, "w", "lightest").filter("reach >= lightest"), keys, "short", "shortest").filter("w + shortest <= 0")
+    left, right = (rows.select(*keys, *[F.col(c).alias(f"{c}_{n}") for c in ("node", "label", "w", "reach")]) for n in ("a", "b"))
+    found = left.join(right, keys).filter("node_a < node_b and label_a <> label_b and reach_a >= w_b and reach_b >= w_a")
+    return found.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+
+
 def link_documents(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for each row."""
     ensure_checkpoint_dir(docs.sparkSession)
@@ -369,35 +467,19 @@ def link_documents(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     buckets = bands.join(shared, "band").checkpoint()  # the rows of shared buckets alone
     sets = rows.join(buckets.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
     sets = sets.mapInArrow(_set_rows(k), "doc_id long, registers binary, shingles binary").checkpoint()
-    # a first round against each bucket's smallest node, then against others of it
+    # a first round against each bucket's smallest node, then what is left of the buckets by families
     tested = _most_shared(buckets.filter("hub <> node").select(F.col("hub").alias("a"), F.col("node").alias("b")))
     label = components(verified(tested, sets, percent).union(_same_id(found, classes)))
-    bounds = None
-    for turn in range(TURNS):
-        open_rows = _open_rows(buckets, label, bounds)
-        if bounds is None:
-            open_sets = sets.join(open_rows.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
-            # a node with too many shingles of its own reaches the limit with nobody
-            bounds = shared_sizes(open_sets).filter(F.coalesce(100 * F.col("shared") >= percent * F.col("n"), F.lit(True))).checkpoint()
-            open_rows = _open_rows(buckets, label, bounds)
-            # from here on all pairs are of these nodes
-            sets = open_sets.join(bounds.select(F.col("node").alias("doc_id")), "doc_id", "left_semi").checkpoint()
-        draw = F.xxhash64("node", F.lit(turn))
-        hubs = open_rows.groupBy("band").agg(F.min(F.struct(draw.alias("draw"), "node", "label")).alias("hub"))
-        pairs = open_rows.join(hubs, "band").filter("label <> hub.label").select(
-            F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b"), "node"
-        )
-        pairs = _most_shared(pairs.join(tested, ["a", "b"], "left_anti"))
-        if not pairs.limit(1).count():
-            break  # nothing is left between components
-        tested = tested.union(pairs)
-        label = merged(label, verified(pairs, sets, percent))
-    open_rows = _open_rows(buckets, label, bounds).join(bounds, "node")
-    left, right = (open_rows.select("band", F.col("node").alias(n), *[F.col(c).alias(f"{c}_{n}") for c in ("label", "n", "shared")]) for n in ("a", "b"))
-    # at most so many shingles can be common to both
-    reach = F.coalesce((100 + percent) * F.least("shared_a", "shared_b") >= percent * (F.col("n_a") + F.col("n_b")), F.lit(True))
-    across = left.join(right, "band").filter((F.col("a") < F.col("b")) & (F.col("label_a") != F.col("label_b")) & reach)
-    across = across.select("a", "b").distinct().join(tested, ["a", "b"], "left_anti").checkpoint()
+    open_rows = _open_rows(buckets, label, None)
+    open_sets = sets.join(open_rows.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    # a node with too many shingles of its own reaches the limit with nobody
+    bounds = shared_sizes(open_sets).filter(F.coalesce(100 * F.col("shared") >= percent * F.col("n"), F.lit(True))).select("node").checkpoint()
+    of = families(_open_rows(buckets, label, bounds)).checkpoint()
+    sets = open_sets.join(of.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    sets = sets.withColumn("unit", F.monotonically_increasing_id()).checkpoint()
+    units = weighed(of, sets, percent)
+    label = merged(label, central_links(units))
+    across = sharing_pairs(units, label, percent).join(tested, ["a", "b"], "left_anti").checkpoint()
     if across.limit(1).count():
         label = merged(label, verified_in_blocks(across, sets, percent))
     out = members.join(label.withColumnRenamed("node", "rep"), "rep", "left")
