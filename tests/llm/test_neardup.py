@@ -198,3 +198,35 @@ def test_families_keep_each_link(spark):
         found = {tuple(r) for r in N.sharing_pairs(units, label, 80).collect()}
         across = {(a, b) for a, b in links if of_node.get(a, a) != of_node.get(b, b)}
         assert across and across <= found
+
+
+def test_the_least_of_another_label(spark):
+    rng = np.random.default_rng(3)
+    rows = [(k, int(rng.integers(0, k + 1)), int(rng.integers(-4, 5))) for k in range(6) for _ in range(3 * k)]
+    out = N._with_others(spark.createDataFrame(rows, "key long, label long, w long"), ["key"], "w", "other")
+    assert out.columns == ["key", "label", "w", "other"]
+    want = []
+    for k, label, w in rows:
+        others = [x for key, at, x in rows if key == k and at != label]
+        want += [(k, label, w, min(others))] if others else []
+    assert 10 < len(want) < len(rows)
+    assert sorted(tuple(r) for r in out.collect()) == sorted(want)
+
+
+def test_no_step_of_a_family_holds_many_sorters(spark, monkeypatch):
+    """Each sorter of a task holds a page of memory at least: one plan of all steps had 58 of them."""
+    sets = N.shingle_sets([t for _, t in loose_family(60, 40, 9, 2)], 2)
+    of = spark.createDataFrame([(1, x) for x in range(len(sets))], "family long, node long")
+    frame = spark.createDataFrame([(i, i, s.tobytes()) for i, s in enumerate(sets)], "doc_id long, unit long, shingles binary")
+    units = N.weighed(of, frame, 80)
+    label = N.merged(spark.createDataFrame([], "node long, label long"), N.central_links(units))
+    sorts = lambda df: df._jdf.queryExecution().executedPlan().toString().count("Sort [")
+    seen, kind = [], type(units)
+    stored = kind.checkpoint
+    monkeypatch.setattr(kind, "checkpoint", lambda df, *args: (seen.append(sorts(df)), stored(df, *args))[1])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        seen.append(sorts(N.sharing_pairs(units, label, 80)))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert max(seen) <= 12

@@ -422,11 +422,13 @@ def central_links(units: DataFrame) -> DataFrame:
 
 def _with_others(rows: DataFrame, keys: list[str], low: str, name: str) -> DataFrame:
     """The least ``low`` among the rows of the same keys with another label; rows without one go."""
-    first = rows.groupBy(*keys).agg(F.min(F.struct(low, "label")).alias("first"))
-    rows = rows.join(first, keys)
-    second = rows.filter("label <> first.label").groupBy(*keys).agg(F.min(low).alias("second"))
-    other = F.when(F.col("label") == F.col("first.label"), F.col("second")).otherwise(F.col(f"first.{low}"))
-    return rows.join(second, keys).withColumn(name, other).drop("first", "second")
+    by_label = rows.groupBy(*keys, "label").agg(F.min(low).alias("low"))
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy("low", "label"))
+    two = by_label.withColumn("place", place).filter("place <= 2").groupBy(*keys).agg(
+        F.min(F.struct("low", "label")).alias("first"), F.max("low").alias("second"), F.count(F.lit(1)).alias("labels")
+    )
+    other = F.when(F.col("label") == F.col("first.label"), F.col("second")).otherwise(F.col("first.low"))
+    return rows.join(two.filter("labels = 2"), keys).withColumn(name, other).drop("first", "second", "labels")
 
 
 def sharing_pairs(units: DataFrame, label: DataFrame, percent: int) -> DataFrame:
@@ -435,7 +437,7 @@ def sharing_pairs(units: DataFrame, label: DataFrame, percent: int) -> DataFrame
     once = 2 * (100 + percent)  # what a shared difference adds
     units = units.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
     # the partner of least weight decides how many differences must be shared
-    units = _with_others(units, ["family"], "w", "other").filter(F.lit(once) * F.col("d") >= F.col("w") + F.col("other"))
+    units = _with_others(units, ["family"], "w", "other").filter(F.lit(once) * F.col("d") >= F.col("w") + F.col("other")).checkpoint()
     rows = units.select("family", "unit", "node", "label", "d", "w", "other", F.explode("differences").alias("difference"))
     times = rows.groupBy("family", "difference").agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
     rows = rows.join(times, ["family", "difference"])
@@ -446,7 +448,10 @@ def sharing_pairs(units: DataFrame, label: DataFrame, percent: int) -> DataFrame
     # shared first here, x and y need the reach of x for the weight of y, and the other way round
     rows = rows.select("family", "difference", "node", "label", "w", "reach", (-F.col("reach")).alias("short")).checkpoint()
     keys = ["family", "difference"]
-    rows = _with_others(_with_others(rows, keys, "w", "lightest").filter("reach >= lightest"), keys, "short", "shortest").filter("w + shortest <= 0")
+    # each step is stored: rows are read several times by the next one, and a stage of all steps
+    # would hold a sorter for each of these readings
+    rows = _with_others(rows, keys, "w", "lightest").filter("reach >= lightest").checkpoint()
+    rows = _with_others(rows, keys, "short", "shortest").filter("w + shortest <= 0").checkpoint()
     left, right = (rows.select(*keys, *[F.col(c).alias(f"{c}_{n}") for c in ("node", "label", "w", "reach")]) for n in ("a", "b"))
     found = left.join(right, keys).filter("node_a < node_b and label_a <> label_b and reach_a >= w_b and reach_b >= w_a")
     return found.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
