@@ -202,7 +202,7 @@ def test_families_keep_each_link(spark):
 
 def test_the_least_of_another_label(spark):
     rng = np.random.default_rng(3)
-    rows = [(k, int(rng.integers(0, k + 1)), int(rng.integers(-4, 5))) for k in range(6) for _ in range(3 * k)]
+    rows = [(k, int(rng.integers(0, k + 1)), int(rng.integers(-4, 5))) for k in range(6) for _ in range(3 * k)] + [(9, 1, 2), (9, 1, 3)]  # the last key has one label
     out = N._with_others(spark.createDataFrame(rows, "key long, label long, w long"), ["key"], "w", "other")
     assert out.columns == ["key", "label", "w", "other"]
     want = []
